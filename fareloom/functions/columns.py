@@ -72,10 +72,16 @@ def app_status(status: Column | str = "status") -> Column:
     return F.coalesce(F.try_element_at(names, _col(status)), F.lit(APP_STATUS_DEFAULT))
 
 
-def truthy(value: Column | str, default: object = None) -> Column:
-    """``value`` unless it is NULL, zero or empty: the projection treats those as absent."""
+def text_or(value: Column | str, default: str | None = None) -> Column:
+    """``value`` unless it is NULL or empty: the projection treats both as absent."""
     value = _col(value)
-    return F.coalesce(F.when(value.cast("string").rlike("^(-?0+(\\.0+)?)?$"), None).otherwise(value), F.lit(default))
+    return F.coalesce(F.when(value != "", value), F.lit(default))
+
+
+def number_or(value: Column | str, default: object = None) -> Column:
+    """``value`` unless it is NULL or zero: the projection treats both as absent."""
+    value = _col(value)
+    return F.coalesce(F.when(value != 0, value), F.lit(default))
 
 
 def natural_id(*parts: Column | str) -> Column:

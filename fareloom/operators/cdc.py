@@ -15,9 +15,10 @@ from fareloom.functions.columns import (
     instant,
     iso_text,
     natural_id,
+    number_or,
     seconds_between,
     service_of,
-    truthy,
+    text_or,
 )
 from fareloom.operators.joins import lookup, newest
 from fareloom.schemas import CACHE_HOURS, DEPOSIT_PAID_STATUSES, MAX_RETRY, RATING, RETENTION_DAYS
@@ -256,35 +257,35 @@ def booking_document(events: DataFrame) -> DataFrame:
     p = events.withColumn("p", F.from_json("payload", PAYLOAD_SCHEMA))
     zero = F.lit(0).cast("decimal(10,2)")
 
-    def kept(field: str) -> Column:
-        return truthy(f"p.{field}").alias(field)
+    def text(field: str) -> Column:
+        return text_or(f"p.{field}").alias(field)
 
     def amount(field: str, name: str | None = None) -> Column:
         return F.coalesce(f"p.{field}", zero).alias(name or field)
 
-    has_time = truthy("p.startDate").isNotNull() & truthy("p.startTime").isNotNull()
+    has_time = text_or("p.startDate").isNotNull() & text_or("p.startTime").isNotNull()
     start = F.concat(F.col("p.startDate"), F.lit("T"), F.col("p.startTime")).cast("timestamp_ntz")
     return p.select(
         F.col("aggregate_id").alias("id"),
         F.col("p.customerId").alias("customerId"),
-        kept("driverId"), kept("customerName"), kept("customerPhone"),
-        kept("driverName"), kept("driverPhone"), kept("driverVehiclePlate"), kept("driverVehicleModel"),
-        truthy("p.driverRating").cast(RATING).alias("driverRating"),
+        text("driverId"), text("customerName"), text("customerPhone"),
+        text("driverName"), text("driverPhone"), text("driverVehiclePlate"), text("driverVehicleModel"),
+        number_or("p.driverRating").cast(RATING).alias("driverRating"),
         F.coalesce("p.pickupAddress", F.lit("")).alias("pickupAddress"),
         F.col("p.pickupLocation").alias("pickupLocation"),
         F.coalesce("p.destination", F.lit("")).alias("dropoffAddress"),
         F.col("p.dropoffLocation").alias("dropoffLocation"),
         F.when(has_time, start).otherwise(_time("createdAt")).alias("bookingTime"),
-        truthy("p.passengerCount", 1).alias("passengerCount"),
-        kept("luggageCount"),
-        truthy("p.specialRequirements").alias("notes"),
-        kept("tourPackageId"), kept("tourPackageName"), kept("promoCode"), kept("influencerId"),
+        number_or("p.passengerCount", 1).alias("passengerCount"),
+        number_or("p.luggageCount").alias("luggageCount"),
+        text_or("p.specialRequirements").alias("notes"),
+        text("tourPackageId"), text("tourPackageName"), text("promoCode"), text("influencerId"),
         amount("influencerCommission"),
-        kept("originalPrice"),
+        number_or("p.originalPrice").alias("originalPrice"),
         amount("discountAmount"),
-        kept("finalPrice"), kept("taxId"),
-        truthy("p.country", "TW").alias("country"),
-        truthy("p.serviceType", "charter").alias("serviceType"),
+        number_or("p.finalPrice").alias("finalPrice"), text("taxId"),
+        text_or("p.country", "TW").alias("country"),
+        text_or("p.serviceType", "charter").alias("serviceType"),
         amount("totalAmount", "estimatedFare"),
         amount("depositAmount"), amount("overtimeFee"), amount("tipAmount"),
         amount("platformFee"), amount("driverEarning"),
