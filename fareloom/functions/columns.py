@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fareloom.schemas import APP_STATUS, APP_STATUS_DEFAULT, DEFAULT_COUNTRY, DEFAULT_SERVICE, MONEY
 
-HUNDREDTH = F.lit("0.01").cast("decimal(3,2)")
+HUNDREDTH = "0.01"
 
 
 def _col(value: Column | str) -> Column:
@@ -23,7 +23,7 @@ def _col(value: Column | str) -> Column:
 
 def percent_of(amount: Column | str, percent: Column | str) -> Column:
     """``percent`` % of ``amount``, exact in decimals, half away from zero to cents."""
-    return F.round(_col(amount) * _col(percent) * HUNDREDTH, 2).cast(MONEY)
+    return F.round(_col(amount) * _col(percent) * F.lit(HUNDREDTH).cast("decimal(3,2)"), 2).cast(MONEY)
 
 
 def zero_if_null(amount: Column | str) -> Column:

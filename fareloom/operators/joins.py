@@ -12,9 +12,17 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 1000
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def lookup_bytes(dim: DataFrame) -> int:
+    """An upper estimate of the size of a lookup side.
+
+    A lookup side has one row per key and is built by one-to-one joins, filters and
+    aggregates, so it is no larger than the tables it reads together. Catalyst's own
+    estimate multiplies the sides of a join, but is tighter for a plain projection.
+    """
+    plan = dim._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    tables = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return min(tables, int(str(plan.stats().sizeInBytes())))
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -23,9 +31,9 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(conf.autoBroadcastJoinThreshold())
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    limit = broadcast_limit(df.sparkSession) if limit is None else limit
-    return limit >= 0 and plan_bytes(df) <= limit
+def fits_broadcast(dim: DataFrame, limit: int | None = None) -> bool:
+    limit = broadcast_limit(dim.sparkSession) if limit is None else limit
+    return limit >= 0 and lookup_bytes(dim) <= limit
 
 
 def _all_present(keys: Sequence[str]) -> Column:

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.schemas import LATITUDE, LONGITUDE, MONEY, RATE, RATING
+from fareloom.schemas import LATITUDE, LONGITUDE, MONEY, RATE, RATING, WIDE_PHOTO_COLUMNS
 from fareloom.sources.tables import read_table
 
 RULES = """
@@ -237,7 +237,7 @@ class Marketplace:
         k = F.col("k")
         return self.table("customer").select((F.col("c_custkey") % 20).alias("k")).distinct().select(
             _id("I", k).alias("id"),
-            (100 + 10 * k).cast(MONEY).alias("commission_fixed"),
+            (1000 + 100 * k).cast(MONEY).alias("commission_fixed"),
             (5 + k.cast("decimal(4,0)") * F.lit("0.125").cast("decimal(4,3)")).cast(RATE).alias("commission_percent"),
             (k % 4 == 0).alias("is_commission_fixed_active"),
             (k % 5 != 1).alias("is_commission_percent_active"),
@@ -279,7 +279,7 @@ class Marketplace:
             F.when(nation % 8 == 0, "suspended").otherwise("active").alias("affiliate_status"),
             (nation % 9 != 1).alias("is_active"),
             (key % 2 == 0).alias("commission_fixed_enabled"),
-            (key % 4 * 50).cast(MONEY).alias("commission_fixed"),
+            (key % 4 * 2000).cast(MONEY).alias("commission_fixed"),
             (nation % 10 != 3).alias("commission_percent_enabled"),
             F.lit("1.5").cast(RATE).alias("commission_percent"),
             F.when(nation > 15, F.lit("2").cast(RATE)).alias("commission_percent_charter"),
@@ -400,7 +400,7 @@ class Marketplace:
 
         none = F.lit(None).cast("string")
         created = event("created", 1, "0 SECONDS", none)
-        translated = event("updated", 2, "5 SECONDS", F.upper("message_text"))
+        translated = event("updated", 2, "5 SECONDS", F.concat(F.lit("["), "message_text", F.lit("]")))
         withdrawn = event("deleted", 3, "9 SECONDS", none)
         log = F.filter(
             F.array(
@@ -500,8 +500,6 @@ class Marketplace:
     @cached_property
     def driver_photos_wide(self) -> DataFrame:
         """The wide photo table: nine URL columns, the rear seats missing on small vehicles."""
-        from fareloom.schemas import WIDE_PHOTO_COLUMNS
-
         small = F.col("s_acctbal") < 5000
 
         def url(column: str) -> Column:
@@ -511,3 +509,22 @@ class Marketplace:
         return self.table("supplier").select(
             _id("D", "s_suppkey").alias("driver_id"), *(url(c).alias(c) for c in WIDE_PHOTO_COLUMNS)
         )
+
+
+class StreamingMarketplace(Marketplace):
+    """The same entities with one table read as a stream."""
+
+    def __init__(self, spark: SparkSession, directory: str, streamed: str, max_files: int | None = None) -> None:
+        super().__init__(spark, directory)
+        self.streamed = streamed
+        self.max_files = max_files
+
+    def table(self, name: str) -> DataFrame:
+        static = super().table(name)
+        if name != self.streamed:
+            return static
+        reader = self.spark.readStream.schema(static.schema)
+        if self.max_files:
+            reader = reader.option("maxFilesPerTrigger", self.max_files)
+        # written as a glob, so that the table may be one file or a folder of files
+        return reader.parquet(f"{self.directory}/{{{name}}}.parquet")
