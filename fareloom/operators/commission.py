@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions.columns import percent_of, service_of, zero_if_null
-from fareloom.operators.joins import lookup, newest, oldest, previous_value
+from fareloom.operators.joins import lookup, oldest, previous_value
 from fareloom.schemas import MONEY, RATE, TOTAL
 
 # versions per window slice of one booking; bounds the rows a task sorts for one booking
@@ -102,7 +102,7 @@ def _affiliate_outcome(rows: DataFrame, referrals: DataFrame, influencers: DataF
     )
 
 
-def affiliate_commission(
+def affiliate_accruals(
     changes: DataFrame,
     referrals: DataFrame,
     influencers: DataFrame,
@@ -111,11 +111,7 @@ def affiliate_commission(
     slice_size: int = VERSIONS_PER_SLICE,
     limit: int | None = None,
 ) -> DataFrame:
-    """Ledger rows for the riders' referrers, one per booking, from its first completion by update.
-
-    A booking created as completed earns nothing: the rule runs on updates only. ``accrued``
-    (column ``booking_id``) names bookings already in the ledger.
-    """
+    """Ledger rows of ``affiliate_commission`` with the rider and the code they are due to."""
     rows = with_edges(changes.select(*AFFILIATE_INPUT), slice_size)
     edges = rows.filter(F.col("is_edge") & ~F.col("is_insert"))
     first = oldest(edges, "id", ["version"])
@@ -132,28 +128,55 @@ def affiliate_commission(
         "amount",
         F.lit("accrued").alias("reason_code"),
         F.col("changed_at").alias("accrued_at"),
+        "customer_id",
+        F.col("_code").alias("code"),
     )
 
 
+def affiliate_commission(
+    changes: DataFrame,
+    referrals: DataFrame,
+    influencers: DataFrame,
+    accrued: DataFrame | None = None,
+    attribution: str = "first_referrer",
+    slice_size: int = VERSIONS_PER_SLICE,
+    limit: int | None = None,
+) -> DataFrame:
+    """Ledger rows for the riders' referrers, one per booking, from its first completion by update.
+
+    A booking created as completed earns nothing: the rule runs on updates only. ``accrued``
+    (column ``booking_id``) names bookings already in the ledger.
+    """
+    rows = affiliate_accruals(changes, referrals, influencers, accrued, attribution, slice_size, limit)
+    return rows.drop("customer_id", "code")
+
+
 def commission_decision_log(
     changes: DataFrame,
     referrals: DataFrame,
     influencers: DataFrame,
+    accrued: DataFrame | None = None,
     slice_size: int = VERSIONS_PER_SLICE,
     limit: int | None = None,
 ) -> DataFrame:
-    """Why each change of a booking did or did not earn a commission, one reason per change."""
-    rows = with_edges(changes.select(*AFFILIATE_INPUT), slice_size)
-    update_edge = F.col("is_edge") & ~F.col("is_insert")
-    first = rows.filter(update_edge).groupBy("id").agg(F.min("version").alias("_first"))
+    """Why each update of a booking did or did not earn a commission, one reason per update.
+
+    ``duplicate``: an earlier completion, or ``accrued`` (column ``booking_id``), has it already.
+    """
+    rows = with_edges(changes.select(*AFFILIATE_INPUT), slice_size).filter(~F.col("is_insert"))
+    first = rows.filter(F.col("is_edge")).groupBy("id").agg(F.min("version").alias("_first"))
+    if accrued is not None:
+        done = accrued.select(F.col("booking_id").alias("id")).distinct().withColumn("_done", F.lit(True))
+        first = first.join(done, "id", "left")
+    else:
+        first = first.withColumn("_done", F.lit(None).cast("boolean"))
     outcome = _affiliate_outcome(lookup(rows, first, "id", limit=limit), referrals, influencers, "first_referrer", limit)
     reason = (
-        F.when(F.col("is_insert"), "created")
-        .when(~F.col("is_edge"), "not_completed")
+        F.when(~F.col("is_edge"), "not_completed")
         .when(F.col("_owner").isNull(), "no_referral")
         .when(~F.col("_active"), "influencer_inactive")
         .when(F.col("type").isNull(), "no_scheme")
-        .when(F.col("version") > F.col("_first"), "duplicate")
+        .when(F.col("_done").isNotNull() | (F.col("version") > F.col("_first")), "duplicate")
         .otherwise("accrued")
     )
     logged = outcome.withColumn("reason_code", reason)
@@ -168,18 +191,17 @@ def commission_decision_log(
     )
 
 
-def affiliate_usage_upsert(usage: DataFrame, ledger: DataFrame, changes: DataFrame, referrals: DataFrame) -> DataFrame:
-    """The earlier scheme's usage table after the ledger rows: updated where present, added where not, always pending.
+def affiliate_usage_upsert(usage: DataFrame, accruals: DataFrame, status: str = "pending", insert: bool = True) -> DataFrame:
+    """The code-usage table after the accruals.
 
-    ``usage`` and the accruals are unique per booking, so a full outer join is the upsert.
+    The earlier scheme sets the rows ``pending`` and adds one where a booking has none; the
+    current one sets them ``completed`` and adds nothing (``insert=False``). ``usage`` and
+    ``accruals`` are unique per booking, so the outer join is the upsert.
     """
-    riders = newest(changes.select(F.col("id").alias("booking_id"), "customer_id", "version"), "booking_id", ["version"])
-    codes = referrals.select(F.col("referee_id").alias("customer_id"), F.col("promo_code").alias("_code"))
-    accrued = lookup(ledger.join(riders.drop("version"), "booking_id"), codes, "customer_id").select(
-        "booking_id",
-        F.struct("beneficiary_id", "customer_id", "_code", "base_amount", "rate", "type", "amount").alias("_a"),
+    due = accruals.select(
+        "booking_id", F.struct("beneficiary_id", "customer_id", "code", "base_amount", "rate", "type", "amount").alias("_a")
     )
-    rows = usage.withColumn("_known", F.lit(True)).join(accrued, "booking_id", "full")
+    rows = usage.withColumn("_known", F.lit(True)).join(due, "booking_id", "full" if insert else "left")
     new, hit = F.col("_known").isNull(), F.col("_a").isNotNull()
 
     def kept(column: str, inserted: Column) -> Column:
@@ -191,12 +213,12 @@ def affiliate_usage_upsert(usage: DataFrame, ledger: DataFrame, changes: DataFra
     return rows.select(
         "booking_id",
         kept("influencer_id", F.col("_a.beneficiary_id")),
-        kept("promo_code", F.col("_a._code")),
+        kept("promo_code", F.col("_a.code")),
         kept("original_price", F.col("_a.base_amount")),
         kept("discount_amount_applied", F.lit(0).cast(MONEY)),
         kept("final_price", F.col("_a.base_amount")),
         set_("commission_amount", F.col("_a.amount")),
-        set_("commission_status", F.lit("pending")),
+        set_("commission_status", F.lit(status)),
         set_("commission_type", F.col("_a.type")),
         set_("commission_rate", F.col("_a.rate")),
         set_("order_amount", F.col("_a.base_amount")),
@@ -272,11 +294,13 @@ def driver_referral_commission(
     )
 
 
-def first_completions(changes: DataFrame, columns: list[str], slice_size: int = VERSIONS_PER_SLICE) -> DataFrame:
-    """The first completion of each booking, at creation included, with ``columns`` and its time."""
-    wanted = list(dict.fromkeys(["id", "version", "status", "changed_at", *columns]))
-    edges = with_edges(changes.select(*wanted), slice_size).filter(F.col("is_edge"))
-    first = oldest(edges, "id", ["version"])
+def first_completions(changes: DataFrame, columns: list[str]) -> DataFrame:
+    """The first completion of each booking, at creation included, with ``columns`` and its time.
+
+    The earliest completed version is an edge by definition, so no window is needed.
+    """
+    wanted = list(dict.fromkeys(["id", "version", "changed_at", *columns]))
+    first = oldest(changes.filter(F.col("status") == "completed").select(*wanted), "id", ["version"])
     return first.select("id", *(c for c in columns if c != "id"), F.col("changed_at").alias("completed_at"))
 
 

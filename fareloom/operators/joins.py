@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # than HEAVY_SHARE heavy keys: that is the size bound of everything broadcast below.
 HEAVY_SHARE = 1000
 
+# slots of the frequency sketch per heavy key; keys above the share are always found
+SKETCH_SLOTS = 10
+
 
 def lookup_bytes(dim: DataFrame) -> int:
     """An upper estimate of the size of a lookup side.
@@ -43,11 +46,23 @@ def _all_present(keys: Sequence[str]) -> Column:
     return present
 
 
-def heavy_keys(fact: DataFrame, keys: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:
-    """Keys owning at least one ``share``-th of the rows; at most ``share`` rows come out."""
-    counts = fact.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return counts.filter(F.col("_n") * share >= total.scalar()).select(*keys)
+def heavy_hashes(fact: DataFrame, keys: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:
+    """Hashes (column ``_hash``) of the keys owning at least one ``share``-th of the rows.
+
+    A frequency sketch of fixed size per task, merged: one pass over the key columns and no
+    shuffle of keys. It only steers where rows are processed; results do not depend on it.
+    """
+    sketch = f"approx_top_k(_hash, {share}, {share * SKETCH_SLOTS})"
+    top = (
+        fact.filter(_all_present(keys))
+        .select(F.xxhash64(*keys).alias("_hash"))
+        .agg(F.expr(sketch).alias("_top"), F.count(F.lit(1)).alias("_rows"))
+    )
+    return (
+        top.select("_rows", F.explode("_top").alias("_t"))
+        .filter(F.col("_t.count") * share >= F.col("_rows"))
+        .select(F.col("_t.item").alias("_hash"))
+    )
 
 
 def lookup(
@@ -69,9 +84,13 @@ def lookup(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), keys, how)
-    heavy = heavy_keys(fact, keys)
-    heavy_dim = dim.join(F.broadcast(heavy), keys, "left_semi")
-    marked = fact.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), keys, "left")
+    heavy = heavy_hashes(fact, keys)
+    heavy_dim = dim.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(heavy), "_hash", "left_semi").drop("_hash")
+    marked = (
+        fact.withColumn("_hash", F.xxhash64(*keys))
+        .join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), "_hash", "left")
+        .drop("_hash")
+    )
     stays = F.col("_heavy").isNotNull() | ~_all_present(keys)
     in_place = marked.filter(stays).drop("_heavy").join(F.broadcast(heavy_dim), keys, how)
     shuffled = marked.filter(~stays).drop("_heavy").join(dim, keys, how)
@@ -85,30 +104,35 @@ def previous_value(
     value: str,
     part: Column,
     into: str,
+    share: int = HEAVY_SHARE,
 ) -> DataFrame:
-    """``value`` of the row before, per key, without one task sorting a whole key.
+    """``value`` of the row before, per key, without one task sorting a whole heavy key.
 
-    ``part`` must not decrease along ``order``. Rows are windowed per (key, part); the last
-    value of each part, found by a map-side combined ``max_by``, carries over to the next
-    part. The result is a struct, NULL on the first row of a key, so a NULL value and a
-    missing predecessor stay apart.
+    Ordinary keys are windowed as they are. The rows of a heavy key are windowed slice by
+    slice; ``part`` names the slice and must not decrease along ``order``. The last value of
+    each slice, found by a map-side combined ``max_by``, carries over to the next slice. The
+    result is a struct, NULL on the first row of a key, so a NULL value and a missing
+    predecessor stay apart.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    sliced = df.withColumn("_part", part)
+    heavy = heavy_hashes(df, keys, share)
+    hashed = df.withColumn("_hash", F.xxhash64(*keys)).withColumn("_slice", part)
     cell = F.struct(F.col(value).alias("value"))
-    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
-    last = sliced.groupBy(*keys, "_part").agg(F.max_by(cell, F.struct(*order)).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy("_part")
-    carried = (
-        last.withColumn("_carried", F.lag("_last").over(across))
-        .filter(F.col("_carried").isNotNull())
-        .drop("_last")
+    last = (
+        hashed.join(F.broadcast(heavy), "_hash", "left_semi")
+        .groupBy(*keys, "_slice")
+        .agg(F.max_by(cell, F.struct(*order)).alias("_last"))
     )
+    across = Window.partitionBy(*keys).orderBy("_slice")
+    carried = last.withColumn("_carried", F.lag("_last").over(across)).drop("_last")
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    marked = hashed.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), "_hash", "left")
     return (
-        sliced.withColumn("_inside", F.lag(cell).over(inside))
-        .join(carried, [*keys, "_part"], "left")
+        marked.withColumn("_slice", F.when(F.col("_heavy"), F.col("_slice")))
+        .withColumn("_inside", F.lag(cell).over(inside))
+        .join(carried, [*keys, "_slice"], "left")
         .withColumn(into, F.coalesce("_inside", "_carried"))
-        .drop("_part", "_inside", "_carried")
+        .drop("_hash", "_heavy", "_slice", "_inside", "_carried")
     )
 
 

@@ -79,20 +79,33 @@ def driver_earnings(bookings: DataFrame, drivers: DataFrame, start: dt.date, end
 def driver_earnings_json(bookings: DataFrame, drivers: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """``driver_earnings`` with the daily rows as one JSON document per driver.
 
-    The array holds at most one entry per day of the window; it is NULL without bookings.
+    Bookings are summed to (driver, day) once; totals and the array come from those rows. The
+    array holds at most one entry per day of the window; it is NULL without bookings.
     """
     days = (
-        driver_earnings_daily(bookings, start, end)
-        .groupBy("driver_id")
-        .agg(F.sort_array(F.collect_list(F.struct("date", "earnings", "orders"))).alias("dailyEarnings"))
+        completed_in_window(bookings, start, end)
+        .filter(F.col("driver_id").isNotNull())
+        .groupBy("driver_id", F.to_date("completed_at").alias("date"))
+        .agg(
+            _sum("driver_earning").alias("earnings"),
+            F.count(F.lit(1)).alias("orders"),
+            F.count("driver_earning").alias("paid"),
+        )
+    )
+    totals = days.groupBy("driver_id").agg(
+        _sum("earnings").alias("total"),
+        F.sum("orders").alias("orders"),
+        F.sum("paid").alias("paid"),
+        F.sort_array(F.collect_list(F.struct("date", "earnings", "orders"))).alias("dailyEarnings"),
     )
-    rows = driver_earnings(bookings, drivers, start, end).join(days, "driver_id", "left")
+    zero = F.lit(0).cast(TOTAL)
     document = F.struct(
-        F.col("total_earnings").alias("totalEarnings"),
-        F.col("total_orders").alias("totalOrders"),
-        F.col("average_earnings").alias("averageEarnings"),
+        F.coalesce("total", zero).alias("totalEarnings"),
+        F.coalesce("orders", F.lit(0)).alias("totalOrders"),
+        F.coalesce(exact_mean(F.col("total"), F.col("paid")), zero).alias("averageEarnings"),
         "dailyEarnings",
     )
+    rows = drivers.select("driver_id").join(totals, "driver_id", "left")
     return rows.select("driver_id", F.to_json(document, {"ignoreNullFields": "false"}).alias("report"))
 
 
@@ -258,26 +271,37 @@ def drivers_page_json(page: DataFrame, summary: DataFrame) -> DataFrame:
 # --- platform ---------------------------------------------------------------------------
 
 
-def platform_earnings(bookings: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Fee, revenue, orders and the mean of the per-order fee rate (orders of zero total left out)."""
+def _rate_mean(total: str, n: str) -> Column:
+    return F.round(F.col(total) / F.nullif(n, F.lit(0)), 4).cast("decimal(10,4)")
+
+
+def _platform_sums() -> list[Column]:
     rate = ratio("platform_fee", "total_amount")
-    sums = completed_in_window(bookings, start, end).agg(
-        F.sum("platform_fee").cast(TOTAL).alias("fee"),
-        F.sum("total_amount").cast(TOTAL).alias("revenue"),
+    return [
+        _sum("platform_fee").alias("platform_fee"),
+        _sum("total_amount").alias("revenue"),
         F.count(F.lit(1)).alias("orders"),
         F.sum(rate).alias("rates"),
         F.count(rate).alias("rated"),
-    )
+    ]
+
+
+def _platform_row(sums: DataFrame, *also: str) -> DataFrame:
     zero = F.lit(0).cast(TOTAL)
-    mean = F.round(F.col("rates") / F.nullif("rated", F.lit(0)), 4).cast("decimal(10,4)")
     return sums.select(
-        F.coalesce("fee", zero).alias("total_platform_fee"),
+        F.coalesce("platform_fee", zero).alias("total_platform_fee"),
         F.coalesce("revenue", zero).alias("total_revenue"),
-        F.col("orders").alias("total_orders"),
-        F.coalesce(mean, F.lit(0).cast("decimal(10,4)")).alias("average_commission_rate"),
+        F.coalesce("orders", F.lit(0)).alias("total_orders"),
+        F.coalesce(_rate_mean("rates", "rated"), F.lit(0).cast("decimal(10,4)")).alias("average_commission_rate"),
+        *also,
     )
 
 
+def platform_earnings(bookings: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Fee, revenue, orders and the mean of the per-order fee rate (orders of zero total left out)."""
+    return _platform_row(completed_in_window(bookings, start, end).agg(*_platform_sums()))
+
+
 def platform_earnings_daily(bookings: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return (
         completed_in_window(bookings, start, end)
@@ -291,21 +315,28 @@ def platform_earnings_daily(bookings: DataFrame, start: dt.date, end: dt.date) -
 
 
 def platform_earnings_json(bookings: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """``platform_earnings`` with its daily rows (one per day of the window) as one document."""
-    days = platform_earnings_daily(bookings, start, end).agg(
-        F.sort_array(F.collect_list(F.struct("date", "platform_fee", "revenue", "orders"))).alias("days")
+    """``platform_earnings`` with its daily rows (one per day of the window) as one document.
+
+    Bookings are summed to days once; the totals are sums of those.
+    """
+    days = completed_in_window(bookings, start, end).groupBy(F.to_date("completed_at").alias("date")).agg(*_platform_sums())
+    listed = F.sort_array(F.collect_list(F.struct("date", "platform_fee", "revenue", "orders")))
+    sums = days.agg(
+        _sum("platform_fee").alias("platform_fee"),
+        _sum("revenue").alias("revenue"),
+        F.sum("orders").alias("orders"),
+        F.sum("rates").alias("rates"),
+        F.sum("rated").alias("rated"),
+        F.when(F.count(F.lit(1)) > 0, listed).alias("days"),
     )
-    daily = days.select(F.when(F.size("days") > 0, F.col("days")).alias("days")).scalar()
     document = F.struct(
         F.col("total_platform_fee").alias("totalPlatformFee"),
         F.col("total_revenue").alias("totalRevenue"),
         F.col("total_orders").alias("totalOrders"),
         F.col("average_commission_rate").alias("averageCommissionRate"),
-        daily.alias("dailyEarnings"),
-    )
-    return platform_earnings(bookings, start, end).select(
-        F.to_json(document, {"ignoreNullFields": "false"}).alias("report")
+        F.col("days").alias("dailyEarnings"),
     )
+    return _platform_row(sums, "days").select(F.to_json(document, {"ignoreNullFields": "false"}).alias("report"))
 
 
 def daily_earnings_summary(bookings: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -354,10 +385,6 @@ def deposit_by_status(bookings: DataFrame) -> DataFrame:
 def fee_statistics(bookings: DataFrame) -> DataFrame:
     """How many bookings carry fee columns, and the mean rates."""
     fee, earning = ratio("platform_fee", "total_amount"), ratio("driver_earning", "total_amount")
-
-    def mean(total: str, n: str) -> Column:
-        return F.round(F.col(total) / F.nullif(n, F.lit(0)), 4).cast("decimal(10,4)")
-
     return (
         bookings.filter(F.col("total_amount").isNotNull())
         .agg(
@@ -373,8 +400,8 @@ def fee_statistics(bookings: DataFrame) -> DataFrame:
             "total_orders",
             "orders_with_platform_fee",
             "orders_with_driver_earning",
-            mean("_fee", "_fee_n").alias("avg_platform_fee_rate"),
-            mean("_earning", "_earning_n").alias("avg_driver_earning_rate"),
+            _rate_mean("_fee", "_fee_n").alias("avg_platform_fee_rate"),
+            _rate_mean("_earning", "_earning_n").alias("avg_driver_earning_rate"),
         )
     )
 

@@ -29,35 +29,49 @@ def financial_split_legacy(bookings: DataFrame) -> DataFrame:
 # --- settings ---------------------------------------------------------------------------
 
 
-def _setting(settings: DataFrame, key: str, field: str) -> tuple[Column, Column]:
-    """(a settings row exists, its field as a percentage) as scalar subqueries."""
-    row = settings.filter((F.col("key") == key) & F.col("value").isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.get_json_object("value", f"$.{field}")).alias("v")
-    )
-    return row.select(F.col("n") > 0).scalar(), row.select(F.col("v").try_cast(PERCENT)).scalar()
+def _settings_row(settings: DataFrame) -> Column:
+    """The two settings rows as one struct: whether each exists, and its percentages."""
+
+    def of(key: str, company_field: str) -> list[Column]:
+        hit = (F.col("key") == key) & F.col("value").isNotNull()
+        name = "with" if key.endswith("with_promo") else "without"
+
+        def percentage(field: str) -> Column:
+            return F.min(F.when(hit, F.get_json_object("value", f"$.{field}"))).try_cast(PERCENT)
+
+        return [
+            (F.count_if(hit) > 0).alias(f"{name}_found"),
+            percentage(company_field).alias(f"{name}_company"),
+            percentage("driver_percentage").alias(f"{name}_driver"),
+        ]
+
+    columns = of("revenue_share_with_promo", "company_base_percentage") + of("revenue_share_no_promo", "company_percentage")
+    row = settings.agg(*columns)
+    return row.select(F.struct(*row.columns)).scalar()
 
 
-def settings_shares(settings: DataFrame, promo: Column) -> tuple[Column, Column, Column]:
-    """(company %, driver %, origin) from the settings rows, else from the fixed defaults.
+def _with_settings_shares(rows: DataFrame, settings: DataFrame, promo: Column) -> DataFrame:
+    """Add struct ``_fallback`` (company, driver, origin): the settings row, else the fixed defaults.
 
     The choice is per row: a settings row that lacks a field yields NULL, not the default.
     """
 
-    def pick(with_field: str, without_field: str, at: int) -> Column:
-        found_with, with_value = _setting(settings, "revenue_share_with_promo", with_field)
-        found_without, without_value = _setting(settings, "revenue_share_no_promo", without_field)
-        return F.when(
-            promo, F.when(found_with, with_value).otherwise(F.lit(SHARE_WITH_PROMO[at]).cast(PERCENT))
-        ).otherwise(F.when(found_without, without_value).otherwise(F.lit(SHARE_NO_PROMO[at]).cast(PERCENT)))
+    def default(at: int) -> tuple[Column, Column]:
+        return F.lit(SHARE_WITH_PROMO[at]).cast(PERCENT), F.lit(SHARE_NO_PROMO[at]).cast(PERCENT)
 
-    found_with, _ = _setting(settings, "revenue_share_with_promo", "driver_percentage")
-    found_without, _ = _setting(settings, "revenue_share_no_promo", "driver_percentage")
-    found = F.when(promo, found_with).otherwise(found_without)
-    return (
-        pick("company_base_percentage", "company_percentage", 0),
-        pick("driver_percentage", "driver_percentage", 1),
-        F.when(found, "settings").otherwise("default"),
+    def pick(field: str, at: int) -> Column:
+        with_default, without_default = default(at)
+        return F.when(
+            promo, F.when(F.col("_s.with_found"), F.col(f"_s.with_{field}")).otherwise(with_default)
+        ).otherwise(F.when(F.col("_s.without_found"), F.col(f"_s.without_{field}")).otherwise(without_default))
+
+    found = F.when(promo, F.col("_s.with_found")).otherwise(F.col("_s.without_found"))
+    fallback = F.struct(
+        pick("company", 0).alias("company"),
+        pick("driver", 1).alias("driver"),
+        F.when(found, "settings").otherwise("default").alias("origin"),
     )
+    return rows.withColumn("_s", _settings_row(settings)).withColumn("_fallback", fallback).drop("_s")
 
 
 # --- rule lookup ------------------------------------------------------------------------
@@ -146,14 +160,18 @@ def _with_shares(
     The split passes no region, so only rules for every region apply.
     """
     rows = _attach_rule(_with_keys(bookings, F.lit(None).cast("string")), rules, limit)
-    company, driver, origin = settings_shares(settings, F.col("_promo"))
     found = _rule_found(record_null_semantics)
+
+    def pick(field: str, fallback: str) -> Column:
+        return F.when(found, F.col(f"rule.{field}")).otherwise(F.col(f"_fallback.{fallback}"))
+
     return (
-        rows.withColumn("company_percentage", F.when(found, F.col("rule.company_percentage")).otherwise(company))
-        .withColumn("driver_percentage", F.when(found, F.col("rule.driver_percentage")).otherwise(driver))
-        .withColumn("share_origin", F.when(found, "rule").otherwise(origin))
+        _with_settings_shares(rows, settings, F.col("_promo"))
+        .withColumn("company_percentage", pick("company_percentage", "company"))
+        .withColumn("driver_percentage", pick("driver_percentage", "driver"))
+        .withColumn("share_origin", F.when(found, "rule").otherwise(F.col("_fallback.origin")))
         .withColumn("rule_id", F.when(found, F.col("rule.id")))
-        .drop("rule", *_KEYS)
+        .drop("rule", "_fallback", *_KEYS)
     )
 
 
@@ -295,11 +313,11 @@ def financial_split_settings(
     rows = _with_influencer_commission(
         bookings.select("id", "promo_code", "influencer_id", "total_amount"), influencers, False, limit
     )
-    company, driver, origin = settings_shares(settings, has_promo())
     rows = (
-        rows.withColumn("company_percentage", company)
-        .withColumn("driver_percentage", driver)
-        .withColumn("share_origin", origin)
+        _with_settings_shares(rows, settings, has_promo())
+        .withColumn("company_percentage", F.col("_fallback.company"))
+        .withColumn("driver_percentage", F.col("_fallback.driver"))
+        .withColumn("share_origin", F.col("_fallback.origin"))
     )
     return _split_columns(rows).select(
         "id", "share_origin", "platform_fee_gross", "influencer_commission", "platform_fee", "driver_earning"

@@ -116,17 +116,15 @@ def settings_set(settings: DataFrame, column: str, values: Mapping[str, str]) ->
     return settings.withColumn(column, json_set(column, values))
 
 
-def settings_drift(settings: DataFrame, column: str, key: str, expected: DataFrame) -> DataFrame:
-    """Fields whose value differs from the expected one (columns ``field``, ``expected``).
-
-    Each JSON object becomes (field, value) rows that meet the expected fields by name; a
-    field that is not there counts as drift with a NULL value.
-    """
-    wanted = expected.agg(F.collect_list(F.struct("field", "expected")).alias("w")).scalar()
-    rows = settings.select(key, F.variant_get(F.try_parse_json(column), "$", "map<string,variant>").alias("m"), F.explode(wanted).alias("e"))
-    value = F.try_element_at("m", F.col("e.field")).cast("string")
-    return rows.select(key, F.col("e.field").alias("field"), F.col("e.expected").alias("expected"), value.alias("actual")).filter(
-        ~F.col("actual").eqNullSafe(F.col("expected"))
+def settings_drift(settings: DataFrame, column: str, key: str, expected: Mapping[str, str]) -> DataFrame:
+    """Fields of a JSON column whose value differs from the expected text; an absent field differs."""
+    wanted = F.array(*(F.struct(F.lit(f).alias("field"), F.lit(v).alias("expected")) for f, v in expected.items()))
+    fields = F.try_variant_get(F.try_parse_json(column), "$", "map<string,variant>")
+    rows = settings.select(key, fields.alias("_fields"), F.inline(wanted))
+    return (
+        rows.withColumn("actual", F.try_element_at("_fields", F.col("field")).cast("string"))
+        .filter(~F.col("actual").eqNullSafe(F.col("expected")))
+        .drop("_fields")
     )
 
 

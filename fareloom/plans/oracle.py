@@ -343,7 +343,9 @@ QUALIFY row_number() OVER (PARTITION BY aggregate_id ORDER BY created_at DESC, i
 _EDGES = "SELECT id AS booking_id, version, previous_status, is_insert, changed_at FROM m_edges_all WHERE is_edge"
 S["completion_edges"] = _EDGES
 S["recent_events"] = """
-SELECT id, aggregate_id, event_type, created_at, processed_at FROM m_outbox ORDER BY processed_at DESC NULLS LAST, id DESC LIMIT 10
+SELECT id, aggregate_id, event_type, created_at, processed_at,
+       CAST(CAST(epoch_us(processed_at) - epoch_us(created_at) AS DECIMAL(18,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(20,6)) AS delay_seconds
+FROM m_outbox ORDER BY processed_at DESC NULLS LAST, id DESC LIMIT 10
 """
 
 # --- ledger -----------------------------------------------------------------------------
@@ -382,7 +384,14 @@ SELECT coalesce(u.booking_id, l.booking_id) AS booking_id, coalesce(u.influencer
        CASE WHEN l.booking_id IS NULL THEN commission_amount ELSE amount END AS commission_amount,
        CASE WHEN l.booking_id IS NULL THEN commission_status ELSE 'pending' END AS commission_status,
        type AS commission_type, rate AS commission_rate, base_amount AS order_amount, customer_id AS referee_id
-FROM m_usage u FULL JOIN m_ledger l ON u.booking_id = l.booking_id LEFT JOIN m_referrals r ON l.customer_id = r.referee_id
+FROM m_usage u FULL JOIN m_accruals l ON u.booking_id = l.booking_id LEFT JOIN m_referrals r ON l.customer_id = r.referee_id
+"""
+S["affiliate_usage_settle"] = """
+SELECT u.booking_id, influencer_id, promo_code, original_price, discount_amount_applied, final_price,
+       CASE WHEN l.booking_id IS NULL THEN commission_amount ELSE amount END AS commission_amount,
+       CASE WHEN l.booking_id IS NULL THEN commission_status ELSE 'completed' END AS commission_status,
+       type AS commission_type, rate AS commission_rate, base_amount AS order_amount, customer_id AS referee_id
+FROM m_usage u LEFT JOIN m_accruals l ON u.booking_id = l.booking_id
 """
 S["commission_by_code_owner"] = "SELECT * EXCLUDE (customer_id) FROM m_owner_ledger"
 S["driver_referral_commission"] = "SELECT * FROM m_referral_commission"
@@ -397,10 +406,11 @@ SELECT id AS booking_id, version, status, CASE WHEN is_edge THEN changed_at ELSE
 """
 S["commission_decision_log"] = """
 SELECT booking_id, version, previous_status, status, reason_code, CASE WHEN reason_code IN ('accrued', 'duplicate') THEN amount END AS amount
-FROM (SELECT *, CASE WHEN is_insert THEN 'created' WHEN NOT is_edge THEN 'not_completed' WHEN owner IS NULL THEN 'no_referral'
+FROM (SELECT *, CASE WHEN NOT is_edge THEN 'not_completed' WHEN owner IS NULL THEN 'no_referral'
                      WHEN NOT active THEN 'influencer_inactive' WHEN type IS NULL THEN 'no_scheme' WHEN nth > 1 THEN 'duplicate'
+                     WHEN booking_id IN (SELECT booking_id FROM m_usage WHERE commission_status = 'completed') THEN 'duplicate'
                      ELSE 'accrued' END AS reason_code
-      FROM m_affiliate_outcomes)
+      FROM m_affiliate_outcomes WHERE NOT is_insert)
 """
 
 # --- payments ---------------------------------------------------------------------------
@@ -453,6 +463,14 @@ SELECT id, aggregate_type, aggregate_id, event_type, reason
 FROM (SELECT *, CASE WHEN aggregate_type = 'other' THEN 'unknown_type' WHEN processed_at IS NULL AND retry_count >= 3 THEN 'retries_exhausted' END AS reason
       FROM m_outbox) WHERE reason IS NOT NULL
 """
+S["delivery_state_next"] = """
+SELECT id AS event_id, CAST(retry_count + CASE WHEN tried AND hits = 0 THEN 1 ELSE 0 END AS INT) AS attempts,
+       coalesce(processed_at, CASE WHEN tried AND hits > 0 THEN TIMESTAMP '2024-01-29 00:00:00' END) AS delivered_at,
+       CASE WHEN tried AND hits = 0 THEN 'all targets failed' END AS last_error
+FROM (SELECT o.*, processed_at IS NULL AND retry_count < 3 AS tried,
+             CASE WHEN event_id % 5 <> 0 THEN 1 ELSE 0 END + CASE WHEN value > 10 THEN 1 ELSE 0 END AS hits
+      FROM m_outbox o JOIN events e ON o.id = CAST(e.event_id AS VARCHAR))
+"""
 S["sync_latency"] = """
 SELECT aggregate_type, count(*) AS events, min(s) AS min_seconds, max(s) AS max_seconds, round(CAST(sum(s) AS DOUBLE) / count(*), 4) AS avg_seconds,
        round(quantile_cont(s, 0.5), 4) AS p50_seconds, round(quantile_cont(s, 0.95), 4) AS p95_seconds
@@ -546,6 +564,7 @@ WHERE residual <> 0
 S["missing_commissions"] = """
 SELECT booking_id, customer_id, owner AS beneficiary_id, changed_at AS completed_at FROM m_affiliate_outcomes
 WHERE is_edge AND NOT is_insert AND nth = 1 AND owner IS NOT NULL AND type IS NULL
+  AND booking_id NOT IN (SELECT booking_id FROM m_usage WHERE commission_status = 'completed')
 """
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.functions.columns import app_status
+from fareloom.functions.columns import app_status, seconds_between
 from fareloom.operators import cdc, commission, payments, quality, reports, split, tables
 from fareloom.schemas import WIDE_PHOTO_COLUMNS
 from fareloom.session import work_path
@@ -411,8 +411,12 @@ def driver_referral_counts(m: Marketplace) -> DataFrame:
     return commission.driver_referral_counts(m.driver_affiliates, made.unionByName(gone))
 
 
+def _accrued(m: Marketplace) -> DataFrame:
+    return m.usage.filter(F.col("commission_status") == "completed").select("booking_id")
+
+
 def _affiliate_ledger(m: Marketplace, attribution: str = "first_referrer") -> DataFrame:
-    return commission.affiliate_commission(m.changes, m.referrals, m.influencers, attribution=attribution)
+    return commission.affiliate_commission(m.changes, m.referrals, m.influencers, _accrued(m), attribution)
 
 
 @query
@@ -470,7 +474,8 @@ def completion_edges(m: Marketplace) -> DataFrame:
 @query
 def recent_events(m: Marketplace) -> DataFrame:
     rows = m.outbox.select("id", "aggregate_id", "event_type", "created_at", "processed_at")
-    return reports.recent(rows, "processed_at", "id", 10)
+    newest = reports.recent(rows, "processed_at", "id", 10)
+    return newest.withColumn("delay_seconds", seconds_between("created_at", "processed_at"))
 
 
 # --- ledger -----------------------------------------------------------------------------
@@ -509,8 +514,14 @@ def affiliate_commission(m: Marketplace) -> DataFrame:
 
 @query
 def affiliate_usage_upsert(m: Marketplace) -> DataFrame:
-    usage = m.usage.drop("used_at")
-    return commission.affiliate_usage_upsert(usage, _affiliate_ledger(m), m.changes, m.referrals)
+    accruals = commission.affiliate_accruals(m.changes, m.referrals, m.influencers)
+    return commission.affiliate_usage_upsert(m.usage.drop("used_at"), accruals)
+
+
+@query
+def affiliate_usage_settle(m: Marketplace) -> DataFrame:
+    accruals = commission.affiliate_accruals(m.changes, m.referrals, m.influencers)
+    return commission.affiliate_usage_upsert(m.usage.drop("used_at"), accruals, "completed", insert=False)
 
 
 @query
@@ -535,7 +546,7 @@ def completed_at_resolution(m: Marketplace) -> DataFrame:
 
 @query
 def commission_decision_log(m: Marketplace) -> DataFrame:
-    return commission.commission_decision_log(m.changes, m.referrals, m.influencers)
+    return commission.commission_decision_log(m.changes, m.referrals, m.influencers, _accrued(m))
 
 
 # --- payments ---------------------------------------------------------------------------
@@ -579,6 +590,15 @@ def dead_letters(m: Marketplace) -> DataFrame:
     return cdc.dead_letters(m.outbox.drop("processed_at", "retry_count"), _state(m))
 
 
+@query
+def delivery_state_next(m: Marketplace) -> DataFrame:
+    """Delivery state after a round over all undelivered events."""
+    state = _state(m).withColumn("last_error", F.lit(None).cast("string"))
+    due = cdc.pending_events(m.outbox, _state(m)).select(F.col("id").alias("event_id"))
+    outcomes = cdc.delivery_outcome(m.delivery_attempts).join(due, "event_id", "left_semi")
+    return cdc.next_delivery_state(state, outcomes, AS_OF)
+
+
 @query
 def sync_latency(m: Marketplace) -> DataFrame:
     return cdc.sync_latency(m.outbox)
@@ -700,8 +720,7 @@ def stuck_matched_orders(m: Marketplace) -> DataFrame:
 
 @query
 def settings_drift(m: Marketplace) -> DataFrame:
-    expected = m.spark.sql("SELECT * FROM VALUES ('k', '42'), ('currency', 'TWD') AS t(field, expected)")
-    return tables.settings_drift(m.outbox, "payload", "id", expected)
+    return tables.settings_drift(m.outbox, "payload", "id", {"k": "42", "currency": "TWD"})
 
 
 @query
@@ -717,4 +736,5 @@ def split_residual(m: Marketplace) -> DataFrame:
 
 @query
 def missing_commissions(m: Marketplace) -> DataFrame:
-    return commission.missing_commissions(m.changes, m.referrals, _affiliate_ledger(m))
+    paid = _affiliate_ledger(m).select("booking_id").unionByName(_accrued(m))
+    return commission.missing_commissions(m.changes, m.referrals, paid)

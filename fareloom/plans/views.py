@@ -401,10 +401,12 @@ VIEWS["m_owner_outcomes"] = _affiliate("e.influencer_id", "")
 _LEDGER = """
 SELECT booking_id, 'affiliate' AS scheme, owner AS beneficiary_id, total_amount AS base_amount, rate, type, amount,
        'accrued' AS reason_code, changed_at AS accrued_at, customer_id
-FROM {source} WHERE is_edge AND NOT is_insert AND nth = 1 AND type IS NOT NULL
+FROM {source} WHERE is_edge AND NOT is_insert AND nth = 1 AND type IS NOT NULL {also}
 """
-VIEWS["m_ledger"] = _LEDGER.format(source="m_affiliate_outcomes")
-VIEWS["m_owner_ledger"] = _LEDGER.format(source="m_owner_outcomes")
+_NOT_YET = "AND booking_id NOT IN (SELECT booking_id FROM m_usage WHERE commission_status = 'completed')"
+VIEWS["m_ledger"] = _LEDGER.format(source="m_affiliate_outcomes", also=_NOT_YET)
+VIEWS["m_owner_ledger"] = _LEDGER.format(source="m_owner_outcomes", also=_NOT_YET)
+VIEWS["m_accruals"] = _LEDGER.format(source="m_affiliate_outcomes", also="")
 
 VIEWS["m_people"] = """
 SELECT u.id, external_uid, phone,

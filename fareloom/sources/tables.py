@@ -29,14 +29,13 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def write_bookings(bookings: DataFrame, path: str) -> None:
     """Lay bookings out for the reports: a folder per completion day, rows sorted by driver.
 
-    The salt spreads a heavy day over several files; the sort gives each file narrow
-    driver ranges, so a one-driver report skips most row groups.
+    Ranges over (day, driver, id) come out even, so a heavy day or driver is spread over
+    several files and a light day stays in one. Each file covers a narrow range of drivers,
+    so a report on one driver skips most row groups.
     """
-    day = F.to_date("completed_at")
-    salt = F.pmod(F.xxhash64("id"), F.lit(64))
     (
-        bookings.withColumn("completed_date", day)
-        .repartition("completed_date", salt)
+        bookings.withColumn("completed_date", F.to_date("completed_at"))
+        .repartitionByRange("completed_date", "driver_id", "id")
         .sortWithinPartitions("completed_date", "driver_id")
         .write.mode("overwrite")
         .partitionBy("completed_date")
