@@ -431,26 +431,36 @@ def project_messages(events: DataFrame) -> DataFrame:
     """
     latest = newest(events, ["booking_id", "message_id"], ["created_at", "seq"])
     return latest.filter(F.col("event_type") != "deleted").select(
-        "booking_id", "message_id", "sender_id", "receiver_id", "message_text", "translated_text",
+        "booking_id", "message_id", "sender_id", "receiver_id",
+        F.coalesce("sender_name", F.lit("")).alias("sender_name"),
+        F.coalesce("receiver_name", F.lit("")).alias("receiver_name"),
+        "message_text",
+        text_or("translated_text").alias("translated_text"),
         F.col("message_at").alias("created_at"),
+        "read_at",
     )
 
 
-def chat_rooms(events: DataFrame) -> DataFrame:
-    """Room state per booking: last message written, its time, and the two sides.
+def chat_rooms(events: DataFrame, documents: DataFrame) -> DataFrame:
+    """Room state per booking: the last message written and the two sides of the booking.
 
-    Deleting a message does not touch the room, so withdrawn messages still count.
+    Deleting a message does not touch the room, so withdrawn messages still count. Messages
+    are reduced to one row per booking before the documents (one per booking) are joined.
     """
-    written = events.filter(F.col("event_type") != "deleted")
     order = F.struct("created_at", "message_at", "message_id")
-    return written.groupBy("booking_id").agg(
-        F.max_by(F.struct("message_text", "message_at", "sender_id", "receiver_id"), order).alias("m")
-    ).select(
-        "booking_id",
-        F.coalesce("m.message_text", F.lit("")).alias("last_message"),
-        F.col("m.message_at").alias("last_message_time"),
-        F.least("m.sender_id", "m.receiver_id").alias("participant_1"),
-        F.greatest("m.sender_id", "m.receiver_id").alias("participant_2"),
+    rooms = (
+        events.filter(F.col("event_type") != "deleted")
+        .groupBy(F.col("booking_id").alias("id"))
+        .agg(F.max_by(F.struct("message_text", "message_at"), order).alias("m"))
+    )
+    sides = ["customerId", "driverId", "customerName", "driverName", "pickupAddress"]
+    joined = rooms.join(documents.select("id", *sides, "bookingTime"), "id", "left")
+    return joined.select(
+        F.col("id").alias("booking_id"),
+        *(F.coalesce(c, F.lit("")).alias(c) for c in sides),
+        "bookingTime",
+        F.coalesce("m.message_text", F.lit("")).alias("lastMessage"),
+        F.col("m.message_at").alias("lastMessageTime"),
     )
 
 

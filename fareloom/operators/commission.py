@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions.columns import percent_of, service_of, zero_if_null
-from fareloom.operators.joins import lookup, oldest, previous_value
+from fareloom.operators.joins import lookup, newest, oldest, previous_value
 from fareloom.schemas import MONEY, RATE, TOTAL
 
 # versions per window slice of one booking; bounds the rows a task sorts for one booking
@@ -33,6 +33,11 @@ def with_edges(changes: DataFrame, slice_size: int = VERSIONS_PER_SLICE) -> Data
     )
 
 
+def newest_changes(changes: DataFrame) -> DataFrame:
+    """The last version of each booking."""
+    return newest(changes, "id", ["version"])
+
+
 def completion_edges(changes: DataFrame, slice_size: int = VERSIONS_PER_SLICE) -> DataFrame:
     """Changes at which a booking becomes completed, also at creation and on completion after reopening."""
     return (

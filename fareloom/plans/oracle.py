@@ -42,15 +42,18 @@ SELECT count(*) AS total, count(p.booking_id) AS already_exists, count(*) - coun
 FROM m_bookings b LEFT JOIN m_payments p ON p.booking_id = b.id AND p.status = 'completed'
 """
 S["chat_messages_latest"] = """
-SELECT booking_id, message_id, sender_id, receiver_id, message_text, translated_text, message_at AS created_at
+SELECT booking_id, message_id, sender_id, receiver_id, coalesce(sender_name, '') AS sender_name, '' AS receiver_name,
+       message_text, translated_text, message_at AS created_at, read_at
 FROM (SELECT * FROM m_chat_events QUALIFY row_number() OVER (PARTITION BY booking_id, message_id ORDER BY created_at DESC, seq DESC) = 1)
 WHERE event_type <> 'deleted'
 """
 S["chat_room_rollup"] = """
-SELECT booking_id, message_text AS last_message, message_at AS last_message_time,
-       least(sender_id, receiver_id) AS participant_1, greatest(sender_id, receiver_id) AS participant_2
-FROM m_chat_events WHERE event_type <> 'deleted'
-QUALIFY row_number() OVER (PARTITION BY booking_id ORDER BY created_at DESC, message_at DESC, message_id DESC) = 1
+SELECT booking_id, coalesce(customerId, '') AS customerId, coalesce(driverId, '') AS driverId, coalesce(customerName, '') AS customerName,
+       coalesce(driverName, '') AS driverName, coalesce(pickupAddress, '') AS pickupAddress, bookingTime,
+       message_text AS lastMessage, message_at AS lastMessageTime
+FROM (SELECT * FROM m_chat_events WHERE event_type <> 'deleted'
+      QUALIFY row_number() OVER (PARTITION BY booking_id ORDER BY created_at DESC, message_at DESC, message_id DESC) = 1) c
+LEFT JOIN m_documents_now d ON c.booking_id = d.id
 """
 S["outbox_retention"] = """
 SELECT id, aggregate_id, created_at, processed_at FROM m_outbox
@@ -481,6 +484,9 @@ S["stream_projection"] = """
 SELECT id, customerId, driverId, status, estimatedFare, platformFee, passengerCount, bookingTime FROM m_documents_now
 """
 S["stream_completion_edges"] = _EDGES.replace("version,", "CAST(version AS BIGINT) AS version,")
+S["stream_payment_ingest"] = """
+SELECT CASE WHEN errors = '' THEN 'good' ELSE 'quarantine' END AS folder, status, count(*) AS n_webhooks FROM m_webhooks_checked GROUP BY 1, 2
+"""
 S["stream_dedup"] = "SELECT id, aggregate_id, event_type, created_at FROM m_outbox"
 S["stream_expiry"] = """
 SELECT transaction_id, booking_id, status AS old_status, 'expired' AS status FROM m_payments

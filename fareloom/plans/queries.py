@@ -147,7 +147,8 @@ def chat_messages_latest(m: Marketplace) -> DataFrame:
 
 @query
 def chat_room_rollup(m: Marketplace) -> DataFrame:
-    return cdc.chat_rooms(m.chat_events)
+    documents = cdc.booking_document(cdc.booking_events(commission.newest_changes(m.changes), *_dimensions(m)))
+    return cdc.chat_rooms(m.chat_events, documents)
 
 
 @query
@@ -609,18 +610,30 @@ def stream_projection(m: Marketplace) -> DataFrame:
     live = StreamingMarketplace(m.spark, m.directory, "orders")
     path = work_path(m.spark, "projection")
     jobs.write_projection(live.changes, _dimensions(m), f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    rows = sinks.current(m.spark, f"{path}/out/{sinks.COLLECTIONS[1]}", "id", ["event_at", "event_id"])
+    rows = sinks.current(m.spark, f"{path}/out/{sinks.COLLECTIONS[1]}", "id", ["event_at", "version"])
     return rows.select("id", "customerId", "driverId", "status", "estimatedFare", "platformFee", "passengerCount", "bookingTime")
 
 
 @query
 def stream_completion_edges(m: Marketplace) -> DataFrame:
     live = StreamingMarketplace(m.spark, m.directory, "orders")
-    jobs.use_rocksdb(m.spark)
     path = work_path(m.spark, "edges")
     edges = jobs.completion_edges_stream(live.changes)
     jobs.append_to(edges, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return m.spark.read.parquet(f"{path}/out")
+    return m.spark.read.parquet(f"{path}/out").withColumn("changed_at", F.col("changed_at").cast("timestamp_ntz"))
+
+
+@query
+def stream_payment_ingest(m: Marketplace) -> DataFrame:
+    """Webhooks split on arrival, counted by folder and status."""
+    live = StreamingMarketplace(m.spark, m.directory, "events")
+    path = work_path(m.spark, "ingest")
+    jobs.write_validated(live.webhooks, payments.validate_webhooks, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    folders = [
+        sinks.read_batches(m.spark, f"{path}/out/{name}").select(F.lit(name).alias("folder"), "status")
+        for name in ("good", "quarantine")
+    ]
+    return folders[0].unionByName(folders[1]).groupBy("folder", "status").agg(F.count(F.lit(1)).alias("n_webhooks"))
 
 
 @query

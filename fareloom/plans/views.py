@@ -187,12 +187,14 @@ FROM m_bookings WHERE promo_code IS NOT NULL
 """
 
 VIEWS["m_chat"] = """
-SELECT booking_id, message_id, sender_id, receiver_id, message_text, message_at, 'created' AS event_type, 1 AS seq,
+SELECT booking_id, message_id, sender_id, receiver_id, sender_name, message_text, message_at, read_at, 'created' AS event_type, 1 AS seq,
        message_at AS created_at, CAST(NULL AS VARCHAR) AS translated_text, role
 FROM (SELECT 'B' || conv_id AS booking_id, conv_id || '-' || turn AS message_id,
              CASE WHEN role = 'user' THEN 'C' || conv_id ELSE 'D' || conv_id END AS sender_id,
              CASE WHEN role = 'user' THEN 'D' || conv_id ELSE 'C' || conv_id END AS receiver_id, text AS message_text, role,
-             TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 DAY * (conv_id % 30) + INTERVAL 1 MINUTE * turn AS message_at
+             CASE WHEN role <> 'system' THEN 'the ' || role END AS sender_name,
+             TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 DAY * (conv_id % 30) + INTERVAL 1 MINUTE * turn AS message_at,
+             CASE WHEN turn < 2 THEN TIMESTAMP '2024-01-01 01:00:00' + INTERVAL 1 DAY * (conv_id % 30) + INTERVAL 1 MINUTE * turn END AS read_at
       FROM conversations)
 """
 

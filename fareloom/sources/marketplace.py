@@ -386,9 +386,12 @@ class Marketplace:
             F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("message_id"),
             F.when(F.col("role") == "user", _id("C", "conv_id")).otherwise(_id("D", "conv_id")).alias("sender_id"),
             F.when(F.col("role") == "user", _id("D", "conv_id")).otherwise(_id("C", "conv_id")).alias("receiver_id"),
+            F.when(F.col("role") != "system", F.concat(F.lit("the "), "role")).alias("sender_name"),
+            F.lit(None).cast("string").alias("receiver_name"),
             F.col("text").alias("message_text"),
             F.col("role"),
             at.alias("message_at"),
+            F.when(F.col("turn") < 2, at + F.expr("INTERVAL 1 HOUR")).alias("read_at"),
         )
 
         def event(kind: str, order: int, delay: str, translated: Column) -> Column:

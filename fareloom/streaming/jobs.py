@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fareloom.operators.cdc import booking_document, booking_events, latest_event
+from fareloom.operators.cdc import booking_document, booking_events
+from fareloom.operators.joins import newest
+from fareloom.operators.payments import split_valid
 from fareloom.schemas import CONFIRMABLE_STATUSES, PAYMENT_MINUTES, TOTAL
 from fareloom.sources.sinks import write_batch, write_dual
 from fareloom.streaming.edges import EdgeProcessor
@@ -30,11 +32,48 @@ def _event_time(column: str) -> Column:
 EDGE_SCHEMA = "booking_id string, version bigint, previous_status string, is_insert boolean, changed_at timestamp_ntz"
 
 
-def completion_edges_stream(changes: DataFrame) -> DataFrame:
-    """``completion_edges`` on a stream of (id, version, status, changed_at).
+def completion_edges_stream(changes: DataFrame, horizon: str | None = None) -> DataFrame:
+    """``completion_edges`` on a stream of (id, version, status, changed_at) without gaps in the versions.
 
-    The rows of one booking in one micro-batch meet in one task; ``maxFilesPerTrigger`` on
-    the source bounds them.
+    A completed version meets the version before it in a stream-stream join. The join key is
+    (booking, version), so a booking with very many changes is spread over all tasks, and the
+    order of arrival does not matter. With ``horizon``, successive versions are taken to be at
+    most that far apart and older ones leave the state.
+    """
+    rows = changes.select(
+        F.col("id").alias("booking_id"),
+        F.col("version").cast("bigint").alias("version"),
+        "status",
+        _event_time("changed_at").alias("changed_at"),
+    )
+    if horizon:
+        rows = rows.withWatermark("changed_at", horizon)
+    completed = rows.filter(F.col("status") == "completed").drop("status")
+    no_status = F.lit(None).cast("string")
+    created = completed.filter(F.col("version") == 1).select(
+        "booking_id", "version", no_status.alias("previous_status"), F.lit(True).alias("is_insert"), "changed_at"
+    )
+    before = rows.filter(F.col("status") != "completed").select(
+        F.col("booking_id").alias("_id"),
+        (F.col("version") + 1).alias("_version"),
+        F.col("status").alias("previous_status"),
+        F.col("changed_at").alias("_at"),
+    )
+    follows = (F.col("booking_id") == F.col("_id")) & (F.col("version") == F.col("_version"))
+    if horizon:
+        follows = follows & (F.col("changed_at") >= F.col("_at")) & (F.col("changed_at") <= F.col("_at") + F.expr(f"INTERVAL {horizon}"))
+    updated = completed.filter(F.col("version") > 1).join(before, follows).select(
+        "booking_id", "version", "previous_status", F.lit(False).alias("is_insert"), "changed_at"
+    )
+    return created.unionByName(updated)
+
+
+def completion_edges_stateful(changes: DataFrame) -> DataFrame:
+    """The same for a change log with gaps in its versions: keyed state instead of a join.
+
+    State holds the last version and status per booking; older versions are ignored. The rows
+    of one booking in one micro-batch meet in one task, so ``maxFilesPerTrigger`` on the source
+    must bound the batch. Needs ``use_rocksdb``.
     """
     return (
         changes.select("id", F.col("version").cast("bigint").alias("version"), "status", "changed_at")
@@ -102,18 +141,46 @@ def write_running_totals(totals: DataFrame, path: str, checkpoint: str) -> Strea
     return _start(totals, sink, checkpoint, "update")
 
 
+def ledger_totals_stream(ledger: DataFrame, delay: str = "7 days") -> DataFrame:
+    """Running commission totals per scheme, beneficiary and day of accrual."""
+    day = F.window("accrued_at", "1 day")
+    return (
+        ledger.withColumn("accrued_at", _event_time("accrued_at"))
+        .withWatermark("accrued_at", delay)
+        .groupBy(day.alias("day"), "scheme", "beneficiary_id")
+        .agg(F.sum("amount").cast(TOTAL).alias("amount"), F.count(F.lit(1)).alias("n_commissions"))
+        .select(F.to_date("day.start").alias("date"), "scheme", "beneficiary_id", "amount", "n_commissions")
+    )
+
+
+# --- ingest -----------------------------------------------------------------------------
+
+
+def write_validated(
+    rows: DataFrame, validate: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+) -> StreamingQuery:
+    """Split incoming requests or webhooks into ``good`` and ``quarantine`` folders, per batch."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        good, bad = split_valid(validate(batch))
+        write_batch(good, f"{path}/good", batch_id)
+        write_batch(bad, f"{path}/quarantine", batch_id)
+
+    return _start(rows, sink, checkpoint, "append")
+
+
 # --- projection -------------------------------------------------------------------------
 
 
-def projection_batch(events: DataFrame) -> DataFrame:
-    """The batch's newest document per booking, with deletions marked rather than dropped."""
-    newest_events = latest_event(events)
-    marks = newest_events.select(
-        F.col("aggregate_id").alias("id"),
-        F.col("id").alias("event_id"),
-        (F.col("event_type") == "deleted").alias("is_deleted"),
-    )
-    return booking_document(newest_events).join(marks, "id")
+def projection_batch(changes: DataFrame, dimensions: tuple[DataFrame, DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    """The batch's newest document per booking, with deletions marked rather than dropped.
+
+    Changes are reduced to the newest version per booking before they are enriched.
+    """
+    latest = newest(changes, "id", ["version"])
+    is_deleted = F.col("op") == "delete" if "op" in changes.columns else F.lit(False)
+    marks = latest.select("id", "version", is_deleted.alias("is_deleted"))
+    return booking_document(booking_events(latest, *dimensions)).join(marks, "id")
 
 
 def write_projection(
@@ -122,14 +189,14 @@ def write_projection(
     path: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Turn booking changes into events and keep both document collections current.
+    """Turn booking changes into documents and keep both collections current.
 
-    Within a batch the newest event per booking wins by (time, id), not by arrival;
+    Within a batch the newest version per booking wins, whatever the order of arrival;
     ``sinks.current`` applies the same order across batches.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_dual(projection_batch(booking_events(batch, *dimensions)), path, batch_id)
+        write_dual(projection_batch(batch, dimensions), path, batch_id)
 
     return _start(changes, sink, checkpoint, "append")
 
