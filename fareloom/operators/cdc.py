@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,28 +90,25 @@ def driver_cards(users: DataFrame, profiles: DataFrame, drivers: DataFrame, vehi
     return people(users, profiles).join(known, "id", "left")
 
 
-def booking_events(
-    changes: DataFrame,
-    users: DataFrame,
-    profiles: DataFrame,
-    drivers: DataFrame,
-    vehicles: DataFrame,
-    limit: int | None = None,
-) -> DataFrame:
-    """Event rows with a JSON payload from booking changes.
+class Dimensions(NamedTuple):
+    """The tables a booking event is enriched from."""
 
-    ``changes`` carries the booking's columns plus ``version``, ``changed_at`` and, if there
-    are deletes, ``op``. Two lookups enrich it: one for the rider, one for the driver.
-    """
-    riders = people(users, profiles).select(
+    users: DataFrame
+    profiles: DataFrame
+    drivers: DataFrame
+    vehicles: DataFrame
+
+
+def with_payload(changes: DataFrame, dimensions: Dimensions, limit: int | None = None) -> DataFrame:
+    """Booking changes with the payload as a struct ``p``: one lookup for the rider, one for the driver."""
+    riders = people(dimensions.users, dimensions.profiles).select(
         F.col("id").alias("customer_id"), F.struct("external_uid", "name", "phone").alias("_rider")
     )
-    cards = driver_cards(users, profiles, drivers, vehicles).select(
+    cards = driver_cards(*dimensions).select(
         F.col("id").alias("driver_id"),
         F.struct("external_uid", "name", "phone", "plate_number", "model", "rating").alias("_driver"),
     )
     rows = lookup(lookup(changes, riders, "customer_id", limit=limit), cards, "driver_id", limit=limit)
-    rows = rows.withColumn("country", country_of()).withColumn("service_type", service_of())
     fields: list[Column] = [
         F.col("id"),
         F.col("booking_number").alias("bookingNumber"),
@@ -124,20 +122,32 @@ def booking_events(
         F.col("_driver.model").alias("driverVehicleModel"),
         F.col("_driver.rating").alias("driverRating"),
     ]
+    computed = {"country": country_of(), "service_type": service_of(), "start_date": F.col("start_date").cast("string")}
     for name, column in PAYLOAD_COLUMNS.items():
-        value = iso_text(column[1:]) if column.startswith("@") else F.col(column)
+        value = iso_text(column[1:]) if column.startswith("@") else computed.get(column, F.col(column))
         fields.append(value.alias(name))
     fields.append(geo_point("pickup_latitude", "pickup_longitude").alias("pickupLocation"))
     fields.append(geo_point("dropoff_latitude", "dropoff_longitude").alias("dropoffLocation"))
+    return rows.withColumn("p", F.struct(*fields)).drop("_rider", "_driver")
+
+
+def _event_type(changes: DataFrame) -> Column:
     kind = F.when(F.col("version") == 1, "created").otherwise("updated")
-    if "op" in changes.columns:
-        kind = F.when(F.col("op") == "delete", "deleted").otherwise(kind)
-    return rows.select(
+    return F.when(F.col("op") == "delete", "deleted").otherwise(kind) if "op" in changes.columns else kind
+
+
+def booking_events(changes: DataFrame, dimensions: Dimensions, limit: int | None = None) -> DataFrame:
+    """Event rows with a JSON payload from booking changes.
+
+    ``changes`` carries the booking's columns plus ``version``, ``changed_at`` and, if there
+    are deletes, ``op``.
+    """
+    return with_payload(changes, dimensions, limit).select(
         natural_id(F.lit("booking"), "id", F.col("version").cast("string")).alias("id"),
         F.lit("booking").alias("aggregate_type"),
         F.col("id").alias("aggregate_id"),
-        kind.alias("event_type"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("payload"),
+        _event_type(changes).alias("event_type"),
+        F.to_json("p", {"ignoreNullFields": "false"}).alias("payload"),
         F.col("changed_at").alias("created_at"),
     )
 
@@ -145,10 +155,7 @@ def booking_events(
 def backfill_events(
     bookings: DataFrame,
     predicate: Column,
-    users: DataFrame,
-    profiles: DataFrame,
-    drivers: DataFrame,
-    vehicles: DataFrame,
+    dimensions: Dimensions,
     emitted_at: dt.datetime | str,
     limit: int | None = None,
 ) -> DataFrame:
@@ -159,9 +166,7 @@ def backfill_events(
         .withColumn("changed_at", instant(bookings, "created_at", emitted_at))
         .withColumn("version", F.concat(F.lit("backfill "), iso_text("changed_at")))
     )
-    # version is text here, so no row can look like a creation
-    events = booking_events(rows.withColumn("op", F.lit("update")), users, profiles, drivers, vehicles, limit)
-    return events.withColumn("event_type", F.lit("updated"))
+    return booking_events(rows, dimensions, limit).withColumn("event_type", F.lit("updated"))
 
 
 def needs_promo_backfill() -> Column:
@@ -252,9 +257,8 @@ def _time(field: str) -> Column:
     return F.col(f"p.{field}").cast("timestamp_ntz")
 
 
-def booking_document(events: DataFrame) -> DataFrame:
-    """The document of each event: app status, defaults for absent, zero and empty values."""
-    p = events.withColumn("p", F.from_json("payload", PAYLOAD_SCHEMA))
+def _document(rows: DataFrame, booking_id: str, at: str, *keep: str | Column) -> DataFrame:
+    """The documents of payload structs ``p``: app status, defaults for absent, zero and empty values."""
     zero = F.lit(0).cast("decimal(10,2)")
 
     def text(field: str) -> Column:
@@ -265,8 +269,8 @@ def booking_document(events: DataFrame) -> DataFrame:
 
     has_time = text_or("p.startDate").isNotNull() & text_or("p.startTime").isNotNull()
     start = F.concat(F.col("p.startDate"), F.lit("T"), F.col("p.startTime")).cast("timestamp_ntz")
-    return p.select(
-        F.col("aggregate_id").alias("id"),
+    return rows.select(
+        F.col(booking_id).alias("id"),
         F.col("p.customerId").alias("customerId"),
         text("driverId"), text("customerName"), text("customerPhone"),
         text("driverName"), text("driverPhone"), text("driverVehiclePlate"), text("driverVehicleModel"),
@@ -294,10 +298,23 @@ def booking_document(events: DataFrame) -> DataFrame:
         _time("createdAt").alias("createdAt"),
         _time("actualStartTime").alias("matchedAt"),
         _time("actualEndTime").alias("completedAt"),
-        F.col("created_at").alias("event_at"),
+        F.col(at).alias("event_at"),
+        *keep,
     )
 
 
+def booking_document(events: DataFrame) -> DataFrame:
+    """The document of each event."""
+    return _document(events.withColumn("p", F.from_json("payload", PAYLOAD_SCHEMA)), "aggregate_id", "created_at")
+
+
+def documents_of_changes(changes: DataFrame, dimensions: Dimensions, limit: int | None = None) -> DataFrame:
+    """The document of each booking change, without the detour over a JSON payload."""
+    rows = with_payload(changes, dimensions, limit)
+    deleted = (_event_type(changes) == "deleted").alias("is_deleted")
+    return _document(rows, "id", "changed_at", "version", deleted)
+
+
 def project_bookings(events: DataFrame) -> DataFrame:
     """The current document of each booking; one whose newest event deletes it is gone.
 
@@ -505,16 +522,22 @@ def sync_latency(outbox: DataFrame) -> DataFrame:
     )
 
 
+_PICKED = """
+    status string, depositPaid string, promoCode string, totalAmount decimal(10,2),
+    pickupLocation struct<latitude:decimal(10,8)>
+"""
+
+
 def payload_fields(outbox: DataFrame) -> DataFrame:
-    """Fields out of the payload beside the event's own columns."""
-    return outbox.select(
+    """Fields out of the payload beside the event's own columns; the payload is parsed once."""
+    return outbox.withColumn("p", F.from_json("payload", _PICKED)).select(
         "id",
         "event_type",
-        F.get_json_object("payload", "$.status").alias("status"),
-        F.get_json_object("payload", "$.depositPaid").alias("deposit_paid"),
-        F.get_json_object("payload", "$.promoCode").alias("promo_code"),
-        F.get_json_object("payload", "$.totalAmount").cast("decimal(10,2)").alias("total_amount"),
-        F.get_json_object("payload", "$.pickupLocation.latitude").cast("decimal(10,8)").alias("pickup_latitude"),
+        F.col("p.status").alias("status"),
+        F.col("p.depositPaid").alias("deposit_paid"),
+        F.col("p.promoCode").alias("promo_code"),
+        F.col("p.totalAmount").alias("total_amount"),
+        F.col("p.pickupLocation.latitude").alias("pickup_latitude"),
         "created_at",
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fareloom.operators.cdc import booking_document, booking_events
+from fareloom.operators.cdc import Dimensions, documents_of_changes
 from fareloom.operators.joins import newest
 from fareloom.operators.payments import split_valid
 from fareloom.schemas import CONFIRMABLE_STATUSES, PAYMENT_MINUTES, TOTAL
@@ -172,20 +172,17 @@ def write_validated(
 # --- projection -------------------------------------------------------------------------
 
 
-def projection_batch(changes: DataFrame, dimensions: tuple[DataFrame, DataFrame, DataFrame, DataFrame]) -> DataFrame:
+def projection_batch(changes: DataFrame, dimensions: Dimensions) -> DataFrame:
     """The batch's newest document per booking, with deletions marked rather than dropped.
 
     Changes are reduced to the newest version per booking before they are enriched.
     """
-    latest = newest(changes, "id", ["version"])
-    is_deleted = F.col("op") == "delete" if "op" in changes.columns else F.lit(False)
-    marks = latest.select("id", "version", is_deleted.alias("is_deleted"))
-    return booking_document(booking_events(latest, *dimensions)).join(marks, "id")
+    return documents_of_changes(newest(changes, "id", ["version"]), dimensions)
 
 
 def write_projection(
     changes: DataFrame,
-    dimensions: tuple[DataFrame, DataFrame, DataFrame, DataFrame],
+    dimensions: Dimensions,
     path: str,
     checkpoint: str,
 ) -> StreamingQuery:
