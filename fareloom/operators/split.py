@@ -28,50 +28,43 @@ def financial_split_legacy(bookings: DataFrame) -> DataFrame:
 
 # --- settings ---------------------------------------------------------------------------
 
+# settings key, its company-share field, and the default shares, by whether a promo code is used
+SHARE_SETTINGS = {
+    True: ("revenue_share_with_promo", "company_base_percentage", SHARE_WITH_PROMO),
+    False: ("revenue_share_no_promo", "company_percentage", SHARE_NO_PROMO),
+}
 
-def _settings_row(settings: DataFrame) -> Column:
-    """The two settings rows as one struct: whether each exists, and its percentages."""
 
-    def of(key: str, company_field: str) -> list[Column]:
-        hit = (F.col("key") == key) & F.col("value").isNotNull()
-        name = "with" if key.endswith("with_promo") else "without"
-
-        def percentage(field: str) -> Column:
-            return F.min(F.when(hit, F.get_json_object("value", f"$.{field}"))).try_cast(PERCENT)
-
-        return [
-            (F.count_if(hit) > 0).alias(f"{name}_found"),
-            percentage(company_field).alias(f"{name}_company"),
-            percentage("driver_percentage").alias(f"{name}_driver"),
-        ]
-
-    columns = of("revenue_share_with_promo", "company_base_percentage") + of("revenue_share_no_promo", "company_percentage")
-    row = settings.agg(*columns)
-    return row.select(F.struct(*row.columns)).scalar()
-
-
-def _with_settings_shares(rows: DataFrame, settings: DataFrame, promo: Column) -> DataFrame:
-    """Add struct ``_fallback`` (company, driver, origin): the settings row, else the fixed defaults.
+def fallback_shares(settings: DataFrame) -> DataFrame:
+    """Two rows, with and without promo code: the settings row's shares, else the fixed defaults.
 
     The choice is per row: a settings row that lacks a field yields NULL, not the default.
     """
+    wanted = F.array(
+        *(
+            F.struct(
+                F.lit(promo).alias("_promo"), F.lit(key).alias("key"), F.lit(field).alias("field"),
+                F.lit(company).cast(PERCENT).alias("company"), F.lit(driver).cast(PERCENT).alias("driver"),
+            )
+            for promo, (key, field, (company, driver)) in SHARE_SETTINGS.items()
+        )
+    )
+    defaults = settings.sparkSession.range(1).select(F.inline(wanted))
+    stored = settings.filter(F.col("value").isNotNull()).groupBy("key").agg(F.min("value").alias("value"))
+    is_set = F.col("value").isNotNull()
+    own_company = F.try_variant_get(F.try_parse_json("value"), F.concat(F.lit("$."), "field"), "string")
+    own_driver = F.get_json_object("value", "$.driver_percentage")
+    return defaults.join(stored, "key", "left").select(
+        "_promo",
+        F.when(is_set, own_company.try_cast(PERCENT)).otherwise(F.col("company")).alias("_company"),
+        F.when(is_set, own_driver.try_cast(PERCENT)).otherwise(F.col("driver")).alias("_driver"),
+        F.when(is_set, "settings").otherwise("default").alias("_origin"),
+    )
 
-    def default(at: int) -> tuple[Column, Column]:
-        return F.lit(SHARE_WITH_PROMO[at]).cast(PERCENT), F.lit(SHARE_NO_PROMO[at]).cast(PERCENT)
-
-    def pick(field: str, at: int) -> Column:
-        with_default, without_default = default(at)
-        return F.when(
-            promo, F.when(F.col("_s.with_found"), F.col(f"_s.with_{field}")).otherwise(with_default)
-        ).otherwise(F.when(F.col("_s.without_found"), F.col(f"_s.without_{field}")).otherwise(without_default))
 
-    found = F.when(promo, F.col("_s.with_found")).otherwise(F.col("_s.without_found"))
-    fallback = F.struct(
-        pick("company", 0).alias("company"),
-        pick("driver", 1).alias("driver"),
-        F.when(found, "settings").otherwise("default").alias("origin"),
-    )
-    return rows.withColumn("_s", _settings_row(settings)).withColumn("_fallback", fallback).drop("_s")
+def _with_fallback(rows: DataFrame, settings: DataFrame) -> DataFrame:
+    """Attach the fallback shares by column ``_promo``; there are two, so they are broadcast."""
+    return rows.join(F.broadcast(fallback_shares(settings)), "_promo", "left")
 
 
 # --- rule lookup ------------------------------------------------------------------------
@@ -113,11 +106,8 @@ def _attach_rule(rows: DataFrame, rules: DataFrame, limit: int | None = None) ->
 
 
 def _with_keys(bookings: DataFrame, region: Column) -> DataFrame:
-    return (
-        bookings.withColumn("_country", country_of())
-        .withColumn("_region", region)
-        .withColumn("_service", service_of())
-        .withColumn("_promo", has_promo())
+    return bookings.withColumns(
+        {"_country": country_of(), "_region": region, "_service": service_of(), "_promo": has_promo()}
     )
 
 
@@ -161,17 +151,17 @@ def _with_shares(
     """
     rows = _attach_rule(_with_keys(bookings, F.lit(None).cast("string")), rules, limit)
     found = _rule_found(record_null_semantics)
-
-    def pick(field: str, fallback: str) -> Column:
-        return F.when(found, F.col(f"rule.{field}")).otherwise(F.col(f"_fallback.{fallback}"))
-
     return (
-        _with_settings_shares(rows, settings, F.col("_promo"))
-        .withColumn("company_percentage", pick("company_percentage", "company"))
-        .withColumn("driver_percentage", pick("driver_percentage", "driver"))
-        .withColumn("share_origin", F.when(found, "rule").otherwise(F.col("_fallback.origin")))
-        .withColumn("rule_id", F.when(found, F.col("rule.id")))
-        .drop("rule", "_fallback", *_KEYS)
+        _with_fallback(rows, settings)
+        .withColumns(
+            {
+                "company_percentage": F.when(found, F.col("rule.company_percentage")).otherwise(F.col("_company")),
+                "driver_percentage": F.when(found, F.col("rule.driver_percentage")).otherwise(F.col("_driver")),
+                "share_origin": F.when(found, "rule").otherwise(F.col("_origin")),
+                "rule_id": F.when(found, F.col("rule.id")),
+            }
+        )
+        .drop("rule", "_company", "_driver", "_origin", *_KEYS)
     )
 
 
@@ -313,11 +303,8 @@ def financial_split_settings(
     rows = _with_influencer_commission(
         bookings.select("id", "promo_code", "influencer_id", "total_amount"), influencers, False, limit
     )
-    rows = (
-        _with_settings_shares(rows, settings, has_promo())
-        .withColumn("company_percentage", F.col("_fallback.company"))
-        .withColumn("driver_percentage", F.col("_fallback.driver"))
-        .withColumn("share_origin", F.col("_fallback.origin"))
+    rows = _with_fallback(rows.withColumn("_promo", has_promo()), settings).withColumnsRenamed(
+        {"_company": "company_percentage", "_driver": "driver_percentage", "_origin": "share_origin"}
     )
     return _split_columns(rows).select(
         "id", "share_origin", "platform_fee_gross", "influencer_commission", "platform_fee", "driver_earning"
