@@ -108,7 +108,8 @@ def with_payload(changes: DataFrame, dimensions: Dimensions, limit: int | None =
         F.col("id").alias("driver_id"),
         F.struct("external_uid", "name", "phone", "plate_number", "model", "rating").alias("_driver"),
     )
-    rows = lookup(lookup(changes, riders, "customer_id", limit=limit), cards, "driver_id", limit=limit)
+    rows = lookup(changes, riders, "customer_id", limit=limit)
+    rows = lookup(rows, cards, "driver_id", limit=limit, keys_from=changes)
     fields: list[Column] = [
         F.col("id"),
         F.col("booking_number").alias("bookingNumber"),

@@ -70,8 +70,15 @@ def referral_binding(claims: DataFrame) -> DataFrame:
 AFFILIATE_INPUT = ("id", "version", "status", "changed_at", "customer_id", "influencer_id", "promo_code", "total_amount")
 
 
-def _affiliate_outcome(rows: DataFrame, referrals: DataFrame, influencers: DataFrame, attribution: str, limit: int | None) -> DataFrame:
-    """Attach the beneficiary and the commission to change rows that carry edge flags."""
+def _affiliate_outcome(
+    rows: DataFrame,
+    changes: DataFrame,
+    referrals: DataFrame,
+    influencers: DataFrame,
+    attribution: str,
+    limit: int | None,
+) -> DataFrame:
+    """Attach the beneficiary and the commission to rows of ``changes`` that carry edge flags."""
     if attribution == "first_referrer":
         # the rider's referrer for life
         bound = referrals.select(
@@ -79,10 +86,12 @@ def _affiliate_outcome(rows: DataFrame, referrals: DataFrame, influencers: DataF
             F.col("influencer_id").alias("_owner"),
             F.col("promo_code").alias("_code"),
         )
-        rows = lookup(rows, bound, "customer_id", limit=limit)
+        rows = lookup(rows, bound, "customer_id", limit=limit, keys_from=changes)
+        owners = lookup(changes.select("customer_id"), bound, "customer_id", limit=limit, keys_from=changes)
     elif attribution == "code_owner":
         # the owner of the code used on this very booking
         rows = rows.withColumn("_owner", F.col("influencer_id")).withColumn("_code", F.col("promo_code"))
+        owners = changes.select(F.col("influencer_id").alias("_owner"))
     else:
         raise ValueError(f"unknown attribution {attribution!r}")
     active = influencers.filter(F.col("is_active")).select(
@@ -91,7 +100,7 @@ def _affiliate_outcome(rows: DataFrame, referrals: DataFrame, influencers: DataF
             "commission_fixed", "commission_percent", "is_commission_fixed_active", "is_commission_percent_active"
         ).alias("_i"),
     )
-    rows = lookup(rows, active, "_owner", limit=limit)
+    rows = lookup(rows, active, "_owner", limit=limit, keys_from=owners)
     fixed = F.coalesce(F.col("_i.is_commission_fixed_active"), F.lit(False))
     percent = F.coalesce(F.col("_i.is_commission_percent_active"), F.lit(False)) & ~fixed
     rate = F.when(percent, F.col("_i.commission_percent").cast(RATE))
@@ -122,7 +131,7 @@ def affiliate_accruals(
     first = oldest(edges, "id", ["version"])
     if accrued is not None:
         first = first.join(accrued.select(F.col("booking_id").alias("id")).distinct(), "id", "left_anti")
-    outcome = _affiliate_outcome(first, referrals, influencers, attribution, limit)
+    outcome = _affiliate_outcome(first, changes, referrals, influencers, attribution, limit)
     return outcome.filter(F.col("type").isNotNull()).select(
         F.col("id").alias("booking_id"),
         F.lit("affiliate").alias("scheme"),
@@ -175,7 +184,8 @@ def commission_decision_log(
         first = first.join(done, "id", "left")
     else:
         first = first.withColumn("_done", F.lit(None).cast("boolean"))
-    outcome = _affiliate_outcome(lookup(rows, first, "id", limit=limit), referrals, influencers, "first_referrer", limit)
+    marked = lookup(rows, first, "id", limit=limit, keys_from=changes)
+    outcome = _affiliate_outcome(marked, changes, referrals, influencers, "first_referrer", limit)
     reason = (
         F.when(~F.col("is_edge"), "not_completed")
         .when(F.col("_owner").isNull(), "no_referral")
@@ -240,6 +250,7 @@ def driver_referral_commission(
     affiliates: DataFrame,
     record_null_semantics: str = "found",
     limit: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Commission of the driver who referred the booking's driver, taken from the platform fee.
 
@@ -269,7 +280,7 @@ def driver_referral_commission(
     )
     # the referral and its terms form one row per referee: joined before they meet the bookings
     referee_terms = bound.join(terms, "_referrer", "inner")
-    rows = lookup(completed, referee_terms, "driver_id", limit=limit)
+    rows = lookup(completed, referee_terms, "driver_id", limit=limit, keys_from=keys_from)
     base, service = zero_if_null("platform_fee"), service_of()
     fixed = F.coalesce(F.col("_a.commission_fixed_enabled") & (F.col("_a.commission_fixed") > 0), F.lit(False))
     percent = F.coalesce(F.col("_a.commission_percent_enabled"), F.lit(False)) & ~fixed
@@ -395,6 +406,6 @@ def missing_commissions(
     first = oldest(rows.filter(F.col("is_edge") & ~F.col("is_insert")), "id", ["version"])
     unpaid = first.join(ledger.select(F.col("booking_id").alias("id")).distinct(), "id", "left_anti")
     bound = referrals.select(F.col("referee_id").alias("customer_id"), F.col("influencer_id").alias("beneficiary_id"))
-    return lookup(unpaid, bound, "customer_id", "inner", limit).select(
+    return lookup(unpaid, bound, "customer_id", "inner", limit, changes).select(
         F.col("id").alias("booking_id"), "customer_id", "beneficiary_id", F.col("changed_at").alias("completed_at")
     )

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is heavy when it owns at least one row in HEAVY_SHARE, so there are never more
 # than HEAVY_SHARE heavy keys: that is the size bound of everything broadcast below.
@@ -65,36 +66,57 @@ def heavy_hashes(fact: DataFrame, keys: Sequence[str], share: int = HEAVY_SHARE)
     )
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row's own values: the same when a lost task runs again."""
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*plain)
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
     keys: str | Sequence[str],
     how: str = "left",
     limit: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the columns of ``dim`` (unique on ``keys``) to every row of ``fact``.
 
-    A ``dim`` within the broadcast limit is broadcast. A larger one is shuffled, but only
-    against the rows of ordinary keys: rows of heavy keys and rows without a key stay where
-    they are and meet just the few ``dim`` rows of the heavy keys, so no task gets a whole
-    heavy key.
+    A ``dim`` within the broadcast limit is broadcast. A larger one is shuffled by key, but
+    rows of heavy keys get their values from a broadcast of the few ``dim`` rows of those
+    keys. In the shuffle they, like rows without a key, carry no key and are spread by a hash
+    of the row, so no task gets a whole heavy key. ``fact`` is computed once; heavy keys are
+    looked for in ``keys_from`` where a cheaper DataFrame with the same keys is at hand.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how}")
     keys = [keys] if isinstance(keys, str) else list(keys)
+    values = [c for c in dim.columns if c not in keys]
     if fits_broadcast(dim, limit):
-        return fact.join(F.broadcast(dim), keys, how)
-    heavy = heavy_hashes(fact, keys)
-    heavy_dim = dim.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(heavy), "_hash", "left_semi").drop("_hash")
+        return fact.join(F.broadcast(dim), keys, how).select(*fact.columns, *values)
+    heavy = heavy_hashes(fact if keys_from is None else keys_from, keys)
+    packed = dim.select(*keys, F.struct(*values).alias("_far"))
+    near = (
+        packed.withColumn("_hash", F.xxhash64(*keys))
+        .join(F.broadcast(heavy), "_hash", "left_semi")
+        .select(*keys, F.col("_far").alias("_near"))
+    )
+    stays = F.col("_heavy").isNotNull() | ~_all_present(keys)
     marked = (
         fact.withColumn("_hash", F.xxhash64(*keys))
+        .withColumn("_spread", _row_hash(fact))
         .join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), "_hash", "left")
-        .drop("_hash")
+        .join(F.broadcast(near), keys, "left")
     )
-    stays = F.col("_heavy").isNotNull() | ~_all_present(keys)
-    in_place = marked.filter(stays).drop("_heavy").join(F.broadcast(heavy_dim), keys, how)
-    shuffled = marked.filter(~stays).drop("_heavy").join(dim, keys, how)
-    return in_place.unionByName(shuffled)
+    far_keys = {f"_key_{i}": F.when(~stays, F.col(k)) for i, k in enumerate(keys)}
+    moved = marked.withColumns({**far_keys, "_spread": F.when(stays, F.col("_spread")).otherwise(F.lit(0).cast("bigint"))})
+    far = packed.select(
+        *(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)), F.lit(0).cast("bigint").alias("_spread"), "_far"
+    )
+    joined = moved.join(far, [*far_keys, "_spread"], "left").withColumn("_found", F.coalesce("_near", "_far"))
+    if how == "inner":
+        joined = joined.filter(F.col("_found").isNotNull())
+    return joined.select(*fact.columns, *(F.col(f"_found.{c}").alias(c) for c in values))
 
 
 def previous_value(

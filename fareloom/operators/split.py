@@ -86,7 +86,9 @@ def best_rules(rules: DataFrame) -> DataFrame:
     )
 
 
-def _attach_rule(rows: DataFrame, rules: DataFrame, limit: int | None = None) -> DataFrame:
+def _attach_rule(
+    rows: DataFrame, rules: DataFrame, limit: int | None = None, keys_from: DataFrame | None = None
+) -> DataFrame:
     """Add struct ``rule`` for columns ``_country, _region, _service, _promo``; a region's own rule wins.
 
     Two equi lookups against the pre-ranked rules, one by region and one for rules of every region.
@@ -100,8 +102,9 @@ def _attach_rule(rows: DataFrame, rules: DataFrame, limit: int | None = None) ->
     )
     of_region = best.filter(F.col("_region").isNotNull()).withColumnRenamed("rule", "_exact")
     of_all = best.filter(F.col("_region").isNull()).drop("_region").withColumnRenamed("rule", "_wide")
-    matched = lookup(rows, of_region, ["_country", "_region", "_service", "_promo"], limit=limit)
-    matched = lookup(matched, of_all, ["_country", "_service", "_promo"], limit=limit)
+    keys_from = rows if keys_from is None else keys_from
+    matched = lookup(rows, of_region, ["_country", "_region", "_service", "_promo"], limit=limit, keys_from=keys_from)
+    matched = lookup(matched, of_all, ["_country", "_service", "_promo"], limit=limit, keys_from=keys_from)
     return matched.withColumn("rule", F.coalesce("_exact", "_wide")).drop("_exact", "_wide")
 
 
@@ -143,13 +146,20 @@ def _rule_found(record_null_semantics: str) -> Column:
 
 
 def _with_shares(
-    bookings: DataFrame, rules: DataFrame, settings: DataFrame, record_null_semantics: str, limit: int | None
+    bookings: DataFrame,
+    rules: DataFrame,
+    settings: DataFrame,
+    record_null_semantics: str,
+    limit: int | None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``company_percentage``, ``driver_percentage``, ``share_origin`` and ``rule_id``.
 
     The split passes no region, so only rules for every region apply.
     """
-    rows = _attach_rule(_with_keys(bookings, F.lit(None).cast("string")), rules, limit)
+    no_region = F.lit(None).cast("string")
+    base = _with_keys(bookings if keys_from is None else keys_from, no_region)
+    rows = _attach_rule(_with_keys(bookings, no_region), rules, limit, base)
     found = _rule_found(record_null_semantics)
     return (
         _with_fallback(rows, settings)
@@ -272,7 +282,7 @@ def split_bookings(
 ) -> DataFrame:
     """The bookings with every split column added (all input columns stay)."""
     rows = _with_influencer_commission(bookings, influencers, True, limit)
-    rows = _with_shares(rows.drop("platform_fee", "driver_earning"), rules, settings, record_null_semantics, limit)
+    rows = _with_shares(rows.drop("platform_fee", "driver_earning"), rules, settings, record_null_semantics, limit, bookings)
     return _split_columns(rows)
 
 

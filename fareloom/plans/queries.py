@@ -439,7 +439,7 @@ def _referral_commissions(m: Marketplace) -> DataFrame:
     columns = ["driver_id", "country", "service_type", "promo_code", "influencer_id", "total_amount"]
     completed = commission.first_completions(m.changes, columns)
     rows = split.split_bookings(completed, m.rules, m.settings, m.influencers)
-    return commission.driver_referral_commission(rows, m.driver_referrals, m.driver_affiliates)
+    return commission.driver_referral_commission(rows, m.driver_referrals, m.driver_affiliates, keys_from=m.changes)
 
 
 @query
