@@ -109,13 +109,13 @@ def statements() -> dict[str, str]:
 NEAR_DUPLICATES = r"""
 WITH RECURSIVE cut AS (
   SELECT doc_id, list_filter(
-    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE
     WHEN len(w) = 0 THEN []
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
   FROM cut
 ), one AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
