@@ -18,7 +18,7 @@ def _star(links: DataFrame, larger_only: bool) -> DataFrame:
         out = met.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-    return out.filter(F.col("a") != F.col("b")).distinct()
+    return out.filter(F.col("a") != F.col("b"))
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -30,7 +30,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     links = staged(links.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), "links")
     mark = None
     for _ in range(most_rounds):
-        links = staged(_star(_star(links, True), False), "links")
+        links = staged(_star(_star(links, True), False).distinct(), "links")
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             break

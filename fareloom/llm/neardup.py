@@ -8,10 +8,9 @@ reach that many collisions with any other, so it is skipped as a whole. What is
 the first ``PREFIX`` coordinates only. Two classes of similarity s agree on none of them with chance
 (1 - s) ** PREFIX: 1e-6 at 0.75; and on fewer than MATCHES of all with chance 1e-5 there.
 
-A list of n classes is not expanded into n * n pairs. First every class meets one member of each of
-its lists (those with enough collisions), and the best is confirmed on the full sets; components of
-the confirmed links follow. After a few such rounds most lists lie within one component. In the
-others, every class outside the list's largest component still meets all classes of other components
+A list of n classes is not expanded into n * n pairs. First every class meets a few members of each
+of its lists, the best of those with enough collisions is confirmed on the full sets, and components
+of the confirmed links follow. After that most lists lie within one component. In the others, every class outside the list's largest component still meets all classes of other components
 there, in blocks of bounded size: collisions are counted, full sets confirm, and only links that
 join two components are passed on. So every pair that collides often enough is either tested or
 already connected, whatever the size of a list.
@@ -36,8 +35,8 @@ from fareloom.llm.common import staged, steps, uniques, words
 from fareloom.llm.components import components
 
 COORDINATES, MATCHES, PREFIX = 64, 32, 10
-#: Rounds in which a class meets one member of each of its lists.
-ROUNDS = 3
+#: Members of each list that all its classes meet.
+HEADS = 3
 #: Classes in a block of a list.
 BLOCK = 256
 
@@ -120,12 +119,12 @@ def _alike(common, n_a, n_b, percent: int):
     return 100 * common >= percent * (n_a + n_b - common)
 
 
-def star_links(posts: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame, number: int, percent: int) -> DataFrame:
-    """Confirmed links of one round: each class with the best of its lists' members of the round."""
-    lists = posts.join(found, "rep")
-    order = F.struct(F.xxhash64("rep", F.lit(number)), F.col("rep"))
-    heads = lists.groupBy("key").agg(F.min_by("rep", order).alias("head"), F.min_by("comp", order).alias("head_comp"))
-    pairs = lists.join(heads, "key").filter(F.col("comp") != F.col("head_comp")).select("rep", "head").distinct()
+def star_links(posts: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links of each class with the likeliest of the heads of its lists."""
+    heads = posts.groupBy("key").agg(
+        F.array_distinct(F.array(*(F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(HEADS)))).alias("heads")
+    )
+    pairs = posts.join(heads, "key").select("rep", F.explode("heads").alias("head")).filter(F.col("rep") != F.col("head")).distinct()
     sig = classes.select("rep", "sig")
     met = pairs.join(sig, "rep").join(sig.select(F.col("rep").alias("head"), F.col("sig").alias("head_sig")), "head")
     same = F.size(F.filter(F.zip_with("sig", "head_sig", lambda a, b: a == b), lambda x: x))
@@ -247,13 +246,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_colum
     sets = sets_of(texts, width).filter(F.col("fp_a") == F.col("want")).select("rep", "set").dropDuplicates(["rep"])
     sets = staged(sets, "sets")
     chosen = staged(chosen.select("rep", "sig"), "chosen")
-    found, links = reps.withColumn("comp", F.col("rep")), None
-    for number in range(ROUNDS):
-        more = staged(star_links(posts, found, chosen, sets, number, percent), "star")
-        links = more if links is None else links.union(more)
-        found = _labels(reps, links)
-    links = links.union(staged(block_links(posts, found, chosen, sets, percent), "blocks"))
+    links = staged(star_links(posts, chosen, sets, percent), "star")
     found = _labels(reps, links)
+    found = _labels(reps, links.union(staged(block_links(posts, found, chosen, sets, percent), "blocks")))
     named = classes.select("rep", "cls", *prints).join(found, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     least = named.groupBy("comp").agg(F.min("cls").alias("component_id"))
     named = named.join(least, "comp").select(*prints, "component_id")
