@@ -10,7 +10,7 @@ share must be large; where vectors form clusters a small one gives the same reca
 Codebooks are fitted on a bounded sample (``sample`` vectors, by a hash of the id); every row is
 indexed. Neighbouring cells are laid into shelves of about ``block`` rows, and a cell with more is
 dealt over several, so a cell with a third of all rows is spread; the queries that visit a shelf are
-dealt into blocks as well. A shelf and a block of queries meet in one small matrix product. Copies
+dealt into blocks of ``crowd``. A shelf and a block of queries meet in one small matrix product. Copies
 count once towards the share, so a cell full of copies does not end the search.
 
 Null, zero and non-finite vectors, vectors with null components or of another length than most, and
@@ -97,7 +97,7 @@ def lay(cells: list[tuple[int, int]], block: int) -> list[tuple[int, int, int]]:
 
 
 def inverted_multi_index(
-    rows: DataFrame, queries: DataFrame, k: int = 20, centroids: int = 24, share: float = 0.65, least: int = 4000, block: int = 2048,
+    rows: DataFrame, queries: DataFrame, k: int = 20, centroids: int = 24, share: float = 0.65, least: int = 4000, block: int = 8192, crowd: int = 512,
     id_column: str = "vec_id", vector_column: str = "embedding", sample: int = SAMPLE,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query, its own id apart."""
@@ -147,7 +147,7 @@ def inverted_multi_index(
             yield pa.RecordBatch.from_arrays(columns, ["id", "v", "shelf", "cells"])
 
     visits = staged(asked.mapInArrow(visit, "id long, v array<double>, shelf long, cells array<long>"), "visits")
-    crowds = {r["shelf"]: -(-r["n"] // block) for r in visits.groupBy("shelf").agg(F.count(F.lit(1)).alias("n")).collect()}
+    crowds = {r["shelf"]: -(-r["n"] // crowd) for r in visits.groupBy("shelf").agg(F.count(F.lit(1)).alias("n")).collect()}
     salt = F.xxhash64("id", "v", F.lit(31))
     # bounded: a row for each cell, and one for each shelf
     by_cell = F.broadcast(spark.createDataFrame(shelves or [(-1, 0, 1)], "cell long, _first long, _parts int"))
@@ -166,14 +166,18 @@ def inverted_multi_index(
             v, q, ids = np.stack(here["v"].to_numpy()), np.stack(who["v"].to_numpy()), here["id"].to_numpy()
             names, cell = np.unique(here["cell"].to_numpy(), return_inverse=True)
             rough = q @ v.T
+            repeated = len(np.unique(ids)) < len(ids)
             for i, (query, wanted) in enumerate(zip(who["id"].to_numpy(), who["cells"], strict=True)):
                 others = np.flatnonzero(np.isin(names, wanted)[cell] & (ids != query))
-                if len(others) > k:
+                if len(others) > k and not repeated:
                     lowest = np.partition(rough[i, others], len(others) - k)[len(others) - k]
                     others = others[rough[i, others] >= lowest - 1e-9 * (1 + abs(lowest))]
                 # a fixed order of additions: copies of a vector score the same in every block
                 score = np.cumsum(v[others] * q[i], axis=1)[:, -1]
-                order = np.lexsort((ids[others], -score))[: 2 * k]
+                order = np.lexsort((ids[others], -score))
+                if repeated:
+                    order = order[np.sort(np.unique(ids[others][order], return_index=True)[1])]
+                order = order[:k]
                 found.append(pd.DataFrame({"query_id": query, "vec_id": ids[others][order], "score": score[order]}))
         return pd.concat(found)
 
