@@ -209,7 +209,7 @@ def license_scan(
 def _runs(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values of a sorted array, and where each begins and ends."""
     values, first = np.unique(owner, return_index=True)
-    return values, first, np.append(first[1:], len(owner))
+    return values, first, np.append(first, len(owner))[1:]
 
 
 _ARROW = pa.schema(
