@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fareloom.session import work_path
 
 #: Bytes of text that one step of a Python task holds at a time; a longer text is a step of its own.
-STEP_BYTES = 24 << 20
+STEP_BYTES = 12 << 20
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -27,10 +27,10 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def steps(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch by rows so that each part's texts stay near ``STEP_BYTES``."""
+def steps(batch: pa.RecordBatch, column: str, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch by rows so that each part's texts stay near ``size`` bytes."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(lengths, dtype=np.int64) // STEP_BYTES
+    part = np.cumsum(lengths, dtype=np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:], strict=False):
         if end > start:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import staged, steps
+from fareloom.llm.common import STEP_BYTES, staged, steps
 
 #: Bounds of the training sample, by language, and of languages.
 PER_LANGUAGE, MAX_CHARS, MAX_LANGUAGES = 400, 20_000, 50
@@ -110,7 +110,7 @@ def text_evidence(rows: DataFrame, model: Trigrams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value.table
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", STEP_BYTES // 4):  # a few numbers for each byte
                 places, bounds, letter = trigram_places(part.column("text"))
                 n = len(bounds) - 1
                 ll, letters = np.zeros((n, table.shape[1])), np.zeros(n, np.int64)
