@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,23 @@ def steps(batch: pa.RecordBatch, column: str, size: int = STEP_BYTES) -> Iterato
             yield batch.slice(start, end - start)
 
 
+def released(work: Callable) -> Callable:
+    """``work`` over the batches of a task; when it ends, free memory goes back to the system.
+
+    Python workers outlive their tasks, and what they keep counts against the executor's next stage.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 def words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """All words between ASCII white space, and for each text where its words begin and end."""
     texts = pc.fill_null(texts, "")

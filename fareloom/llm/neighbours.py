@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import staged
+from fareloom.llm.common import released, staged
 
 SAMPLE = 20_000
 
@@ -120,7 +120,7 @@ def inverted_multi_index(
             cell = nearest(v[:, :half], books[0]) * width + nearest(v[:, half:], books[1])
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int64))], ["id", "v", "cell"])
 
-    indexed = staged(base.mapInArrow(assign, "id long, v array<double>, cell long"), "multi-index")
+    indexed = staged(base.mapInArrow(released(assign), "id long, v array<double>, cell long"), "multi-index")
     counted = indexed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("v")).alias("distinct"))
     cells = sorted(tuple(r) for r in counted.collect())  # at most centroids ** 2 cells
     distinct = {c: int(d) for c, _, d in cells}
@@ -146,7 +146,7 @@ def inverted_multi_index(
             columns += [pa.array(shelf, pa.int64()), pa.array(wanted, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "v", "shelf", "cells"])
 
-    visits = staged(asked.mapInArrow(visit, "id long, v array<double>, shelf long, cells array<long>"), "visits")
+    visits = staged(asked.mapInArrow(released(visit), "id long, v array<double>, shelf long, cells array<long>"), "visits")
     crowds = {r["shelf"]: -(-r["n"] // crowd) for r in visits.groupBy("shelf").agg(F.count(F.lit(1)).alias("n")).collect()}
     salt = F.xxhash64("id", "v", F.lit(31))
     # bounded: a row for each cell, and one for each shelf
