@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import STEP_BYTES, staged, steps
+from fareloom.llm.common import STEP_BYTES, released, staged, steps
 
 #: Bounds of the training sample, by language, and of languages.
 PER_LANGUAGE, MAX_CHARS, MAX_LANGUAGES = 400, 20_000, 50
@@ -125,7 +125,7 @@ def text_evidence(rows: DataFrame, model: Trigrams) -> DataFrame:
 
     kept = rows.select(*names)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema) + ", ll array<double>, n_letters long"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def _softmax(logs: Column) -> Column:

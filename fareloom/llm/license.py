@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import steps, uniques, words
+from fareloom.llm.common import released, steps, uniques, words
 
 # Notices by which well-known public licenses are declared.
 TEMPLATES = {
@@ -203,7 +203,7 @@ def license_scan(
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(released(run), SCHEMA)
 
 
 def _runs(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

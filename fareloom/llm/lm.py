@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import staged, steps
+from fareloom.llm.common import released, staged, steps
 from fareloom.llm.tokens import load_encoder
 
 #: Share of the corpus (one in this many) from which a bigram is resolved by the broadcast table.
@@ -52,7 +52,7 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, id_column: str, text_colu
                 yield pa.RecordBatch.from_arrays([pa.array(numbers), part.column("doc_id"), pa.array(ids, pa.binary())], ["row", "doc_id", "ids"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, "row long, doc_id long, ids binary")
+    return rows.mapInArrow(released(run), "row long, doc_id long, ids binary")
 
 
 def pairs_of(ids: bytes) -> np.ndarray:
@@ -88,7 +88,7 @@ def bigram_counts(tokens: DataFrame) -> DataFrame:
         merge()
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
 
-    return tokens.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return tokens.mapInArrow(released(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -143,7 +143,7 @@ def lm_scores(
             yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_tokens", "sure", "key", "n", "absent", "given"])
 
     kinds = "row long, doc_id long, n_tokens long, sure double, key array<long>, n array<int>, absent array<float>, given array<float>"
-    resolved = staged(tokens.mapInArrow(resolve, kinds), "lm-resolved")
+    resolved = staged(tokens.mapInArrow(released(resolve), kinds), "lm-resolved")
     light = resolved.select("row", F.inline(F.arrays_zip("key", "n", "absent", "given")))
     joined = light.join(table.select("key", F.col("n").alias("_count")), "key")
     other = F.col("_count") - F.col("n")

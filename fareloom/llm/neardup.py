@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import staged, steps, uniques, words
+from fareloom.llm.common import released, staged, steps, uniques, words
 from fareloom.llm.components import components
 
 COORDINATES, MATCHES, PREFIX = 64, 32, 10
@@ -98,7 +98,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 columns = [part.column("doc_id"), pa.array(n, pa.int32()), *numbers, pa.array(sig, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "fp_a", "fp_b", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, n int, fp_a long, fp_b long, sig array<int>")
+    return docs.mapInArrow(released(run), "doc_id long, n int, fp_a long, fp_b long, sig array<int>")
 
 
 def sets_of(texts: DataFrame, width: int) -> DataFrame:
@@ -112,7 +112,7 @@ def sets_of(texts: DataFrame, width: int) -> DataFrame:
                 lists = pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(a), part.column("want"), lists], ["rep", "fp_a", "want", "set"])
 
-    return texts.mapInArrow(run, "rep long, fp_a long, want long, set array<long>")
+    return texts.mapInArrow(released(run), "rep long, fp_a long, want long, set array<long>")
 
 
 def _alike(common, n_a, n_b, percent: int):
@@ -173,7 +173,7 @@ def block_links(posts: DataFrame, found: DataFrame, classes: DataFrame, sets: Da
         if held:
             yield from _links(held, percent)
 
-    return full.select("key", "r", "c", "side", "rep", "comp", "sig", "set").mapInArrow(run, "a long, b long")
+    return full.select("key", "r", "c", "side", "rep", "comp", "sig", "set").mapInArrow(released(run), "a long, b long")
 
 
 def _changes(batch: pa.RecordBatch) -> np.ndarray:

@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import steps, uniques, words
+from fareloom.llm.common import released, steps, uniques, words
 
 SCHEMA = "doc_id long, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long"
 
 #: Recurring words whose ids a worker remembers between batches.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 #: Characters beside which words cannot be parted without a look at the tokenizer's own rules.
 JOINED = r"['\pM]|<\|"
@@ -204,4 +204,4 @@ def harmonic_packing(
             yield bins.batch(out)
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(pack, SCHEMA)
+    return rows.mapInArrow(released(pack), SCHEMA)

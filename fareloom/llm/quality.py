@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import labelled_sample, steps, uniques, words
+from fareloom.llm.common import labelled_sample, released, steps, uniques, words
 
 #: Slots of the word table and length of a vector: together the fixed size of the model.
 SLOTS, DIM = 1 << 14, 32
@@ -85,7 +85,7 @@ def word_vectors(docs: DataFrame, text_column: str = "text", slots: int = SLOTS)
         sums = pa.FixedSizeListArray.from_arrays(pa.array(total[used].ravel()), DIM).cast(pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used]), sums], ["slot", "n", "v"])
 
-    rows = docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(run, "slot long, n double, v array<double>")
+    rows = docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(released(run), "slot long, n double, v array<double>")
     summed = rows.groupBy("slot").agg(F.sum("n").alias("n"), *(F.sum(F.get("v", F.lit(i))).alias(f"v{i}") for i in range(DIM)))
     vectors, share = np.zeros((slots, DIM)), np.zeros(slots)
     for r in summed.collect():  # at most one row for a slot
@@ -193,4 +193,4 @@ def quality(docs: DataFrame, model: Network, id_column: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return rows.mapInArrow(released(run), "doc_id long, score double")

@@ -17,8 +17,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOXIC_FROM, QUALITY_FROM = 0.7, 0.5
 
 
+#: Rows in an Arrow batch: some 10 MB of ordinary documents, on both sides of the pipe.
+BATCH_ROWS = 3000
+
+
 def importable(spark: SparkSession) -> None:
-    """Let local Python workers find the package from wherever the session was started."""
+    """Let local Python workers find the package from wherever the session was started, and keep
+    batches of whole texts small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

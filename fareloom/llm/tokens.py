@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.llm.common import released
+
 RULES = ("first", "last", "most")
 SCHEMA = "doc_id long, field string, section int, start long, end long, n_tokens long, n_crossing long, doc_tokens long"
 
@@ -107,7 +109,7 @@ def token_counts(
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), *(F.col(n).cast("string").alias(f"f{i}") for i, n in enumerate(names))
     )
-    return rows.mapInArrow(count, SCHEMA)
+    return rows.mapInArrow(released(count), SCHEMA)
 
 
 _ARROW = pa.schema(

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import labelled_sample, steps, uniques, words
+from fareloom.llm.common import labelled_sample, released, steps, uniques, words
 
 #: Bounds of the labelled sample.
 PER_CLASS, MAX_CHARS = {0: 5000, 1: 2500}, 6_000
@@ -268,7 +268,7 @@ def toxicity(docs: DataFrame, model: Field, id_column: str = "doc_id", text_colu
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "n_toxic_words", "spans"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(released(run), SCHEMA)
 
 
 def keep_clean(docs: DataFrame, model: Field, threshold: float) -> DataFrame:
@@ -281,4 +281,4 @@ def keep_clean(docs: DataFrame, model: Field, threshold: float) -> DataFrame:
                 score, _, _ = score_texts(part.column("text"), model)
                 yield part.filter(pa.array(score < threshold)).select(names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
