@@ -109,10 +109,9 @@ def lookup(
         .join(F.broadcast(near), keys, "left")
     )
     far_keys = {f"_key_{i}": F.when(~stays, F.col(k)) for i, k in enumerate(keys)}
-    moved = marked.withColumns({**far_keys, "_spread": F.when(stays, F.col("_spread")).otherwise(F.lit(0).cast("bigint"))})
-    far = packed.select(
-        *(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)), F.lit(0).cast("bigint").alias("_spread"), "_far"
-    )
+    moved = marked.withColumns({**far_keys, "_spread": F.when(stays, F.col("_spread")).otherwise(F.col("_hash"))})
+    # computed, not a constant: a constant would be folded out of the join keys, and with it the spread
+    far = packed.select(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)), F.xxhash64(*keys).alias("_spread"), "_far")
     joined = moved.join(far, [*far_keys, "_spread"], "left").withColumn("_found", F.coalesce("_near", "_far"))
     if how == "inner":
         joined = joined.filter(F.col("_found").isNotNull())

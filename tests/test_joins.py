@@ -1,3 +1,5 @@
+import contextlib
+
 from pyspark.sql import functions as F
 
 from fareloom.operators.joins import fits_broadcast, heavy_hashes, lookup, newest, oldest, previous_value
@@ -24,19 +26,50 @@ def rows(df):
     return sorted(df.select("row", "key", "value").collect(), key=str)
 
 
-def test_lookup_gives_the_same_by_broadcast_and_by_shuffle(spark):
-    for how in ("left", "inner"):
-        broadcast = lookup(fact(spark), dim(spark), "key", how, limit=1 << 40)
-        shuffled = lookup(fact(spark), dim(spark), "key", how, limit=-1)
-        plain = fact(spark).join(dim(spark), "key", how)
-        assert rows(broadcast) == rows(shuffled) == rows(plain)
+@contextlib.contextmanager
+def no_broadcast(spark, **more):
+    """Every join is shuffled, whatever the sizes, and every partition stays."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+        **more,
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_lookup_spreads_heavy_rows(spark):
-    df = lookup(fact(spark), dim(spark), "key", limit=-1)
-    spread = df.filter("key = 'hot'").groupBy(F.spark_partition_id().alias("p")).count()
-    assert spread.agg(F.max("count")).first()[0] < 1500
-    assert df.filter("key = 'hot' AND value = -1").count() == 3000
+def test_lookup_gives_the_same_by_broadcast_and_by_shuffle(spark):
+    for how in ("left", "inner"):
+        broadcast = rows(lookup(fact(spark), dim(spark), "key", how, limit=1 << 40))
+        with no_broadcast(spark):
+            shuffled = rows(lookup(fact(spark), dim(spark), "key", how))
+            plain = rows(fact(spark).join(dim(spark), "key", how))
+        assert broadcast == shuffled == plain
+
+
+def test_lookup_shuffles_by_key_and_spread(spark):
+    with no_broadcast(spark):
+        plan = lookup(fact(spark), dim(spark), "key")._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert any("_key_0" in line and "_spread" in line.split("LeftOuter")[0] for line in joins)
+    assert any("hashpartitioning(_key_0" in line and "_spread" in line for line in plan.splitlines())
+
+
+def test_lookup_spreads_heavy_rows_and_rows_without_a_key(spark):
+    with no_broadcast(spark):
+        df = lookup(fact(spark), dim(spark), "key")
+        for condition, n in (("key = 'hot'", 3000), ("key IS NULL", 600)):
+            parts = [r["count"] for r in df.filter(condition).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            assert sum(parts) == n and max(parts) <= 2 * n / 8, (condition, parts)
+        assert df.filter("key = 'hot' AND value = -1").count() == 3000
 
 
 def test_heavy_hashes_finds_exactly_the_large_keys(spark):
