@@ -241,8 +241,11 @@ def drivers_earnings_summary(bookings: DataFrame, start: dt.date, end: dt.date)
     )
 
 
-def drivers_page_json(page: DataFrame, summary: DataFrame) -> DataFrame:
-    """The page envelope as one JSON document; its list holds one page of rows, no more."""
+def drivers_page_json(page: DataFrame, summary: DataFrame, number: int = 1, limit: int = 10) -> DataFrame:
+    """The page envelope as one JSON document; its list holds one page of rows, no more.
+
+    The pagination comes from the summary, so a page past the end still has it.
+    """
     entry = F.struct(
         F.col("driver_id").alias("driverId"),
         F.col("driver_name").alias("driverName"),
@@ -251,11 +254,16 @@ def drivers_page_json(page: DataFrame, summary: DataFrame) -> DataFrame:
         F.col("total_orders").alias("totalOrders"),
         F.col("average_earnings").alias("averageEarnings"),
     )
-    paging = F.struct("page", F.col("page_limit").alias("limit"), "total", F.col("total_pages").alias("totalPages"))
+    drivers = F.col("active_drivers")
+    paging = F.struct(
+        F.lit(number).alias("page"),
+        F.lit(limit).alias("limit"),
+        drivers.alias("total"),
+        F.ceil(drivers / F.lit(limit)).cast("bigint").alias("totalPages"),
+    )
     ranked = page.withColumn("_at", F.monotonically_increasing_id())
     listed = ranked.agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("_at", entry.alias("d")))), lambda x: x["d"]).alias("drivers"),
-        F.first(paging, ignorenulls=True).alias("pagination"),
+        F.transform(F.sort_array(F.collect_list(F.struct("_at", entry.alias("d")))), lambda x: x["d"]).alias("drivers")
     )
     total = F.struct(
         F.col("total_earnings").alias("totalEarnings"),
@@ -263,7 +271,9 @@ def drivers_page_json(page: DataFrame, summary: DataFrame) -> DataFrame:
         F.col("average_earnings").alias("averageEarnings"),
         F.col("active_drivers").alias("activeDrivers"),
     )
-    data = F.struct("drivers", summary.select(total.alias("s")).scalar().alias("summary"), "pagination")
+    outer = summary.select(F.struct(total.alias("summary"), paging.alias("pagination")).alias("s")).scalar()
+    listed = listed.withColumn("_outer", outer)
+    data = F.struct("drivers", F.col("_outer.summary").alias("summary"), F.col("_outer.pagination").alias("pagination"))
     document = F.struct(F.lit(True).alias("success"), data.alias("data"))
     return listed.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("report"))
 

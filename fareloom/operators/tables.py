@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.columns import full_name
 from fareloom.operators.joins import lookup
-from fareloom.schemas import DEFAULT_COUNTRY, DEFAULT_SERVICE, DEPOSIT_PAID_STATUSES, MONEY
+from fareloom.schemas import DEFAULT_COUNTRY, DEFAULT_SERVICE, DEPOSIT_PAID_STATUSES, INSTANT_SERVICE, MONEY
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -95,8 +95,9 @@ def fill_commission_type(influencers: DataFrame) -> DataFrame:
 
 
 def fill_service_types(drivers: DataFrame) -> DataFrame:
-    """Drivers without service types offer charter trips."""
-    return drivers.withColumn("service_types", F.coalesce("service_types", F.array(F.lit(DEFAULT_SERVICE))))
+    """Drivers without service types offer charter trips and instant rides."""
+    every = F.array(F.lit(DEFAULT_SERVICE), F.lit(INSTANT_SERVICE))
+    return drivers.withColumn("service_types", F.coalesce("service_types", every))
 
 
 # --- JSON columns -----------------------------------------------------------------------

@@ -64,13 +64,8 @@ def _dimensions(m: Marketplace) -> cdc.Dimensions:
     return cdc.Dimensions(m.users, m.profiles, m.drivers, m.vehicles)
 
 
-def _changes(m: Marketplace) -> DataFrame:
-    """The change log for building payloads: that is bound by CPU, so small tables are spread."""
-    return Marketplace(m.spark, m.directory, ("orders",)).changes
-
-
 def _events(m: Marketplace) -> DataFrame:
-    return cdc.booking_events(_changes(m), _dimensions(m))
+    return cdc.booking_events(m.changes, _dimensions(m))
 
 
 @query
@@ -78,29 +73,25 @@ def outbox_build(m: Marketplace) -> DataFrame:
     return _events(m)
 
 
-def _bookings(m: Marketplace) -> DataFrame:
-    return Marketplace(m.spark, m.directory, ("orders",)).bookings
-
-
 def _backfilled(m: Marketplace, rows: DataFrame, predicate: Column) -> DataFrame:
     return cdc.backfill_events(rows, predicate, _dimensions(m), EMITTED_AT)
 
 
 @query
 def outbox_backfill_promo(m: Marketplace) -> DataFrame:
-    return _backfilled(m, _bookings(m), cdc.needs_promo_backfill())
+    return _backfilled(m, m.bookings, cdc.needs_promo_backfill())
 
 
 @query
 def outbox_backfill_deposit(m: Marketplace) -> DataFrame:
-    return _backfilled(m, _bookings(m), cdc.needs_deposit_backfill())
+    return _backfilled(m, m.bookings, cdc.needs_deposit_backfill())
 
 
 @query
 def outbox_reemit(m: Marketplace) -> DataFrame:
     """Events again for every booking that has a failed payment."""
     failed = m.payments.filter(F.col("status") == "failed").select(F.col("booking_id").alias("id"))
-    return _backfilled(m, cdc.reemit(_bookings(m), failed), F.lit(True))
+    return _backfilled(m, cdc.reemit(m.bookings, failed), F.lit(True))
 
 
 def _log_with_deletes(m: Marketplace) -> DataFrame:
@@ -156,7 +147,7 @@ def chat_messages_latest(m: Marketplace) -> DataFrame:
 
 @query
 def chat_room_rollup(m: Marketplace) -> DataFrame:
-    documents = cdc.documents_of_changes(commission.newest_changes(_changes(m)), _dimensions(m))
+    documents = cdc.documents_of_changes(commission.newest_changes(m.changes), _dimensions(m))
     return cdc.chat_rooms(m.chat_events, documents)
 
 

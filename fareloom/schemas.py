@@ -16,6 +16,7 @@ LONGITUDE = T.DecimalType(11, 8)
 
 DEFAULT_COUNTRY = "TW"
 DEFAULT_SERVICE = "charter"
+INSTANT_SERVICE = "instant_ride"
 SERVICE_TYPES = ("charter", "instant_ride")
 
 # company share, driver share when neither a rule nor a settings row applies

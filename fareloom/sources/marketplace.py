@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.schemas import LATITUDE, LONGITUDE, MONEY, RATE, RATING, WIDE_PHOTO_COLUMNS
-from fareloom.sources.tables import read_table, spread
+from fareloom.sources.tables import read_table
 
 RULES = """
     ('R1', 'TW', CAST(NULL AS STRING), 'charter', false, 25, 75, CAST(NULL AS INT), true, 0, '2024-01-01'),
@@ -61,19 +61,17 @@ def _plus(moment: str, interval: str) -> Column:
 
 
 class Marketplace:
-    """Entities over one folder of generated tables; ``spread_over`` names tables to spread over all cores."""
+    """Entities over one folder of generated tables."""
 
-    def __init__(self, spark: SparkSession, directory: str, spread_over: tuple[str, ...] = ()) -> None:
+    def __init__(self, spark: SparkSession, directory: str) -> None:
         self.spark = spark
         self.directory = directory
-        self.spread_over = spread_over
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """The raw table; its schema is read once per object."""
         if name not in self._tables:
-            rows = read_table(self.spark, self.directory, name)
-            self._tables[name] = spread(rows) if name in self.spread_over else rows
+            self._tables[name] = read_table(self.spark, self.directory, name)
         return self._tables[name]
 
     # --- people ---------------------------------------------------------------------

@@ -26,25 +26,6 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-# smallest piece worth a task of its own, in bytes on disk
-PIECE_BYTES = 256 * 1024
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """Hand a small table that CPU-bound work follows to all cores.
-
-    Spark splits files into pieces of 4 MB or more and never splits a row group, so such a
-    table can end up in one task. Tables beyond one split per core are left alone.
-    """
-    spark = table.sparkSession
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = spark.sparkContext.defaultParallelism
-    split_bytes = 4 * 1024 * 1024
-    if size > cores * split_bytes:
-        return table
-    return table.repartition(max(1, min(cores, size // PIECE_BYTES)))
-
-
 def write_bookings(bookings: DataFrame, path: str) -> None:
     """Lay bookings out for the reports: a folder per completion day, rows sorted by driver.
 
