@@ -255,3 +255,23 @@ def test_slots_and_pooling_of_words():
     places, signs = quality.index_vectors()
     total, n = quality.context_sums(slots, bounds, places, signs)
     assert n.sum() == 5 and total.shape == (quality.SLOTS, quality.DIM)
+
+
+def test_near_duplicates_equal_their_sql(spark):
+    import compare
+
+    from fareloom.llm.queries import statements
+
+    df = registered()["op5_minhash_inverted_join"](spark, SF)
+    assert compare.differences(df.collect(), df.columns, compare.connect(SF), statements()["op5_minhash_inverted_join"]) is None
+
+
+def test_the_pipeline_keeps_what_brute_force_keeps(spark, texts):
+    """Packed documents are none that a benchmark item or an earlier near copy rules out."""
+    rows = registered()["pipeline"](spark, SF).select("doc_id").distinct().collect()
+    kept = {r.doc_id for r in rows}
+    group = brute_components({i: shingles(t) for i, t in texts.items() if i in kept})
+    assert all(group[i] == i for i in kept)
+    held = {r.doc_id for r in registered()["op2_template_decontamination"](spark, SF).collect()}
+    assert not kept & held
+    assert len(kept) > 0.7 * len(texts)
