@@ -4,10 +4,11 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from fareloom.plans import oracle, queries
 
 DIRECTORY = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = queries.registered()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
