@@ -39,6 +39,15 @@ def steps(batch: pa.RecordBatch, column: str, size: int = STEP_BYTES) -> Iterato
             yield batch.slice(start, end - start)
 
 
+def give_back() -> None:
+    """Return this process's free memory to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def released(work: Callable) -> Callable:
     """``work`` over the batches of a task; when it ends, free memory goes back to the system.
 
@@ -47,11 +56,7 @@ def released(work: Callable) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
 
     return run
 

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import STEP_BYTES, released, staged, steps
+from fareloom.llm.common import STEP_BYTES, give_back, released, staged, steps
 
 #: Bounds of the training sample, by language, and of languages.
 PER_LANGUAGE, MAX_CHARS, MAX_LANGUAGES = 400, 20_000, 50
@@ -99,7 +99,10 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, max_chars: int = MA
         texts = docs.filter((F.col("lang") == lang) & (F.length("text") <= max_chars)).select("doc_id", "text")
         found = texts.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")  # at most per_language ids
         rows += [(r["text"], lang) for r in found.collect()]
-    return fit_trigrams(rows)
+    model = fit_trigrams(rows)
+    del rows
+    give_back()
+    return model
 
 
 def text_evidence(rows: DataFrame, model: Trigrams) -> DataFrame:

@@ -23,13 +23,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import labelled_sample, released, steps, uniques, words
+from fareloom.llm.common import give_back, labelled_sample, released, steps, uniques, words
 
 #: Bounds of the labelled sample.
 PER_CLASS, MAX_CHARS = {0: 5000, 1: 2500}, 6_000
+#: Words of the sample whose marginals are held at a time while fitting.
+BLOCK_WORDS = 200_000
 #: Lengths of the prefixes that count as features beside the word itself.
 PREFIXES = (4, 5)
 #: Signs that are cut from both ends of a word before it is looked up.
@@ -111,7 +114,7 @@ def _distinct_texts(rows: list[tuple[str, int]], coordinates: int = 4) -> list[i
     for i, (text, _) in enumerate(rows):
         flat, _ = words(pa.array([text]))
         distinct, place = uniques(flat)
-        hashed = pa.array([hash(w) for w in distinct.to_pylist()], pa.int64()).to_numpy().astype(np.uint64)[place]
+        hashed = np.fromiter((xxhash.xxh64_intdigest(w.as_buffer()) for w in distinct), np.uint64, len(distinct))[place]
         triple = hashed[:-2] * np.uint64(0x9E3779B97F4A7C15) + hashed[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + hashed[2:]
         if len(triple):
             mixed = [(triple ^ (triple >> np.uint64(29))) * np.uint64(2 * k + 0xBF58476D1CE4E5B9) for k in range(coordinates)]
@@ -153,41 +156,59 @@ def _marks(texts: list[list[list[str]]], labels: np.ndarray, least_share: float
     return found
 
 
+def _blocks(bounds: np.ndarray) -> list[tuple[int, int]]:
+    """Cut the texts into runs of about ``BLOCK_WORDS`` words."""
+    cuts = [0, *(np.flatnonzero(np.diff(bounds[:-1] // BLOCK_WORDS)) + 1).tolist(), len(bounds) - 1]
+    return list(zip(cuts, cuts[1:], strict=False))
+
+
 def fit(rows: list[tuple[str, int]], rounds: int = 40, rate: float = 0.4, ridge: float = 0.02) -> Field:
-    """Fit the field and the document model on (text, label) rows held in memory."""
-    rows = [rows[i] for i in _distinct_texts(rows)]
+    """Fit the field and the document model on (text, label) rows held in memory.
+
+    Each round sums the exact gradient over blocks of texts of like length, so that the marginals
+    of one block are held at a time and a block is walked in few steps.
+    """
+    rows = sorted((rows[i] for i in _distinct_texts(rows)), key=lambda r: len(r[0]))
     labels = np.array([x for _, x in rows], float)
     if not len(rows) or labels.min() == labels.max():
         return Field()
     flat, bounds = words(pa.array([t for t, _ in rows]))
     distinct, place = uniques(flat)
+    place = place.astype(np.int32)
+    del flat, rows
     keys = [k.to_pylist() for k in _keys(distinct)]
     texts = [[[k[j] for j in np.unique(place[a:b])] for k in keys] for a, b in zip(bounds, bounds[1:], strict=False)]
     marked = _marks(texts, labels)
+    del texts
     # a feature's number for each distinct word and kind; 0 stands for none
     names = [(kind, k) for kind in range(len(marked)) for k in sorted(marked[kind])]
     number = {name: i + 1 for i, name in enumerate(names)}
     features = np.array([[number.get((kind, k), 0) for k in keys[kind]] for kind in range(len(keys))])
-    owner = np.repeat(np.arange(len(rows)), np.diff(bounds))
-    tags = (features.max(0) > 0)[place] & (labels[owner] == 1)
-    follows = np.ones(len(flat), bool)
+    del keys
+    tags = (features.max(0) > 0)[place] & np.repeat(labels == 1, np.diff(bounds))
+    follows = np.ones(len(place), bool)
     follows[bounds[:-1][np.diff(bounds) > 0]] = False
     before = np.concatenate([[False], tags[:-1]])
     seen_both, seen_on = (tags & before & follows).sum(), (tags & ~before & follows).sum()
     seen_off, n_pairs = (~tags & before & follows).sum(), follows.sum()
+    seen = np.bincount(place[tags], minlength=len(distinct))
+    blocks = _blocks(bounds)
     weights, bias, moves = np.zeros(len(names) + 1), -4.0, np.zeros((2, 2))
     state = [np.zeros(len(weights) + 5), np.zeros(len(weights) + 5)]
     for step in range(1, rounds + 1):
-        score = (weights[features].sum(0) + bias)[place]
-        p, both = marginals(score, bounds, moves)
-        gap = np.bincount(place, p - tags, minlength=len(distinct))
+        score = weights[features].sum(0) + bias
+        gap, on, off, both = -seen.astype(float), 0.0, 0.0, 0.0
+        for a, b in blocks:
+            here = slice(bounds[a], bounds[b])
+            p, pair = marginals(score[place[here]], bounds[a : b + 1] - bounds[a], moves)
+            gap += np.bincount(place[here], p, minlength=len(distinct))
+            last = np.concatenate([[0.0], p])[: len(p)] * follows[here]
+            on, off, both = on + (p * follows[here] - pair).sum(), off + (last - pair).sum(), both + pair.sum()
         slope = np.zeros(len(weights))
         for kind in range(len(features)):
             slope += np.bincount(features[kind], gap, minlength=len(weights))
         slope[0] = 0
-        last = np.concatenate([[0.0], p[:-1]]) * follows
-        on, off = (p * follows - both).sum(), (last - both).sum()
-        pairs = np.array([n_pairs - on - off - both.sum(), on, off, both.sum()])
+        pairs = np.array([n_pairs - on - off - both, on, off, both])
         pairs -= [n_pairs - seen_on - seen_off - seen_both, seen_on, seen_off, seen_both]
         g = np.concatenate([slope + ridge * weights, [gap.sum() + ridge * bias], pairs + ridge * moves.ravel()])
         state[0] = 0.9 * state[0] + 0.1 * g
@@ -200,8 +221,12 @@ def fit(rows: list[tuple[str, int]], rounds: int = 40, rate: float = 0.4, ridge:
     model = Field(bias=float(bias), moves=moves)
     for (kind, k), w in zip(names, weights[1:], strict=True):
         model.weights[kind][k] = float(w)
-    p, _ = marginals(emissions(distinct, model)[place], bounds, moves)
-    model.document = _document_model(*document_features(p, bounds), labels)
+    score, parts = emissions(distinct, model), []
+    for a, b in blocks:
+        own = bounds[a : b + 1] - bounds[a]
+        p, _ = marginals(score[place[bounds[a] : bounds[b]]], own, moves)
+        parts.append(document_features(p, own))
+    model.document = _document_model(*(np.concatenate(x) for x in zip(*parts, strict=True)), labels)
     return model
 
 
@@ -251,7 +276,9 @@ def score_texts(texts: pa.Array, model: Field) -> tuple[np.ndarray, np.ndarray,
 def train(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = PER_CLASS, max_chars: int = MAX_CHARS) -> Field:
     """Fit on at most ``per_class[label]`` labelled texts of a label, none longer than ``max_chars``."""
     rows = labelled_sample(docs, labels, "toxic", per_class, max_chars).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-    return fit([(r["text"] or "", r["label"]) for r in rows.collect()])
+    model = fit([(r["text"] or "", r["label"]) for r in rows.collect()])
+    give_back()
+    return model
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
