@@ -98,6 +98,10 @@ SELECT id, coalesce(country, 'TW') AS country, coalesce(service_type, 'charter')
        CASE WHEN original_price IS NULL OR final_price IS NULL THEN CAST(0 AS DECIMAL(10,2)) ELSE discount_amount END AS discount_amount
 FROM m_bookings
 """
+S["fill_service_types"] = """
+SELECT user_id, CASE WHEN vehicle_type = 'small' THEN 'charter' ELSE 'charter,instant_ride' END AS service_types FROM m_drivers
+"""
+S["fill_commission_type"] = "SELECT id AS influencer_id, 'unified' AS commission_type FROM m_influencers"
 _WRONG = """(platform_fee IS NULL OR platform_fee <> total_amount * CAST(0.25 AS DECIMAL(3,2))
     OR driver_earning IS NULL OR driver_earning <> total_amount * CAST(0.75 AS DECIMAL(3,2)))"""
 S["fee_repair"] = f"""
@@ -158,13 +162,22 @@ S["visible_rows"] = """
 SELECT driver_id, type, url, status, uploaded_at, TRUE AS by_owner, FALSE AS by_admin FROM m_documents
 WHERE status = 'pending' AND driver_id IN (SELECT id FROM m_users WHERE role = 'driver' AND status = 'active')
 """
+S["visible_rows_admin"] = """
+SELECT driver_id, type, url, status, uploaded_at, driver_id IN (SELECT id FROM m_users) AS by_owner,
+       (SELECT count(*) FROM m_users WHERE role = 'admin') > 0 AS by_admin
+FROM m_documents WHERE driver_id IN (SELECT id FROM m_users) OR (SELECT count(*) FROM m_users WHERE role = 'admin') > 0
+"""
+S["visible_rows_read"] = """
+SELECT driver_id, type, url, status, uploaded_at, TRUE AS by_owner, FALSE AS by_admin FROM m_documents
+WHERE driver_id IN (SELECT id FROM m_users WHERE role = 'driver' AND status = 'suspended')
+"""
 
 # --- joins ------------------------------------------------------------------------------
 
 _RANKED = """
 SELECT row_number() OVER (ORDER BY total_earnings DESC NULLS FIRST, driver_id) AS rank, driver_id, {name} AS driver_name,
        email AS driver_email, total_earnings, total_orders, average_earnings
-FROM m_driver_list {how} JOIN (SELECT id, name, email FROM m_users WHERE status = 'active') u ON driver_id = u.id
+FROM m_driver_list {how} JOIN m_users u ON driver_id = u.id
 ORDER BY total_earnings DESC NULLS FIRST, driver_id LIMIT 10
 """
 S["driver_earnings_ranking_left"] = _RANKED.format(name="name", how="LEFT")
@@ -205,16 +218,15 @@ FROM m_outbox o JOIN m_bookings b ON o.aggregate_id = b.id WHERE b.status = 'mat
 
 # --- aggregates -------------------------------------------------------------------------
 
-_FIRST_QUARTER = "completed_at >= TIMESTAMP '1996-01-01' AND completed_at < TIMESTAMP '1996-04-01'"
-_DRIVER_QUARTER = f"""
+_DRIVER_TOTALS = f"""
 SELECT u.id AS driver_id, coalesce(e, 0) AS total_earnings, coalesce(n, 0) AS total_orders,
        coalesce({mean("cents", "paid")}, 0) AS average_earnings
 FROM (SELECT id FROM m_users WHERE role = 'driver') u
 LEFT JOIN (SELECT driver_id, CAST(sum(driver_earning) AS DECIMAL(20,2)) AS e, count(*) AS n, count(driver_earning) AS paid,
                   CAST(sum(driver_earning) * 100 AS BIGINT) AS cents
-           FROM m_completed WHERE {_FIRST_QUARTER} GROUP BY driver_id) b ON u.id = b.driver_id
+           FROM m_completed GROUP BY driver_id) b ON u.id = b.driver_id
 """
-S["driver_earnings"] = _DRIVER_QUARTER
+S["driver_earnings"] = _DRIVER_TOTALS
 S["driver_earnings_daily"] = """
 SELECT driver_id, CAST(completed_at AS DATE) AS date, CAST(sum(driver_earning) AS DECIMAL(20,2)) AS earnings, count(*) AS orders
 FROM m_completed WHERE driver_id IS NOT NULL GROUP BY 1, 2
@@ -222,10 +234,10 @@ FROM m_completed WHERE driver_id IS NOT NULL GROUP BY 1, 2
 S["driver_earnings_json"] = f"""
 SELECT t.driver_id, '{{"totalEarnings":' || CAST(total_earnings AS DECIMAL(20,2)) || ',"totalOrders":' || total_orders || ',"averageEarnings":'
        || CAST(average_earnings AS DECIMAL(20,2)) || ',"dailyEarnings":' || coalesce('[' || days || ']', 'null') || '}}' AS report
-FROM ({_DRIVER_QUARTER}) t
+FROM ({_DRIVER_TOTALS}) t
 LEFT JOIN (SELECT driver_id, string_agg('{{"date":"' || date || '","earnings":' || coalesce(CAST(earnings AS VARCHAR), 'null') || ',"orders":' || orders || '}}', ',' ORDER BY date) AS days
            FROM (SELECT driver_id, CAST(completed_at AS DATE) AS date, CAST(sum(driver_earning) AS DECIMAL(20,2)) AS earnings, count(*) AS orders
-                 FROM m_completed WHERE driver_id IS NOT NULL AND {_FIRST_QUARTER} GROUP BY 1, 2) GROUP BY 1) d ON t.driver_id = d.driver_id
+                 FROM m_completed WHERE driver_id IS NOT NULL GROUP BY 1, 2) GROUP BY 1) d ON t.driver_id = d.driver_id
 """
 
 
@@ -249,9 +261,9 @@ S["platform_earnings_daily"] = _PLATFORM_DAILY.format(source="m_completed")
 S["platform_earnings_json"] = f"""
 SELECT '{{"totalPlatformFee":' || total_platform_fee || ',"totalRevenue":' || total_revenue || ',"totalOrders":' || total_orders
        || ',"averageCommissionRate":' || CAST(average_commission_rate AS DECIMAL(10,4)) || ',"dailyEarnings":' || coalesce('[' || days || ']', 'null') || '}}' AS report
-FROM ({_PLATFORM} WHERE {_FIRST_QUARTER}) p,
+FROM ({_PLATFORM}) p,
      (SELECT string_agg('{{"date":"' || date || '","platform_fee":' || coalesce(CAST(platform_fee AS VARCHAR), 'null') || ',"revenue":' || revenue || ',"orders":' || orders || '}}', ',' ORDER BY date) AS days
-      FROM ({_PLATFORM_DAILY.format(source=f"(SELECT * FROM m_completed WHERE {_FIRST_QUARTER})")})) d
+      FROM ({_PLATFORM_DAILY.format(source=f"m_completed")})) d
 """
 _DAILY = """
 SELECT CAST(completed_at AS DATE) AS date, CAST(sum(total_amount) AS DECIMAL(20,2)) AS total_revenue,
@@ -263,7 +275,7 @@ S["daily_earnings_summary"] = _DAILY.format(source="m_completed")
 S["daily_summary_json"] = f"""
 SELECT '[' || coalesce(string_agg('{{"date":"' || date || '","total_revenue":' || total_revenue || ',"driver_earnings":' || coalesce(CAST(driver_earnings AS VARCHAR), 'null')
        || ',"platform_fee":' || coalesce(CAST(platform_fee AS VARCHAR), 'null') || ',"orders":' || orders || ',"drivers_count":' || drivers_count || '}}', ',' ORDER BY date), '') || ']' AS report
-FROM ({_DAILY.format(source=f"(SELECT * FROM m_completed WHERE {_FIRST_QUARTER})")})
+FROM ({_DAILY.format(source=f"m_completed")})
 """
 _PAGE = """
 SELECT driver_id, {name} AS driver_name, email AS driver_email, total_earnings, total_orders, average_earnings, {page} AS page, {limit} AS page_limit,
@@ -272,7 +284,7 @@ FROM m_driver_list {how} JOIN (SELECT * FROM m_users {where}) u ON driver_id = u
 ORDER BY {order}, driver_id LIMIT {limit} OFFSET ({page} - 1) * {limit}
 """
 S["drivers_earnings_page"] = _PAGE.format(
-    name="coalesce(name, email)", page=2, limit=7, how="", where="WHERE status = 'active'", order="total_earnings DESC NULLS FIRST"
+    name="coalesce(name, email)", page=2, limit=7, how="", where="", order="total_earnings DESC NULLS FIRST"
 )
 S["drivers_earnings_page_by_orders"] = _PAGE.format(
     name="name", page=1, limit=15, how="LEFT", where="", order="total_orders ASC NULLS LAST"
@@ -407,6 +419,11 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, 'B' || o
 S["completed_at_resolution"] = """
 SELECT id AS booking_id, version, status, CASE WHEN is_edge THEN changed_at ELSE actual_end_time END AS completed_at FROM m_edges_all
 """
+S["completed_at_kept"] = """
+SELECT e.id AS booking_id, e.version, e.status,
+       CASE WHEN is_edge THEN changed_at WHEN b.duration_hours % 2 = 0 THEN coalesce(b.completed_at, b.actual_end_time) ELSE b.actual_end_time END AS completed_at
+FROM m_edges_all e JOIN m_bookings b ON e.id = b.id
+"""
 S["commission_decision_log"] = """
 SELECT booking_id, version, previous_status, status, reason_code, CASE WHEN reason_code IN ('accrued', 'duplicate') THEN amount END AS amount
 FROM (SELECT *, CASE WHEN NOT is_edge THEN 'not_completed' WHEN owner IS NULL THEN 'no_referral'
@@ -511,6 +528,7 @@ UNION ALL SELECT 'drivers', 'company_tax_id', count(*) FROM m_drivers WHERE NOT
 S["duplicate_keys"] = """
 SELECT 'one referrer per referee' AS check_name, 'C' || o_custkey AS key, count(*) AS n_rows FROM orders GROUP BY o_custkey HAVING count(*) > 1
 UNION ALL SELECT 'one live document per type', driver_id || '|' || type, count(*) FROM m_documents WHERE status <> 'rejected' GROUP BY driver_id, type HAVING count(*) > 1
+UNION ALL SELECT 'one referrer per driver', referee_driver_id, count(*) FROM m_driver_referrals GROUP BY referee_driver_id HAVING count(*) > 1
 UNION ALL SELECT 'one active rule per key', country || '|' || coalesce(region, '(null)') || '|' || service_type || '|' || CAST(has_promo_code AS VARCHAR), count(*)
           FROM m_rules WHERE is_active GROUP BY country, region, service_type, has_promo_code HAVING count(*) > 1
 """

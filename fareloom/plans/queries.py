@@ -215,6 +215,20 @@ def fill_defaults(m: Marketplace) -> DataFrame:
     )
 
 
+@query
+def fill_service_types(m: Marketplace) -> DataFrame:
+    """Drivers of small vehicles have chosen charter trips only, the others have not chosen."""
+    charter = F.when(F.col("vehicle_type") == "small", F.array(F.lit("charter")))
+    filled = tables.fill_service_types(m.drivers.withColumn("service_types", charter))
+    return filled.select("user_id", F.array_join("service_types", ",").alias("service_types"))
+
+
+@query
+def fill_commission_type(m: Marketplace) -> DataFrame:
+    unset = m.influencers.withColumn("commission_type", F.nullif("commission_type", F.lit("by_service_type")))
+    return tables.fill_commission_type(unset).select(F.col("id").alias("influencer_id"), "commission_type")
+
+
 @query
 def fee_repair(m: Marketplace) -> DataFrame:
     return split.fee_repair(m.bookings)
@@ -260,17 +274,30 @@ def visible_rows(m: Marketplace) -> DataFrame:
     return tables.visible_rows(m.driver_documents, "driver_id", drivers, "update")
 
 
+@query
+def visible_rows_admin(m: Marketplace) -> DataFrame:
+    """Driver files that all users together may read: admins reach every file."""
+    return tables.visible_rows(m.driver_documents, "driver_id", m.users.select("id", "role"), "read")
+
+
+@query
+def visible_rows_read(m: Marketplace) -> DataFrame:
+    """Driver files that suspended drivers may still read."""
+    drivers = m.users.filter((F.col("role") == "driver") & (F.col("status") == "suspended")).select("id", "role")
+    return tables.visible_rows(m.driver_documents, "driver_id", drivers, "read")
+
+
 # --- joins ------------------------------------------------------------------------------
 
 
 @query
 def driver_earnings_ranking_left(m: Marketplace) -> DataFrame:
-    return reports.driver_earnings_ranking(m.bookings, m.users.filter(F.col("status") == "active"), START, END, how="left")
+    return reports.driver_earnings_ranking(m.bookings, m.users, START, END, how="left")
 
 
 @query
 def driver_earnings_ranking(m: Marketplace) -> DataFrame:
-    return reports.driver_earnings_ranking(m.bookings, m.users.filter(F.col("status") == "active"), START, END)
+    return reports.driver_earnings_ranking(m.bookings, m.users, START, END)
 
 
 @query
@@ -322,7 +349,7 @@ def _driver_ids(m: Marketplace) -> DataFrame:
 
 @query
 def driver_earnings(m: Marketplace) -> DataFrame:
-    return reports.driver_earnings(m.bookings, _driver_ids(m), START, dt.date(1996, 3, 31))
+    return reports.driver_earnings(m.bookings, _driver_ids(m), START, END)
 
 
 @query
@@ -332,7 +359,7 @@ def driver_earnings_daily(m: Marketplace) -> DataFrame:
 
 @query
 def driver_earnings_json(m: Marketplace) -> DataFrame:
-    return reports.driver_earnings_json(m.bookings, _driver_ids(m), START, dt.date(1996, 3, 31))
+    return reports.driver_earnings_json(m.bookings, _driver_ids(m), START, END)
 
 
 @query
@@ -347,7 +374,7 @@ def platform_earnings_daily(m: Marketplace) -> DataFrame:
 
 @query
 def platform_earnings_json(m: Marketplace) -> DataFrame:
-    return reports.platform_earnings_json(m.bookings, START, dt.date(1996, 3, 31))
+    return reports.platform_earnings_json(m.bookings, START, END)
 
 
 @query
@@ -357,7 +384,7 @@ def daily_earnings_summary(m: Marketplace) -> DataFrame:
 
 @query
 def drivers_earnings_page(m: Marketplace) -> DataFrame:
-    return reports.drivers_earnings_page(m.bookings, m.users.filter(F.col("status") == "active"), START, END, page=2, limit=7)
+    return reports.drivers_earnings_page(m.bookings, m.users, START, END, page=2, limit=7)
 
 
 @query
@@ -456,7 +483,7 @@ def dimension_fill(m: Marketplace) -> DataFrame:
 
 @query
 def daily_summary_json(m: Marketplace) -> DataFrame:
-    return reports.daily_summary_json(m.bookings, START, dt.date(1996, 3, 31))
+    return reports.daily_summary_json(m.bookings, START, END)
 
 
 # --- latest rows, edges, top rows -------------------------------------------------------
@@ -545,6 +572,13 @@ def completed_at_resolution(m: Marketplace) -> DataFrame:
     return commission.completed_at_resolution(m.changes.withColumn("completed_at", F.lit(None).cast("timestamp_ntz")))
 
 
+@query
+def completed_at_kept(m: Marketplace) -> DataFrame:
+    """The same where some changes bring the time along; only edges set it anew."""
+    known = F.when(F.col("duration_hours") % 2 == 0, F.col("completed_at"))
+    return commission.completed_at_resolution(m.changes.withColumn("completed_at", known))
+
+
 @query
 def commission_decision_log(m: Marketplace) -> DataFrame:
     return commission.commission_decision_log(m.changes, m.referrals, m.influencers, _accrued(m))
@@ -683,6 +717,7 @@ def duplicate_keys(m: Marketplace) -> DataFrame:
     return (
         quality.duplicate_keys("one referrer per referee", m.referral_claims, ["referee_id"])
         .unionByName(quality.duplicate_keys("one live document per type", live_documents, ["driver_id", "type"]))
+        .unionByName(quality.duplicate_keys("one referrer per driver", m.driver_referrals, ["referee_driver_id"]))
         .unionByName(
             quality.duplicate_keys(
                 "one active rule per key",
