@@ -147,7 +147,10 @@ def chat_messages_latest(m: Marketplace) -> DataFrame:
 
 @query
 def chat_room_rollup(m: Marketplace) -> DataFrame:
-    documents = cdc.documents_of_changes(commission.newest_changes(m.changes), _dimensions(m))
+    # only bookings with a room need a document
+    rooms = m.chat_events.select(F.col("booking_id").alias("id")).distinct()
+    changes = commission.newest_changes(m.changes.join(rooms, "id", "left_semi"))
+    documents = cdc.documents_of_changes(changes, _dimensions(m))
     return cdc.chat_rooms(m.chat_events, documents)
 
 

@@ -26,6 +26,27 @@ def test_query_matches_sql(spark, con, name):
     assert compare.differences(df.collect(), df.columns, con, SQL[name]) is None
 
 
+# every kind of lookup, without any broadcast that the session may choose
+SHUFFLED = (
+    "affiliate_commission", "affiliate_usage_upsert", "cache_lookup", "chat_room_rollup", "commission_decision_log",
+    "driver_referral_commission", "fee_anomalies", "influencer_total_earnings", "missing_commissions", "outbox_backfill_promo",
+    "outbox_build", "outbox_by_booking", "payment_confirm_outcome", "referral_directory", "visible_rows", "webhook_outcomes",
+)
+
+
+@pytest.mark.parametrize("name", SHUFFLED)
+def test_query_matches_sql_without_broadcasts(spark, con, name):
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for limit in limits:
+        spark.conf.set(limit, "-1")
+    try:
+        df = QUERIES[name](spark, DIRECTORY)
+        assert compare.differences(df.collect(), df.columns, con, SQL[name]) is None
+    finally:
+        for limit in limits:
+            spark.conf.unset(limit)
+
+
 def test_entry_runs(spark):
     rows = entry.entry(spark).collect()
     assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
