@@ -275,3 +275,16 @@ def test_the_pipeline_keeps_what_brute_force_keeps(spark, texts):
     held = {r.doc_id for r in registered()["op2_template_decontamination"](spark, SF).collect()}
     assert not kept & held
     assert len(kept) > 0.7 * len(texts)
+
+
+def test_the_field_does_not_depend_on_the_blocks_it_is_fitted_in(monkeypatch):
+    chance = np.random.default_rng(5)
+    plain = [f"word{i}" for i in range(300)]
+    rows = [(" ".join(chance.choice(plain, int(n))), 0) for n in chance.integers(0, 60, 300)]
+    rows += [(" ".join([*chance.choice(plain, 20), "vexilt", *chance.choice(plain, 20)]), 1) for _ in range(60)]
+    whole = toxicity.fit(rows)
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 50)
+    cut = toxicity.fit(rows)
+    assert whole.weights[0] and whole.weights[0].keys() == cut.weights[0].keys()
+    np.testing.assert_allclose(cut.document, whole.document, rtol=1e-6)
+    np.testing.assert_allclose(cut.moves, whole.moves, rtol=1e-6)
