@@ -7,8 +7,13 @@ from both ends. Coverage is the share of the template's words that got a partner
 
 Only words that occur in some template matter, so a text is first reduced to those, in order and
 with their places; a template is aligned only if the distinct words it shares with the text could
-reach the wanted coverage. Before that, the reduced text is cut at long stretches without any
-template word (``reach`` words), since a license is not spread over them; the best stretch counts.
+reach the wanted coverage. The reduced text is cut at long stretches without any template word
+(``reach`` words), since a license is not spread over them, and aligned in windows around the words
+that a match cannot lack; the best match counts.
+
+A notice of fewer than ``short`` words must be there in full; a longer one needs its telling words
+(name, variant, version). From its first to its last matched word a match has at most half as many
+words again as the template (three more at least), and no word among them that names a sibling.
 
 Null and empty texts have no words and no rows. Repeated rows give repeated results; a null id stays
 null. Ties between stretches go to the first, and all templates that reach the coverage are listed,
@@ -21,7 +26,8 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +37,26 @@ from pyspark.sql import functions as F
 
 from fareloom.llm.common import released, steps, uniques, words
 
+_CC = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_GNU = {
+    "GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"), "LGPL-2.1": ("Lesser General", "2.1"), "LGPL-3.0": ("Lesser General", "3"),
+    "AGPL-3.0": ("Affero General", "3"),
+}
+
 # Notices by which well-known public licenses are declared.
 TEMPLATES = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0",
+    "Apache-1.1-line": "Licensed under the Apache License, Version 1.1",
     "MIT-line": "Released under the MIT License",
-    "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3",
-    "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0",
+    "BSD-line": "Released under the BSD License",
+    **{f"{k}-line": f"This work is licensed under the GNU {kind} Public License, version {v}" for k, (kind, v) in _GNU.items()},
+    **{f"CC-{k}-4.0-line": f"Licensed under CC {k} 4.0" for k in _CC if k != "BY"},
+    "CC-BY-4.0-brief": "Licensed under CC BY 4.0",
     "CC-BY-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    **{f"CC-{k}-4.0-work": f"This work is licensed under a Creative Commons {v} 4.0 International License" for k, v in _CC.items() if k != "BY"},
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the"
         " License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable"
@@ -52,10 +71,11 @@ TEMPLATES = {
         " the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission"
         " notice shall be included in all copies or substantial portions of the Software."
     ),
-    "GPL-3.0": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"
-        " as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
-    ),
+    **{
+        k: f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License"
+        f" as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version."
+        for k, (kind, v) in _GNU.items()
+    },
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
         " conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and"
@@ -63,6 +83,14 @@ TEMPLATES = {
     ),
 }
 
+# Words without which a long notice is another one, and words that make a notice another's.
+TELLING = {"Apache-2.0": ("apache", "2.0")} | {k: (*f"gnu {kind} public".lower().split(), v) for k, (kind, v) in _GNU.items()}
+_QUALIFIERS = {
+    "GPL": "lesser library affero",
+    "CC-": "sharealike share-alike share noncommercial non-commercial non noderivatives no-derivatives noderivs no-derivs no nc nd sa",
+}
+BARRED = {k: tuple(w.split()) for k in TEMPLATES for family, w in _QUALIFIERS.items() if k.removeprefix("L").removeprefix("A").startswith(family)}
+
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 SCHEMA = "doc_id long, license string, coverage double, matched int, start int, end int"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -127,22 +155,101 @@ def stretches(places: np.ndarray, reach: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
 
 
-def best_alignment(ids: list[int], places: np.ndarray, template: list[int], reach: int) -> tuple[int, int, int]:
-    """Matched words, and the first and last place of the match, in the best stretch of a text."""
-    best, wanted = (0, 0, 0), set(template)
-    own = [(w, p) for w, p in zip(ids, places, strict=True) if w in wanted]
-    at = np.array([p for _, p in own])
-    for a, b in stretches(at, reach):
-        if b - a <= best[0]:
-            continue
-        # a notice that is repeated has no unique words: windows of the template's length stand alone
-        size = 2 * len(template)
-        for c in range(a, b, max(1, len(template))) if b - a > size else [a]:
-            part = own[c : min(b, c + size)]
-            pairs = patience([w for w, _ in part], template)
-            if len(pairs) > best[0]:
-                best = (len(pairs), int(part[pairs[0][0]][1]), int(part[pairs[-1][0]][1]))
-    return best
+class Notice(NamedTuple):
+    """A template in numbered words, and what a match of it needs."""
+
+    words: list[int]
+    least: int  # matched words
+    telling: frozenset[int]  # places in ``words``
+    barred: frozenset[int]
+
+    @property
+    def span(self) -> int:
+        """Words of the text that a match may reach over."""
+        return len(self.words) + max(3, len(self.words) // 2)
+
+
+def tightened(pairs: list[tuple[int, int]], a: list[int]) -> list[tuple[int, int]]:
+    """The same matched words of the template by places in ``a`` as near to each other as order lets them be."""
+    pairs = list(pairs)
+    for k in range(1, len(pairs)):
+        i, j = pairs[k]
+        pairs[k] = a.index(a[i], pairs[k - 1][0] + 1), j
+    for k in range(len(pairs) - 2, -1, -1):
+        i, j = pairs[k]
+        pairs[k] = next(x for x in range(pairs[k + 1][0] - 1, i - 1, -1) if a[x] == a[i]), j
+    return pairs
+
+
+def densest(pairs: list[tuple[int, int]], at: list[int], span: int) -> list[tuple[int, int]]:
+    """The most neighbouring pairs whose places in the text lie within ``span`` words."""
+    best, first = (0, 0), 0
+    for last in range(len(pairs)):
+        while at[pairs[last][0]] - at[pairs[first][0]] >= span:
+            first += 1
+        if last + 1 - first > best[1] - best[0]:
+            best = first, last + 1
+    return pairs[best[0] : best[1]]
+
+
+def in_full(own: list[int], at: list[int], notice: Notice, last: int, floor: int) -> list[int]:
+    """Places in ``own`` of all words of a notice whose last word is at ``last``; none if one lacks."""
+    found, j = [], len(notice.words) - 1
+    for i in range(last, floor - 1, -1):
+        if at[last] - at[i] >= notice.span:
+            break
+        if own[i] == notice.words[j]:
+            found.append(i)
+            j -= 1
+            if j < 0:
+                return found[::-1]
+    return []
+
+
+def matches(ids: list[int], places: np.ndarray, notice: Notice, reach: int) -> Iterator[tuple[int, int, int]]:
+    """Matched words, and the first and last place, of the matches of a notice in a text."""
+    n, wanted = len(notice.words), set(notice.words)
+    own, at = [], []
+    barred = [p for w, p in zip(ids, places.tolist(), strict=True) if w in notice.barred and w not in wanted]
+    for w, p in zip(ids, places.tolist(), strict=True):
+        if w in wanted:
+            own.append(w)
+            at.append(p)
+    count = Counter(own)
+    if notice.least == n:
+        holders = {notice.words[-1]}
+    elif notice.telling:
+        holders = {min((notice.words[j] for j in notice.telling), key=lambda w: (count[w], w))}
+    else:  # a match lacks at most n - least words, so it has one of that many and one more
+        holders = set(sorted(wanted, key=lambda w: (count[w], w))[: n - notice.least + 1])
+    within = {w: [j for j, x in enumerate(notice.words) if x == w] for w in holders}
+    done = -1
+    for a, b in stretches(np.array(at), reach):
+        for k in range(a, b):
+            if own[k] not in holders or at[k] <= done:
+                continue
+            if notice.least == n:
+                found = in_full(own, at, notice, k, a)
+            else:
+                low, high = at[k] - max(within[own[k]]) * 3 // 2 - 3, at[k] + (n - min(within[own[k]])) * 3 // 2 + 3
+                first, end = bisect_left(at, max(low, done + 1), a, b), bisect_left(at, high + 1, a, b)
+                part = own[first:end]
+                pairs = densest(tightened(patience(part, notice.words), part), at[first:end], notice.span)
+                if len(pairs) < notice.least or not notice.telling <= {j for _, j in pairs}:
+                    continue
+                found = [first + i for i, _ in pairs]
+            if not found:
+                continue
+            start, stop = at[found[0]], at[found[-1]]
+            if bisect_left(barred, start) < bisect_left(barred, stop):
+                continue
+            yield len(found), start, stop
+            done = stop
+
+
+def best_alignment(ids: list[int], places: np.ndarray, notice: Notice, reach: int) -> tuple[int, int, int] | None:
+    """The match with the most matched words."""
+    return max(matches(ids, places, notice, reach), key=lambda m: m[0], default=None)
 
 
 def outermost(found: list[tuple]) -> list[tuple]:
@@ -156,21 +263,26 @@ def outermost(found: list[tuple]) -> list[tuple]:
 
 def license_scan(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, min_coverage: float = 0.8, reach: int = 8,
-    id_column: str = "doc_id", text_column: str = "text",
+    id_column: str = "doc_id", text_column: str = "text", short: int = 20,
+    telling: Mapping[str, Iterable[str]] = TELLING, barred: Mapping[str, Iterable[str]] = BARRED,
 ) -> DataFrame:
     """One row for each license found in each text: the share of the template covered, its matched
     words, and the characters from its first to its last matched word."""
     names = list(templates)
     split = [bare(words(pa.array([templates[n]]))[0]).to_pylist() for n in names]
-    vocabulary = sorted({w for t in split for w in t})
+    vocabulary = sorted({w for t in split for w in t} | {w for n in names for w in barred.get(n, ())})
     number = {w: i for i, w in enumerate(vocabulary)}
     coded = [[number[w] for w in t] for t in split]
     member = np.zeros((len(names), len(vocabulary) + 1), np.int64)
     for k, t in enumerate(coded):
         member[k, t] = 1
     # words of a template that a text may lack, counted as distinct words
-    lacking = np.array([int((1 - min_coverage) * len(t) + 1e-9) for t in coded])
+    lacking = np.array([0 if len(t) < short else int((1 - min_coverage) * len(t) + 1e-9) for t in coded])
     needed = member.sum(1) - lacking
+    notices = []
+    for name, t, lack in zip(names, coded, lacking.tolist(), strict=True):
+        told, sibling = ({number[w] for w in words_of.get(name, ()) if w in number} for words_of in (telling, barred))
+        notices.append(Notice(t, len(t) - lack, frozenset(j for j, w in enumerate(t) if w in told), frozenset(sibling)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(vocabulary, pa.string())
@@ -193,9 +305,9 @@ def license_scan(
                         continue
                     found = []
                     for k in able:
-                        matched, a, b = best_alignment(code[own].tolist(), own - bounds[doc], coded[k], reach)
-                        if matched / len(coded[k]) >= min_coverage:
-                            found.append((names[k], matched / len(coded[k]), matched, a, b))
+                        match = best_alignment(code[own].tolist(), own - bounds[doc], notices[k], reach)
+                        if match:
+                            found.append((names[k], match[0] / len(coded[k]), *match))
                     if found:
                         spans = [m.span() for m in _WORD.finditer(texts[int(doc)].as_py())]
                         rows += [(ids[int(doc)].as_py(), n, c, m, spans[a][0], spans[b][1]) for n, c, m, a, b in outermost(found)]

@@ -288,3 +288,39 @@ def test_the_field_does_not_depend_on_the_blocks_it_is_fitted_in(monkeypatch):
     assert whole.weights[0] and whole.weights[0].keys() == cut.weights[0].keys()
     np.testing.assert_allclose(cut.document, whole.document, rtol=1e-6)
     np.testing.assert_allclose(cut.moves, whole.moves, rtol=1e-6)
+
+
+def _licenses(spark, rows):
+    found = license.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {i: sorted(r.license for r in found if r.doc_id == i) for i, _ in rows}
+
+
+def test_a_notice_needs_its_telling_words_within_a_bounded_span(spark):
+    gnu = license.TEMPLATES["GPL-3.0"]
+    apache = license.TEMPLATES["Apache-2.0"]
+    rows = {
+        "Released under the BSD License": ["BSD-line"],
+        "Released under the ISC License": [],
+        "Licensed under CC BY-SA 4.0": ["CC-BY-SA-4.0-line"],
+        "Licensed under CC BY-NC-ND 4.0": ["CC-BY-NC-ND-4.0-line"],
+        "Licensed under CC BY-NC 3.0": [],
+        "Licensed under the Apache License, Version 1.1": ["Apache-1.1-line"],
+        "This work is licensed under the GNU General Public License, version 2": ["GPL-2.0-line"],
+        "This work is licensed under the GNU Library General Public License, version 2": [],
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": ["CC-BY-SA-4.0-work"],
+        "This work is licensed under a Creative Commons Attribution Share Alike 4.0 International License": [],
+        "The film was released under the title X and later sold on license.": [],
+        "It was released under the wrong name, and a friend from MIT then lost the license.": [],
+        gnu: ["GPL-3.0"],
+        gnu.replace("version 3", "version 2"): ["GPL-2.0"],
+        gnu.replace("version 3", "version 4"): [],
+        gnu.replace("General", "Lesser General"): ["LGPL-3.0"],
+        gnu.replace("General", "Library General"): [],
+        apache.replace("2.0", "1.1"): ["Apache-1.1-line"],
+        apache.replace("obtain a copy", "get one copy"): ["Apache-2.0"],
+        apache.replace(" ", "\n * ", 8): ["Apache-2.0"],
+        "It was released in May. Released under the MIT License, see the license file.": ["MIT-line"],
+        "Released under the terms of the MIT License": ["MIT-line"],
+    }
+    got = _licenses(spark, list(enumerate(rows)))
+    assert {t: got[i] for i, t in enumerate(rows)} == rows
