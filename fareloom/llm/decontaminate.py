@@ -8,7 +8,14 @@ line, each benchmark value (a number, name or unit) must always stand for the sa
 or the line is a chance likeness and does not count. A document holds an item if its consistent
 lines cover ``min_coverage`` of the item's windows.
 
-A text with fewer words than ``width`` is one window. Null and empty texts have none. Rows without
+A text with fewer words than ``width`` is one window. An item that short is looked for in longer
+documents too, in windows of its own length: as a template if it has the plain words that any window
+needs (half of ``width``), or else by its words as they are. By its words as they are is also how
+an item is looked for that has no window with enough plain words (arithmetic, tables, lists of
+names); signs and case do not count there either. All values of such windows are compared. The
+documents are read once for all these kinds of windows, which are at most two for each length.
+
+Null and empty texts have none. Rows without
 an id take no part. Repeated rows and repeated lines count once; an item that occurs twice under one
 id counts as the union of its windows. Empty tables give empty results. Only the named columns are
 read. Everything is built-in column functions and joins. Before the join, a filter of fixed size drops
@@ -17,7 +24,8 @@ windows that cannot be in the benchmark.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +46,17 @@ SENT_WINDOWS = 200_000
 FILTER_BITS = 1 << 18
 
 
+class Kind(NamedTuple):
+    """Windows that some items need beside those of ``width`` template words."""
+
+    size: int
+    raw: bool  # of the words as they are
+
+    @property
+    def column(self) -> str:
+        return f"windows_{self.size}_{'raw' if self.raw else 'template'}"
+
+
 def _parts(text: Column) -> Column:
     """Lower-case words between signs and white space."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}⟨⟩]+"), lambda w: w != "")
@@ -56,21 +75,46 @@ def templates(rows: DataFrame, key: str, text: str) -> DataFrame:
     return formed.select("key", _parts(F.col("_template")).alias("words"), F.when(F.instr("_template", "⟨") > 0, _parts(joined)).alias("raw"))
 
 
-def hashed(parts: DataFrame, width: int) -> DataFrame:
-    """``parts`` with ``windows``, the hash of every window, and ``values``, the words behind placeholders."""
-    each = parts.select(
-        "*", F.transform("words", lambda w: F.xxhash64(w)).alias("_hashes"),
-        F.zip_with("words", "raw", lambda w, r: F.when(F.instr(w, "⟨") > 0, r)).alias("values"),
-    )
+def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFrame:
+    """``parts`` with ``windows``, the hash of every window, ``values``, the words behind placeholders,
+    and the hashes of the windows of each of ``kinds``."""
+    hashes = [F.transform("words", lambda w: F.xxhash64(w)).alias("_hashes")]
+    if any(k.raw for k in kinds):
+        hashes.append(F.transform(F.coalesce("raw", "words"), lambda w: F.xxhash64(w)).alias("_raw_hashes"))
+    each = parts.select("*", *hashes, F.zip_with("words", "raw", lambda w, r: F.when(F.instr(w, "⟨") > 0, r)).alias("values"))
     # _hashes is named more than once, so that it stays a column and is not computed in each window
     places = F.sequence(F.lit(0), F.greatest(F.size("_hashes") - width, F.lit(0)))
     every = F.when(F.size("_hashes") > 0, F.transform(places, lambda i: F.xxhash64(F.slice("_hashes", i + 1, width))))
-    return each.withColumn("windows", every).drop("_hashes")
 
+    def own(kind: Kind) -> Column:
+        source = "_raw_hashes" if kind.raw else "_hashes"
+        starts = F.sequence(F.lit(0), F.greatest(F.size(source) - kind.size, F.lit(0)))
+        found = F.transform(starts, lambda i: F.xxhash64(F.slice(source, i + 1, kind.size), F.lit(int(kind.raw))))
+        return F.when(F.size(source) >= kind.size, found).otherwise(F.array().cast("array<bigint>"))
+
+    return each.withColumns({"windows": every} | {k.column: own(k) for k in kinds}).drop("_hashes", "_raw_hashes")
+
+
+def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
+    """Rows as in ``rows_of`` of the windows of a kind: one for each two values from both ends inwards."""
+    windows = F.col(kind.column)
+    places = F.when(F.size(windows) > 0, F.sequence(F.lit(0), F.size(windows) - 1)).otherwise(F.array().cast("array<int>"))
 
-def rows_of(parts: DataFrame, width: int, wanted: Callable[[Column], Column], *more: Callable[[Column], Column]) -> DataFrame:
-    """(key, at, hash, first, last, ...) of the ``wanted`` windows: place, hash, and the values
-    behind the first and the last word."""
+    def two(i: Column, k: int) -> Column:
+        name = F.get(windows, i) if k == 0 else F.xxhash64(F.get(windows, i), F.lit(k))
+        return F.struct(i.alias("at"), name.alias("hash"), F.get("values", i + k).alias("first"), F.get("values", i + kind.size - 1 - k).alias("last"))
+
+    def rows(i: Column) -> Column:
+        return F.array(*(two(i, k) for k in range((kind.size + 1) // 2)))
+
+    return F.flatten(F.transform(F.filter(places, lambda i: wanted(F.get(windows, i))), rows))
+
+
+def rows_of(
+    parts: DataFrame, width: int, wanted: Callable[[Column], Column], *more: Callable[[Column], Column], kinds: Sequence[Kind] = ()
+) -> DataFrame:
+    """(key, at, hash, first, last, ...) of the ``wanted`` windows, those of ``kinds`` among them:
+    place, hash, and the values behind the first and the last word."""
     places = F.when(F.size("windows") > 0, F.sequence(F.lit(0), F.size("windows") - 1))
     end = F.size("words") - 1
 
@@ -79,7 +123,18 @@ def rows_of(parts: DataFrame, width: int, wanted: Callable[[Column], Column], *m
         own = [i.alias("at"), F.get("windows", i).alias("hash"), F.get("values", i).alias("first"), last.alias("last")]
         return F.struct(*own, *(f(i) for f in more))
 
-    return parts.select("key", F.inline(F.transform(F.filter(places, lambda i: wanted(F.get("windows", i))), row)))
+    rows = F.transform(F.filter(places, lambda i: wanted(F.get("windows", i))), row)
+    return parts.select("key", F.inline(F.concat(rows, *(own_rows(k, wanted) for k in kinds)) if kinds else rows))
+
+
+def kinds_of(parts: DataFrame, width: int) -> DataFrame:
+    """``parts`` of the items that need windows of a kind of their own, with its ``length`` and ``as_is``."""
+    plain = lambda words: F.size(F.filter(words, lambda w: F.instr(w, "⟨") == 0))
+    n = F.size("words")
+    starts = F.sequence(F.lit(0), F.greatest(n - width, F.lit(0)))
+    eligible = F.exists(starts, lambda i: 2 * plain(F.slice("words", i + 1, width)) >= width)
+    some = parts.filter((n > 0) & ((n < width) | ~eligible))
+    return some.withColumns({"length": F.least(F.lit(width), n), "as_is": (n >= width) | (2 * plain(F.col("words")) < width)})
 
 
 def bit_filter(hashes: DataFrame, bits: int = FILTER_BITS) -> Callable[[Column], Column]:
@@ -104,8 +159,15 @@ def contaminated(
     """
     plain = lambda i: F.size(F.filter(F.slice("words", i + 1, width), lambda w: F.instr(w, "⟨") == 0)).alias("plain")
     size = lambda i: F.least(F.lit(width), F.size("words")).alias("size")
-    items = rows_of(hashed(templates(benchmark, item_column, item_text), width), width, lambda h: h.isNotNull(), plain, size)
-    items = items.filter(2 * F.col("plain") >= F.col("size")).select(
+    source = templates(benchmark, item_column, item_text)
+    items = rows_of(hashed(source, width), width, lambda h: h.isNotNull(), plain, size)
+    items = items.filter(2 * F.col("plain") >= F.col("size")).drop("plain", "size")
+    special = kinds_of(source, width)
+    kinds = sorted(Kind(*r) for r in special.select("length", "as_is").distinct().collect())  # at most 2 * width rows
+    for kind in kinds:
+        theirs = hashed(special.filter((F.col("length") == kind.size) & (F.col("as_is") == kind.raw)), width, [kind])
+        items = items.unionByName(theirs.select("key", F.inline(own_rows(kind, lambda h: h.isNotNull()))))
+    items = items.select(
         F.col("key").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("first").alias("item_first"), F.col("last").alias("item_last")
     )
     items = items.dropDuplicates(["item_id", "item_at", "hash"])
@@ -113,7 +175,8 @@ def contaminated(
     likely = bit_filter(items.select("hash"))
     if items.count() <= SENT_WINDOWS:  # the same rows either way
         items = F.broadcast(items)
-    found = rows_of(hashed(templates(docs, id_column, text_column), width), width, likely).withColumnRenamed("key", "doc_id").join(items, "hash")
+    own = hashed(templates(docs, id_column, text_column), width, kinds)
+    found = rows_of(own, width, likely, kinds=kinds).withColumnRenamed("key", "doc_id").join(items, "hash")
 
     def pair(a: str, b: str) -> Column:
         return F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.struct(F.col(a).alias("item"), F.col(b).alias("doc")))

@@ -324,3 +324,26 @@ def test_a_notice_needs_its_telling_words_within_a_bounded_span(spark):
     }
     got = _licenses(spark, list(enumerate(rows)))
     assert {t: got[i] for i, t in enumerate(rows)} == rows
+
+
+def test_decontamination_finds_short_items_and_items_of_numbers(spark):
+    items = [
+        (1, "What colour has the sky?"), (2, "12 + 7 = 19"), (3, "What is 12 plus 7?"), (4, "So 12 is 12 now"),
+        (5, "3.5 kg 7 lb 12 oz 9 g 4 km 8 mm"), (6, "What is Paris?"), (7, "hello"),
+    ]
+    around = "Some other words stand before it here. {} And then many more words follow after it."
+    docs = {
+        items[0][1]: {1}, around.format("what colour has the sky?"): {1}, around.format("What colour has the sea?"): set(),
+        around.format(items[1][1]): {2}, around.format("12 + 7 = 20"): set(), items[1][1]: {2},
+        around.format(items[2][1]): {3}, around.format("What is 15 plus 9?"): {3}, around.format("What is 15 minus 9?"): set(),
+        around.format("So 5 is 5 now"): {4}, around.format("So 5 is 6 now"): set(),
+        around.format(items[4][1]): {5}, around.format("1 kg 2 lb 3 oz 4 g 5 km 6 mm"): set(),
+        around.format("What is Paris?"): {6}, around.format("What is Rome?"): set(), "What is Rome?": {6},
+        around.format("Hello!"): {7}, around.format("Nothing."): set(),
+    }
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    rows = decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {t: {r.item_id for r in rows if r.doc_id == i} for i, t in enumerate(docs)}
+    assert got == docs
+    assert {(r.doc_id, r.n_values, r.n_changed) for r in rows if r.item_id == 3} == {(6, 2, 0), (7, 2, 2)}
+    assert all(r.coverage == 1 for r in rows)
