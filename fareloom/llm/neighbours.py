@@ -1,10 +1,13 @@
 """Nearest vectors by an inverted multi-index.
 
-Each half of a vector is quantised by a codebook of its own, so a pair of centroids names a cell.
-For a query, cells are visited in order of the sum of the query halves' distances to the centroids,
-found with a heap over the two sorted lists of distances, until the visited cells hold ``share`` of
-all distinct vectors (``least`` at least). The vectors of those cells are reranked by their exact
-inner product. On vectors without any structure a query's neighbours lie in most cells, so that the
+Each half of a vector's direction is quantised by a codebook of its own. A pair of centroids and a
+tier of lengths (steps of a third of a doubling around the median; one tier if lengths are alike)
+name a cell. A vector of length s is among the nearest if its direction's product with the query is
+above t / s, where t is the score of the last one wanted, as a probe of the sample puts it. So cells
+are visited in order of how much the sum of the query halves' products with the centroids is above
+t / s of their tier, the largest first, found with a heap over the two sorted lists, until the
+visited cells hold ``share`` of all distinct vectors (``least`` at least). Their vectors are reranked
+by their exact inner product. On vectors without any structure a query's neighbours lie in most cells, so that the
 share must be large; where vectors form clusters a small one gives the same recall.
 
 Codebooks are fitted on a bounded sample (``sample`` vectors, by a hash of the id); every row is
@@ -33,6 +36,12 @@ from fareloom.llm.common import released, staged
 
 SAMPLE = 20_000
 
+#: Vectors of the sample that a query is tried on to guess its last score: 1 MB at 64 components.
+PROBE = 2000
+
+#: Tiers of lengths below and above the median's; what is shorter or longer goes to the outermost.
+TIERS = (-6, 12)
+
 
 def usable(rows: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     """(id, v) of the rows that take part, as double precision."""
@@ -61,26 +70,45 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return distances(x, centres).argmin(1)
 
 
-def multi_sequence(left: np.ndarray, right: np.ndarray, sizes: dict[int, int], budget: float) -> list[int]:
-    """Cells in order of summed distance until those visited hold ``budget`` vectors.
+def directions(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length one, and the lengths; no vector is zero."""
+    most = np.abs(v).max(1)
+    v = v / most[:, None]
+    length = np.sqrt((v * v).sum(1))
+    return v / length[:, None], most * length
+
+
+def tiers(lengths: np.ndarray, middle: float) -> np.ndarray:
+    """Tiers of lengths, counted from 0."""
+    step = np.floor(3 * np.log2(lengths / middle) + 0.5)
+    return np.clip(step, *TIERS).astype(np.int64) - TIERS[0]
+
+
+def multi_sequence(left: np.ndarray, right: np.ndarray, sizes: dict[int, int], budget: float, offsets: dict[int, float] | None = None) -> list[int]:
+    """Cells in order of summed cost until those visited hold ``budget`` vectors.
 
-    ``left`` and ``right`` are the distances to the centroids of the two halves. A cell goes on the
-    heap when both its neighbours nearer to the origin have been taken.
+    ``left`` and ``right`` are the costs of the centroids of the two halves, ``offsets`` those of the
+    tiers. A cell goes on the heap when both its neighbours nearer to the origin have been taken.
     """
+    offsets = offsets or {0: 0.0}
     rank_l, rank_r = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
-    heap, taken = [(left[rank_l[0]] + right[rank_r[0]], 0, 0)], [0] * len(rank_l)
+    cost_l, cost_r = left[rank_l].tolist(), right[rank_r].tolist()
+    heap = [(cost_l[0] + cost_r[0] + x, t, 0, 0) for t, x in offsets.items()]
+    heapq.heapify(heap)
+    all_taken = {t: [0] * len(rank_l) for t in offsets}
     found, held = [], 0
     while heap and held < budget:
-        _, i, j = heapq.heappop(heap)
-        cell = int(rank_l[i]) * len(rank_r) + int(rank_r[j])
+        _, t, i, j = heapq.heappop(heap)
+        taken, x = all_taken[t], offsets[t]
+        cell = (t * len(rank_l) + int(rank_l[i])) * len(rank_r) + int(rank_r[j])
         taken[i] = j + 1
         if cell in sizes:
             found.append(cell)
             held += sizes[cell]
         if i + 1 < len(rank_l) and taken[i + 1] == j:
-            heapq.heappush(heap, (left[rank_l[i + 1]] + right[rank_r[j]], i + 1, j))
+            heapq.heappush(heap, (cost_l[i + 1] + cost_r[j] + x, t, i + 1, j))
         if j + 1 < len(rank_r) and (i == 0 or taken[i - 1] > j + 1):
-            heapq.heappush(heap, (left[rank_l[i]] + right[rank_r[j + 1]], i, j + 1))
+            heapq.heappush(heap, (cost_l[i] + cost_r[j + 1] + x, t, i, j + 1))
     return found
 
 
@@ -110,20 +138,25 @@ def inverted_multi_index(
     if dim < 2:
         return spark.createDataFrame([], schema)
     base, asked = base.filter(F.size("v") == dim), asked.filter(F.size("v") == dim).dropDuplicates(["id"])
-    x, half = np.array([r["v"] for r in taken if len(r["v"]) == dim]), dim // 2
+    x, lengths = directions(np.array([r["v"] for r in taken if len(r["v"]) == dim]))
+    half, middle = dim // 2, float(np.median(lengths))
     books = (kmeans(x[:, :half], centroids), kmeans(x[:, half:], centroids))
-    width = len(books[1])
+    height, width = len(books[0]), len(books[1])
+    probe = x[:PROBE] * lengths[:PROBE, None]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = batch.column("v").flatten().to_numpy().reshape(-1, dim)
-            cell = nearest(v[:, :half], books[0]) * width + nearest(v[:, half:], books[1])
+            unit, length = directions(v)
+            cell = (tiers(length, middle) * height + nearest(unit[:, :half], books[0])) * width + nearest(unit[:, half:], books[1])
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int64))], ["id", "v", "cell"])
 
     indexed = staged(base.mapInArrow(released(assign), "id long, v array<double>, cell long"), "multi-index")
     counted = indexed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("v")).alias("distinct"))
-    cells = sorted(tuple(r) for r in counted.collect())  # at most centroids ** 2 cells
+    cells = sorted(tuple(r) for r in counted.collect())  # at most centroids ** 2 cells a tier
     distinct = {c: int(d) for c, _, d in cells}
+    scales = {t: middle * 2 ** ((t + TIERS[0]) / 3) for t in sorted({c // (height * width) for c in distinct})}
+    rank = min(len(probe), max(1, round(k * len(probe) / max(1, sum(n for _, n, _ in cells)))))
     budget = max(least, share * sum(distinct.values()))
     shelves = lay([(c, n) for c, n, _ in cells], block)
     first_shelf = {c: (first, parts) for c, first, parts in shelves}
@@ -132,10 +165,12 @@ def inverted_multi_index(
         for batch in batches:
             ids, at, shelf, wanted = batch.column("id"), [], [], []
             v = batch.column("v").flatten().to_numpy().reshape(-1, dim)
-            left, right = distances(v[:, :half], books[0]), distances(v[:, half:], books[1])
+            left, right = -v[:, :half] @ books[0].T, -v[:, half:] @ books[1].T
+            last = np.partition(v @ probe.T, len(probe) - rank, axis=1)[:, len(probe) - rank]
             for i in range(len(v)):
                 by_shelf: dict[int, list[int]] = {}
-                for cell in multi_sequence(left[i], right[i], distinct, budget):
+                offsets = {t: float(last[i]) / s for t, s in scales.items()}
+                for cell in multi_sequence(left[i], right[i], distinct, budget, offsets):
                     first, parts = first_shelf[cell]
                     for s in range(first, first + parts):
                         by_shelf.setdefault(s, []).append(cell)

@@ -347,3 +347,19 @@ def test_decontamination_finds_short_items_and_items_of_numbers(spark):
     assert got == docs
     assert {(r.doc_id, r.n_values, r.n_changed) for r in rows if r.item_id == 3} == {(6, 2, 0), (7, 2, 2)}
     assert all(r.coverage == 1 for r in rows)
+
+
+def test_recall_of_the_multi_index_on_vectors_of_unequal_length(spark):
+    chance = np.random.default_rng(4)
+    unit = chance.normal(size=(3000, 32))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    for sigma in (0.5, 1.0):
+        v = unit * np.exp(sigma * chance.normal(size=len(unit)))[:, None]
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+        found = neighbours.inverted_multi_index(df, df.filter("vec_id % 50 = 0"), centroids=8, least=10).collect()
+        hit = 0
+        for i in range(0, len(v), 50):
+            score = v @ v[i]
+            score[i] = -np.inf
+            hit += len(set(np.argsort(-score)[:20].tolist()) & {r.vec_id for r in found if r.query_id == i})
+        assert hit / (20 * len(v) / 50) >= 0.9
