@@ -9,15 +9,15 @@ Only words that occur in some template matter, so a text is first reduced to tho
 with their places; a template is aligned only if the distinct words it shares with the text could
 reach the wanted coverage. The reduced text is cut at long stretches without any template word
 (``reach`` words), since a license is not spread over them, and aligned in windows around the words
-that a match cannot lack; the best match counts.
+that a match cannot lack. All matches count, those of one template without overlap.
 
 A notice of fewer than ``short`` words must be there in full; a longer one needs its telling words
 (name, variant, version). From its first to its last matched word a match has at most half as many
 words again as the template (three more at least), and no word among them that names a sibling.
 
 Null and empty texts have no words and no rows. Repeated rows give repeated results; a null id stays
-null. Ties between stretches go to the first, and all templates that reach the coverage are listed,
-but for those that lie within another one's span with no more matched words. Offsets count
+null. All templates that reach the coverage are listed, at each place, but for matches that lie
+within another one's span with no more matched words. Offsets count
 characters. Only the id and text columns are read.
 """
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping
 from typing import NamedTuple
 
@@ -229,7 +229,7 @@ def matches(ids: list[int], places: np.ndarray, notice: Notice, reach: int) -> I
             if own[k] not in holders or at[k] <= done:
                 continue
             if notice.least == n:
-                found = in_full(own, at, notice, k, a)
+                found = in_full(own, at, notice, k, bisect_left(at, done + 1, a, b))
             else:
                 low, high = at[k] - max(within[own[k]]) * 3 // 2 - 3, at[k] + (n - min(within[own[k]])) * 3 // 2 + 3
                 first, end = bisect_left(at, max(low, done + 1), a, b), bisect_left(at, high + 1, a, b)
@@ -247,18 +247,19 @@ def matches(ids: list[int], places: np.ndarray, notice: Notice, reach: int) -> I
             done = stop
 
 
-def best_alignment(ids: list[int], places: np.ndarray, notice: Notice, reach: int) -> tuple[int, int, int] | None:
-    """The match with the most matched words."""
-    return max(matches(ids, places, notice, reach), key=lambda m: m[0], default=None)
+#: Words of a text for which ``outermost`` keeps a list of spans, so that a match is held against few.
+NEAR = 256
 
 
 def outermost(found: list[tuple]) -> list[tuple]:
-    """Matches that do not lie within another's span with no more matched words."""
-    kept = []
-    for name, coverage, matched, a, b in sorted(found, key=lambda x: (-x[2], -x[1], x[0])):
-        if not any(c <= a and b <= d for _, _, _, c, d in kept):
+    """Matches that do not lie within another's span with no more matched words, by their places."""
+    kept, spans = [], defaultdict(list)
+    for name, coverage, matched, a, b in sorted(found, key=lambda x: (-x[2], -x[1], x[0], x[3])):
+        if not any(c <= a and b <= d for c, d in spans[a // NEAR]):
             kept.append((name, coverage, matched, a, b))
-    return kept
+            for near in range(a // NEAR, b // NEAR + 1):
+                spans[near].append((a, b))
+    return sorted(kept, key=lambda x: (x[3], x[4], x[0]))
 
 
 def license_scan(
@@ -266,7 +267,7 @@ def license_scan(
     id_column: str = "doc_id", text_column: str = "text", short: int = 20,
     telling: Mapping[str, Iterable[str]] = TELLING, barred: Mapping[str, Iterable[str]] = BARRED,
 ) -> DataFrame:
-    """One row for each license found in each text: the share of the template covered, its matched
+    """One row for each place of each license in each text: the share of the template covered, its matched
     words, and the characters from its first to its last matched word."""
     names = list(templates)
     split = [bare(words(pa.array([templates[n]]))[0]).to_pylist() for n in names]
@@ -305,8 +306,7 @@ def license_scan(
                         continue
                     found = []
                     for k in able:
-                        match = best_alignment(code[own].tolist(), own - bounds[doc], notices[k], reach)
-                        if match:
+                        for match in matches(code[own].tolist(), own - bounds[doc], notices[k], reach):
                             found.append((names[k], match[0] / len(coded[k]), *match))
                     if found:
                         spans = [m.span() for m in _WORD.finditer(texts[int(doc)].as_py())]

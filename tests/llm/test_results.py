@@ -363,3 +363,17 @@ def test_recall_of_the_multi_index_on_vectors_of_unequal_length(spark):
             score[i] = -np.inf
             hit += len(set(np.argsort(-score)[:20].tolist()) & {r.vec_id for r in found if r.query_id == i})
         assert hit / (20 * len(v) / 50) >= 0.9
+
+
+def test_every_place_of_a_notice_is_listed(spark):
+    t = license.TEMPLATES
+    between = "\n\n".join(["some words of a file that stand between its head and the next one"] * 3)
+    parts = [t["MIT-line"], t["Apache-2.0"], t["MIT-line"], t["MIT"], t["MIT"], t["Apache-2.0"].replace("obtain a copy", "get one copy"), t["MIT-line"]]
+    rows = {1: f"\n{between}\n".join(parts), 2: " ".join([t["GPL-3.0"]] * 40), 3: " ".join([t["MIT-line"]] * 500), 4: between}
+    found = license.license_scan(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()
+    names = {i: [r.license for r in sorted(found, key=lambda r: r.start) if r.doc_id == i] for i in rows}
+    assert names == {
+        1: ["MIT-line", "Apache-2.0", "MIT-line", "MIT", "MIT", "Apache-2.0", "MIT-line"],
+        2: ["GPL-3.0"] * 40, 3: ["MIT-line"] * 500, 4: [],
+    }
+    assert all(rows[2][r.start : r.end].startswith("This program") and r.coverage == 1 for r in found if r.doc_id == 2)
