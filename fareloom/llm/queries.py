@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import decontaminate, language, license, lm, neardup, neighbours, packing, quality, tokens, toxicity
+from fareloom.llm import decontaminate, language, license, lm, neardup, neighbours, packing, quality, tokens, toxicity, urls
 from fareloom.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,10 +85,20 @@ def op10_offset_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return tokens.token_counts(table(spark, directory, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+URL_RULES = """VALUES
+  ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+"""
+
+
+def op12_url_rules(spark: SparkSession, directory: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM ({URL_RULES}) AS rules (verdict, host, path)")
+    return urls.url_filter(table(spark, directory, "pages"), rules)
+
+
 _OPERATORS = (
     op1_toxicity_crf, op2_template_decontamination, op3_license_patience, op4_quality_random_indexing,
     op5_minhash_inverted_join, op6_stupid_backoff, op7_language_fusion, op8_harmonic_packing,
-    op9_inverted_multi_index, op10_offset_token_counts,
+    op9_inverted_multi_index, op10_offset_token_counts, op12_url_rules,
 )
 
 
@@ -108,7 +118,7 @@ def registered() -> dict[str, Query]:
 
 def statements() -> dict[str, str]:
     """SQL for the queries that it can state within the time of a check."""
-    return {"op5_minhash_inverted_join": NEAR_DUPLICATES}
+    return {"op5_minhash_inverted_join": NEAR_DUPLICATES, "op12_url_rules": URL_VERDICTS}
 
 
 # runs of five words per document, pairs that share one, exact similarity, and the smallest id reached
@@ -139,3 +149,19 @@ SELECT sets.doc_id, CAST(len(any_value(sets.s)) AS BIGINT) AS n_shingles, min(re
   sets.doc_id = min(reach.other) AS kept
 FROM sets JOIN reach USING (doc_id) GROUP BY sets.doc_id
 """
+
+# every rule against every page, the longest that fits
+URL_VERDICTS = rf"""
+WITH rules (verdict, host, path) AS ({URL_RULES}), cut AS (
+  SELECT row_number() OVER () AS n, page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), fits AS (
+  SELECT c.n, r.host || r.path AS rule, r.verdict,
+    row_number() OVER (PARTITION BY c.n ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS place
+  FROM cut c JOIN rules r ON (c.host = r.host OR ends_with(c.host, '.' || r.host)) AND starts_with(c.path, r.path)
+)
+SELECT c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM cut c LEFT JOIN fits f ON f.n = c.n AND f.place = 1
+"""
