@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import decontaminate, language, license, lm, neardup, neighbours, packing, quality, tokens, toxicity, urls
+from fareloom.llm import decontaminate, language, license, lm, neardup, neighbours, packing, quality, runs, tokens, toxicity, urls
 from fareloom.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +87,19 @@ def op10_offset_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return tokens.token_counts(table(spark, directory, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def repeated_tails(ids: list, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From which word on, and after how many words, a tenth of the documents repeat themselves."""
+    hashes = np.array([1 if i is None else zlib.crc32(str(i).encode()) for i in ids], np.int64)
+    g, some = hashes // 10, (hashes % 10 == 0) & (counts > 0)
+    since = np.where(some, g % np.maximum(counts, 1), counts)
+    return since, np.where(some, 1 + (counts - since) // (3 + g % 8), 1)
+
+
+def op13_recompressed_runs(spark: SparkSession, directory: str) -> DataFrame:
+    found = runs.word_runs(table(spark, directory, "documents"), least=12, tails=repeated_tails)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 URL_RULES = """VALUES
   ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
 """
@@ -99,6 +114,7 @@ _OPERATORS = (
     op1_toxicity_crf, op2_template_decontamination, op3_license_patience, op4_quality_random_indexing,
     op5_minhash_inverted_join, op6_stupid_backoff, op7_language_fusion, op8_harmonic_packing,
     op9_inverted_multi_index, op10_offset_token_counts, op12_url_rules,
+    op13_recompressed_runs,
 )
 
 
