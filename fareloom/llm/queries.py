@@ -11,7 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import decontaminate, language, license, lm, neardup, neighbours, packing, quality, runs, tokens, toxicity, urls
+from fareloom.llm import (
+    collocations, decontaminate, language, license, lm, neardup, neighbours, packing, quality, runs, tokens, toxicity, urls,
+)
 from fareloom.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +102,10 @@ def op13_recompressed_runs(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
 
 
+def op11_son_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return collocations.collocations(table(spark, directory, "documents"), support=30, top=2000, absorbed=80)
+
+
 URL_RULES = """VALUES
   ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
 """
@@ -113,7 +119,7 @@ def op12_url_rules(spark: SparkSession, directory: str) -> DataFrame:
 _OPERATORS = (
     op1_toxicity_crf, op2_template_decontamination, op3_license_patience, op4_quality_random_indexing,
     op5_minhash_inverted_join, op6_stupid_backoff, op7_language_fusion, op8_harmonic_packing,
-    op9_inverted_multi_index, op10_offset_token_counts, op12_url_rules,
+    op9_inverted_multi_index, op10_offset_token_counts, op11_son_collocations, op12_url_rules,
     op13_recompressed_runs,
 )
 
@@ -134,7 +140,7 @@ def registered() -> dict[str, Query]:
 
 def statements() -> dict[str, str]:
     """SQL for the queries that it can state within the time of a check."""
-    return {"op5_minhash_inverted_join": NEAR_DUPLICATES, "op12_url_rules": URL_VERDICTS}
+    return {"op5_minhash_inverted_join": NEAR_DUPLICATES, "op11_son_collocations": COLLOCATIONS, "op12_url_rules": URL_VERDICTS}
 
 
 # runs of five words per document, pairs that share one, exact similarity, and the smallest id reached
@@ -181,3 +187,39 @@ WITH rules (verdict, host, path) AS ({URL_RULES}), cut AS (
 SELECT c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM cut c LEFT JOIN fits f ON f.n = c.n AND f.place = 1
 """
+
+# every phrase counted, every cut scored, every phrase inside another compared
+COLLOCATIONS = r"""
+WITH lines AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM lines
+), cut AS (
+  SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM cut, range(1, 5) AS sizes (size) WHERE len(w) >= size
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, string_split(phrase, ' ') AS w, a FROM counts WHERE size >= 2 AND a >= 30
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (l.a + r.a) AS BIGINT) AS score
+  FROM candidates c, range(1, 4) AS ks (k)
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+  WHERE k < c.size
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT DISTINCT c.lang, array_to_string(c.w[i:i + m - 1], ' ') AS phrase, c.a AS wider
+  FROM candidates c, range(2, 4) AS ms (m), range(1, 4) AS starts (i) WHERE m < c.size AND i + m - 1 <= c.size
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest w
+  WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = w.lang AND i.phrase = w.phrase AND 100 * i.wider >= 80 * w.a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN totals USING (lang) WHERE rank <= 2000
+"""
