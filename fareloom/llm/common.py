@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,10 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def steps(batch: pa.RecordBatch, column: str, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch by rows so that each part's texts stay near ``size`` bytes."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+def steps(batch: pa.RecordBatch, columns: str | Sequence[str], size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch by rows so that each part's texts in ``columns`` stay near ``size`` bytes."""
+    names = [columns] if isinstance(columns, str) else columns
+    lengths = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in names)
     part = np.cumsum(lengths, dtype=np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:], strict=False):

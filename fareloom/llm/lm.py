@@ -12,7 +12,8 @@ distinct bigrams of every document are exploded to rows and meet the count table
 key; none of these keys has more than that share of the rows. The parts are summed per document.
 
 Null and empty texts have no tokens, a sum of 0 and a null mean. Every row is scored for itself, so
-rows that repeat are scored alike, each seeing the others; a null id stays null. Empty tables give
+rows that repeat are scored alike, each seeing the others; a null id stays null. Texts are read whole,
+of any length and with any run of white space; one beyond the size of a step is a step of its own. Empty tables give
 empty results. Only the id and text columns are read.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.llm.common import released, staged, steps
-from fareloom.llm.tokens import load_encoder
+from fareloom.llm.tokens import encode_whole, load_encoder
 
 #: Share of the corpus (one in this many) from which a bigram is resolved by the broadcast table.
 HEAVY = 200_000
@@ -46,7 +47,7 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, id_column: str, text_colu
         for batch in batches:
             for part in steps(batch, "text"):
                 texts = pc.utf8_lower(pc.fill_null(part.column("text"), "")).to_pylist()
-                ids = [encoder.encode_to_numpy(t, disallowed_special=()).astype("<u2").tobytes() for t in texts]
+                ids = [encode_whole(encoder, t).astype("<u2").tobytes() for t in texts]
                 numbers = np.arange(row, row + len(ids))
                 row += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(numbers), part.column("doc_id"), pa.array(ids, pa.binary())], ["row", "doc_id", "ids"])

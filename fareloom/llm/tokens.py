@@ -7,13 +7,15 @@ section with its first byte), ``last`` (with its last byte) or ``most`` (with mo
 earlier at a tie). A separating line break belongs to the section it ends.
 
 A null or empty field has no section; a document without any text has no rows. Repeated rows give
-repeated results. Empty tables give empty results, and only the named columns are read. Offsets are
+repeated results. A text may be of any length, long runs of white space included; one beyond the size of
+a step is a step of its own. Empty tables give empty results, and only the named columns are read. Offsets are
 bytes of UTF-8, from the start of the field.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import released
+from fareloom.llm.common import released, steps
 
 RULES = ("first", "last", "most")
 SCHEMA = "doc_id long, field string, section int, start long, end long, n_tokens long, n_crossing long, doc_tokens long"
@@ -39,6 +41,27 @@ def load_encoder(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
 
 
+#: White space as the pattern understands it (fixed values: the Unicode property), in runs that would
+#: exhaust the pattern's stack.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
+
+def encode_whole(encoder, text: str) -> np.ndarray:
+    """Ids of a text of any length.
+
+    The pattern takes a run of white space whole but for its last character, which begins the next
+    piece, or quite whole at the end of the text. Long runs are cut out that way beforehand.
+    """
+    ids, at = [], 0
+    for run in LONG_BLANKS.finditer(text):
+        begin, end = run.start(), run.end() - (run.end() < len(text))
+        ids.append(encoder.encode_to_numpy(text[at:begin], disallowed_special=()))
+        ids.append(np.array(encoder._encode_single_piece(text[begin:end]), np.uint32))
+        at = end
+    rest = encoder.encode_to_numpy(text[at:] if at else text, disallowed_special=())
+    return np.concatenate([*ids, rest]) if ids else rest
+
+
 def attribute(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """For each token span its section and whether it crosses; section i is bounds[i] to bounds[i + 1]."""
     first = np.searchsorted(bounds, starts, "right") - 1
@@ -70,19 +93,20 @@ def token_counts(
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}, not {rule}")
     names = list(fields)
+    cells = [f"f{i}" for i in range(len(names))]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, lengths = load_encoder(ranks, pattern)
-        for batch in batches:
-            columns = [batch.column(f"f{i}") for i in range(len(names))]
-            ids, found = batch.column("doc_id").to_pylist(), []
+        for part in (p for batch in batches for p in steps(batch, cells)):
+            columns = [part.column(c) for c in cells]
+            ids, found = part.column("doc_id").to_pylist(), []
             for row, doc_id in enumerate(ids):
                 texts = [(n, c[row].as_py()) for n, c in zip(names, columns, strict=True)]
                 texts = [(n, t) for n, t in texts if t]
                 if not texts:
                     continue
                 whole = "\n".join(t for _, t in texts)
-                ends = np.cumsum(lengths[encoder.encode_to_numpy(whole, disallowed_special=())])
+                ends = np.cumsum(lengths[encode_whole(encoder, whole)])
                 starts = np.concatenate([[0], ends[:-1]])
                 bounds, owner, base, at = [], [], [], 0
                 for k, (name, text) in enumerate(texts):
@@ -107,7 +131,7 @@ def token_counts(
                 yield _batch(found)
 
     rows = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), *(F.col(n).cast("string").alias(f"f{i}") for i, n in enumerate(names))
+        F.col(id_column).cast("long").alias("doc_id"), *(F.col(n).cast("string").alias(c) for n, c in zip(names, cells, strict=True))
     )
     return rows.mapInArrow(released(count), SCHEMA)
 
