@@ -8,13 +8,16 @@ into full sequences, and the last rest into sequences whose lengths are powers o
 no padding.
 
 A null or empty text has the end mark alone. Rows are packed one by one, so repeated rows and ties
-of id are each packed in full; a null id stays null. An empty table gives an empty result. Only the
+of id are each packed in full; a null id stays null. A text of any length is cut into pieces; one beyond
+the size of a step is a step of its own. An empty table gives an empty result. Only the
 two named columns are read, whatever else the table holds.
 """
 
 from __future__ import annotations
 
+import functools
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +34,30 @@ SCHEMA = "doc_id long, start long, length long, tokens binary, doc_tokens long,
 #: Recurring words whose ids a worker remembers between batches.
 REMEMBERED = 150_000
 
-#: Characters beside which words cannot be parted without a look at the tokenizer's own rules.
-JOINED = r"['\pM]|<\|"
+
+@functools.cache
+def joined() -> str:
+    """A pattern of what words cannot be parted beside without a look at the tokenizer's own rules:
+    apostrophes, marks, the text form of special tokens; signs and letters that become, or get, a mark
+    when they are composed and put in lower case, as the tokenizer does first; and characters too new
+    for the tables at hand to tell letters from signs."""
+    points = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    known = pc.match_substring_regex(pa.array([chr(c) for c in points]), r"[\pL\pN]").to_pylist()
+
+    def odd(c: int, letter: bool) -> bool:
+        kind = unicodedata.category(chr(c))
+        if kind == "Cn" or letter != (kind[0] in "LN"):
+            return True
+        return kind[0] != "M" and any(unicodedata.category(x)[0] == "M" for x in unicodedata.normalize("NFC", chr(c)).lower())
+
+    ranges: list[list[int]] = []
+    for c, letter in zip(points, known, strict=True):
+        if odd(c, letter):
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return f"['\\pM{''.join(f'\\x{{{a:X}}}-\\x{{{b:X}}}' for a, b in ranges)}]|<\\|"
 
 
 class WordEncoder:
@@ -43,7 +68,8 @@ class WordEncoder:
     tokenizer whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, together: str) -> None:
+        self.together = together
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -74,7 +100,8 @@ class WordEncoder:
         texts = pc.fill_null(texts, "")
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         parted = pc.replace_substring_regex(texts, r"([^\pL\pN\s]+)", r" \1 ")
-        flat, bounds = words(pc.if_else(pc.match_substring_regex(texts, JOINED), texts, parted))
+        # lower case first, or marks first: what is composed differs, so texts with marks stay as they are
+        flat, bounds = words(pc.if_else(pc.match_substring_regex(texts, self.together), texts, pc.ascii_lower(parted)), lower=False)
         distinct, place = uniques(flat)
         ids = self._words(distinct.to_pylist(), np.bincount(place, minlength=len(distinct)) > 1)
         lengths = np.array([len(x) for x in ids], np.int64)
@@ -164,10 +191,10 @@ class Bins:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder_of(path: str) -> WordEncoder:
+def encoder_of(path: str, together: str) -> WordEncoder:
     """One encoder for each worker process, so that its memory of words outlives a task."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = WordEncoder(path, together)
     return _ENCODERS[path]
 
 
@@ -185,8 +212,10 @@ def harmonic_packing(
          ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
     )
 
+    together = joined()
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, small = encoder_of(tokenizer), tail_classes(capacity, tail)
+        encode, small = encoder_of(tokenizer, together), tail_classes(capacity, tail)
         bins = Bins(capacity, TaskContext.get().partitionId() << 40)
         end = np.array([end_id], "<u4")
         for batch in batches:
