@@ -1,6 +1,8 @@
 """Nearest vectors by an inverted multi-index.
 
-Each half of a vector's direction is quantised by a codebook of its own. A pair of centroids and a
+The sample's mean is taken from every vector first: a query's product with it is the same for all, so
+the order stays, and what is left points in all directions even where the vectors lie to one side.
+Each half of such a direction is quantised by a codebook of its own. A pair of centroids and a
 tier of lengths (steps of a third of a doubling around the median; one tier if lengths are alike)
 name a cell. A vector of length s is among the nearest if its direction's product with the query is
 above t / s, where t is the score of the last one wanted, as a probe of the sample puts it. So cells
@@ -18,7 +20,7 @@ count once towards the share, so a cell full of copies does not end the search.
 
 Null, zero and non-finite vectors, vectors with null components or of another length than most, and
 rows without an id take no part. Rows that repeat an id are all candidates, but one id is listed once
-for a query, by its best score. Ties go to the smaller id. Empty tables give empty results.
+for a query, by its best score; of query rows that repeat an id, the one with the smallest vector asks. Ties go to the smaller id. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -71,16 +73,16 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def directions(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of length one, and the lengths; no vector is zero."""
+    """Vectors of length one, and the lengths; a zero vector stays one."""
     most = np.abs(v).max(1)
-    v = v / most[:, None]
+    v = v / np.where(most > 0, most, 1)[:, None]
     length = np.sqrt((v * v).sum(1))
-    return v / length[:, None], most * length
+    return v / np.where(length > 0, length, 1)[:, None], most * length
 
 
 def tiers(lengths: np.ndarray, middle: float) -> np.ndarray:
     """Tiers of lengths, counted from 0."""
-    step = np.floor(3 * np.log2(lengths / middle) + 0.5)
+    step = np.floor(3 * np.log2(np.maximum(lengths / middle, 2.0 ** TIERS[0])) + 0.5)
     return np.clip(step, *TIERS).astype(np.int64) - TIERS[0]
 
 
@@ -137,17 +139,19 @@ def inverted_multi_index(
     schema = "query_id long, rank int, vec_id long, score double"
     if dim < 2:
         return spark.createDataFrame([], schema)
-    base, asked = base.filter(F.size("v") == dim), asked.filter(F.size("v") == dim).dropDuplicates(["id"])
-    x, lengths = directions(np.array([r["v"] for r in taken if len(r["v"]) == dim]))
-    half, middle = dim // 2, float(np.median(lengths))
+    base, asked = base.filter(F.size("v") == dim), asked.filter(F.size("v") == dim).groupBy("id").agg(F.min("v").alias("v"))
+    x = np.array([r["v"] for r in taken if len(r["v"]) == dim])
+    mean = x.mean(0)
+    probe = x[:PROBE] - mean
+    x, lengths = directions(x - mean)
+    half, middle = dim // 2, float(np.median(lengths[lengths > 0])) if lengths.any() else 1.0
     books = (kmeans(x[:, :half], centroids), kmeans(x[:, half:], centroids))
     height, width = len(books[0]), len(books[1])
-    probe = x[:PROBE] * lengths[:PROBE, None]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = batch.column("v").flatten().to_numpy().reshape(-1, dim)
-            unit, length = directions(v)
+            unit, length = directions(v - mean)
             cell = (tiers(length, middle) * height + nearest(unit[:, :half], books[0])) * width + nearest(unit[:, half:], books[1])
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int64))], ["id", "v", "cell"])
 
