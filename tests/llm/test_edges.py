@@ -87,4 +87,4 @@ def test_neighbours_take_every_kind_of_row(spark):
 
 
 def test_every_operator_is_registered_once():
-    assert [k.split("_")[0] for k in registered()] == [*(f"op{n}" for n in range(1, 11)), "pipeline"]
+    assert [k.split("_")[0] for k in registered()] == [*(f"op{n}" for n in range(1, 14)), "pipeline"]
