@@ -185,6 +185,9 @@ def reemit(bookings: DataFrame, ids: DataFrame) -> DataFrame:
 
 # --- delivery ---------------------------------------------------------------------------
 
+# kinds of events that somebody consumes
+CONSUMED = ("booking", "chat_message")
+
 
 def pending_events(log: DataFrame, state: DataFrame, max_retry: int = MAX_RETRY) -> DataFrame:
     """Events neither delivered nor out of attempts. ``state`` is unique per event."""
@@ -194,7 +197,7 @@ def pending_events(log: DataFrame, state: DataFrame, max_retry: int = MAX_RETRY)
 
 def dead_letters(log: DataFrame, state: DataFrame, max_retry: int = MAX_RETRY) -> DataFrame:
     """Undelivered events that used up their attempts, and events of a kind nobody consumes."""
-    known = F.col("aggregate_type").isin("booking", "chat_message")
+    known = F.col("aggregate_type").isin(*CONSUMED)
     parked = state.filter(F.col("delivered_at").isNull() & (F.col("attempts") >= max_retry))
     rows = log.join(parked.select(F.col("event_id").alias("id"), "attempts"), "id", "left")
     reason = F.when(~known, "unknown_type").when(F.col("attempts").isNotNull(), "retries_exhausted")
@@ -309,6 +312,16 @@ def booking_document(events: DataFrame) -> DataFrame:
     return _document(events.withColumn("p", F.from_json("payload", PAYLOAD_SCHEMA)), "aggregate_id", "created_at")
 
 
+def documents_of_events(events: DataFrame) -> DataFrame:
+    """The document of each booking's newest event, deletions marked rather than dropped.
+
+    ``event_at`` and ``event_id`` order documents of the same booking.
+    """
+    parsed = latest_event(events).withColumn("p", F.from_json("payload", PAYLOAD_SCHEMA))
+    deleted = (F.col("event_type") == "deleted").alias("is_deleted")
+    return _document(parsed, "aggregate_id", "created_at", F.col("id").alias("event_id"), deleted)
+
+
 def documents_of_changes(changes: DataFrame, dimensions: Dimensions, limit: int | None = None) -> DataFrame:
     """The document of each booking change, without the detour over a JSON payload."""
     rows = with_payload(changes, dimensions, limit)
@@ -442,6 +455,53 @@ def cache_lookup(
 # --- chat -------------------------------------------------------------------------------
 
 
+# what the projection reads from a chat message's payload
+MESSAGE_SCHEMA = """
+    id string, bookingId string, senderId string, receiverId string, senderName string, receiverName string,
+    messageText string, translatedText string, createdAt string, readAt string,
+    bookingData struct<customerId: string, driverId: string, customerName: string, driverName: string,
+                       pickupAddress: string, bookingTime: string>
+"""
+
+
+def messages_of_events(events: DataFrame) -> DataFrame:
+    """The message of each chat event's payload, with the event's id, type and time.
+
+    The message is named by the aggregate; a deletion need not carry more than its booking.
+    """
+    rows = events.withColumn("p", F.from_json("payload", MESSAGE_SCHEMA))
+    return rows.select(
+        F.col("p.bookingId").alias("booking_id"),
+        F.col("aggregate_id").alias("message_id"),
+        F.col("p.senderId").alias("sender_id"), F.col("p.receiverId").alias("receiver_id"),
+        F.coalesce("p.senderName", F.lit("")).alias("sender_name"),
+        F.coalesce("p.receiverName", F.lit("")).alias("receiver_name"),
+        F.col("p.messageText").alias("message_text"),
+        text_or("p.translatedText").alias("translated_text"),
+        F.col("p.createdAt").cast("timestamp_ntz").alias("created_at"),
+        F.col("p.readAt").cast("timestamp_ntz").alias("read_at"),
+        F.col("p.bookingData").alias("booking"),
+        F.col("created_at").alias("event_at"),
+        F.col("id").alias("event_id"),
+        (F.col("event_type") == "deleted").alias("is_deleted"),
+    )
+
+
+ROOM_SIDES = ("customerId", "driverId", "customerName", "driverName", "pickupAddress")
+
+
+def rooms_of_messages(messages: DataFrame) -> DataFrame:
+    """The room of each message of ``messages_of_events``: the message and the booking it names."""
+    return messages.filter(~F.col("is_deleted")).select(
+        "booking_id",
+        *(F.coalesce(f"booking.{c}", F.lit("")).alias(c) for c in ROOM_SIDES),
+        F.col("booking.bookingTime").cast("timestamp_ntz").alias("bookingTime"),
+        F.coalesce("message_text", F.lit("")).alias("lastMessage"),
+        F.col("created_at").alias("lastMessageTime"),
+        "event_at", "event_id",
+    )
+
+
 def project_messages(events: DataFrame) -> DataFrame:
     """Current chat messages: newest event per (booking, message), withdrawn ones dropped.
 

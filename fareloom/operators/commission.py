@@ -131,7 +131,19 @@ def affiliate_accruals(
     first = oldest(edges, "id", ["version"])
     if accrued is not None:
         first = first.join(accrued.select(F.col("booking_id").alias("id")).distinct(), "id", "left_anti")
-    outcome = _affiliate_outcome(first, changes, referrals, influencers, attribution, limit)
+    return affiliate_ledger(first, changes, referrals, influencers, attribution, limit)
+
+
+def affiliate_ledger(
+    edges: DataFrame,
+    changes: DataFrame,
+    referrals: DataFrame,
+    influencers: DataFrame,
+    attribution: str = "first_referrer",
+    limit: int | None = None,
+) -> DataFrame:
+    """Ledger rows of the edges that are paid for, one per booking; ``changes`` is what they come from."""
+    outcome = _affiliate_outcome(edges, changes, referrals, influencers, attribution, limit)
     return outcome.filter(F.col("type").isNotNull()).select(
         F.col("id").alias("booking_id"),
         F.lit("affiliate").alias("scheme"),

@@ -296,7 +296,7 @@ def _platform_sums() -> list[Column]:
     ]
 
 
-def _platform_row(sums: DataFrame, *also: str) -> DataFrame:
+def platform_row(sums: DataFrame, *also: str) -> DataFrame:
     zero = F.lit(0).cast(TOTAL)
     return sums.select(
         F.coalesce("platform_fee", zero).alias("total_platform_fee"),
@@ -309,7 +309,7 @@ def _platform_row(sums: DataFrame, *also: str) -> DataFrame:
 
 def platform_earnings(bookings: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Fee, revenue, orders and the mean of the per-order fee rate (orders of zero total left out)."""
-    return _platform_row(completed_in_window(bookings, start, end).agg(*_platform_sums()))
+    return platform_row(completed_in_window(bookings, start, end).agg(*_platform_sums()))
 
 
 def platform_earnings_daily(bookings: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -346,7 +346,7 @@ def platform_earnings_json(bookings: DataFrame, start: dt.date, end: dt.date) ->
         F.col("average_commission_rate").alias("averageCommissionRate"),
         F.col("days").alias("dailyEarnings"),
     )
-    return _platform_row(sums, "days").select(F.to_json(document, {"ignoreNullFields": "false"}).alias("report"))
+    return platform_row(sums, "days").select(F.to_json(document, {"ignoreNullFields": "false"}).alias("report"))
 
 
 def daily_earnings_summary(bookings: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

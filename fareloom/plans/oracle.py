@@ -498,7 +498,41 @@ FROM (SELECT aggregate_type, (epoch_us(processed_at) - epoch_us(created_at)) //
 GROUP BY aggregate_type
 """
 S["stream_projection"] = """
-SELECT id, customerId, driverId, status, estimatedFare, platformFee, passengerCount, bookingTime FROM m_documents_now
+SELECT *, unnest(['orders_rt', 'bookings']) AS collection FROM m_documents_now
+"""
+S["stream_event_log"] = f"""
+SELECT *, unnest(['orders_rt', 'bookings']) AS sink FROM ({S["projection_latest"]})
+UNION ALL BY NAME SELECT *, 'messages' AS sink FROM ({S["chat_messages_latest"]})
+UNION ALL BY NAME
+SELECT booking_id, replace(booking_id, 'B', 'uid-c') AS customerId, replace(booking_id, 'B', 'uid-d') AS driverId, '' AS customerName, '' AS driverName,
+       'Stop ' || booking_id AS pickupAddress, date_trunc('day', message_at) AS bookingTime, message_text AS lastMessage, message_at AS lastMessageTime, 'rooms' AS sink
+FROM (SELECT * FROM m_chat_events WHERE event_type <> 'deleted'
+      QUALIFY row_number() OVER (PARTITION BY booking_id ORDER BY created_at DESC, message_id || '-' || seq DESC) = 1)
+UNION ALL BY NAME
+SELECT id, aggregate_type, aggregate_id, event_type, 'unknown_type' AS reason, 'parked' AS sink FROM m_outbox WHERE aggregate_type = 'other'
+"""
+# the first round with an answer, unless three rounds without one came before
+S["stream_delivery"] = """
+SELECT id AS event_id, CAST(least(coalesce(hit - 1, 4), 3) AS INT) AS attempts,
+       CASE WHEN hit <= 3 THEN TIMESTAMP '2024-01-29 00:00:00' + INTERVAL 1 MINUTE * hit END AS delivered_at,
+       CASE WHEN coalesce(hit, 9) > 1 THEN 'all targets failed' END AS last_error,
+       CASE WHEN aggregate_type = 'other' THEN 'unknown_type' WHEN coalesce(hit, 9) > 3 THEN 'retries_exhausted' END AS reason
+FROM m_outbox JOIN (SELECT event_id, min(CASE WHEN (event_id + r) % 4 = 0 OR (event_id + 2 * r) % 5 = 0 THEN r END) AS hit
+                    FROM events, range(1, 5) AS rounds (r) GROUP BY event_id) ON id = CAST(event_id AS VARCHAR)
+"""
+S["stream_edges_any_order"] = _EDGES.replace("version,", "CAST(version AS BIGINT) AS version,")
+S["stream_expiry_corrected"] = """
+SELECT transaction_id, booking_id, status AS old_status, 'expired' AS status FROM m_payments WHERE status IN ('pending', 'processing')
+"""
+S["stream_commissions"] = """
+SELECT scheme, booking_id, beneficiary_id, base_amount, rate, type, amount, accrued_at FROM m_ledger
+UNION ALL SELECT 'driver_referral', booking_id, driver_referrer_id, platform_fee_before, driver_referral_commission_rate,
+                 driver_referral_commission_type, driver_referral_commission, completed_at
+FROM m_referral_commission WHERE driver_referrer_id IS NOT NULL
+"""
+S["stream_commission_totals"] = f"""
+SELECT scheme, beneficiary_id, CAST(sum(amount) AS DECIMAL(20,2)) AS total_earnings, count(*) AS n_commissions
+FROM ({S["stream_commissions"]}) GROUP BY scheme, beneficiary_id
 """
 S["stream_completion_edges"] = _EDGES.replace("version,", "CAST(version AS BIGINT) AS version,")
 S["stream_payment_ingest"] = """
@@ -513,6 +547,18 @@ S["stream_daily_earnings"] = _PLATFORM_DAILY.format(
     source="(SELECT * FROM m_bookings WHERE status = 'completed' AND completed_at IS NOT NULL)"
 )
 
+_LIVE = "m_live WHERE status = 'completed' AND completed_at IS NOT NULL AND CAST(completed_at AS DATE) BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"
+S["stream_daily_summary"] = _DAILY.format(source=_LIVE)
+S["stream_platform_earnings"] = _PLATFORM.replace("m_completed", f"(SELECT * FROM {_LIVE})")
+S["stream_driver_earnings"] = f"""
+SELECT u.id AS driver_id, coalesce(total, CAST(0 AS DECIMAL(20,2))) AS total_earnings, coalesce(orders, 0) AS total_orders,
+       coalesce({mean("cents", "paid")}, CAST(0 AS DECIMAL(20,2))) AS average_earnings
+FROM m_users u LEFT JOIN (SELECT driver_id, CAST(sum(driver_earning) AS DECIMAL(20,2)) AS total, count(*) AS orders, count(driver_earning) AS paid,
+                                 CAST(sum(driver_earning) * 100 AS BIGINT) AS cents
+                          FROM {_LIVE} AND driver_id IS NOT NULL GROUP BY driver_id) d ON d.driver_id = u.id
+WHERE u.role = 'driver'
+"""
+
 # --- quality ----------------------------------------------------------------------------
 
 S["constraint_violations"] = """

@@ -14,7 +14,7 @@ from fareloom.schemas import WIDE_PHOTO_COLUMNS
 from fareloom.session import work_path
 from fareloom.sources import sinks
 from fareloom.sources.marketplace import Marketplace, StreamingMarketplace
-from fareloom.streaming import jobs
+from fareloom.streaming import commissions, delivery, event_log, expiry, history, jobs, rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,9 +101,8 @@ def _log_with_deletes(m: Marketplace) -> DataFrame:
     return _events(m).unionByName(deletes.select(*columns))
 
 
-@query
-def projection_latest(m: Marketplace) -> DataFrame:
-    rows = cdc.project_bookings(_log_with_deletes(m))
+def _flat_points(rows: DataFrame) -> DataFrame:
+    """Documents with their points as plain columns."""
     flat = [c for c in rows.columns if c not in ("pickupLocation", "dropoffLocation")]
     return rows.select(
         *flat,
@@ -114,6 +113,11 @@ def projection_latest(m: Marketplace) -> DataFrame:
     )
 
 
+@query
+def projection_latest(m: Marketplace) -> DataFrame:
+    return _flat_points(cdc.project_bookings(_log_with_deletes(m)))
+
+
 @query
 def projection_tombstones(m: Marketplace) -> DataFrame:
     return cdc.projection_tombstones(_log_with_deletes(m))
@@ -647,8 +651,11 @@ def stream_projection(m: Marketplace) -> DataFrame:
     live = StreamingMarketplace(m.spark, m.directory, "orders")
     path = work_path(m.spark, "projection")
     jobs.write_projection(live.changes, _dimensions(m), f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    rows = sinks.current(m.spark, f"{path}/out/{sinks.COLLECTIONS[1]}", "id", ["event_at", "version"])
-    return rows.select("id", "customerId", "driverId", "status", "estimatedFare", "platformFee", "passengerCount", "bookingTime")
+    held = [
+        _flat_points(sinks.current(m.spark, f"{path}/out/{name}", "id", ["event_at", "version"])).withColumn("collection", F.lit(name))
+        for name in sinks.COLLECTIONS
+    ]
+    return held[0].unionByName(held[1]).drop("version")
 
 
 @query
@@ -676,12 +683,11 @@ def stream_payment_ingest(m: Marketplace) -> DataFrame:
 @query
 def stream_dedup(m: Marketplace) -> DataFrame:
     """The event log delivered twice, each event kept once."""
-    live = StreamingMarketplace(m.spark, m.directory, "events")
-    twice = live.outbox.select("id", "aggregate_id", "event_type", "created_at", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))
+    twice = m.outbox.select("id", "aggregate_id", "event_type", "created_at", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))
     path = work_path(m.spark, "dedup")
-    kept = jobs.dedup_stream(twice.drop("n"), "id", "created_at")
-    jobs.append_to(kept, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return m.spark.read.parquet(f"{path}/out").withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+    log = jobs.arrivals(twice, f"{path}/in")
+    jobs.append_to(jobs.dedup_stream(log.drop("n"), "id"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return m.spark.read.parquet(f"{path}/out")
 
 
 @query
@@ -702,6 +708,116 @@ def stream_daily_earnings(m: Marketplace) -> DataFrame:
     return sinks.latest_totals(m.spark, f"{path}/out", "date")
 
 
+def _event_log(m: Marketplace) -> DataFrame:
+    """Bookings, their deletions, chat messages and events of unknown kind as one log."""
+    chat = m.chat_events
+    gone = F.col("event_type") == "deleted"
+    booking = F.struct(
+        F.replace("booking_id", F.lit("B"), F.lit("uid-c")).alias("customerId"), F.replace("booking_id", F.lit("B"), F.lit("uid-d")).alias("driverId"),
+        F.concat(F.lit("Stop "), "booking_id").alias("pickupAddress"), F.date_format("message_at", "yyyy-MM-dd'T'00:00:00").alias("bookingTime"),
+    )
+    said = F.struct(
+        F.col("message_id").alias("id"), F.col("booking_id").alias("bookingId"), F.col("sender_id").alias("senderId"), F.col("receiver_id").alias("receiverId"),
+        F.col("sender_name").alias("senderName"), F.col("message_text").alias("messageText"), F.col("translated_text").alias("translatedText"),
+        F.col("message_at").cast("string").alias("createdAt"), F.col("read_at").cast("string").alias("readAt"), booking.alias("bookingData"),
+    )
+    withdrawn = F.struct(F.col("message_id").alias("id"), F.col("booking_id").alias("bookingId"))
+    messages = chat.select(
+        F.concat_ws("-", "message_id", F.col("seq").cast("string")).alias("id"), F.lit("chat_message").alias("aggregate_type"),
+        F.col("message_id").alias("aggregate_id"), "event_type", F.when(gone, F.to_json(withdrawn)).otherwise(F.to_json(said)).alias("payload"), "created_at",
+    )
+    other = m.outbox.filter(F.col("aggregate_type") == "other").select(*messages.columns)
+    return _log_with_deletes(m).unionByName(messages).unionByName(other)
+
+
+@query
+def stream_event_log(m: Marketplace) -> DataFrame:
+    """The whole event log, out of order and some of it twice, in its five sinks."""
+    path = work_path(m.spark, "event-log")
+    twice = F.explode(F.when(F.crc32(F.col("id").cast("binary")) % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    log = jobs.arrivals(_event_log(m).withColumn("n", twice), f"{path}/in", by=["id", "n"]).drop("n")
+    event_log.write_event_log(log, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    held = {name: _flat_points(event_log.documents(m.spark, f"{path}/out", name)) for name in sinks.COLLECTIONS}
+    held |= {event_log.MESSAGES: event_log.messages(m.spark, f"{path}/out"), event_log.ROOMS: event_log.rooms(m.spark, f"{path}/out")}
+    held |= {event_log.PARKED: event_log.parked(m.spark, f"{path}/out")}
+    every = [rows.withColumn("sink", F.lit(name)) for name, rows in held.items()]
+    found = every[0]
+    for rows in every[1:]:
+        found = found.unionByName(rows, allowMissingColumns=True)
+    return found
+
+
+@query
+def stream_delivery(m: Marketplace) -> DataFrame:
+    """Delivery state and parked events after four rounds whose answers arrive in any order."""
+    path = work_path(m.spark, "delivery")
+    inputs = delivery.delivery_inputs(m.outbox.select("id", "aggregate_type"), m.delivery_answers)
+    changes = delivery.delivery_changes(jobs.arrivals(inputs, f"{path}/in"))
+    delivery.write_delivery(changes, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    parked = delivery.parked_events(m.spark, f"{path}/out")
+    return delivery.delivery_state(m.spark, f"{path}/out").join(parked, "event_id", "left")
+
+
+@query
+def stream_edges_any_order(m: Marketplace) -> DataFrame:
+    path = work_path(m.spark, "edges")
+    log = jobs.arrivals(m.changes.select("id", "version", "status", "changed_at"), f"{path}/in")
+    jobs.append_batches(history.edge_changes(log), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return history.current_edges(m.spark, f"{path}/out")
+
+
+@query
+def stream_expiry_corrected(m: Marketplace) -> DataFrame:
+    """Payments that are over and still open, whatever order their states arrive in."""
+    path = work_path(m.spark, "expiry")
+    states = jobs.arrivals(m.payment_states, f"{path}/in")
+    jobs.append_batches(expiry.expiry_changes(states), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return expiry.expired_now(m.spark, f"{path}/out")
+
+
+def _rollup(m: Marketplace) -> DataFrame:
+    path = work_path(m.spark, "rollup")
+    log = m.changes_with_deletes.select(
+        "id", "version", "op", "status", "completed_at", "driver_id", "driver_earning", "platform_fee", "total_amount"
+    )
+    shares = rollup.share_changes(jobs.arrivals(log, f"{path}/in"))
+    rollup.write_rollup(shares, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return rollup.rollup(m.spark, f"{path}/out", START, END)
+
+
+@query
+def stream_driver_earnings(m: Marketplace) -> DataFrame:
+    return rollup.driver_earnings(_rollup(m), m.users.filter("role = 'driver'").select(F.col("id").alias("driver_id")))
+
+
+@query
+def stream_platform_earnings(m: Marketplace) -> DataFrame:
+    return rollup.platform_earnings(_rollup(m))
+
+
+@query
+def stream_daily_summary(m: Marketplace) -> DataFrame:
+    return rollup.daily_summary(_rollup(m))
+
+
+def _commission_stream(m: Marketplace) -> str:
+    path = work_path(m.spark, "commissions")
+    terms = commissions.Terms(m.referrals, m.influencers, m.rules, m.settings, m.driver_referrals, m.driver_affiliates, _accrued(m))
+    log = jobs.arrivals(m.changes.select("id", "version", "status", "changed_at", *commissions.COLUMNS), f"{path}/in")
+    commissions.write_commissions(log, terms, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return f"{path}/out"
+
+
+@query
+def stream_commissions(m: Marketplace) -> DataFrame:
+    return commissions.ledger(m.spark, _commission_stream(m))
+
+
+@query
+def stream_commission_totals(m: Marketplace) -> DataFrame:
+    return commissions.totals(m.spark, _commission_stream(m))
+
+
 # --- quality ----------------------------------------------------------------------------
 
 

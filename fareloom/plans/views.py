@@ -108,6 +108,11 @@ UNION ALL SELECT * REPLACE ('pending_balance' AS status), 3, created_at + INTERV
 UNION ALL SELECT *, 4, created_at + INTERVAL 3 DAY FROM m_bookings WHERE status = 'completed' AND vehicle_type = 'large'
 """
 
+# the newest change of each booking that is not deleted, as if it were the booking
+VIEWS["m_live"] = """
+SELECT * FROM m_changes WHERE passenger_count <> 5 QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1
+"""
+
 VIEWS["m_influencers"] = """
 SELECT 'I' || k AS id, CAST(1000 + 100 * k AS DECIMAL(10,2)) AS commission_fixed,
        CAST(5 + CAST(k AS DECIMAL(4,0)) * CAST(0.125 AS DECIMAL(4,3)) AS DECIMAL(9,6)) AS commission_percent,

@@ -234,6 +234,15 @@ class Marketplace:
         rows = self.bookings.withColumnRenamed("status", "final_status")
         return rows.select("*", F.inline(log)).drop("final_status")
 
+    @cached_property
+    def changes_with_deletes(self) -> DataFrame:
+        """The change log with ``op``; the bookings of five passengers are deleted at the end."""
+        log = self.changes.withColumn("op", F.lit("write"))
+        deleted = self.bookings.filter(F.col("passenger_count") == 5).withColumns(
+            {"version": F.lit(9), "changed_at": _plus("created_at", "9 DAYS"), "op": F.lit("delete")}
+        )
+        return log.unionByName(deleted)
+
     # --- commissions ----------------------------------------------------------------
 
     @cached_property
@@ -362,6 +371,20 @@ class Marketplace:
         )
         return self.table("events").select(key.cast("string").alias("event_id"), F.inline(targets))
 
+    @cached_property
+    def delivery_answers(self) -> DataFrame:
+        """What the two targets answered in four rounds of tries, whether an event was still due or not."""
+        key, number = F.col("event_id"), F.col("round")
+        sent = F.to_timestamp_ntz(F.lit("2024-01-29 00:00:00"), F.lit("yyyy-MM-dd HH:mm:ss"))
+        targets = F.array(
+            F.struct(F.lit("orders_rt").alias("target"), ((key + number) % 4 == 0).alias("ok")),
+            F.struct(F.lit("bookings").alias("target"), ((key + 2 * number) % 5 == 0).alias("ok")),
+        )
+        rounds = self.table("events").select("event_id", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("round"))
+        return rounds.select(
+            key.cast("string").alias("event_id"), "round", F.inline(targets),
+        ).withColumn("at", sent + F.make_dt_interval(mins=F.col("round")))
+
     @cached_property
     def place_cache(self) -> DataFrame:
         return self.table("events").filter(F.col("event_type").isin("signup", "view")).select(
@@ -439,6 +462,16 @@ class Marketplace:
             F.when(key % 7 == 2, _plus("o_orderdate", "10 MINUTES")).alias("confirmed_at"),
         )
 
+    @cached_property
+    def payment_states(self) -> DataFrame:
+        """Each payment as it began, and as it is."""
+        steps = F.array(
+            F.struct(F.lit("pending").alias("status"), F.col("created_at").alias("status_at")),
+            F.struct(F.col("final").alias("status"), _plus("created_at", "10 MINUTES").alias("status_at")),
+        )
+        rows = self.payments.withColumnRenamed("status", "final")
+        return rows.select("transaction_id", "booking_id", "created_at", F.inline(steps))
+
     @cached_property
     def payment_requests(self) -> DataFrame:
         """Payment intents from line items: some bookings do not exist, some amounts are not positive."""

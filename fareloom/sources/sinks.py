@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,19 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def is_finished(spark: SparkSession, path: str, batch_id: int) -> bool:
+    """Whether ``finish`` has marked the batch under ``path``."""
+    try:
+        return not spark.read.parquet(f"{path}/finished/batch={batch_id}").isEmpty()
+    except AnalysisException:  # no such folder
+        return False
+
+
+def finish(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Mark a batch as wholly written."""
+    write_batch(spark.range(1), f"{path}/finished", batch_id)
+
+
 def write_dual(documents: DataFrame, path: str, batch_id: int) -> None:
     """Write a batch of documents to both collections.
 
@@ -37,7 +51,7 @@ def write_dual(documents: DataFrame, path: str, batch_id: int) -> None:
     write_batch(written, f"{path}/{second}", batch_id)
 
 
-def current(spark: SparkSession, path: str, key: str, order: Sequence[str]) -> DataFrame:
+def current(spark: SparkSession, path: str, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row per key over all batches, deleted ones left out.
 
     ``order`` is the row's own (time, id): a batch that arrives late cannot undo a newer one.

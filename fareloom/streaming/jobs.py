@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +13,8 @@ from fareloom.operators.joins import newest
 from fareloom.operators.payments import split_valid
 from fareloom.schemas import CONFIRMABLE_STATUSES, PAYMENT_MINUTES, TOTAL
 from fareloom.sources.sinks import write_batch, write_dual
-from fareloom.streaming.edges import EdgeProcessor
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from fareloom.streaming.history import edge_changes
+from fareloom.streaming.run import ROCKSDB, start
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -29,9 +28,6 @@ def _event_time(column: str) -> Column:
 
 # --- completion edges -------------------------------------------------------------------
 
-EDGE_SCHEMA = "booking_id string, version bigint, previous_status string, is_insert boolean, changed_at timestamp_ntz"
-
-
 def completion_edges_stream(changes: DataFrame, horizon: str | None = None) -> DataFrame:
     """``completion_edges`` on a stream of (id, version, status, changed_at) without gaps in the versions.
 
@@ -69,27 +65,29 @@ def completion_edges_stream(changes: DataFrame, horizon: str | None = None) -> D
 
 
 def completion_edges_stateful(changes: DataFrame) -> DataFrame:
-    """The same for a change log with gaps in its versions: keyed state instead of a join.
-
-    State holds the last version and status per booking; older versions are ignored. The rows
-    of one booking in one micro-batch meet in one task, so ``maxFilesPerTrigger`` on the source
-    must bound the batch. Needs ``use_rocksdb``.
-    """
-    return (
-        changes.select("id", F.col("version").cast("bigint").alias("version"), "status", "changed_at")
-        .groupBy("id")
-        .transformWithStateInPandas(
-            EdgeProcessor(), outputStructType=EDGE_SCHEMA, outputMode="append", timeMode="none"
-        )
-    )
+    """The same for a change log with gaps, replays and versions in any order, as changes of edges:
+    see ``history.edge_changes``."""
+    return edge_changes(changes)
 
 
 # --- replays ----------------------------------------------------------------------------
 
 
-def dedup_stream(events: DataFrame, key: str, time: str, delay: str = "7 days") -> DataFrame:
-    """Each event once, however often it is delivered within ``delay`` of event time."""
-    return events.withColumn(time, _event_time(time)).withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+SEEN = "_seen"
+
+
+def dedup_stream(events: DataFrame, key: str, time: str | None = None, delay: str = "7 days") -> DataFrame:
+    """Each event once, however often it is delivered within ``delay``.
+
+    Without ``time`` the delay is counted from an event's first arrival: the watermark follows the
+    clock of the micro-batches, so no event is behind it, however old, and keys leave the state a
+    delay after they came. With ``time`` it is counted in event time, and what is older than the
+    watermark is dropped as late.
+    """
+    if time is not None:
+        return events.withColumn(time, _event_time(time)).withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    arrived = events.withColumn(SEEN, F.current_timestamp()).withWatermark(SEEN, delay)
+    return arrived.dropDuplicatesWithinWatermark([key]).drop(SEEN)
 
 
 # --- payment expiry ---------------------------------------------------------------------
@@ -138,7 +136,7 @@ def write_running_totals(totals: DataFrame, path: str, checkpoint: str) -> Strea
     def sink(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, path, batch_id)
 
-    return _start(totals, sink, checkpoint, "update")
+    return start(totals, sink, checkpoint, "update")
 
 
 def ledger_totals_stream(ledger: DataFrame, delay: str = "7 days") -> DataFrame:
@@ -166,7 +164,7 @@ def write_validated(
         write_batch(good, f"{path}/good", batch_id)
         write_batch(bad, f"{path}/quarantine", batch_id)
 
-    return _start(rows, sink, checkpoint, "append")
+    return start(rows, sink, checkpoint)
 
 
 # --- projection -------------------------------------------------------------------------
@@ -195,39 +193,30 @@ def write_projection(
     def sink(batch: DataFrame, batch_id: int) -> None:
         write_dual(projection_batch(batch, dimensions), path, batch_id)
 
-    return _start(changes, sink, checkpoint, "append")
+    return start(changes, sink, checkpoint)
 
 
 # --- running ----------------------------------------------------------------------------
 
 
-def _start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
-    return (
-        df.writeStream.foreachBatch(sink)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
 def append_to(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream's rows to a Parquet table, exactly once, until the input is used up."""
-    return (
-        df.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    return start(df, path, checkpoint)
 
 
-def every(df: DataFrame, seconds: int, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """The same as a standing query, polling every ``seconds``."""
-    return (
-        df.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=f"{seconds} seconds")
-        .start()
-    )
+def append_batches(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write each micro-batch of a stream to a folder of its own, for readers that need their order."""
+    return start(df, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint)
+
+
+def arrivals(rows: DataFrame, path: str, batches: int = 3, by: Sequence[str] = ()) -> DataFrame:
+    """``rows`` written to files and read back as a stream of about ``batches`` micro-batches.
+
+    Rows are dealt to the files by a hash of ``by`` (all columns, if none are named), so what belongs
+    together arrives apart and out of order.
+    """
+    spark = rows.sparkSession
+    files = max(2 * batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.repartition(files, F.xxhash64(*(by or rows.columns))).write.parquet(path)
+    written = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-written // batches))).parquet(path)
