@@ -762,7 +762,7 @@ def stream_delivery(m: Marketplace) -> DataFrame:
 def stream_edges_any_order(m: Marketplace) -> DataFrame:
     path = work_path(m.spark, "edges")
     log = jobs.arrivals(m.changes.select("id", "version", "status", "changed_at"), f"{path}/in")
-    jobs.append_batches(history.edge_changes(log), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    jobs.append_changes(history.edge_changes(log), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return history.current_edges(m.spark, f"{path}/out")
 
 
@@ -771,7 +771,7 @@ def stream_expiry_corrected(m: Marketplace) -> DataFrame:
     """Payments that are over and still open, whatever order their states arrive in."""
     path = work_path(m.spark, "expiry")
     states = jobs.arrivals(m.payment_states, f"{path}/in")
-    jobs.append_batches(expiry.expiry_changes(states), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    jobs.append_changes(expiry.expiry_changes(states), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return expiry.expired_now(m.spark, f"{path}/out")
 
 

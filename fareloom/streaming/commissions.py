@@ -86,7 +86,7 @@ def write_commissions(changes: DataFrame, terms: Terms, path: str, checkpoint: s
             sums = sums.unionByName(_sums(old, -1))
         write_batch(sums, f"{path}/totals", batch_id)
 
-    return start(accrual_changes(changes, COLUMNS), sink, checkpoint, "append", every)
+    return start(accrual_changes(changes, COLUMNS), sink, checkpoint, every=every, by_clock=True)
 
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:

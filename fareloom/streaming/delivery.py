@@ -153,7 +153,7 @@ def write_delivery(changes: DataFrame, path: str, checkpoint: str, every: str |
         for kind in KINDS:
             write_batch(written.filter(F.col("kind") == kind), f"{path}/{kind}", batch_id)
 
-    return start(changes, sink, checkpoint, "append", every)
+    return start(changes, sink, checkpoint, every=every, by_clock=True)
 
 
 def delivery_state(spark: SparkSession, path: str) -> DataFrame:

@@ -69,7 +69,7 @@ def write_events(batch: DataFrame, path: str, batch_id: int) -> None:
 
 def write_event_log(events: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Consume a stream of events (``EVENT``)."""
-    return start(events, lambda batch, batch_id: write_events(batch, path, batch_id), checkpoint, "append", every)
+    return start(events, lambda batch, batch_id: write_events(batch, path, batch_id), checkpoint, every=every)
 
 
 # --- what the sinks hold ----------------------------------------------------------------

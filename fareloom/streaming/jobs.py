@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,12 +14,7 @@ from fareloom.operators.payments import split_valid
 from fareloom.schemas import CONFIRMABLE_STATUSES, PAYMENT_MINUTES, TOTAL
 from fareloom.sources.sinks import write_batch, write_dual
 from fareloom.streaming.history import edge_changes
-from fareloom.streaming.run import ROCKSDB, start
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state outside the JVM heap; needed by arbitrary stateful operators."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+from fareloom.streaming.run import start
 
 
 def _event_time(column: str) -> Column:
@@ -204,9 +199,10 @@ def append_to(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return start(df, path, checkpoint)
 
 
-def append_batches(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each micro-batch of a stream to a folder of its own, for readers that need their order."""
-    return start(df, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint)
+def append_changes(changes: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write each micro-batch of changes from keyed state to a folder of its own, for readers that take
+    the newest of each key."""
+    return start(changes, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint, every=every, by_clock=True)
 
 
 def arrivals(rows: DataFrame, path: str, batches: int = 3, by: Sequence[str] = ()) -> DataFrame:

@@ -89,7 +89,7 @@ def write_rollup(shares: DataFrame, path: str, checkpoint: str, every: str | Non
         sums = batch.groupBy("date", "driver_id").agg(F.sum("sign").alias("orders"), *(c for n in AMOUNTS for c in _signed(n)))
         write_batch(sums, path, batch_id)
 
-    return start(shares, sink, checkpoint, "append", every)
+    return start(shares, sink, checkpoint, every=every, by_clock=True)
 
 
 def rollup(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:

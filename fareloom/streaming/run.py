@@ -30,12 +30,15 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
-def start(df: DataFrame, sink: Sink | str, checkpoint: str, mode: str = "append", every: str | None = None) -> StreamingQuery:
+def start(
+    df: DataFrame, sink: Sink | str, checkpoint: str, mode: str = "append", every: str | None = None, by_clock: bool = False
+) -> StreamingQuery:
     """Feed a stream's micro-batches to ``sink``, a function or the path of a Parquet table.
 
     The query ends when the input is used up; with ``every`` it stands and looks for more at that
-    interval. State is kept in RocksDB, outside the heap. A query that ends runs no batches without
-    input, since one that keeps timers would go on with those for good.
+    interval. State is kept in RocksDB, outside the heap. ``by_clock``: the query's state has timers or a
+    lifetime on the processing-time clock; if it is to end, it runs no batches without input, for those
+    would go on for good.
     """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.format("parquet").option("path", sink) if isinstance(sink, str) else writer.foreachBatch(sink)
@@ -43,6 +46,6 @@ def start(df: DataFrame, sink: Sink | str, checkpoint: str, mode: str = "append"
     with settings(
         df.sparkSession,
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
-        spark__sql__streaming__noDataMicroBatches__enabled="true" if every else "false",
+        spark__sql__streaming__noDataMicroBatches__enabled="false" if by_clock and not every else "true",
     ):
         return writer.start()

@@ -68,7 +68,7 @@ def test_edges_of_gaps_replays_and_late_versions(spark, folder):
         [row("a", 7, "matched"), row("b", 4, "matched"), row("c", 9, "completed")],
     ]
     stream = files(spark, parts, schema, f"{folder}/in")
-    jobs.append_batches(history.edge_changes(stream), f"{folder}/out", f"{folder}/cp").awaitTermination()
+    jobs.append_changes(history.edge_changes(stream), f"{folder}/out", f"{folder}/cp").awaitTermination()
     columns = ("booking_id", "version", "previous_status", "is_insert", "changed_at")
     log = spark.createDataFrame(sorted({r for part in parts for r in part}), schema)
     assert rows_of(history.current_edges(spark, f"{folder}/out"), *columns) == rows_of(commission.completion_edges(log), *columns)
@@ -267,7 +267,7 @@ def test_expiry_is_taken_back_by_a_status_that_comes_late(spark, folder):
         [state("late", 90, "completed", 5), state("old", 90, "pending", 0)],
     ]
     changes = expiry.expiry_changes(files(spark, parts, schema, f"{folder}/in"))
-    jobs.append_batches(changes, f"{folder}/out", f"{folder}/cp").awaitTermination()
+    jobs.append_changes(changes, f"{folder}/out", f"{folder}/cp").awaitTermination()
     assert rows_of(expiry.expired_now(spark, f"{folder}/out"), "transaction_id", "old_status") == [("old", "pending")]
     told = sinks.read_batches(spark, f"{folder}/out")
     assert rows_of(told.filter("transaction_id = 'late'"), "batch", "is_expired") == [(1, True), (2, False)]

@@ -43,16 +43,15 @@ def test_edges_with_a_horizon(spark, changes, folder):
 
 
 def test_stateful_edges_take_gaps_and_ignore_replays(spark, changes, folder):
-    jobs.use_rocksdb(spark)
     gaps = changes.filter(F.col("id") < "B2").withColumn("version", F.col("version") * 10)
     gaps.write.parquet(f"{folder}/in")
     reader = spark.readStream.schema(spark.read.parquet(f"{folder}/in").schema)
-    jobs.append_to(jobs.completion_edges_stateful(reader.parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/cp").awaitTermination()
+    jobs.append_changes(jobs.completion_edges_stateful(reader.parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/cp").awaitTermination()
     want = batch_edges(gaps)
     rows = lambda: sorted((r.booking_id, r.version, r.previous_status, r.is_insert) for r in spark.read.parquet(f"{folder}/out").collect())
     assert rows() == want
     gaps.write.mode("append").parquet(f"{folder}/in")  # the same changes once more
-    jobs.append_to(jobs.completion_edges_stateful(reader.parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/cp").awaitTermination()
+    jobs.append_changes(jobs.completion_edges_stateful(reader.parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/cp").awaitTermination()
     assert rows() == want
 
 
