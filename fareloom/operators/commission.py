@@ -192,28 +192,29 @@ def commission_decision_log(
     """
     rows = with_edges(changes.select(*AFFILIATE_INPUT), slice_size).filter(~F.col("is_insert"))
     is_edge = F.coalesce("is_edge", F.lit(False))
-    edges, others = rows.filter(is_edge), rows.filter(~is_edge)
-    first = edges.groupBy("id").agg(F.min("version").alias("_first"))
+    first = rows.filter(is_edge).groupBy("id").agg(F.min("version").alias("_first"))
     if accrued is not None:
         done = accrued.select(F.col("booking_id").alias("id")).distinct().withColumn("_done", F.lit(True))
         first = first.join(done, "id", "left")
     else:
         first = first.withColumn("_done", F.lit(None).cast("boolean"))
-    marked = lookup(edges, first, "id", limit=limit, keys_from=changes)
+    # one pass over all updates: those that are no edges go through the lookups without a key
+    rows = rows.withColumn("customer_id", F.when(is_edge, F.col("customer_id")))
+    marked = lookup(rows, first, "id", limit=limit, keys_from=changes)
     outcome = _affiliate_outcome(marked, changes, referrals, influencers, "first_referrer", limit)
     reason = (
-        F.when(F.col("_owner").isNull(), "no_referral")
+        F.when(~is_edge, "not_completed")
+        .when(F.col("_owner").isNull(), "no_referral")
         .when(~F.col("_active"), "influencer_inactive")
         .when(F.col("type").isNull(), "no_scheme")
         .when(F.col("_done").isNotNull() | (F.col("version") > F.col("_first")), "duplicate")
         .otherwise("accrued")
     )
-    logged = outcome.withColumn("reason_code", reason)
     computed = F.col("reason_code").isin("accrued", "duplicate")
-    update = [F.col("id").alias("booking_id"), "version", "previous_status", "status"]
-    earned = logged.select(*update, "reason_code", F.when(computed, F.col("amount")).alias("amount"))
-    idle = others.select(*update, F.lit("not_completed").alias("reason_code"), F.lit(None).cast(MONEY).alias("amount"))
-    return earned.unionByName(idle)
+    return outcome.withColumn("reason_code", reason).select(
+        F.col("id").alias("booking_id"), "version", "previous_status", "status", "reason_code",
+        F.when(computed, F.col("amount")).alias("amount"),
+    )
 
 
 def affiliate_usage_upsert(usage: DataFrame, accruals: DataFrame, status: str = "pending", insert: bool = True) -> DataFrame:

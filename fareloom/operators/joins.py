@@ -8,16 +8,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is heavy when it owns at least one row in HEAVY_SHARE, so there are never more
-# than HEAVY_SHARE heavy keys: that is the size bound of everything broadcast below.
+# A key is heavy when it owns at least one row in HEAVY_SHARE, or in TASK_PARTS times the session's
+# partitions if those are more: then it would make up a good part of a task by itself.
 HEAVY_SHARE = 1000
+TASK_PARTS = 4
+
+# salts of a heavy key for each such part; many, so that they fall evenly
+SALTS = 16
 
 # slots of the frequency sketch per heavy key; keys above the share are always found
 SKETCH_SLOTS = 10
 
+# groups of tasks that share a sketch
+SKETCH_GROUPS = 64
+
 
 def lookup_bytes(dim: DataFrame) -> int:
-    """An upper estimate of the size of a lookup side.
+    """An estimate of the size of a lookup side.
 
     A lookup side has one row per key and is built by one-to-one joins, filters and
     aggregates, so it is no larger than the tables it reads together. Catalyst's own
@@ -31,11 +38,14 @@ def lookup_bytes(dim: DataFrame) -> int:
 
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's own broadcast limit in bytes; negative when broadcasting is off."""
-    conf = spark._jsparkSession.sessionState().conf()
-    return int(conf.autoBroadcastJoinThreshold())
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def fits_broadcast(dim: DataFrame, limit: int | None = None) -> bool:
+    """Whether ``dim`` is within the limit, by default the session's. Without access to the
+    optimizer's statistics, as over a remote connection, nothing is: the join is then left to Spark."""
+    if not hasattr(dim, "_jdf"):
+        return False
     limit = broadcast_limit(dim.sparkSession) if limit is None else limit
     return limit >= 0 and lookup_bytes(dim) <= limit
 
@@ -48,22 +58,43 @@ def _all_present(keys: Sequence[str]) -> Column:
 
 
 def heavy_hashes(fact: DataFrame, keys: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:
-    """Hashes (column ``_hash``) of the keys owning at least one ``share``-th of the rows.
+    """Hashes (``_hash``) of the keys owning at least one ``share``-th of the rows, their rows
+    (``_count``) and all rows with a key (``_rows``).
 
-    A frequency sketch of fixed size per task, merged: one pass over the key columns and no
-    shuffle of keys. It only steers where rows are processed; results do not depend on it.
+    Frequency sketches of fixed size, for groups of tasks, whose counts are added up: one pass over the
+    key columns and no shuffle of keys. It only steers where rows are processed; results do not depend
+    on it.
     """
-    sketch = f"approx_top_k(_hash, {share}, {share * SKETCH_SLOTS})"
-    top = (
-        fact.filter(_all_present(keys))
-        .select(F.xxhash64(*keys).alias("_hash"))
-        .agg(F.expr(sketch).alias("_top"), F.count(F.lit(1)).alias("_rows"))
-    )
-    return (
-        top.select("_rows", F.explode("_top").alias("_t"))
-        .filter(F.col("_t.count") * share >= F.col("_rows"))
-        .select(F.col("_t.item").alias("_hash"))
-    )
+    hashes = fact.filter(_all_present(keys)).select(F.xxhash64(*keys).alias("_hash"))
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    sketch = F.expr(f"approx_top_k(_hash, {2 * share}, {share * SKETCH_SLOTS})")
+    some = hashes.groupBy(group).agg(sketch.alias("_top"), F.count(F.lit(1)).alias("_n"))
+    # of each group its largest keys and, without a hash, all its rows: bounded by the share and the groups
+    whole = F.array(F.struct(F.lit(None).cast("long").alias("item"), F.col("_n").alias("count")))
+    found = some.select(F.inline(F.concat(whole, "_top"))).groupBy(F.col("item").alias("_hash")).agg(F.sum("count").alias("_count"))
+    rows = F.max(F.when(F.col("_hash").isNull(), F.col("_count"))).over(Window.partitionBy())
+    return found.withColumn("_rows", rows).filter(F.col("_hash").isNotNull() & (F.col("_count") * share >= F.col("_rows")))
+
+
+# heavy keys found so far, by a hash of the plan that reads the keys: they only steer where rows go,
+# so it does no harm if the data have changed since
+_FOUND: dict[tuple[int, int], list[tuple[int, int]]] = {}
+REMEMBERED = 256
+
+
+def heavy_salts(fact: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
+    """(hash, salts) of the heavy keys, as many salts as their rows need; found in a job of its own and
+    remembered, so that further lookups by the same keys of the same rows do not look again."""
+    spark = fact.sparkSession
+    parts = TASK_PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = max(HEAVY_SHARE, parts)
+    mark = (fact.select(F.xxhash64(*keys)).semanticHash(), share)
+    if mark not in _FOUND:
+        if len(_FOUND) >= REMEMBERED:
+            _FOUND.clear()
+        rows = heavy_hashes(fact, keys, share).collect()  # at most ``share`` rows
+        _FOUND[mark] = [(r["_hash"], max(1, -(-SALTS * parts * r["_count"] // r["_rows"]))) for r in rows]
+    return _FOUND[mark]
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -82,11 +113,10 @@ def lookup(
 ) -> DataFrame:
     """Attach the columns of ``dim`` (unique on ``keys``) to every row of ``fact``.
 
-    A ``dim`` within the broadcast limit is broadcast. A larger one is shuffled by key, but
-    rows of heavy keys get their values from a broadcast of the few ``dim`` rows of those
-    keys. In the shuffle they, like rows without a key, carry no key and are spread by a hash
-    of the row, so no task gets a whole heavy key. ``fact`` is computed once; heavy keys are
-    looked for in ``keys_from`` where a cheaper DataFrame with the same keys is at hand.
+    A ``dim`` within the broadcast limit is broadcast. Otherwise both sides are shuffled once, by the
+    keys and a spread: a hash of the keys, but for heavy keys a salt, with a copy of their ``dim``
+    row for each; rows without a key have a hash of the row. So no task gets a whole heavy key. Heavy
+    keys are looked for in ``keys_from`` where a cheaper DataFrame with the same keys is at hand.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how}")
@@ -94,27 +124,23 @@ def lookup(
     values = [c for c in dim.columns if c not in keys]
     if fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), keys, how).select(*fact.columns, *values)
-    heavy = heavy_hashes(fact if keys_from is None else keys_from, keys)
-    packed = dim.select(*keys, F.struct(*values).alias("_far"))
-    near = (
-        packed.withColumn("_hash", F.xxhash64(*keys))
-        .join(F.broadcast(heavy), "_hash", "left_semi")
-        .select(*keys, F.col("_far").alias("_near"))
-    )
-    stays = F.col("_heavy").isNotNull() | ~_all_present(keys)
-    marked = (
-        fact.withColumn("_hash", F.xxhash64(*keys))
-        .withColumn("_spread", _row_hash(fact))
-        .join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), "_hash", "left")
-        .join(F.broadcast(near), keys, "left")
-    )
-    far_keys = {f"_key_{i}": F.when(~stays, F.col(k)) for i, k in enumerate(keys)}
-    moved = marked.withColumns({**far_keys, "_spread": F.when(stays, F.col("_spread")).otherwise(F.col("_hash"))})
-    # computed, not a constant: a constant would be folded out of the join keys, and with it the spread
-    far = packed.select(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)), F.xxhash64(*keys).alias("_spread"), "_far")
-    joined = moved.join(far, [*far_keys, "_spread"], "left").withColumn("_found", F.coalesce("_near", "_far"))
-    if how == "inner":
-        joined = joined.filter(F.col("_found").isNotNull())
+    heavy = heavy_salts(fact if keys_from is None else keys_from, keys)
+    own_hash = F.xxhash64(*keys)
+    names = [f"_key_{i}" for i in range(len(keys))]
+    spread = F.when(_all_present(keys), own_hash).otherwise(_row_hash(fact))
+    moved = fact
+    packed = dim.select(*keys, F.struct(*values).alias("_found"))
+    copies = F.array(own_hash)
+    if heavy:
+        salts = F.broadcast(fact.sparkSession.createDataFrame(heavy, "_hash long, _salts int"))  # at most a row per heavy key
+        moved = moved.withColumn("_hash", own_hash).join(salts, "_hash", "left")
+        spread = F.when(F.col("_salts").isNotNull(), F.pmod(_row_hash(fact), F.col("_salts"))).otherwise(spread)
+        packed = packed.withColumn("_hash", own_hash).join(salts, "_hash", "left")
+        numbers = F.sequence(F.lit(0).cast("long"), (F.col("_salts") - 1).cast("long"))
+        copies = F.when(F.col("_salts").isNotNull(), numbers).otherwise(copies)
+    far = packed.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.explode(copies).alias("_spread"), "_found")
+    moved = moved.withColumns({**{n: F.col(k) for k, n in zip(keys, names, strict=True)}, "_spread": spread})
+    joined = moved.join(far, [*names, "_spread"], how)
     return joined.select(*fact.columns, *(F.col(f"_found.{c}").alias(c) for c in values))
 
 
@@ -125,35 +151,35 @@ def previous_value(
     value: str,
     part: Column,
     into: str,
-    share: int = HEAVY_SHARE,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """``value`` of the row before, per key, without one task sorting a whole heavy key.
 
-    Ordinary keys are windowed as they are. The rows of a heavy key are windowed slice by
-    slice; ``part`` names the slice and must not decrease along ``order``. The last value of
+    Ordinary keys are windowed as they are. The rows of a heavy key, if there is one, are windowed
+    slice by slice; ``part`` names the slice and must not decrease along ``order``. The last value of
     each slice, found by a map-side combined ``max_by``, carries over to the next slice. The
     result is a struct, NULL on the first row of a key, so a NULL value and a missing
-    predecessor stay apart.
+    predecessor stay apart. Heavy keys are looked for as in ``lookup``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    heavy = heavy_hashes(df, keys, share)
-    hashed = df.withColumn("_hash", F.xxhash64(*keys)).withColumn("_slice", part)
     cell = F.struct(F.col(value).alias("value"))
+    heavy = [h for h, _ in heavy_salts(df if keys_from is None else keys_from, keys)]
+    if not heavy:
+        return df.withColumn(into, F.lag(cell).over(Window.partitionBy(*keys).orderBy(*order)))
+    marked = df.withColumn("_slice", F.when(F.xxhash64(*keys).isin(heavy), part))
     last = (
-        hashed.join(F.broadcast(heavy), "_hash", "left_semi")
+        marked.filter(F.col("_slice").isNotNull())
         .groupBy(*keys, "_slice")
         .agg(F.max_by(cell, F.struct(*order)).alias("_last"))
     )
     across = Window.partitionBy(*keys).orderBy("_slice")
     carried = last.withColumn("_carried", F.lag("_last").over(across)).drop("_last")
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    marked = hashed.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), "_hash", "left")
     return (
-        marked.withColumn("_slice", F.when(F.col("_heavy"), F.col("_slice")))
-        .withColumn("_inside", F.lag(cell).over(inside))
+        marked.withColumn("_inside", F.lag(cell).over(inside))
         .join(carried, [*keys, "_slice"], "left")
         .withColumn(into, F.coalesce("_inside", "_carried"))
-        .drop("_hash", "_heavy", "_slice", "_inside", "_carried")
+        .drop("_slice", "_inside", "_carried")
     )
 
 

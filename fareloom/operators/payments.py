@@ -161,10 +161,9 @@ def webhook_outcomes(webhooks: DataFrame, payments: DataFrame, limit: int | None
     """
     good = validate_webhooks(webhooks).filter("is_valid").drop("errors", "is_valid")
     state = payments.select("transaction_id", "booking_id", F.col("type").alias("payment_type"), F.col("status").alias("_initial"))
-    known = lookup(good, state, "transaction_id", limit=limit)
-    rows = previous_value(
-        known, "transaction_id", ["sent_at", "webhook_id"], "status", F.date_trunc("minute", "sent_at"), "_before"
-    )
+    known = lookup(good, state, "transaction_id", limit=limit, keys_from=webhooks)
+    minute = F.date_trunc("minute", "sent_at")
+    rows = previous_value(known, "transaction_id", ["sent_at", "webhook_id"], "status", minute, "_before", keys_from=webhooks)
     before = F.coalesce(F.col("_before.value"), F.col("_initial"))
     outcome = F.when(F.col("_initial").isNull(), "rejected").when(F.col("status") == before, "no_op").otherwise("applied")
     return rows.select(

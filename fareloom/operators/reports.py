@@ -151,6 +151,43 @@ def _page_order(sort_by: str, sort_order: str) -> list[Column]:
     return [descending(column) if sort_order == "desc" else ascending(column), tie]
 
 
+#: Parts in which the list is put in order; each passes on no more rows than the page may need.
+LIST_PARTS = 64
+
+
+def _listed(
+    bookings: DataFrame, users: DataFrame, start: dt.date, end: dt.date, page: int, limit: int,
+    sort_by: str, sort_order: str, how: str,
+) -> DataFrame:
+    """The rows that may be on the page, numbered over the whole list (``_place``), and sums over all
+    drivers, from one aggregate of the bookings.
+
+    Drivers are dealt to parts; a part puts its drivers in order and keeps as many as the page may
+    need. Its first row carries its sums over all its drivers, listed or not. So what is left is
+    bounded by the parts and the page, and only that is numbered as a whole.
+    """
+    names = users.select(
+        F.col("id").alias("driver_id"),
+        (F.coalesce("name", "email") if how == "inner" else F.col("name")).alias("driver_name"),
+        F.col("email").alias("driver_email"),
+        F.lit(True).alias("_named"),
+    )
+    per_driver = _per_driver(bookings, start, end).withColumn("average_earnings", exact_mean(F.col("total_earnings"), F.col("_paid")))
+    rows = per_driver.join(names, "driver_id", "left")
+    rows = rows.withColumn("_listed", F.coalesce("_named", F.lit(False)) if how == "inner" else F.lit(True))
+    part = Window.partitionBy(F.pmod(F.xxhash64("driver_id"), F.lit(LIST_PARTS)))
+    order = [F.desc("_listed"), *_page_order(sort_by, sort_order)]
+    sums = {"_drivers": F.count(F.lit(1)), "_earnings": F.sum("total_earnings"), "_orders": F.sum("total_orders"), "_payments": F.sum("_paid")}
+    rows = rows.withColumns({**{n: c.over(part) for n, c in sums.items()}, "_n": F.row_number().over(part.orderBy(*order))})
+    rows = rows.filter(F.col("_n") <= max(1, page * limit))
+    rows = rows.withColumns({n: F.when(F.col("_n") == 1, F.col(n)) for n in sums})
+    return rows.withColumn("_place", F.row_number().over(Window.orderBy(*order)))
+
+
+def _on_page(page: int, limit: int) -> Column:
+    return F.col("_listed") & (F.col("_place") > (page - 1) * limit) & (F.col("_place") <= page * limit)
+
+
 def drivers_earnings_page(
     bookings: DataFrame,
     users: DataFrame,
@@ -167,26 +204,14 @@ def drivers_earnings_page(
     ``total`` counts drivers with completed bookings, whether or not they have a user
     record; the listed rows need one unless ``how="left"``.
     """
-    per_driver = _per_driver(bookings, start, end)
-    total = per_driver.agg(F.count(F.lit(1)).alias("n")).scalar()
-    names = users.select(
-        F.col("id").alias("driver_id"),
-        (F.coalesce("name", "email") if how == "inner" else F.col("name")).alias("driver_name"),
-        F.col("email").alias("driver_email"),
-    )
-    rows = (
-        _with_mean(per_driver)
-        .join(names, "driver_id", how)
-        .orderBy(*_page_order(sort_by, sort_order))
-        .offset((page - 1) * limit)
-        .limit(limit)
-    )
-    return rows.select(
+    rows = _listed(bookings, users, start, end, page, limit, sort_by, sort_order, how)
+    rows = rows.withColumn("total", F.sum("_drivers").over(Window.partitionBy())).filter(_on_page(page, limit))
+    return rows.orderBy("_place").select(
         "driver_id", "driver_name", "driver_email", "total_earnings", "total_orders", "average_earnings",
         F.lit(page).alias("page"),
         F.lit(limit).alias("page_limit"),
-        total.alias("total"),
-        F.ceil(total / F.lit(limit)).cast("bigint").alias("total_pages"),
+        "total",
+        F.ceil(F.col("total") / F.lit(limit)).cast("bigint").alias("total_pages"),
     )
 
 
@@ -241,11 +266,22 @@ def drivers_earnings_summary(bookings: DataFrame, start: dt.date, end: dt.date)
     )
 
 
-def drivers_page_json(page: DataFrame, summary: DataFrame, number: int = 1, limit: int = 10) -> DataFrame:
-    """The page envelope as one JSON document; its list holds one page of rows, no more.
+def drivers_page_json(
+    bookings: DataFrame,
+    users: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    page: int = 1,
+    limit: int = 10,
+    sort_by: str = "earnings",
+    sort_order: str = "desc",
+    how: str = "inner",
+) -> DataFrame:
+    """Page, pagination and summary as one JSON document, from one aggregate of the bookings.
 
-    The pagination comes from the summary, so a page past the end still has it.
+    The list holds one page of rows, no more; a page past the end is empty but has its pagination.
     """
+    rows = _listed(bookings, users, start, end, page, limit, sort_by, sort_order, how)
     entry = F.struct(
         F.col("driver_id").alias("driverId"),
         F.col("driver_name").alias("driverName"),
@@ -254,28 +290,30 @@ def drivers_page_json(page: DataFrame, summary: DataFrame, number: int = 1, limi
         F.col("total_orders").alias("totalOrders"),
         F.col("average_earnings").alias("averageEarnings"),
     )
-    drivers = F.col("active_drivers")
-    paging = F.struct(
-        F.lit(number).alias("page"),
-        F.lit(limit).alias("limit"),
-        drivers.alias("total"),
-        F.ceil(drivers / F.lit(limit)).cast("bigint").alias("totalPages"),
+    placed = F.when(_on_page(page, limit), F.struct("_place", entry.alias("d")))
+    sums = rows.agg(
+        F.transform(F.sort_array(F.collect_list(placed)), lambda x: x["d"]).alias("drivers"),
+        F.sum("_earnings").cast(TOTAL).alias("earnings"),
+        F.sum("_orders").alias("orders"),
+        F.sum("_payments").alias("paid"),
+        F.coalesce(F.sum("_drivers"), F.lit(0)).alias("active"),
     )
-    ranked = page.withColumn("_at", F.monotonically_increasing_id())
-    listed = ranked.agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("_at", entry.alias("d")))), lambda x: x["d"]).alias("drivers")
+    zero = F.lit(0).cast(TOTAL)
+    summary = F.struct(
+        F.coalesce("earnings", zero).alias("totalEarnings"),
+        F.coalesce("orders", F.lit(0)).alias("totalOrders"),
+        F.coalesce(exact_mean(F.col("earnings"), F.col("paid")), zero).alias("averageEarnings"),
+        F.col("active").alias("activeDrivers"),
     )
-    total = F.struct(
-        F.col("total_earnings").alias("totalEarnings"),
-        F.col("total_orders").alias("totalOrders"),
-        F.col("average_earnings").alias("averageEarnings"),
-        F.col("active_drivers").alias("activeDrivers"),
+    paging = F.struct(
+        F.lit(page).alias("page"),
+        F.lit(limit).alias("limit"),
+        F.col("active").alias("total"),
+        F.ceil(F.col("active") / F.lit(limit)).cast("bigint").alias("totalPages"),
     )
-    outer = summary.select(F.struct(total.alias("summary"), paging.alias("pagination")).alias("s")).scalar()
-    listed = listed.withColumn("_outer", outer)
-    data = F.struct("drivers", F.col("_outer.summary").alias("summary"), F.col("_outer.pagination").alias("pagination"))
+    data = F.struct("drivers", summary.alias("summary"), paging.alias("pagination"))
     document = F.struct(F.lit(True).alias("success"), data.alias("data"))
-    return listed.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("report"))
+    return sums.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("report"))
 
 
 # --- platform ---------------------------------------------------------------------------

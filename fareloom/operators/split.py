@@ -208,7 +208,7 @@ def _with_influencer_commission(
     base = bookings.drop(
         "influencer_commission_type", "influencer_commission_rate", "influencer_commission_fixed", "influencer_commission"
     )
-    rows = lookup(base, dim, "influencer_id", limit=limit)
+    rows = lookup(base, dim, "influencer_id", limit=limit, keys_from=bookings)
     zero_money, zero_rate = F.lit(0).cast(MONEY), F.lit(0).cast(PERCENT)
     percent = F.col("_i.commission_percent")
     if by_service:

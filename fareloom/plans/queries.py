@@ -408,8 +408,7 @@ def drivers_earnings_summary(m: Marketplace) -> DataFrame:
 
 @query
 def drivers_page_json(m: Marketplace) -> DataFrame:
-    page = reports.drivers_earnings_page(m.bookings, m.users, START, END, page=1, limit=5)
-    return reports.drivers_page_json(page, reports.drivers_earnings_summary(m.bookings, START, END), number=1, limit=5)
+    return reports.drivers_page_json(m.bookings, m.users, START, END, page=1, limit=5)
 
 
 @query
