@@ -7,7 +7,6 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fareloom.schemas import APP_STATUS, APP_STATUS_DEFAULT, DEFAULT_COUNTRY, DEFAULT_SERVICE, MONEY
 
@@ -127,7 +126,3 @@ def descending(column: Column | str) -> Column:
 def ascending(column: Column | str) -> Column:
     """Smallest first with NULLs at the end."""
     return _col(column).asc_nulls_last()
-
-
-def typed_null(dtype: T.DataType | str) -> Column:
-    return F.lit(None).cast(dtype)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.functions.columns import (
@@ -452,6 +452,52 @@ def cache_lookup(
     )
 
 
+# parts of the validity in which entries and requests are brought together
+CACHE_PARTS = 24
+
+
+def cache_lookup_as_of(requests: DataFrame, cache: DataFrame, hours: int = CACHE_HOURS, parts: int = CACHE_PARTS) -> DataFrame:
+    """The newest entry of the ``hours`` before each request (``requested_at``), by query and language.
+
+    Time is cut into slices of a part of the validity. Entries and requests of one slice are put in
+    order together; of each earlier slice that may still matter only the newest entry is carried
+    over, to at most ``parts`` later slices. So a task sorts no more than a slice of a query, however
+    often it is asked, and no request meets all entries. An entry of the very moment of the request
+    counts, one exactly ``hours`` old does not; of entries of one time the greatest id wins. Requests
+    without a query, language or time miss.
+    """
+    keys = ["search_query", "language_code"]
+    width = hours * 3600 * 1_000_000 // parts
+
+    def at(column: str) -> Column:
+        return F.unix_micros(F.col(column).cast("timestamp"))
+
+    known = F.col("search_query").isNotNull() & F.col("language_code").isNotNull()
+    entry = F.struct(F.col("created_at").alias("cached_at"), F.col("id").alias("cache_id"), "name")
+    entries = cache.filter(known & F.col("created_at").isNotNull()).select(
+        *keys, at("created_at").alias("_at"), F.floor(at("created_at") / width).alias("_slice"), entry.alias("_entry")
+    )
+    best = entries.groupBy(*keys, "_slice").agg(F.max("_entry").alias("_entry"))
+    carried = best.select(*keys, F.explode(F.sequence(F.col("_slice") + 1, F.col("_slice") + parts)).alias("_slice"), "_entry")
+    carried = carried.groupBy(*keys, "_slice").agg(F.max("_entry").alias("_entry")).withColumn("_at", F.lit(None).cast("long"))
+    asked = requests.filter(known & F.col("requested_at").isNotNull()).select(
+        *keys, at("requested_at").alias("_at"), F.floor(at("requested_at") / width).alias("_slice"), "request_id", "requested_at"
+    )
+    rows = entries.unionByName(carried).unionByName(asked, allowMissingColumns=True)
+    # what is carried stands first, an entry before a request of the same moment
+    order = [F.col("_at").asc_nulls_first(), F.col("requested_at").isNotNull(), F.col("_entry.cache_id")]
+    before = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("_found", F.last("_entry", ignorenulls=True).over(before)).filter(F.col("requested_at").isNotNull())
+    fresh = F.col("_found.cached_at") > F.col("requested_at") - F.make_dt_interval(hours=F.lit(hours))
+    found = found.select("request_id", *keys, "requested_at", F.when(fresh, F.col("_found")).alias("_found"))
+    missed = requests.filter(~known | F.col("requested_at").isNull()).select("request_id", *keys, "requested_at")
+    rows = found.unionByName(missed, allowMissingColumns=True)
+    return rows.select(
+        "request_id", *keys, "requested_at", "_found.cache_id", "_found.name", "_found.cached_at",
+        F.col("_found").isNotNull().alias("is_hit"),
+    )
+
+
 # --- chat -------------------------------------------------------------------------------
 
 

@@ -47,12 +47,6 @@ def constraint_violations(table: str, df: DataFrame, constraints: Mapping[str, C
     return counts.select(F.lit(table).alias("table_name"), F.inline(rows))
 
 
-def broken_constraints(df: DataFrame, key: str, constraints: Mapping[str, Column]) -> DataFrame:
-    """The rows that break a constraint, one per broken constraint."""
-    codes = F.array_compact(F.array(*(F.when(~ok, F.lit(code)) for code, ok in constraints.items())))
-    return df.select(key, F.explode(codes).alias("constraint"))
-
-
 def duplicate_keys(label: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once; NULLs compare equal, so duplicates among them show too."""
     text = F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("(null)")) for k in keys))

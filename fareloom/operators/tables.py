@@ -38,13 +38,10 @@ def insert_missing(target: DataFrame, source: DataFrame, key: str | Sequence[str
     return target.unionByName(source.select(*target.columns).join(target.select(*keys), keys, "left_anti"))
 
 
-def default_profiles(users: DataFrame) -> DataFrame:
+def default_profiles(users: DataFrame, first_name: str, last_name: str, phone: str) -> DataFrame:
     """Placeholder profiles for all drivers, to be inserted where missing."""
     return users.filter(F.col("role") == "driver").select(
-        F.col("id").alias("user_id"),
-        F.lit("Test").alias("first_name"),
-        F.lit("Driver").alias("last_name"),
-        F.lit("0912345678").alias("phone"),
+        F.col("id").alias("user_id"), F.lit(first_name).alias("first_name"), F.lit(last_name).alias("last_name"), F.lit(phone).alias("phone")
     )
 
 
@@ -100,6 +97,11 @@ def fill_service_types(drivers: DataFrame) -> DataFrame:
     return drivers.withColumn("service_types", F.coalesce("service_types", every))
 
 
+def offers(service: str) -> Column:
+    """Whether a driver (column ``service_types``) takes trips of ``service``; one who has not chosen takes all."""
+    return F.col("service_types").isNull() | F.coalesce(F.array_contains("service_types", service), F.lit(False))
+
+
 # --- JSON columns -----------------------------------------------------------------------
 
 
@@ -144,10 +146,10 @@ def driver_directory(users: DataFrame, profiles: DataFrame, drivers: DataFrame)
     )
 
 
-def available_drivers(users: DataFrame, profiles: DataFrame, drivers: DataFrame) -> DataFrame:
-    """Active drivers open for trips, best rated first, then most trips."""
+def available_drivers(users: DataFrame, profiles: DataFrame, drivers: DataFrame, service: str | None = None) -> DataFrame:
+    """Active drivers open for trips, of ``service`` if one is named, best rated first, then most trips."""
     named = profiles.select(F.col("user_id").alias("id"), "first_name", "last_name", "phone")
-    cars = drivers.filter("is_available").select(F.col("user_id").alias("id"), "vehicle_type", "rating", "total_trips")
+    cars = drivers.filter("is_available" if service is None else F.col("is_available") & offers(service)).select(F.col("user_id").alias("id"), "vehicle_type", "rating", "total_trips")
     rows = (
         users.filter((F.col("role") == "driver") & (F.col("status") == "active"))
         .select("id", "email")

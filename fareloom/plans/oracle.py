@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from fareloom.plans.views import PAID_STATUSES, app_status, mean, pct, with_views
-from fareloom.schemas import DOCUMENT_TYPES, INSTANT_RIDE_DOCUMENT_TYPES, WIDE_PHOTO_COLUMNS
+from fareloom.schemas import DOCUMENT_TYPES, INSTANT_RIDE_DOCUMENT_TYPES, WIDE_DOCUMENT_COLUMNS, WIDE_PHOTO_COLUMNS
 
 S: dict[str, str] = {}
 
+_INSTANT = "(d.service_types IS NULL OR list_contains(d.service_types, 'instant_ride'))"
+
 # --- scans and the event log ------------------------------------------------------------
 
 S["scan_bookings"] = "SELECT id, customer_id, driver_id, status, total_amount, service_type, country, created_at FROM m_bookings"
@@ -63,6 +65,15 @@ S["cache_retention"] = """
 SELECT count(*) AS total, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-22 00:00:00') AS deleted
 FROM events WHERE event_type IN ('signup', 'view')
 """
+S["cache_lookup_as_of"] = """
+SELECT request_id, r.search_query, r.language_code, requested_at, c.id AS cache_id, c.name, c.created_at AS cached_at, c.id IS NOT NULL AS is_hit
+FROM (SELECT CAST(event_id AS VARCHAR) AS request_id, CASE WHEN event_id % 50 <> 0 THEN 'place ' || user_id END AS search_query,
+             CASE WHEN value > 30 THEN 'en' ELSE 'zh' END AS language_code, ts AS requested_at FROM events WHERE event_type IN ('click', 'purchase')) r
+LEFT JOIN (SELECT CAST(event_id AS VARCHAR) AS id, 'place ' || user_id AS search_query, CASE WHEN event_type = 'view' THEN 'en' ELSE 'zh' END AS language_code,
+                  'Place ' || event_id AS name, ts AS created_at FROM events WHERE event_type IN ('signup', 'view')) c
+  ON c.search_query = r.search_query AND c.language_code = r.language_code AND c.created_at <= requested_at AND c.created_at > requested_at - INTERVAL 24 HOUR
+QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY c.created_at DESC, c.id DESC) = 1
+"""
 S["cache_lookup"] = """
 SELECT CAST(r.event_id AS VARCHAR) AS request_id, 'place ' || r.user_id AS search_query,
        CASE WHEN r.value > 30 THEN 'en' ELSE 'zh' END AS language_code, CAST(c.event_id AS VARCHAR) AS cache_id,
@@ -99,7 +110,7 @@ SELECT id, coalesce(country, 'TW') AS country, coalesce(service_type, 'charter')
 FROM m_bookings
 """
 S["fill_service_types"] = """
-SELECT user_id, CASE WHEN vehicle_type = 'small' THEN 'charter' ELSE 'charter,instant_ride' END AS service_types FROM m_drivers
+SELECT user_id, array_to_string(coalesce(service_types, ['charter', 'instant_ride']), ',') AS service_types FROM m_drivers
 """
 S["fill_commission_type"] = "SELECT id AS influencer_id, 'unified' AS commission_type FROM m_influencers"
 _WRONG = """(platform_fee IS NULL OR platform_fee <> total_amount * CAST(0.25 AS DECIMAL(3,2))
@@ -192,6 +203,11 @@ SELECT u.id AS user_id, email, CASE WHEN first_name IS NOT NULL OR last_name IS
 FROM m_users u JOIN m_profiles p ON u.id = p.user_id JOIN m_drivers d ON u.id = d.user_id
 WHERE role = 'driver' AND status = 'active' AND is_available ORDER BY rating DESC, total_trips DESC, user_id
 """
+S["available_for_instant_rides"] = S["available_drivers"].replace("AND is_available", "AND is_available AND " + _INSTANT)
+S["load_older_bookings"] = """
+SELECT id, total_amount, 'TW' AS country, 'charter' AS service_type, coalesce(original_price, total_amount) AS original_price,
+       coalesce(final_price, total_amount) AS final_price FROM m_bookings
+"""
 S["profiles_of_drivers"] = "SELECT * FROM m_profiles WHERE user_id IN (SELECT id FROM m_users WHERE role = 'driver')"
 S["revenue_share_lookup"] = """
 SELECT b.id, r.id AS rule_id, company_percentage, driver_percentage, company_base_percentage
@@ -574,6 +590,7 @@ UNION ALL SELECT 'drivers', 'company_tax_id', count(*) FROM m_drivers WHERE NOT
 S["duplicate_keys"] = """
 SELECT 'one referrer per referee' AS check_name, 'C' || o_custkey AS key, count(*) AS n_rows FROM orders GROUP BY o_custkey HAVING count(*) > 1
 UNION ALL SELECT 'one live document per type', driver_id || '|' || type, count(*) FROM m_documents WHERE status <> 'rejected' GROUP BY driver_id, type HAVING count(*) > 1
+UNION ALL SELECT 'one bank account per driver', 'D' || s_suppkey, 2 FROM supplier WHERE s_acctbal >= 0 AND s_nationkey % 6 = 0
 UNION ALL SELECT 'one referrer per driver', referee_driver_id, count(*) FROM m_driver_referrals GROUP BY referee_driver_id HAVING count(*) > 1
 UNION ALL SELECT 'one active rule per key', country || '|' || coalesce(region, '(null)') || '|' || service_type || '|' || CAST(has_promo_code AS VARCHAR), count(*)
           FROM m_rules WHERE is_active GROUP BY country, region, service_type, has_promo_code HAVING count(*) > 1
@@ -593,20 +610,32 @@ _REQUIRED = ", ".join(f"('{t}', FALSE)" for t in DOCUMENT_TYPES) + ", " + ", ".j
     f"('{t}', TRUE)" for t in INSTANT_RIDE_DOCUMENT_TYPES
 )
 S["document_compliance"] = f"""
-SELECT d.user_id, d.vehicle_type = 'large' AS needs_instant, coalesce(string_agg(CASE WHEN c.status IS NULL THEN q.type END, ',' ORDER BY q.type), '') AS missing,
+SELECT d.user_id, (d.service_types IS NULL OR list_contains(d.service_types, 'instant_ride')) AS needs_instant, coalesce(string_agg(CASE WHEN c.status IS NULL THEN q.type END, ',' ORDER BY q.type), '') AS missing,
        coalesce(string_agg(CASE WHEN c.status = 'pending' THEN q.type END, ',' ORDER BY q.type), '') AS unapproved,
        bool_and(c.status IS NOT NULL AND c.status = 'approved') AS is_compliant
-FROM m_drivers d JOIN (VALUES {_REQUIRED}) AS q(type, instant_only) ON NOT q.instant_only OR d.vehicle_type = 'large'
+FROM m_drivers d JOIN (VALUES {_REQUIRED}) AS q(type, instant_only) ON NOT q.instant_only OR (d.service_types IS NULL OR list_contains(d.service_types, 'instant_ride'))
 LEFT JOIN (SELECT * FROM (SELECT driver_id, url, status, uploaded_at, unnest(CASE type WHEN 'id_card' THEN ['id_card_front', 'id_card_back'] WHEN 'license' THEN ['drivers_license']
                             WHEN 'insurance' THEN ['insurance_policy'] ELSE [type] END) AS type FROM m_documents WHERE status <> 'rejected')
            QUALIFY row_number() OVER (PARTITION BY driver_id, type ORDER BY uploaded_at DESC, url DESC) = 1) c
   ON d.user_id = c.driver_id AND q.type = c.type
-GROUP BY d.user_id, d.vehicle_type
+GROUP BY d.user_id, d.service_types
 """
 S["photos_unpivot"] = "SELECT * FROM (" + "\nUNION ALL ".join(
     f"SELECT driver_id, '{name}' AS photo_type, {column} AS url FROM m_photos_wide" for column, name in WIDE_PHOTO_COLUMNS.items()
 ) + ") WHERE url IS NOT NULL"
 S["photos_pivot"] = "SELECT * FROM m_photos_wide"
+S["documents_unpivot"] = "SELECT * FROM (" + "\nUNION ALL ".join(
+    f"SELECT 'D' || s_suppkey AS driver_id, '{name}' AS type, CASE WHEN (s_nationkey + {i}) % 4 <> 0 THEN 'doc/' || s_suppkey || '/{column}' END AS url FROM supplier"
+    for i, (column, name) in enumerate(WIDE_DOCUMENT_COLUMNS.items())
+) + ") WHERE url IS NOT NULL"
+S["documents_pivot"] = f"""
+SELECT driver_id, {", ".join(f"max(CASE WHEN type = '{name}' THEN url END) AS {column}" for column, name in WIDE_DOCUMENT_COLUMNS.items())}
+FROM (SELECT * FROM (
+        SELECT driver_id, url, status, uploaded_at, unnest(CASE type WHEN 'id_card' THEN ['id_card_front', 'id_card_back'] WHEN 'license' THEN ['drivers_license']
+               WHEN 'insurance' THEN ['insurance_policy'] ELSE [type] END) AS type FROM m_documents WHERE status <> 'rejected')
+      QUALIFY row_number() OVER (PARTITION BY driver_id, type ORDER BY uploaded_at DESC, url DESC) = 1)
+GROUP BY driver_id
+"""
 S["payload_completeness"] = """
 SELECT CASE WHEN version = 1 THEN 'created' ELSE 'updated' END AS event_type, count(*) AS events, count(deposit_paid) AS "with_depositPaid",
        count(d.external_uid) AS "with_driverId", count(d.name) AS "with_driverName", count(promo_code) AS "with_promoCode", count(completed_at) AS "with_completedAt"

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.columns import app_status, seconds_between
 from fareloom.operators import cdc, commission, payments, quality, reports, split, tables
-from fareloom.schemas import WIDE_PHOTO_COLUMNS
+from fareloom.schemas import INSTANT_SERVICE, WIDE_DOCUMENT_COLUMNS, WIDE_PHOTO_COLUMNS
 from fareloom.session import work_path
 from fareloom.sources import sinks
 from fareloom.sources.marketplace import Marketplace, StreamingMarketplace
+from fareloom.sources.tables import load
 from fareloom.streaming import commissions, delivery, event_log, expiry, history, jobs, rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,15 @@ def scan_bookings(m: Marketplace) -> DataFrame:
     return m.bookings.select("id", "customer_id", "driver_id", "status", "total_amount", "service_type", "country", "created_at")
 
 
+@query
+def load_older_bookings(m: Marketplace) -> DataFrame:
+    """Bookings from files that were written before country and service type were added."""
+    path = work_path(m.spark, "entities")
+    m.bookings.drop("country", "service_type").write.parquet(f"{path}/bookings")
+    rows = load(m.spark, path, ["bookings"])["bookings"]
+    return tables.fill_defaults(rows).select("id", "total_amount", "country", "service_type", "original_price", "final_price")
+
+
 def _state(m: Marketplace) -> DataFrame:
     return m.outbox.select(
         F.col("id").alias("event_id"), F.col("retry_count").alias("attempts"), F.col("processed_at").alias("delivered_at")
@@ -173,6 +183,11 @@ def cache_lookup(m: Marketplace) -> DataFrame:
     return cdc.cache_lookup(m.place_requests, m.place_cache, AS_OF)
 
 
+@query
+def cache_lookup_as_of(m: Marketplace) -> DataFrame:
+    return cdc.cache_lookup_as_of(m.place_requests_timed, m.place_cache)
+
+
 @query
 def payment_validate(m: Marketplace) -> DataFrame:
     rows = payments.validate_intents(m.payment_requests)
@@ -199,7 +214,7 @@ def upsert_users(m: Marketplace) -> DataFrame:
 
 @query
 def insert_missing_profiles(m: Marketplace) -> DataFrame:
-    return tables.insert_missing(m.profiles, tables.default_profiles(m.users), "user_id")
+    return tables.insert_missing(m.profiles, tables.default_profiles(m.users, "Test", "Driver", "0912345678"), "user_id")
 
 
 # --- projections and filters ------------------------------------------------------------
@@ -224,9 +239,7 @@ def fill_defaults(m: Marketplace) -> DataFrame:
 
 @query
 def fill_service_types(m: Marketplace) -> DataFrame:
-    """Drivers of small vehicles have chosen charter trips only, the others have not chosen."""
-    charter = F.when(F.col("vehicle_type") == "small", F.array(F.lit("charter")))
-    filled = tables.fill_service_types(m.drivers.withColumn("service_types", charter))
+    filled = tables.fill_service_types(m.drivers)
     return filled.select("user_id", F.array_join("service_types", ",").alias("service_types"))
 
 
@@ -835,6 +848,7 @@ def duplicate_keys(m: Marketplace) -> DataFrame:
     return (
         quality.duplicate_keys("one referrer per referee", m.referral_claims, ["referee_id"])
         .unionByName(quality.duplicate_keys("one live document per type", live_documents, ["driver_id", "type"]))
+        .unionByName(quality.duplicate_keys("one bank account per driver", m.bank_accounts, ["driver_id"]))
         .unionByName(quality.duplicate_keys("one referrer per driver", m.driver_referrals, ["referee_driver_id"]))
         .unionByName(
             quality.duplicate_keys(
@@ -860,7 +874,23 @@ def driver_completeness(m: Marketplace) -> DataFrame:
 
 @query
 def document_compliance(m: Marketplace) -> DataFrame:
-    return quality.document_compliance(m.drivers, m.driver_documents, F.col("vehicle_type") == "large")
+    return quality.document_compliance(m.drivers, m.driver_documents, tables.offers(INSTANT_SERVICE))
+
+
+@query
+def available_for_instant_rides(m: Marketplace) -> DataFrame:
+    return tables.available_drivers(m.users, m.profiles, m.drivers, INSTANT_SERVICE)
+
+
+@query
+def documents_unpivot(m: Marketplace) -> DataFrame:
+    return quality.wide_to_long(m.driver_documents_wide, "driver_id", WIDE_DOCUMENT_COLUMNS, "type")
+
+
+@query
+def documents_pivot(m: Marketplace) -> DataFrame:
+    """The current documents of the long table, under the wide table's columns."""
+    return quality.long_to_wide(quality.current_documents(m.driver_documents), "driver_id", WIDE_DOCUMENT_COLUMNS, "type")
 
 
 @query

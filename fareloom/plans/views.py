@@ -39,7 +39,8 @@ SELECT 'DR' || s_suppkey AS id, 'D' || s_suppkey AS user_id,
        CAST(CAST(300 + 8 * s_nationkey AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(3,2)) AS rating,
        CAST(floor(s_acctbal / 40) AS INT) AS total_trips, s_acctbal > 1000 AS is_available,
        CASE WHEN s_nationkey < 12 THEN lpad(CAST(s_suppkey AS VARCHAR), 8, '0')
-            WHEN s_nationkey < 15 THEN CAST(s_suppkey AS VARCHAR) END AS company_tax_id
+            WHEN s_nationkey < 15 THEN CAST(s_suppkey AS VARCHAR) END AS company_tax_id,
+       CASE s_nationkey % 3 WHEN 0 THEN ['charter'] WHEN 1 THEN ['instant_ride', 'charter'] END AS service_types
 FROM supplier WHERE s_acctbal >= 0
 """
 

@@ -139,7 +139,8 @@ def entity_schemas() -> dict[str, T.StructType]:
         "users": _struct(id="string!", external_uid="string", role="string", name="string", email="string", status="string"),
         "user_profiles": _struct(user_id="string!", first_name="string", last_name="string", phone="string"),
         "drivers": _struct(
-            id="string!", user_id="string!", vehicle_type="string", rating=RATING, total_trips="int", is_available="boolean"
+            id="string!", user_id="string!", vehicle_type="string", rating=RATING, total_trips="int", is_available="boolean",
+            company_tax_id="string", service_types="array<string>",
         ),
         "vehicles": _struct(driver_id="string!", plate_number="string", model="string", is_primary="boolean"),
         "influencers": _struct(
@@ -190,5 +191,9 @@ def entity_schemas() -> dict[str, T.StructType]:
         "driver_documents": _struct(
             driver_id="string!", type="string!", url="string!", status="string!", uploaded_at="timestamp", reviewed_at="timestamp"
         ),
+        "driver_bank_accounts": _struct(
+            driver_id="string!", bank_name="string", bank_code="string!", branch_name="string", account_holder_name="string",
+            account_number="string!",
+        ),
         "driver_vehicle_photos": _struct(driver_id="string!", photo_type="string!", url="string!"),
     }

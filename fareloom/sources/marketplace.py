@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.schemas import LATITUDE, LONGITUDE, MONEY, RATE, RATING, WIDE_PHOTO_COLUMNS
+from fareloom.schemas import LATITUDE, LONGITUDE, MONEY, RATE, RATING, WIDE_DOCUMENT_COLUMNS, WIDE_PHOTO_COLUMNS
 from fareloom.sources.tables import read_table
 
 RULES = """
@@ -123,6 +123,10 @@ class Marketplace:
             F.when(nation < 12, F.lpad(F.col("s_suppkey").cast("string"), 8, "0"))
             .when(nation < 15, F.col("s_suppkey").cast("string"))
             .alias("company_tax_id"),
+            # a third take charter trips only, a third have not chosen
+            F.when(nation % 3 == 0, F.array(F.lit("charter")))
+            .when(nation % 3 == 1, F.array(F.lit("instant_ride"), F.lit("charter")))
+            .alias("service_types"),
         )
 
     @cached_property
@@ -395,6 +399,16 @@ class Marketplace:
             F.col("ts").alias("created_at"),
         )
 
+    @cached_property
+    def place_requests_timed(self) -> DataFrame:
+        """Requests of every hour of the log, each with its own time."""
+        return self.table("events").filter(F.col("event_type").isin("click", "purchase")).select(
+            F.col("event_id").cast("string").alias("request_id"),
+            F.when(F.col("event_id") % 50 != 0, _id("place ", "user_id")).alias("search_query"),
+            F.when(F.col("value") > 30, "en").otherwise("zh").alias("language_code"),
+            F.col("ts").alias("requested_at"),
+        )
+
     @cached_property
     def place_requests(self) -> DataFrame:
         return self.table("events").filter(F.col("event_type") == "click").select(
@@ -537,6 +551,27 @@ class Marketplace:
             F.col("l_shipdate").alias("uploaded_at"),
         )
 
+    @cached_property
+    def driver_documents_wide(self) -> DataFrame:
+        """The wide document table: seven URL columns, some not yet handed in."""
+        nation, names = F.col("s_nationkey"), list(WIDE_DOCUMENT_COLUMNS)
+
+        def url(i: int, column: str) -> Column:
+            value = F.concat_ws("/", F.lit("doc"), F.col("s_suppkey").cast("string"), F.lit(column))
+            return F.when((nation + i) % 4 != 0, value).alias(column)
+
+        return self.table("supplier").select(_id("D", "s_suppkey").alias("driver_id"), *(url(i, c) for i, c in enumerate(names)))
+
+    @cached_property
+    def bank_accounts(self) -> DataFrame:
+        """Where drivers are paid; some have handed in a second account."""
+        nation = F.col("s_nationkey")
+        codes = F.when(nation % 6 == 0, F.array(F.lit("004"), F.lit("822"))).otherwise(F.array(F.lit("004")))
+        return self.table("supplier").filter(F.col("s_acctbal") >= 0).select(
+            _id("D", "s_suppkey").alias("driver_id"), F.explode(codes).alias("bank_code"),
+            F.lpad(F.col("s_suppkey").cast("string"), 12, "0").alias("account_number"), F.col("s_name").alias("account_holder_name"),
+        )
+
     @cached_property
     def driver_photos_wide(self) -> DataFrame:
         """The wide photo table: nine URL columns, the rear seats missing on small vehicles."""
