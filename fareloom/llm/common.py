@@ -29,6 +29,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have, whatever the case of its own."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def steps(batch: pa.RecordBatch, columns: str | Sequence[str], size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch by rows so that each part's texts in ``columns`` stay near ``size`` bytes."""
     names = [columns] if isinstance(columns, str) else columns

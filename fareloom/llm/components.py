@@ -12,7 +12,8 @@ def _star(links: DataFrame, larger_only: bool) -> DataFrame:
     """Point the neighbours of each node (the larger ones, or the smaller ones and itself) at the
     smallest of its neighbourhood."""
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))) if larger_only else links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # a table of its own: Spark splits the rows of a hot node only where the join's sides come straight from shuffles
+    least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     met = both.join(least, "a")
     if larger_only:
         out = met.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
