@@ -1,7 +1,9 @@
 """Benchmark items in documents, found under new numbers, names and units.
 
-Texts are brought to templates: a unit after a number, every number, and every capitalised word
-inside a sentence become placeholders; other words lose case and signs. All windows of ``width``
+Texts are brought to templates: a unit after a number, every number, in digits or in words, and every
+capitalised word inside a sentence become placeholders; other words lose case and signs. Capitalised
+words that follow each other are one name, as are the words of one number. Whether the word that begins
+a sentence is a name cannot be told, so windows with such a word are taken both ways. All windows of ``width``
 template words of the documents meet those of the benchmark by a hash join. Windows with few plain
 words (under half) are no evidence. Matches are lined up by the distance of their places; on one
 line, each benchmark value (a number, name or unit) must always stand for the same document value,
@@ -15,7 +17,7 @@ an item is looked for that has no window with enough plain words (arithmetic, ta
 names); signs and case do not count there either. All values of such windows are compared. The
 documents are read once for all these kinds of windows, which are at most two for each length.
 
-Null and empty texts have none. Rows without
+Null and empty texts have none; a text of any length is taken whole, as one row. Rows without
 an id take no part. Repeated rows and repeated lines count once; an item that occurs twice under one
 id counts as the union of its windows. Empty tables give empty results. Only the named columns are
 read. Everything is built-in column functions and joins. Before the join, a filter of fixed size drops
@@ -36,14 +38,29 @@ UNITS = (
     " meters metres miles mile feet foot inches inch dollars dollar euros euro cents percent degrees mph kmh watts volts"
 ).split()
 
+# Words for numbers; those that are articles as well are left out.
+TENS = (
+    "twenty thirty forty fifty sixty seventy eighty ninety zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig"
+    " vingt trente quarante cinquante soixante veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa"
+).split()
+NUMBER_WORDS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
+    " nineteen hundred thousand million null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf hundert tausend"
+    " zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize cent mille"
+    " cero dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince cien mil"
+).split()
+
 NUMBER, NAME, UNIT = "⟨n⟩", "⟨a⟩", "⟨u⟩"
+#: Behind the word that begins a sentence, and between the words of one name or number.
+STARTS, JOINT = "⟫", "⟪"
 
 #: Benchmark windows up to which they are sent to every task: 64 bytes each, so 13 MB at most.
 SENT_WINDOWS = 200_000
 
 
-#: Bits of the filter that document windows pass before they are joined; its size never changes.
-FILTER_BITS = 1 << 18
+#: Bits of the filter that document windows pass before they are joined, for each benchmark window, and
+#: how many there are at least and at most: half a megabyte.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 18, 1 << 22
 
 
 class Kind(NamedTuple):
@@ -59,32 +76,55 @@ class Kind(NamedTuple):
 
 def _parts(text: Column) -> Column:
     """Lower-case words between signs and white space."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}⟨⟩]+"), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}⟨⟩⟪⟫]+"), lambda w: w != "")
+
+
+def _listed(words: Sequence[str]) -> str:
+    return f"(?i:{'|'.join(sorted(words, key=len, reverse=True))})"
 
 
 def templates(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, words, raw): each text's template words, and the same words as they are where the
-    template has a placeholder (null where it has none)."""
-    source = F.regexp_replace(F.col(text).cast("string"), "[⟨⟩]", "")
-    units = F.regexp_replace(source, rf"(\d\s?)(?i:{'|'.join(sorted(UNITS, key=len, reverse=True))})\b", f"$1{UNIT}")
-    names = F.regexp_replace(units, r"\p{Lu}(?<=[\p{Ll}\p{N},;]\s.)\p{Ll}+", NAME)
-    numbers = F.regexp_replace(names, r"\d+(?:[.,:/]\d+)*", NUMBER)
-    joined = F.regexp_replace(F.col("_source"), r"(?<=\d)[.,:/](?=\d)", "")  # a number stays one word
+    """(key, words, named, raw): each text's template words; the same with the words that begin
+    sentences as names (null if there are none); and the words as they are where the template has a
+    placeholder (null where it has none)."""
+    capital = r"\p{Lu}[\p{L}\p{M}]"
+    bare = F.regexp_replace(F.col(text).cast("string"), "[⟨⟩⟪⟫]", "")
+    # words of one name or number become one word
+    whole = F.regexp_replace(bare, rf"(?<=\b{capital}{{1,40}})[ \t]{{1,3}}(?={capital})", JOINT)
+    whole = F.regexp_replace(whole, rf"(?<=\b{_listed(TENS)})[ -](?={_listed(NUMBER_WORDS)}\b)", JOINT)
+    source = F.regexp_replace(whole, r"(?<=\d)[.,:/](?=\d)", "")
+    names = F.regexp_replace(F.col("_source"), rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},;⟩]\s.)[\p{{L}}\p{{M}}{JOINT}]+", NAME)
+    begins = F.regexp_replace(names, rf"({capital}[\p{{L}}\p{{M}}{JOINT}]*)", f"$1{STARTS}")
+    numbers = F.regexp_replace(begins, rf"\d+|\b{_listed([*TENS, *NUMBER_WORDS])}(?:{JOINT}\p{{L}}+)?\b{STARTS}?", NUMBER)
+    units = F.regexp_replace(numbers, rf"({NUMBER}\s?){_listed(UNITS)}\b", f"$1{UNIT}")
     known = rows.filter(F.col(key).isNotNull() & F.col(text).isNotNull())
-    formed = known.select(F.col(key).alias("key"), source.alias("_source"), numbers.alias("_template"))
-    return formed.select("key", _parts(F.col("_template")).alias("words"), F.when(F.instr("_template", "⟨") > 0, _parts(joined)).alias("raw"))
+    formed = known.select(F.col(key).alias("key"), source.alias("_source"))
+    formed = formed.select("key", "_source", units.alias("_template"))
+    formed = formed.select(
+        "key", _parts(F.col("_template")).alias("_words"),
+        F.when((F.instr("_template", "⟨") > 0) | (F.instr("_template", STARTS) > 0), _parts(F.col("_source"))).alias("raw"),
+    )
+    marked = F.exists("_words", lambda w: F.endswith(w, F.lit(STARTS)))
+    return formed.select(
+        "key", F.transform("_words", lambda w: F.replace(w, F.lit(STARTS), F.lit(""))).alias("words"),
+        F.when(marked, F.transform("_words", lambda w: F.when(F.endswith(w, F.lit(STARTS)), NAME).otherwise(w))).alias("named"), "raw",
+    )
 
 
 def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFrame:
-    """``parts`` with ``windows``, the hash of every window, ``values``, the words behind placeholders,
-    and the hashes of the windows of each of ``kinds``."""
-    hashes = [F.transform("words", lambda w: F.xxhash64(w)).alias("_hashes")]
+    """``parts`` with ``windows``, the hash of every window, ``named_windows``, the same with the words
+    that begin sentences as names (null where it is the same), ``values``, the words behind placeholders
+    and those that begin sentences, and the hashes of the windows of each of ``kinds``."""
+    hashes = [F.transform("words", lambda w: F.xxhash64(w)).alias("_hashes"), F.transform("named", lambda w: F.xxhash64(w)).alias("_named")]
     if any(k.raw for k in kinds):
         hashes.append(F.transform(F.coalesce("raw", "words"), lambda w: F.xxhash64(w)).alias("_raw_hashes"))
-    each = parts.select("*", *hashes, F.zip_with("words", "raw", lambda w, r: F.when(F.instr(w, "⟨") > 0, r)).alias("values"))
+    values = F.zip_with(F.coalesce("named", "words"), "raw", lambda w, r: F.when(F.instr(w, "⟨") > 0, r))
+    each = parts.select("*", *hashes, values.alias("values"))
     # _hashes is named more than once, so that it stays a column and is not computed in each window
     places = F.sequence(F.lit(0), F.greatest(F.size("_hashes") - width, F.lit(0)))
-    every = F.when(F.size("_hashes") > 0, F.transform(places, lambda i: F.xxhash64(F.slice("_hashes", i + 1, width))))
+
+    def every(source: str) -> Column:
+        return F.when(F.size(source) > 0, F.transform(places, lambda i: F.xxhash64(F.slice(source, i + 1, width))))
 
     def own(kind: Kind) -> Column:
         source = "_raw_hashes" if kind.raw else "_hashes"
@@ -92,7 +132,9 @@ def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFram
         found = F.transform(starts, lambda i: F.xxhash64(F.slice(source, i + 1, kind.size), F.lit(int(kind.raw))))
         return F.when(F.size(source) >= kind.size, found).otherwise(F.array().cast("array<bigint>"))
 
-    return each.withColumns({"windows": every} | {k.column: own(k) for k in kinds}).drop("_hashes", "_raw_hashes")
+    named = F.zip_with(every("_named"), every("_hashes"), lambda n, w: F.when(n != w, n))
+    columns = {"windows": every("_hashes"), "named_windows": named} | {k.column: own(k) for k in kinds}
+    return each.withColumns(columns).drop("_hashes", "_named", "_raw_hashes")
 
 
 def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
@@ -100,9 +142,12 @@ def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
     windows = F.col(kind.column)
     places = F.when(F.size(windows) > 0, F.sequence(F.lit(0), F.size(windows) - 1)).otherwise(F.array().cast("array<int>"))
 
+    def value(place: Column) -> Column:
+        return F.when(F.instr(F.get("words", place), "⟨") > 0, F.get("values", place))
+
     def two(i: Column, k: int) -> Column:
         name = F.get(windows, i) if k == 0 else F.xxhash64(F.get(windows, i), F.lit(k))
-        return F.struct(i.alias("at"), name.alias("hash"), F.get("values", i + k).alias("first"), F.get("values", i + kind.size - 1 - k).alias("last"))
+        return F.struct(i.alias("at"), name.alias("hash"), value(i + k).alias("first"), value(i + kind.size - 1 - k).alias("last"))
 
     def rows(i: Column) -> Column:
         return F.array(*(two(i, k) for k in range((kind.size + 1) // 2)))
@@ -111,20 +156,29 @@ def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
 
 
 def rows_of(
-    parts: DataFrame, width: int, wanted: Callable[[Column], Column], *more: Callable[[Column], Column], kinds: Sequence[Kind] = ()
+    parts: DataFrame, width: int, wanted: Callable[[Column], Column], *more: Callable[[Column, str], Column], kinds: Sequence[Kind] = ()
 ) -> DataFrame:
     """(key, at, hash, first, last, ...) of the ``wanted`` windows, those of ``kinds`` among them:
     place, hash, and the values behind the first and the last word."""
-    places = F.when(F.size("windows") > 0, F.sequence(F.lit(0), F.size("windows") - 1))
     end = F.size("words") - 1
 
-    def row(i: Column) -> Column:
-        last = F.get("values", F.least(i + width - 1, end))
-        own = [i.alias("at"), F.get("windows", i).alias("hash"), F.get("values", i).alias("first"), last.alias("last")]
-        return F.struct(*own, *(f(i) for f in more))
+    def value(source: str, place: Column) -> Column:
+        # as a plain word, what begins a sentence has no value
+        found = F.get("values", place)
+        return found if source == "named" else F.when(F.instr(F.get("words", place), "⟨") > 0, found)
+
+    def rows(windows: str, source: str) -> Column:
+        places = F.when(F.size(windows) > 0, F.sequence(F.lit(0), F.size(windows) - 1))
+
+        def row(i: Column) -> Column:
+            own = [i.alias("at"), F.get(windows, i).alias("hash"), value(source, i).alias("first"), value(source, F.least(i + width - 1, end)).alias("last")]
+            return F.struct(*own, *(f(i, source) for f in more))
+
+        return F.transform(F.filter(places, lambda i: wanted(F.get(windows, i))), row)
 
-    rows = F.transform(F.filter(places, lambda i: wanted(F.get("windows", i))), row)
-    return parts.select("key", F.inline(F.concat(rows, *(own_rows(k, wanted) for k in kinds)) if kinds else rows))
+    plain, named = rows("windows", "words"), rows("named_windows", "named")
+    every = F.concat(plain, F.coalesce(named, F.slice(plain, 1, 0)), *(own_rows(k, wanted) for k in kinds))
+    return parts.select("key", F.inline(every))
 
 
 def kinds_of(parts: DataFrame, width: int) -> DataFrame:
@@ -137,7 +191,7 @@ def kinds_of(parts: DataFrame, width: int) -> DataFrame:
     return some.withColumns({"length": F.least(F.lit(width), n), "as_is": (n >= width) | (2 * plain(F.col("words")) < width)})
 
 
-def bit_filter(hashes: DataFrame, bits: int = FILTER_BITS) -> Callable[[Column], Column]:
+def bit_filter(hashes: DataFrame, bits: int) -> Callable[[Column], Column]:
     """Whether a hash may be among ``hashes``: a fixed number of bits, set by grouped aggregation."""
     place = F.pmod("hash", F.lit(bits))
     sets = hashes.groupBy((place / 64).cast("int").alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, int(pmod(hash, {bits}) % 64)))").alias("b"))
@@ -157,8 +211,8 @@ def contaminated(
     ``n_values`` counts the item's distinct values on its best line, ``n_changed`` those that
     differ in the document: above 0 for a question under new parameters.
     """
-    plain = lambda i: F.size(F.filter(F.slice("words", i + 1, width), lambda w: F.instr(w, "⟨") == 0)).alias("plain")
-    size = lambda i: F.least(F.lit(width), F.size("words")).alias("size")
+    plain = lambda i, source: F.size(F.filter(F.slice(source, i + 1, width), lambda w: F.instr(w, "⟨") == 0)).alias("plain")
+    size = lambda i, source: F.least(F.lit(width), F.size(source)).alias("size")
     source = templates(benchmark, item_column, item_text)
     items = rows_of(hashed(source, width), width, lambda h: h.isNotNull(), plain, size)
     items = items.filter(2 * F.col("plain") >= F.col("size")).drop("plain", "size")
@@ -172,8 +226,12 @@ def contaminated(
     )
     items = items.dropDuplicates(["item_id", "item_at", "hash"])
     totals = items.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows"))
-    likely = bit_filter(items.select("hash"))
-    if items.count() <= SENT_WINDOWS:  # the same rows either way
+    n_windows = items.count()
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, BITS_EACH * n_windows):
+        bits *= 2
+    likely = bit_filter(items.select("hash"), bits)
+    if n_windows <= SENT_WINDOWS:  # the same rows either way
         items = F.broadcast(items)
     own = hashed(templates(docs, id_column, text_column), width, kinds)
     found = rows_of(own, width, likely, kinds=kinds).withColumnRenamed("key", "doc_id").join(items, "hash")
