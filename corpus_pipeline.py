@@ -1,24 +1,35 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage reads all that its predecessor kept. The first four return rows of ``documents`` with its
-columns; the last returns pieces of packed sequences. A row without an id cannot be judged by the
-stages that join on ids; those keep it. Empty input gives empty output.
+columns; the last returns pieces of packed sequences. Rows are judged by themselves: where an id repeats
+with different texts, a verdict on one row leaves the others alone. Null and empty texts, texts of any
+length and columns of any further name are taken. Of rows that repeat both id and text one is left by the
+near-duplicate stage, which keeps rows without an id. Empty input gives empty output.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.llm import decontaminate, language, neardup, packing, toxicity
-from fareloom.llm.common import staged, table
+from fareloom.llm.common import fresh, staged, table
 from fareloom.llm.queries import TOXIC_FROM, importable
 
 #: Documents less likely than this to be in their best language are rejected.
 SURE = 0.8
 
 
+def without(docs: DataFrame, judge) -> DataFrame:
+    """The rows that ``judge`` does not return: it gets them with a number for each id and text, in a
+    column of a name that they do not have, and returns such numbers in one column."""
+    key = fresh(docs, "row_key")
+    numbered = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    bad = judge(numbered, key).toDF(key).filter(F.col(key).isNotNull()).distinct()
+    return numbered.join(bad, key, "left_anti").select(docs.columns)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
     """Drop documents without any letters, of uncertain language, or of another one than declared.
 
@@ -26,11 +37,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, directory: str) -> D
     """
     importable(spark)
     model = language.train(table(spark, directory, "documents"))
-    rows = docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
-    found = language.language_id(rows, model)
-    wrong = F.coalesce(F.col("lang") != F.col("declared"), F.lit(False)) & F.col("declared").isin(model.languages)
-    bad = found.filter(F.col("id").isNotNull() & ((F.col("n_letters") == 0) | F.col("lang").isNull() | (F.col("probability") < SURE) | wrong))
-    return docs.join(bad.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti").select(docs.columns)
+
+    def uncertain(rows: DataFrame, key: str) -> DataFrame:
+        rows = rows.select(F.col(key).alias("id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
+        found = language.language_id(rows, model)
+        wrong = F.coalesce(F.col("lang") != F.col("declared"), F.lit(False)) & F.col("declared").isin(model.languages)
+        return found.filter((F.col("n_letters") == 0) | F.col("lang").isNull() | (F.col("probability") < SURE) | wrong).select("id")
+
+    return without(docs, uncertain)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
@@ -41,20 +55,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, directory: str) -> DataFram
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
-    """Keep the document with the smallest id of each group; of rows that repeat its id, one."""
+    """Keep one document of each group, that with the smallest id."""
     importable(spark)
-    kept = staged(neardup.near_duplicates(docs), "kept").filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    some = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    some = some.withColumn("_number", F.row_number().over(first)).filter("_number = 1").drop("_number")
-    return some.unionByName(docs.filter(F.col("doc_id").isNull()))
+    return neardup.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
     """Drop documents that hold a benchmark item, be it under new numbers or names."""
-    importable(spark)
-    held = decontaminate.contaminated(docs, table(spark, directory, "benchmark")).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(docs.columns)
+    items = table(spark, directory, "benchmark")
+    return without(docs, lambda rows, key: decontaminate.contaminated(rows, items, id_column=key).select("doc_id"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
