@@ -15,9 +15,10 @@ A notice of fewer than ``short`` words must be there in full; a longer one needs
 (name, variant, version). From its first to its last matched word a match has at most half as many
 words again as the template (three more at least), and no word among them that names a sibling.
 
-Null and empty texts have no words and no rows. Repeated rows give repeated results; a null id stays
+Null and empty texts have no words and no rows. A text of any length is read whole: one beyond the size
+of a step is a step of its own. Repeated rows give repeated results; a null id stays
 null. All templates that reach the coverage are listed, at each place, but for matches that lie
-within another one's span with no more matched words. Offsets count
+within the span of one with more matched words, or have the very span of one with as many. Offsets count
 characters. Only the id and text columns are read.
 """
 
@@ -46,6 +47,110 @@ _GNU = {
     "AGPL-3.0": ("Affero General", "3"),
 }
 
+# Identifiers of well-known public licenses, and the names they go by.
+NAMES = {
+    "MIT": ("MIT License", "MIT Expat License"),
+    "Apache-2.0": ("Apache License 2.0", "Apache License Version 2.0", "Apache 2.0 License", "Apache-2.0 License", "Apache License v2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License", "BSD-3-Clause License"),
+    "ISC": ("ISC License",),
+    "GPL-2.0": ("GNU General Public License v2.0", "GNU General Public License Version 2", "GNU General Public License Version 2.0", "GNU GPL v2", "GPLv2 License"),
+    "GPL-3.0": ("GNU General Public License v3.0", "GNU General Public License Version 3", "GNU General Public License Version 3.0", "GNU GPL v3", "GPLv3 License"),
+    "LGPL-2.1": ("GNU Lesser General Public License v2.1", "GNU Lesser General Public License Version 2.1", "GNU LGPL v2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License v3.0", "GNU Lesser General Public License Version 3", "GNU LGPL v3"),
+    "AGPL-3.0": ("GNU Affero General Public License v3.0", "GNU Affero General Public License Version 3", "GNU AGPL v3"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License Version 2.0", "Mozilla Public License v2.0", "MPL 2.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License Version 2.0", "Eclipse Public License v2.0"),
+    "BSL-1.0": ("Boost Software License 1.0", "Boost Software License Version 1.0"),
+    "Artistic-2.0": ("Artistic License 2.0", "Artistic License Version 2.0"),
+    "CC0-1.0": ("CC0 1.0 Universal License", "Creative Commons Zero v1.0 Universal"),
+    "Zlib": ("zlib License",),
+    "Unlicense": ("Unlicense License", "Unlicense"),
+}
+
+#: Words from which a name is a notice by itself.
+SAID_ALONE = 4
+
+
+def named_notices() -> dict[str, str]:
+    """Notices made of the names: an SPDX line, "under the ..." (as in licensed, released, distributed
+    under the terms of the), also with the name's words joined by hyphens, and long names alone."""
+    found = {}
+    for key, names in NAMES.items():
+        endings = ("", "-only", "-or-later") if "GPL" in key else ("",)
+        found |= {f"{key}-spdx{e}": f"SPDX-License-Identifier: {key}{e}" for e in endings}
+        for i, name in enumerate(names):
+            found[f"{key}-under-{i}"] = f"under the {name}"
+            if " " in name:
+                found[f"{key}-joined-{i}"] = f"under the {name.replace(' ', '-')}"
+            if len(name.split()) >= SAID_ALONE:
+                found[f"{key}-name-{i}"] = name
+    return found
+
+
+_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,"
+    " BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT"
+    " SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL"
+    " DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS"
+    " INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE"
+    " OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+    " conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+    " following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and"
+    " the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_THIRD = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived"
+    " from this software without specific prior written permission. "
+)
+_COPYING = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+
+# Whole texts of short licenses, and how the long ones begin.
+TEXTS = {
+    "BSD-2-Clause": f"{_BSD_HEAD} {_AS_IS}",
+    "BSD-3-Clause": f"{_BSD_HEAD}{_BSD_THIRD}{_AS_IS}",
+    "MIT-warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE"
+        " WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR"
+        " COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,"
+        " ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
+        " provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\""
+        " AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY"
+        " AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY"
+        " DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER"
+        " TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,"
+        " sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or"
+        " non-commercial, and by any means."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for"
+        " any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,"
+        " including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed"
+        " with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "Apache-2.0-text": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND"
+        " DISTRIBUTION 1. Definitions."
+    ),
+    "GPL-2.0-text": f"GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc. {_COPYING}",
+    "GPL-3.0-text": f"GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_COPYING}",
+    "LGPL-2.1-text": f"GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc. {_COPYING}",
+    "LGPL-3.0-text": f"GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_COPYING}",
+    "AGPL-3.0-text": f"GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_COPYING}",
+}
+
 # Notices by which well-known public licenses are declared.
 TEMPLATES = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0",
@@ -81,15 +186,19 @@ TEMPLATES = {
         " conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and"
         " the following disclaimer."
     ),
+    **TEXTS,
+    **named_notices(),
 }
 
 # Words without which a long notice is another one, and words that make a notice another's.
-TELLING = {"Apache-2.0": ("apache", "2.0")} | {k: (*f"gnu {kind} public".lower().split(), v) for k, (kind, v) in _GNU.items()}
+TELLING = {"Apache-2.0": ("apache", "2.0"), "Apache-2.0-text": ("apache", "2.0"), "MPL-2.0": ("mozilla", "2.0"), "BSD-3-Clause": ("neither", "endorse")}
+TELLING |= {f"{k}{e}": (*f"gnu {kind} public".lower().split(), v) for k, (kind, v) in _GNU.items() for e in ("", "-text")}
 _QUALIFIERS = {
     "GPL": "lesser library affero",
     "CC-": "sharealike share-alike share noncommercial non-commercial non noderivatives no-derivatives noderivs no-derivs no nc nd sa",
 }
 BARRED = {k: tuple(w.split()) for k in TEMPLATES for family, w in _QUALIFIERS.items() if k.removeprefix("L").removeprefix("A").startswith(family)}
+BARRED["BSD-line"] = ("2-clause", "3-clause", "4-clause", "simplified", "new", "modified")
 
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 SCHEMA = "doc_id long, license string, coverage double, matched int, start int, end int"
@@ -229,7 +338,10 @@ def matches(ids: list[int], places: np.ndarray, notice: Notice, reach: int) -> I
             if own[k] not in holders or at[k] <= done:
                 continue
             if notice.least == n:
-                found = in_full(own, at, notice, k, bisect_left(at, done + 1, a, b))
+                # the stretch that holds all its words in order is aligned like any other
+                whole = in_full(own, at, notice, k, bisect_left(at, done + 1, a, b))
+                pairs = patience(own[whole[0] : k + 1], notice.words) if whole else []
+                found = [whole[0] + i for i, _ in pairs] if len(pairs) == n else []
             else:
                 low, high = at[k] - max(within[own[k]]) * 3 // 2 - 3, at[k] + (n - min(within[own[k]])) * 3 // 2 + 3
                 first, end = bisect_left(at, max(low, done + 1), a, b), bisect_left(at, high + 1, a, b)
@@ -252,13 +364,14 @@ NEAR = 256
 
 
 def outermost(found: list[tuple]) -> list[tuple]:
-    """Matches that do not lie within another's span with no more matched words, by their places."""
+    """Matches that do not lie within the span of another with more matched words, or have the very
+    span of one with as many, by their places."""
     kept, spans = [], defaultdict(list)
     for name, coverage, matched, a, b in sorted(found, key=lambda x: (-x[2], -x[1], x[0], x[3])):
-        if not any(c <= a and b <= d for c, d in spans[a // NEAR]):
+        if not any(c <= a and b <= d and (matched < m or (a, b) == (c, d)) for c, d, m in spans[a // NEAR]):
             kept.append((name, coverage, matched, a, b))
             for near in range(a // NEAR, b // NEAR + 1):
-                spans[near].append((a, b))
+                spans[near].append((a, b, matched))
     return sorted(kept, key=lambda x: (x[3], x[4], x[0]))
 
 

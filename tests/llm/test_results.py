@@ -300,7 +300,7 @@ def test_a_notice_needs_its_telling_words_within_a_bounded_span(spark):
     apache = license.TEMPLATES["Apache-2.0"]
     rows = {
         "Released under the BSD License": ["BSD-line"],
-        "Released under the ISC License": [],
+        "Released under the IXC License": [],
         "Licensed under CC BY-SA 4.0": ["CC-BY-SA-4.0-line"],
         "Licensed under CC BY-NC-ND 4.0": ["CC-BY-NC-ND-4.0-line"],
         "Licensed under CC BY-NC 3.0": [],
