@@ -5,13 +5,14 @@ Markup: the language that the page declares, taken as right with a fixed probabi
 country suffix of the host, likewise. Host: how the other rows of the same host came out by their
 text, smoothed towards the host's domain, that towards its suffix, and that towards all rows. The
 host counts are sums of text posteriors by grouped aggregation; a row's own share is taken out of
-its host's count before it is used. Hosts meet their rows by a join that is salted by row, so that
-one host with a third of all rows is spread.
+its host's count before it is used. Hosts meet their rows by a lookup that spreads the rows of a heavy
+host over as many salts as they need, so that one host with a third of all rows is no task's alone.
 
 Null or empty texts give no text evidence, null or unknown declarations and hosts give none either;
 a row without any evidence gets the global shares. Ties go to the first language by name. Rows that
 repeat are judged alike and both count for their host. Without training texts the languages are
-those of ``languages``; if there are none the result is null. Only the named columns are read.
+those of ``languages``; if there are none the result is null. Only the named columns are read. Texts are
+read whole, of any length: one beyond the size of a step is a step of its own.
 """
 
 from __future__ import annotations
@@ -23,17 +24,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import STEP_BYTES, give_back, released, staged, steps
+from fareloom.llm.common import STEP_BYTES, released, staged, steps
+from fareloom.operators.joins import lookup
 
-#: Bounds of the training sample, by language, and of languages.
-PER_LANGUAGE, MAX_CHARS, MAX_LANGUAGES = 400, 20_000, 50
+#: Bounds of the training sample, by language.
+PER_LANGUAGE, MAX_CHARS = 400, 20_000
 #: Hash places of trigrams.
 PLACES = 1 << 16
-#: Parts into which the rows of a host are dealt.
-SALTS = 16
 
 # Country suffixes and the language most used there.
 SUFFIX_LANGUAGE = {
@@ -75,34 +75,56 @@ def trigram_places(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return places, bounds, (x != 32)
 
 
+def trigram_table(languages: Sequence[str], counts: np.ndarray, smooth: float = 0.5) -> Trigrams:
+    """The model of counts of trigram places, a column for each language."""
+    counts = counts + smooth
+    counts[0] = 0
+    table = np.log(np.maximum(counts, smooth) / counts.sum(0, keepdims=True))
+    table[0] = 0
+    return Trigrams(list(languages), table.astype(np.float32))
+
+
 def fit_trigrams(rows: Sequence[tuple[str, str]], smooth: float = 0.5) -> Trigrams:
-    """Fit on (text, language) rows."""
+    """Fit on (text, language) rows at hand."""
     languages = sorted({lang for _, lang in rows})
-    counts = np.full((PLACES, len(languages)), smooth)
+    counts = np.zeros((PLACES, len(languages)))
     for k, lang in enumerate(languages):
         places, _, _ = trigram_places(pa.array([t for t, x in rows if x == lang], pa.string()))
         counts[:, k] += np.bincount(places, minlength=PLACES)
-    counts[0] = 0
-    table = np.log(np.maximum(counts, smooth) / counts.sum(0, keepdims=True))
-    table[0] = 0
-    return Trigrams(languages, table.astype(np.float32))
-
-
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS, max_languages: int = MAX_LANGUAGES) -> Trigrams:
-    """Fit on documents with a language: at most ``per_language`` of each, chosen by a hash of the
-    id, none longer than ``max_chars``, for the ``max_languages`` most frequent languages."""
-    known = docs.filter(F.col("lang").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", "lang")
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    rows = []
-    for (lang, _) in frequent:
-        ids = known.filter(F.col("lang") == lang).orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id").limit(per_language)
-        texts = docs.filter((F.col("lang") == lang) & (F.length("text") <= max_chars)).select("doc_id", "text")
-        found = texts.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")  # at most per_language ids
-        rows += [(r["text"], lang) for r in found.collect()]
-    model = fit_trigrams(rows)
-    del rows
-    give_back()
-    return model
+    return trigram_table(languages, counts, smooth)
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS) -> Trigrams:
+    """Fit on documents with a language: at most ``per_language`` of each, chosen by a hash of the id,
+    none longer than ``max_chars``. Every language that occurs is learnt, so the model has a column
+    for each; texts are counted where they are, and only counts come back.
+    """
+    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= max_chars))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id")
+    # tasks pass on no more than per_language ids of a language
+    chosen = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
+    ids = staged(chosen.select("doc_id", "lang").distinct(), "language-sample")
+    texts = known.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("lang", "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch, "text", STEP_BYTES // 4):
+                places, bounds, _ = trigram_places(part.column("text"))
+                langs = part.column("lang").dictionary_encode()
+                names, owner = langs.dictionary, langs.indices.to_numpy().astype(np.int64)
+                key, n = np.unique(np.repeat(owner, np.diff(bounds)) * PLACES + places, return_counts=True)
+                columns = [names.take(pa.array(key // PLACES)).cast(pa.string()), pa.array((key % PLACES).astype(np.int32)), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "place", "n"])
+
+    counted = texts.mapInArrow(released(count), "lang string, place int, n long").groupBy("lang", "place").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()  # at most PLACES rows of a language
+    codes = found.column("lang").combine_chunks().dictionary_encode() if found.num_rows else pa.array([], pa.string()).dictionary_encode()
+    names = codes.dictionary.to_pylist()
+    languages = sorted(names)
+    column = np.array([languages.index(n) for n in names], np.int64)[codes.indices.to_numpy()] if names else np.zeros(0, np.int64)
+    counts = np.zeros((PLACES, len(languages)))
+    counts[found.column("place").to_numpy(), column] = found.column("n").to_numpy()
+    return trigram_table(languages, counts)
 
 
 def text_evidence(rows: DataFrame, model: Trigrams) -> DataFrame:
@@ -199,10 +221,9 @@ def language_id(
         "*",
         F.when(size > 1, F.element_at(labels, -1)).otherwise("").alias("suffix"),
         F.when(size > 1, F.concat_ws(".", F.slice(labels, -2, 2))).otherwise(F.col("host")).alias("domain"),
-        F.pmod(F.xxhash64("id", "n_letters"), F.lit(SALTS)).alias("_salt"),
     ).withColumn("p", _softmax(F.col("ll")))
     seen = staged(seen, "language")
-    priors = host_priors(seen, n, strength).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    priors = staged(host_priors(seen, n, strength), "hosts")
     suffixes = F.create_map(*(F.lit(x) for pair in suffix_language.items() for x in pair)) if suffix_language else F.create_map()
     own = F.transform(F.arrays_zip("_counts", "p", "_prior"), lambda x: (F.greatest(x["_counts"] - x["p"], F.lit(0.0)) + strength * x["_prior"]))
     log_prior = F.transform(own, lambda x: F.log(F.greatest(x, F.lit(1e-12))))
@@ -215,7 +236,7 @@ def language_id(
     def best(p: Column) -> Column:
         return F.element_at(listed, F.array_position(p, F.array_max(p)).cast("int"))
 
-    fused = seen.join(priors.withColumn("_salt", F.col("_salt").cast("long")), ["host", "_salt"]).withColumn("_post", _softmax(total))
+    fused = lookup(seen, priors, "host", "inner", keys_from=seen.select("host")).withColumn("_post", _softmax(total))
     return fused.select(
         "id", best(F.col("_post")).alias("lang"), F.array_max("_post").alias("probability"),
         F.when(F.col("n_letters") > 0, best(F.col("p"))).alias("text_lang"), "declared", "host", "n_letters",
