@@ -39,20 +39,22 @@ UNITS = (
 ).split()
 
 # Words for numbers; those that are articles as well are left out.
-TENS = (
-    "twenty thirty forty fifty sixty seventy eighty ninety zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig"
-    " vingt trente quarante cinquante soixante veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa"
-).split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+ONES = "one two three four five six seven eight nine".split()
 NUMBER_WORDS = (
-    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
-    " nineteen hundred thousand million null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf hundert tausend"
-    " zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize cent mille"
-    " cero dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince cien mil"
+    "zero ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen hundred thousand million"
+    " null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend"
+    " zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante cent mille"
+    " cero dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce quince veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien mil"
 ).split()
 
-NUMBER, NAME, UNIT = "⟨n⟩", "⟨a⟩", "⟨u⟩"
-#: Behind the word that begins a sentence, and between the words of one name or number.
-STARTS, JOINT = "⟫", "⟪"
+# control characters, so that plain texts stay in one byte a character: before a placeholder's letter,
+# behind the word that begins a sentence, and between the words of one name or number
+HOLDS, STARTS, JOINT = "\x01", "\x02", "\x03"
+NUMBER, NAME, UNIT = f"{HOLDS}n", f"{HOLDS}a", f"{HOLDS}u"
+#: All words for numbers up to a hundred and for some beyond.
+NUMERALS = [*TENS, *ONES, *NUMBER_WORDS, *(f"{t}{JOINT}{o}" for t in TENS for o in ONES)]
+MARKED_NUMERALS = [*NUMERALS, *(f"{n}{STARTS}" for n in NUMERALS)]
 
 #: Benchmark windows up to which they are sent to every task: 64 bytes each, so 13 MB at most.
 SENT_WINDOWS = 200_000
@@ -76,55 +78,63 @@ class Kind(NamedTuple):
 
 def _parts(text: Column) -> Column:
     """Lower-case words between signs and white space."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}⟨⟩⟪⟫]+"), lambda w: w != "")
-
-
-def _listed(words: Sequence[str]) -> str:
-    return f"(?i:{'|'.join(sorted(words, key=len, reverse=True))})"
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}\x01-\x03]+"), lambda w: w != "")
 
 
 def templates(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, words, named, raw): each text's template words; the same with the words that begin
-    sentences as names (null if there are none); and the words as they are where the template has a
-    placeholder (null where it has none)."""
+    """(key, base, words, raw): each text's words with a mark behind those that begin sentences, its
+    template words, and its words as they are where the regular expressions made placeholders (else null).
+    """
     capital = r"\p{Lu}[\p{L}\p{M}]"
-    bare = F.regexp_replace(F.col(text).cast("string"), "[⟨⟩⟪⟫]", "")
+    units = "|".join(sorted(UNITS, key=len, reverse=True))
+    bare = F.translate(F.col(text).cast("string"), f"{HOLDS}{STARTS}{JOINT}", "")
     # words of one name or number become one word
-    whole = F.regexp_replace(bare, rf"(?<=\b{capital}{{1,40}})[ \t]{{1,3}}(?={capital})", JOINT)
-    whole = F.regexp_replace(whole, rf"(?<=\b{_listed(TENS)})[ -](?={_listed(NUMBER_WORDS)}\b)", JOINT)
-    source = F.regexp_replace(whole, r"(?<=\d)[.,:/](?=\d)", "")
-    names = F.regexp_replace(F.col("_source"), rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},;⟩]\s.)[\p{{L}}\p{{M}}{JOINT}]+", NAME)
+    whole = F.regexp_replace(bare, rf"\b({capital}+)[ \t]{{1,3}}(?={capital})", f"$1{JOINT}")
+    whole = F.regexp_replace(whole, rf"(?i)(?<=ty)[ -](?=(?:{'|'.join(ONES)})\b)", JOINT)
+    counted = F.regexp_replace(F.col("_source"), rf"(\d\s?)(?i:{units})\b", f"$1{UNIT}")
+    names = F.regexp_replace(counted, rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},;]\s.)[\p{{L}}\p{{M}}{JOINT}]+", NAME)
     begins = F.regexp_replace(names, rf"({capital}[\p{{L}}\p{{M}}{JOINT}]*)", f"$1{STARTS}")
-    numbers = F.regexp_replace(begins, rf"\d+|\b{_listed([*TENS, *NUMBER_WORDS])}(?:{JOINT}\p{{L}}+)?\b{STARTS}?", NUMBER)
-    units = F.regexp_replace(numbers, rf"({NUMBER}\s?){_listed(UNITS)}\b", f"$1{UNIT}")
+    numbers = F.regexp_replace(begins, r"\d+(?:[.,:/]\d+)*", NUMBER)
+    joined = F.regexp_replace(F.col("_source"), r"(?<=\d)[.,:/](?=\d)", "")  # a number stays one word
     known = rows.filter(F.col(key).isNotNull() & F.col(text).isNotNull())
-    formed = known.select(F.col(key).alias("key"), source.alias("_source"))
-    formed = formed.select("key", "_source", units.alias("_template"))
-    formed = formed.select(
-        "key", _parts(F.col("_template")).alias("_words"),
-        F.when((F.instr("_template", "⟨") > 0) | (F.instr("_template", STARTS) > 0), _parts(F.col("_source"))).alias("raw"),
-    )
-    marked = F.exists("_words", lambda w: F.endswith(w, F.lit(STARTS)))
-    return formed.select(
-        "key", F.transform("_words", lambda w: F.replace(w, F.lit(STARTS), F.lit(""))).alias("words"),
-        F.when(marked, F.transform("_words", lambda w: F.when(F.endswith(w, F.lit(STARTS)), NAME).otherwise(w))).alias("named"), "raw",
-    )
+    formed = known.select(F.col(key).alias("key"), whole.alias("_source"))
+    formed = formed.select("key", "_source", numbers.alias("_template"))
+    formed = formed.select("key", _parts(F.col("_template")).alias("base"), F.when(F.instr("_template", HOLDS) > 0, _parts(joined)).alias("raw"))
+
+    def word(w: Column, i: Column) -> Column:
+        # one look-up in a set for most words: this runs for every word of the corpus
+        measured = F.coalesce(F.get("base", i - 1).isin(MARKED_NUMERALS), F.lit(False))
+        return F.when(w.isin(MARKED_NUMERALS), NUMBER).when(F.endswith(w, F.lit(STARTS)), bare_word(w)).when(w.isin(UNITS) & measured, UNIT).otherwise(w)
+
+    return formed.select("key", "base", F.transform("base", word).alias("words"), "raw")
+
+
+def bare_word(w: Column) -> Column:
+    """A word without the mark of a beginning."""
+    return F.rtrim(w, F.lit(STARTS))
+
+
+def value(place: Column, begins: bool = False) -> Column:
+    """The word that stands at a placeholder, and with ``begins`` that which begins a sentence; else null."""
+    own = F.coalesce(F.get("raw", place), bare_word(F.get("base", place)))
+    stands = F.instr(F.get("words", place), HOLDS) > 0
+    return F.when(stands | F.endswith(F.get("base", place), F.lit(STARTS)) if begins else stands, own)
 
 
 def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFrame:
-    """``parts`` with ``windows``, the hash of every window, ``named_windows``, the same with the words
-    that begin sentences as names (null where it is the same), ``values``, the words behind placeholders
-    and those that begin sentences, and the hashes of the windows of each of ``kinds``."""
-    hashes = [F.transform("words", lambda w: F.xxhash64(w)).alias("_hashes"), F.transform("named", lambda w: F.xxhash64(w)).alias("_named")]
+    """``parts`` with ``windows``, the hash of every window, ``begins``, the places of windows with a word
+    that begins a sentence, ``named``, the hashes of the words with those as names, and the hashes of the
+    windows of each of ``kinds``."""
+    hashes = [F.transform("words", lambda w: F.xxhash64(w)).alias("_hashes")]
     if any(k.raw for k in kinds):
-        hashes.append(F.transform(F.coalesce("raw", "words"), lambda w: F.xxhash64(w)).alias("_raw_hashes"))
-    values = F.zip_with(F.coalesce("named", "words"), "raw", lambda w, r: F.when(F.instr(w, "⟨") > 0, r))
-    each = parts.select("*", *hashes, values.alias("values"))
+        hashes.append(F.transform(F.coalesce("raw", F.transform("base", bare_word)), lambda w: F.xxhash64(w)).alias("_raw_hashes"))
     # _hashes is named more than once, so that it stays a column and is not computed in each window
-    places = F.sequence(F.lit(0), F.greatest(F.size("_hashes") - width, F.lit(0)))
-
-    def every(source: str) -> Column:
-        return F.when(F.size(source) > 0, F.transform(places, lambda i: F.xxhash64(F.slice(source, i + 1, width))))
+    each = parts.select("*", *hashes)
+    last = F.greatest(F.size("_hashes") - width, F.lit(0))
+    every = F.when(F.size("_hashes") > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice("_hashes", i + 1, width))))
+    first = F.filter(F.transform("base", lambda w, i: F.when(F.endswith(w, F.lit(STARTS)), i)), lambda i: i.isNotNull())
+    around = F.transform(first, lambda i: F.sequence(F.least(F.greatest(i - (width - 1), F.lit(0)), last), F.least(i, last)))
+    named = F.zip_with("base", "_hashes", lambda w, h: F.when(F.endswith(w, F.lit(STARTS)), F.xxhash64(F.lit(NAME))).otherwise(h))
 
     def own(kind: Kind) -> Column:
         source = "_raw_hashes" if kind.raw else "_hashes"
@@ -132,9 +142,8 @@ def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFram
         found = F.transform(starts, lambda i: F.xxhash64(F.slice(source, i + 1, kind.size), F.lit(int(kind.raw))))
         return F.when(F.size(source) >= kind.size, found).otherwise(F.array().cast("array<bigint>"))
 
-    named = F.zip_with(every("_named"), every("_hashes"), lambda n, w: F.when(n != w, n))
-    columns = {"windows": every("_hashes"), "named_windows": named} | {k.column: own(k) for k in kinds}
-    return each.withColumns(columns).drop("_hashes", "_named", "_raw_hashes")
+    columns = {"windows": every, "begins": F.array_distinct(F.flatten(around)), "named": named} | {k.column: own(k) for k in kinds}
+    return each.withColumns(columns).drop("_hashes", "_raw_hashes")
 
 
 def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
@@ -142,9 +151,6 @@ def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
     windows = F.col(kind.column)
     places = F.when(F.size(windows) > 0, F.sequence(F.lit(0), F.size(windows) - 1)).otherwise(F.array().cast("array<int>"))
 
-    def value(place: Column) -> Column:
-        return F.when(F.instr(F.get("words", place), "⟨") > 0, F.get("values", place))
-
     def two(i: Column, k: int) -> Column:
         name = F.get(windows, i) if k == 0 else F.xxhash64(F.get(windows, i), F.lit(k))
         return F.struct(i.alias("at"), name.alias("hash"), value(i + k).alias("first"), value(i + kind.size - 1 - k).alias("last"))
@@ -156,34 +162,28 @@ def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
 
 
 def rows_of(
-    parts: DataFrame, width: int, wanted: Callable[[Column], Column], *more: Callable[[Column, str], Column], kinds: Sequence[Kind] = ()
+    parts: DataFrame, width: int, wanted: Callable[[Column], Column], *more: Callable[[Column, bool], Column], kinds: Sequence[Kind] = ()
 ) -> DataFrame:
     """(key, at, hash, first, last, ...) of the ``wanted`` windows, those of ``kinds`` among them:
     place, hash, and the values behind the first and the last word."""
     end = F.size("words") - 1
 
-    def value(source: str, place: Column) -> Column:
-        # as a plain word, what begins a sentence has no value
-        found = F.get("values", place)
-        return found if source == "named" else F.when(F.instr(F.get("words", place), "⟨") > 0, found)
-
-    def rows(windows: str, source: str) -> Column:
-        places = F.when(F.size(windows) > 0, F.sequence(F.lit(0), F.size(windows) - 1))
-
+    def rows(places: Column, name: Callable[[Column], Column], begins: bool) -> Column:
         def row(i: Column) -> Column:
-            own = [i.alias("at"), F.get(windows, i).alias("hash"), value(source, i).alias("first"), value(source, F.least(i + width - 1, end)).alias("last")]
-            return F.struct(*own, *(f(i, source) for f in more))
+            own = [i.alias("at"), name(i).alias("hash"), value(i, begins).alias("first"), value(F.least(i + width - 1, end), begins).alias("last")]
+            return F.struct(*own, *(f(i, begins) for f in more))
 
-        return F.transform(F.filter(places, lambda i: wanted(F.get(windows, i))), row)
+        return F.transform(F.filter(places, lambda i: wanted(name(i))), row)
 
-    plain, named = rows("windows", "words"), rows("named_windows", "named")
-    every = F.concat(plain, F.coalesce(named, F.slice(plain, 1, 0)), *(own_rows(k, wanted) for k in kinds))
-    return parts.select("key", F.inline(every))
+    places = F.when(F.size("windows") > 0, F.sequence(F.lit(0), F.size("windows") - 1))
+    plain = rows(places, lambda i: F.get("windows", i), False)
+    named = rows(F.col("begins"), lambda i: F.xxhash64(F.slice("named", i + 1, width)), True)
+    return parts.select("key", F.inline(F.concat(plain, named, *(own_rows(k, wanted) for k in kinds))))
 
 
 def kinds_of(parts: DataFrame, width: int) -> DataFrame:
     """``parts`` of the items that need windows of a kind of their own, with its ``length`` and ``as_is``."""
-    plain = lambda words: F.size(F.filter(words, lambda w: F.instr(w, "⟨") == 0))
+    plain = lambda words: F.size(F.filter(words, lambda w: F.instr(w, HOLDS) == 0))
     n = F.size("words")
     starts = F.sequence(F.lit(0), F.greatest(n - width, F.lit(0)))
     eligible = F.exists(starts, lambda i: 2 * plain(F.slice("words", i + 1, width)) >= width)
@@ -211,8 +211,13 @@ def contaminated(
     ``n_values`` counts the item's distinct values on its best line, ``n_changed`` those that
     differ in the document: above 0 for a question under new parameters.
     """
-    plain = lambda i, source: F.size(F.filter(F.slice(source, i + 1, width), lambda w: F.instr(w, "⟨") == 0)).alias("plain")
-    size = lambda i, source: F.least(F.lit(width), F.size(source)).alias("size")
+    size = lambda i, begins: F.least(F.lit(width), F.size("words")).alias("size")
+
+    def plain(i: Column, begins: bool) -> Column:
+        some = F.filter(F.slice("words", i + 1, width), lambda w: F.instr(w, HOLDS) == 0)
+        first = F.filter(F.slice("base", i + 1, width), lambda w: F.endswith(w, F.lit(STARTS)) & ~bare_word(w).isin(NUMERALS))
+        return (F.size(some) - F.size(first) if begins else F.size(some)).alias("plain")
+
     source = templates(benchmark, item_column, item_text)
     items = rows_of(hashed(source, width), width, lambda h: h.isNotNull(), plain, size)
     items = items.filter(2 * F.col("plain") >= F.col("size")).drop("plain", "size")
