@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -59,7 +60,7 @@ def main() -> None:
     spark = build_session(
         "fareloom-bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g"},
+        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")},
     )
     spark.sparkContext.setLogLevel("OFF")
     # load classes and start the code cache before the clock runs

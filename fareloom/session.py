@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,16 +32,13 @@ def build_session(app_name: str = "fareloom", master: str | None = None, **extra
 def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
-    setting falls back to a temporary folder; on a cluster its absence is an error, since
-    a machine-local folder would not be visible to the other executors.
+    It is named in ``spark.checkpoint.dir``. Its absence is an error: a folder chosen here could be
+    one that the other executors do not see.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="fareloom-")
+    return named.rstrip("/")
 
 
 def work_path(spark: SparkSession, label: str) -> str:
