@@ -338,6 +338,22 @@ def project_bookings(events: DataFrame) -> DataFrame:
     return booking_document(live)
 
 
+def project_changes(changes: DataFrame, deletions: DataFrame, dimensions: Dimensions, limit: int | None = None) -> DataFrame:
+    """``project_bookings`` of the events of ``changes`` and of ``deletions`` (events), without the events.
+
+    Which change is the newest is found on ids and times alone; only that one row of a booking is then
+    read whole and enriched, and no payload is written or parsed.
+    """
+    own = natural_id(F.lit("booking"), "id", F.col("version").cast("string"))
+    marks = changes.select("id", F.col("changed_at").alias("at"), own.alias("event_id"), "version").unionByName(
+        deletions.select(F.col("aggregate_id").alias("id"), F.col("created_at").alias("at"), F.col("id").alias("event_id")),
+        allowMissingColumns=True,
+    )
+    last = newest(marks, "id", ["at", "event_id"]).filter(F.col("version").isNotNull())
+    rows = changes.join(last.select("id", "version"), ["id", "version"], "left_semi").select(changes.columns)
+    return documents_of_changes(rows, dimensions, limit).drop("version", "is_deleted")
+
+
 def projection_tombstones(events: DataFrame) -> DataFrame:
     """Bookings whose newest event deletes them: to be dropped from both collections, there or not."""
     latest = latest_event(events.filter(F.col("aggregate_type") == "booking"))

@@ -26,6 +26,7 @@ S["outbox_reemit"] = "SELECT * FROM m_backfill WHERE aggregate_id IN (SELECT boo
 S["projection_latest"] = """
 SELECT d.* FROM m_documents_now d JOIN m_latest_log l ON d.id = l.aggregate_id WHERE l.event_type <> 'deleted'
 """
+S["projection_of_events"] = S["projection_latest"]
 S["projection_tombstones"] = """
 SELECT aggregate_id, id AS event_id, created_at AS deleted_at FROM m_latest_log WHERE event_type = 'deleted'
 """

@@ -104,11 +104,20 @@ def outbox_reemit(m: Marketplace) -> DataFrame:
     return _backfilled(m, cdc.reemit(m.bookings, failed), F.lit(True))
 
 
+def _deletions(m: Marketplace) -> DataFrame:
+    deletes = m.outbox.filter((F.col("aggregate_type") == "booking") & (F.col("event_type") == "deleted"))
+    return deletes.select("id", "aggregate_type", "aggregate_id", "event_type", "payload", "created_at")
+
+
 def _log_with_deletes(m: Marketplace) -> DataFrame:
     """Built events of bookings, plus the deletions in the event log from the same bookings."""
-    deletes = m.outbox.filter((F.col("aggregate_type") == "booking") & (F.col("event_type") == "deleted"))
-    columns = ["id", "aggregate_type", "aggregate_id", "event_type", "payload", "created_at"]
-    return _events(m).unionByName(deletes.select(*columns))
+    return _events(m).unionByName(_deletions(m))
+
+
+@query
+def projection_of_events(m: Marketplace) -> DataFrame:
+    """The projection from the events' payloads, as a consumer of the log alone sees them."""
+    return _flat_points(cdc.project_bookings(_log_with_deletes(m)))
 
 
 def _flat_points(rows: DataFrame) -> DataFrame:
@@ -125,7 +134,7 @@ def _flat_points(rows: DataFrame) -> DataFrame:
 
 @query
 def projection_latest(m: Marketplace) -> DataFrame:
-    return _flat_points(cdc.project_bookings(_log_with_deletes(m)))
+    return _flat_points(cdc.project_changes(m.changes, _deletions(m), _dimensions(m)))
 
 
 @query
