@@ -9,8 +9,9 @@ above t / s, where t is the score of the last one wanted, as a probe of the samp
 are visited in order of how much the sum of the query halves' products with the centroids is above
 t / s of their tier, the largest first, found with a heap over the two sorted lists, until the
 visited cells hold ``share`` of all distinct vectors (``least`` at least). Their vectors are reranked
-by their exact inner product. On vectors without any structure a query's neighbours lie in most cells, so that the
-share must be large; where vectors form clusters a small one gives the same recall.
+by their exact inner product. The share follows the data: some queries are tried on the sample, and it is the
+share at which ``recall`` of their nearest vectors there have been met. On vectors without any structure a
+query's neighbours lie in most cells, so that it is large; where vectors form clusters it is small.
 
 Codebooks are fitted on a bounded sample (``sample`` vectors, by a hash of the id); every row is
 indexed. Neighbouring cells are laid into shelves of about ``block`` rows, and a cell with more is
@@ -26,7 +27,7 @@ for a query, by its best score; of query rows that repeat an id, the one with th
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,9 @@ SAMPLE = 20_000
 #: Vectors of the sample that a query is tried on to guess its last score: 1 MB at 64 components.
 PROBE = 2000
 
+#: Queries on which the share is measured, and nearest vectors of the sample that each must meet at least.
+TRIED, MET = 128, 4
+
 #: Tiers of lengths below and above the median's; what is shorter or longer goes to the outermost.
 TIERS = (-6, 12)
 
@@ -126,11 +130,30 @@ def lay(cells: list[tuple[int, int]], block: int) -> list[tuple[int, int, int]]:
     return laid
 
 
+def needed_share(
+    tried: list[tuple[int, np.ndarray]], ids: np.ndarray, x: np.ndarray, cells: np.ndarray, ordered: Callable, k: int, recall: float
+) -> float:
+    """The share of the sample in the cells visited when ``recall`` of the queries' ``k`` nearest sample
+    vectors have been met; ``ordered`` gives the cells in a query's order."""
+    sizes = {int(c): int(n) for c, n in zip(*np.unique(cells, return_counts=True), strict=True)}
+    met = []
+    for own, q in tried:
+        score = np.where(ids == own, -np.inf, x @ q)
+        near = np.argpartition(-score, min(k, len(score) - 1))[:k]
+        order = ordered(q, sizes)
+        before = dict(zip(order, np.cumsum([sizes[c] for c in order]).tolist(), strict=True))
+        met += [before[int(c)] / len(x) for c in cells[near[np.isfinite(score[near])]]]
+    return float(np.quantile(met, recall, method="higher")) if met else 1.0
+
+
 def inverted_multi_index(
-    rows: DataFrame, queries: DataFrame, k: int = 20, centroids: int = 24, share: float = 0.65, least: int = 4000, block: int = 8192, crowd: int = 512,
-    id_column: str = "vec_id", vector_column: str = "embedding", sample: int = SAMPLE,
+    rows: DataFrame, queries: DataFrame, k: int = 20, centroids: int = 24, share: float | None = None, least: int = 4000, block: int = 8192, crowd: int = 512,
+    id_column: str = "vec_id", vector_column: str = "embedding", sample: int = SAMPLE, recall: float = 0.96,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each query, its own id apart."""
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of each query, its own id apart.
+
+    Without ``share``, cells are visited until ``recall`` of the nearest vectors should have been met.
+    """
     spark = rows.sparkSession
     base, asked = usable(rows, id_column, vector_column), usable(queries, id_column, vector_column)
     taken = base.orderBy(F.xxhash64("id", F.lit(29)), "id").limit(sample).collect()
@@ -140,19 +163,23 @@ def inverted_multi_index(
     if dim < 2:
         return spark.createDataFrame([], schema)
     base, asked = base.filter(F.size("v") == dim), asked.filter(F.size("v") == dim).groupBy("id").agg(F.min("v").alias("v"))
-    x = np.array([r["v"] for r in taken if len(r["v"]) == dim])
-    mean = x.mean(0)
-    probe = x[:PROBE] - mean
-    x, lengths = directions(x - mean)
+    sampled = np.array([r["id"] for r in taken if len(r["v"]) == dim])
+    whole = np.array([r["v"] for r in taken if len(r["v"]) == dim])
+    mean = whole.mean(0)
+    probe = whole[:PROBE] - mean
+    x, lengths = directions(whole - mean)
     half, middle = dim // 2, float(np.median(lengths[lengths > 0])) if lengths.any() else 1.0
     books = (kmeans(x[:, :half], centroids), kmeans(x[:, half:], centroids))
     height, width = len(books[0]), len(books[1])
 
+    def cell_of(unit: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return (tiers(length, middle) * height + nearest(unit[:, :half], books[0])) * width + nearest(unit[:, half:], books[1])
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = batch.column("v").flatten().to_numpy().reshape(-1, dim)
             unit, length = directions(v - mean)
-            cell = (tiers(length, middle) * height + nearest(unit[:, :half], books[0])) * width + nearest(unit[:, half:], books[1])
+            cell = cell_of(unit, length)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int64))], ["id", "v", "cell"])
 
     indexed = staged(base.mapInArrow(released(assign), "id long, v array<double>, cell long"), "multi-index")
@@ -161,6 +188,16 @@ def inverted_multi_index(
     distinct = {c: int(d) for c, _, d in cells}
     scales = {t: middle * 2 ** ((t + TIERS[0]) / 3) for t in sorted({c // (height * width) for c in distinct})}
     rank = min(len(probe), max(1, round(k * len(probe) / max(1, sum(n for _, n, _ in cells)))))
+    if share is None:
+        total = sum(n for _, n, _ in cells)
+        tried = [(r["id"], np.array(r["v"])) for r in asked.orderBy(F.xxhash64("id", F.lit(37)), "id").limit(TRIED).collect()]
+
+        def ordered(q: np.ndarray, sizes: dict[int, int]) -> list[int]:
+            last = np.partition(probe @ q, len(probe) - rank)[len(probe) - rank]
+            offsets = {t: float(last) / s for t, s in scales.items()}
+            return multi_sequence(-q[:half] @ books[0].T, -q[half:] @ books[1].T, sizes, float("inf"), offsets)
+
+        share = needed_share(tried, sampled, whole, cell_of(x, lengths), ordered, max(MET, round(k * len(whole) / max(1, total))), recall)
     budget = max(least, share * sum(distinct.values()))
     shelves = lay([(c, n) for c, n, _ in cells], block)
     first_shelf = {c: (first, parts) for c, first, parts in shelves}
