@@ -29,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +55,6 @@ HOLDS, STARTS, JOINT = "\x01", "\x02", "\x03"
 NUMBER, NAME, UNIT = f"{HOLDS}n", f"{HOLDS}a", f"{HOLDS}u"
 #: All words for numbers up to a hundred and for some beyond.
 NUMERALS = [*TENS, *ONES, *NUMBER_WORDS, *(f"{t}{JOINT}{o}" for t in TENS for o in ONES)]
-MARKED_NUMERALS = [*NUMERALS, *(f"{n}{STARTS}" for n in NUMERALS)]
-
 #: Benchmark windows up to which they are sent to every task: 64 bytes each, so 13 MB at most.
 SENT_WINDOWS = 200_000
 
@@ -101,12 +100,7 @@ def templates(rows: DataFrame, key: str, text: str) -> DataFrame:
     formed = formed.select("key", "_source", numbers.alias("_template"))
     formed = formed.select("key", _parts(F.col("_template")).alias("base"), F.when(F.instr("_template", HOLDS) > 0, _parts(joined)).alias("raw"))
 
-    def word(w: Column, i: Column) -> Column:
-        # one look-up in a set for most words: this runs for every word of the corpus
-        measured = F.coalesce(F.get("base", i - 1).isin(MARKED_NUMERALS), F.lit(False))
-        return F.when(w.isin(MARKED_NUMERALS), NUMBER).when(F.endswith(w, F.lit(STARTS)), bare_word(w)).when(w.isin(UNITS) & measured, UNIT).otherwise(w)
-
-    return formed.select("key", "base", F.transform("base", word).alias("words"), "raw")
+    return formed.select("key", "base", F.transform("base", lambda _, i: template_word(i)).alias("words"), "raw")
 
 
 def bare_word(w: Column) -> Column:
@@ -114,27 +108,51 @@ def bare_word(w: Column) -> Column:
     return F.rtrim(w, F.lit(STARTS))
 
 
+def template_word(place: Column) -> Column:
+    """The template word at a place: number words, and units behind them, are placeholders too."""
+    own, before = bare_word(F.get("base", place)), bare_word(F.get("base", place - 1))
+    measured = F.coalesce(before.isin(NUMERALS), F.lit(False))
+    return F.when(own.isin(NUMERALS), NUMBER).when(own.isin(UNITS) & measured, UNIT).otherwise(own)
+
+
 def value(place: Column, begins: bool = False) -> Column:
     """The word that stands at a placeholder, and with ``begins`` that which begins a sentence; else null."""
     own = F.coalesce(F.get("raw", place), bare_word(F.get("base", place)))
-    stands = F.instr(F.get("words", place), HOLDS) > 0
+    stands = F.instr(template_word(place), HOLDS) > 0
     return F.when(stands | F.endswith(F.get("base", place), F.lit(STARTS)) if begins else stands, own)
 
 
+def word_hash(word: str) -> int:
+    """What ``F.xxhash64`` gives for a word."""
+    return int.from_bytes(xxhash.xxh64_digest(word.encode(), seed=42), "big", signed=True)
+
+
 def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFrame:
     """``parts`` with ``windows``, the hash of every window, ``begins``, the places of windows with a word
     that begins a sentence, ``named``, the hashes of the words with those as names, and the hashes of the
     windows of each of ``kinds``."""
-    hashes = [F.transform("words", lambda w: F.xxhash64(w)).alias("_hashes")]
+    # a pass over the strings and one over their hashes: these run for every word of the corpus
+    bare = F.transform("base", lambda w: F.when(F.endswith(w, F.lit(STARTS)), F.xxhash64(bare_word(w))).otherwise(F.xxhash64(w)))
+    numerals, units = ([word_hash(w) for w in some] for some in (NUMERALS, UNITS))
+
+    def placeholders(h: Column, i: Column) -> Column:
+        measured = F.coalesce(F.get("_bare", i - 1).isin(numerals), F.lit(False))
+        special = F.when(h.isin(numerals), F.lit(word_hash(NUMBER))).when(measured, F.lit(word_hash(UNIT))).otherwise(h)
+        return F.when(h.isin([*numerals, *units]), special).otherwise(h)
+
+    hashes = [F.transform("_bare", placeholders).alias("_hashes")]
     if any(k.raw for k in kinds):
         hashes.append(F.transform(F.coalesce("raw", F.transform("base", bare_word)), lambda w: F.xxhash64(w)).alias("_raw_hashes"))
     # _hashes is named more than once, so that it stays a column and is not computed in each window
-    each = parts.select("*", *hashes)
+    each = parts.withColumn("_bare", bare).select("*", *hashes).drop("_bare")
     last = F.greatest(F.size("_hashes") - width, F.lit(0))
     every = F.when(F.size("_hashes") > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice("_hashes", i + 1, width))))
     first = F.filter(F.transform("base", lambda w, i: F.when(F.endswith(w, F.lit(STARTS)), i)), lambda i: i.isNotNull())
-    around = F.transform(first, lambda i: F.sequence(F.least(F.greatest(i - (width - 1), F.lit(0)), last), F.least(i, last)))
-    named = F.zip_with("base", "_hashes", lambda w, h: F.when(F.endswith(w, F.lit(STARTS)), F.xxhash64(F.lit(NAME))).otherwise(h))
+    # each window belongs to the first of its words that begin sentences
+    behind = lambda k: F.coalesce(F.get("_first", k - 1) + 1, F.lit(0))
+    span = lambda i, k: (F.greatest(i - (width - 1), behind(k), F.lit(0)), F.least(i, last))
+    around = F.transform("_first", lambda i, k: F.when(span(i, k)[0] <= span(i, k)[1], F.sequence(*span(i, k))).otherwise(F.array().cast("array<int>")))
+    named = F.zip_with("base", "_hashes", lambda w, h: F.when(F.endswith(w, F.lit(STARTS)), F.lit(word_hash(NAME))).otherwise(h))
 
     def own(kind: Kind) -> Column:
         source = "_raw_hashes" if kind.raw else "_hashes"
@@ -142,8 +160,8 @@ def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFram
         found = F.transform(starts, lambda i: F.xxhash64(F.slice(source, i + 1, kind.size), F.lit(int(kind.raw))))
         return F.when(F.size(source) >= kind.size, found).otherwise(F.array().cast("array<bigint>"))
 
-    columns = {"windows": every, "begins": F.array_distinct(F.flatten(around)), "named": named} | {k.column: own(k) for k in kinds}
-    return each.withColumns(columns).drop("_hashes", "_raw_hashes")
+    columns = {"windows": every, "begins": F.flatten(around), "named": named} | {k.column: own(k) for k in kinds}
+    return each.withColumn("_first", first).withColumns(columns).drop("_first", "_hashes", "_raw_hashes")
 
 
 def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
@@ -166,19 +184,19 @@ def rows_of(
 ) -> DataFrame:
     """(key, at, hash, first, last, ...) of the ``wanted`` windows, those of ``kinds`` among them:
     place, hash, and the values behind the first and the last word."""
-    end = F.size("words") - 1
+    end = F.size("base") - 1
 
-    def rows(places: Column, name: Callable[[Column], Column], begins: bool) -> Column:
-        def row(i: Column) -> Column:
-            own = [i.alias("at"), name(i).alias("hash"), value(i, begins).alias("first"), value(F.least(i + width - 1, end), begins).alias("last")]
-            return F.struct(*own, *(f(i, begins) for f in more))
+    def row(i: Column, name: Column, begins: bool) -> Column:
+        own = [i.alias("at"), name.alias("hash"), value(i, begins).alias("first"), value(F.least(i + width - 1, end), begins).alias("last")]
+        return F.struct(*own, *(f(i, begins) for f in more))
 
-        return F.transform(F.filter(places, lambda i: wanted(name(i))), row)
+    def name(i: Column) -> Column:
+        return F.xxhash64(F.slice("named", i + 1, width))
 
-    places = F.when(F.size("windows") > 0, F.sequence(F.lit(0), F.size("windows") - 1))
-    plain = rows(places, lambda i: F.get("windows", i), False)
-    named = rows(F.col("begins"), lambda i: F.xxhash64(F.slice("named", i + 1, width)), True)
-    return parts.select("key", F.inline(F.concat(plain, named, *(own_rows(k, wanted) for k in kinds))))
+    plain = F.transform("windows", lambda h, i: F.when(wanted(h), row(i, h, False)))
+    named = F.transform("begins", lambda i: F.when(wanted(name(i)), row(i, name(i), True)))
+    found = [F.filter(x, lambda r: r.isNotNull()) for x in (plain, named)]
+    return parts.select("key", F.inline(F.concat(*found, *(own_rows(k, wanted) for k in kinds))))
 
 
 def kinds_of(parts: DataFrame, width: int) -> DataFrame:
@@ -192,14 +210,14 @@ def kinds_of(parts: DataFrame, width: int) -> DataFrame:
 
 
 def bit_filter(hashes: DataFrame, bits: int) -> Callable[[Column], Column]:
-    """Whether a hash may be among ``hashes``: a fixed number of bits, set by grouped aggregation."""
-    place = F.pmod("hash", F.lit(bits))
-    sets = hashes.groupBy((place / 64).cast("int").alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, int(pmod(hash, {bits}) % 64)))").alias("b"))
+    """Whether a hash may be among ``hashes``: a fixed number of bits, a power of two, set by grouped aggregation."""
+    word, bit = f"int(shiftright(hash & {bits - 1}L, 6))", "int(hash & 63L)"
+    sets = hashes.groupBy(F.expr(word).alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("b"))
     held = [0] * (bits // 64)
     for r in sets.collect():  # at most bits / 64 rows
         held[r["w"]] = r["b"]
     array = F.split(F.lit(",".join(map(str, held))), ",").cast("array<bigint>")
-    return lambda h: F.getbit(F.get(array, (F.pmod(h, F.lit(bits)) / 64).cast("int")), (F.pmod(h, F.lit(bits)) % 64).cast("int")) == 1
+    return lambda h: F.getbit(F.get(array, F.shiftright(h.bitwiseAND(F.lit(bits - 1).cast("long")), 6).cast("int")), h.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
 
 
 def contaminated(
