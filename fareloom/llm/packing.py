@@ -31,8 +31,8 @@ from fareloom.llm.common import released, steps, uniques, words
 
 SCHEMA = "doc_id long, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long"
 
-#: Recurring words whose ids a worker remembers between batches.
-REMEMBERED = 150_000
+#: Recurring words whose ids a worker remembers between batches, and bytes of text that it takes at a time.
+REMEMBERED, STEP = 100_000, 3 << 20
 
 
 @functools.cache
@@ -219,7 +219,7 @@ def harmonic_packing(
         bins = Bins(capacity, TaskContext.get().partitionId() << 40)
         end = np.array([end_id], "<u4")
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", STEP):
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text")), strict=True):
                     ids = np.concatenate([ids, end]).astype("<u4")
                     start = 0
