@@ -2,8 +2,10 @@
 
 import re
 
+import pytest
+
 from fareloom.operators import reports, split
-from fareloom.plans.queries import END, START
+from fareloom.plans.queries import END, START, registered
 from fareloom.sources.marketplace import Marketplace
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +47,28 @@ def test_scans_read_only_the_needed_columns(spark):
     text = plan(reports.orders_by_status(m.bookings))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)", text)
     assert schemas and all("o_totalprice" not in s for s in schemas)
+
+
+# file scans of a query when every join is shuffled: each side of a lookup is read once
+SCANS = {
+    "commission_decision_log": 7, "affiliate_commission": 5, "driver_referral_commission": 5, "webhook_outcomes": 4,
+    "outbox_build": 12, "projection_latest": 14, "chat_room_rollup": 14, "drivers_earnings_page": 4, "drivers_page_json": 4,
+}
+
+
+@pytest.mark.parametrize("name", sorted(SCANS))
+def test_shuffled_lookups_read_each_side_once(spark, name):
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for limit in limits:
+        spark.conf.set(limit, "-1")
+    try:
+        text = plan(registered()[name](spark, SF))
+    finally:
+        for limit in limits:
+            spark.conf.unset(limit)
+    assert len(re.findall("FileScan parquet", text)) <= SCANS[name]
+
+
+def test_documents_of_changes_build_no_payload(spark):
+    text = plan(registered()["projection_latest"](spark, SF))
+    assert "to_json" not in text and "from_json" not in text
