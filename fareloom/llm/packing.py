@@ -32,7 +32,7 @@ from fareloom.llm.common import released, steps, uniques, words
 SCHEMA = "doc_id long, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long"
 
 #: Recurring words whose ids a worker remembers between batches, and bytes of text that it takes at a time.
-REMEMBERED, STEP = 100_000, 3 << 20
+REMEMBERED, STEP = 150_000, 6 << 20
 
 
 @functools.cache
