@@ -127,10 +127,10 @@ def word_hash(word: str) -> int:
     return int.from_bytes(xxhash.xxh64_digest(word.encode(), seed=42), "big", signed=True)
 
 
-def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFrame:
-    """``parts`` with ``windows``, the hash of every window, ``begins``, the places of windows with a word
-    that begins a sentence, ``named``, the hashes of the words with those as names, and the hashes of the
-    windows of each of ``kinds``."""
+def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = (), likely: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``parts`` with ``windows``, the hash of every window, ``_first``, the places of words that begin a
+    sentence, ``begins``, the places of windows with such a word (between ``likely`` neighbours), ``named``,
+    the hashes of the words with those as names, and the hashes of the windows of each of ``kinds``."""
     # a pass over the strings and one over their hashes: these run for every word of the corpus
     bare = F.transform("base", lambda w: F.when(F.endswith(w, F.lit(STARTS)), F.xxhash64(bare_word(w))).otherwise(F.xxhash64(w)))
     numerals, units = ([word_hash(w) for w in some] for some in (NUMERALS, UNITS))
@@ -148,10 +148,6 @@ def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFram
     last = F.greatest(F.size("_hashes") - width, F.lit(0))
     every = F.when(F.size("_hashes") > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice("_hashes", i + 1, width))))
     first = F.filter(F.transform("base", lambda w, i: F.when(F.endswith(w, F.lit(STARTS)), i)), lambda i: i.isNotNull())
-    # each window belongs to the first of its words that begin sentences
-    behind = lambda k: F.coalesce(F.get("_first", k - 1) + 1, F.lit(0))
-    span = lambda i, k: (F.greatest(i - (width - 1), behind(k), F.lit(0)), F.least(i, last))
-    around = F.transform("_first", lambda i, k: F.when(span(i, k)[0] <= span(i, k)[1], F.sequence(*span(i, k))).otherwise(F.array().cast("array<int>")))
     named = F.zip_with("base", "_hashes", lambda w, h: F.when(F.endswith(w, F.lit(STARTS)), F.lit(word_hash(NAME))).otherwise(h))
 
     def own(kind: Kind) -> Column:
@@ -160,8 +156,27 @@ def hashed(parts: DataFrame, width: int, kinds: Sequence[Kind] = ()) -> DataFram
         found = F.transform(starts, lambda i: F.xxhash64(F.slice(source, i + 1, kind.size), F.lit(int(kind.raw))))
         return F.when(F.size(source) >= kind.size, found).otherwise(F.array().cast("array<bigint>"))
 
-    columns = {"windows": every, "begins": F.flatten(around), "named": named} | {k.column: own(k) for k in kinds}
-    return each.withColumn("_first", first).withColumns(columns).drop("_first", "_hashes", "_raw_hashes")
+    columns = {"windows": every, "_last": last, "_first": first, "named": named} | {k.column: own(k) for k in kinds}
+    each = each.withColumns(columns)
+
+    def places(low: Column, high: Column, wanted: Column) -> Column:
+        low, high = F.greatest(low, F.lit(0)), F.least(high, F.col("_last"))
+        return F.when(wanted & (low <= high), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    def around(s: Column) -> Column:
+        # a window holds two neighbours of the word: behind it, on both sides, or before it where it is last
+        ahead, beside, behind = (F.lit(True) if likely is None else likely(pair) for pair in neighbours(s))
+        return F.concat(places(s - (width - 3), s, ahead), places(s - (width - 2), s - (width - 2), beside), places(s - (width - 1), s - (width - 1), behind))
+
+    short = F.when(F.size("_first") > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    begins = F.when(F.size("base") <= width, short).otherwise(F.array_distinct(F.flatten(F.transform("_first", around))))
+    return each.withColumn("begins", begins).drop("_last", "_hashes", "_raw_hashes")
+
+
+def neighbours(s: Column) -> tuple[Column, Column, Column]:
+    """Hashes of the two words behind, on both sides of, and before the one at a place."""
+    near = ((1, 2), (-1, 1), (-2, -1))
+    return tuple(F.xxhash64(F.get("named", s + a), F.get("named", s + b), F.lit(a)) for a, b in near)
 
 
 def own_rows(kind: Kind, wanted: Callable[[Column], Column]) -> Column:
@@ -237,7 +252,8 @@ def contaminated(
         return (F.size(some) - F.size(first) if begins else F.size(some)).alias("plain")
 
     source = templates(benchmark, item_column, item_text)
-    items = rows_of(hashed(source, width), width, lambda h: h.isNotNull(), plain, size)
+    asked = hashed(source, width)
+    items = rows_of(asked, width, lambda h: h.isNotNull(), plain, size)
     items = items.filter(2 * F.col("plain") >= F.col("size")).drop("plain", "size")
     special = kinds_of(source, width)
     kinds = sorted(Kind(*r) for r in special.select("length", "as_is").distinct().collect())  # at most 2 * width rows
@@ -256,7 +272,8 @@ def contaminated(
     likely = bit_filter(items.select("hash"), bits)
     if n_windows <= SENT_WINDOWS:  # the same rows either way
         items = F.broadcast(items)
-    own = hashed(templates(docs, id_column, text_column), width, kinds)
+    pairs = asked.select(F.explode(F.flatten(F.transform("_first", lambda s: F.array(*neighbours(s))))).alias("hash"))
+    own = hashed(templates(docs, id_column, text_column), width, kinds, bit_filter(pairs, bits) if width >= 3 else None)
     found = rows_of(own, width, likely, kinds=kinds).withColumnRenamed("key", "doc_id").join(items, "hash")
 
     def pair(a: str, b: str) -> Column:
