@@ -7,7 +7,8 @@ sums over all folders are the rollup. Orders are counted with their sign, so a d
 left on a day is no longer counted there, and distinct drivers stay exact.
 
 An older version that arrives after a newer one changes nothing, so neither order nor replays matter, and
-no row is ever too late. State that has not been touched for ``ttl_days`` goes.
+no row is ever too late. State that has not been touched for ``ttl_days`` goes. It is kept by buckets of bookings
+(``keyed``), so Python is called per bucket and micro-batch.
 """
 
 from __future__ import annotations
@@ -19,19 +20,18 @@ from collections.abc import Iterator
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from fareloom.functions.columns import exact_mean, ratio
 from fareloom.operators.reports import platform_row
 from fareloom.schemas import TOTAL
 from fareloom.sources.sinks import read_batches, write_batch
+from fareloom.streaming.keyed import BUCKETS, BucketProcessor, by_bucket
 from fareloom.streaming.run import start
 
 # ship the class itself with the query: executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-DAY_MS = 24 * 3600 * 1000
-
 #: What a booking adds; without a date, nothing.
 SHARE = {
     "date": "date", "driver_id": "string", "driver_earning": "decimal(10,2)", "platform_fee": "decimal(10,2)",
@@ -41,40 +41,41 @@ _SHARE = ", ".join(f"{name} {kind}" for name, kind in SHARE.items())
 AMOUNTS = {"driver_earning": TOTAL, "platform_fee": TOTAL, "total_amount": TOTAL, "rate": "decimal(28,10)"}
 
 
-class ShareProcessor(StatefulProcessor):
-    def __init__(self, ttl_days: int) -> None:
-        self.ttl_ms = ttl_days * DAY_MS
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", f"version bigint, {_SHARE}", self.ttl_ms)
+class ShareProcessor(BucketProcessor):
+    """Of each booking the newest version and its share, as JSON."""
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        known = self.last.get() if self.last.exists() else None
-        best = max((tuple(r)[1:] for r in rows if r.version is not None), key=lambda r: r[0], default=None)
-        if best is None or (known is not None and best[0] <= known[0]):
-            return
-        self.last.update(best)
-        old, new = None if known is None else tuple(known)[1:], best[1:]
-        if old != new:
-            if old is not None and old[0] is not None:
-                yield Row("sign", *SHARE)(-1, *old)
-            if new[0] is not None:
-                yield Row("sign", *SHARE)(1, *new)
-
-    def close(self) -> None:
-        pass
-
-
-def share_changes(changes: DataFrame, ttl_days: int = 400) -> DataFrame:
+        best: dict[str | None, tuple[int, str | None]] = {}
+        for _, booking, version, share in rows:
+            if version is not None and (booking not in best or best[booking][0] < version):
+                best[booking] = (version, share)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        last = {k: x for k, x in self.load().items() if self.lives(x, now)}
+        signed = []
+        for booking, (version, share) in best.items():
+            known, old, _ = last.get(booking, (None, None, None))
+            if known is not None and version <= known:
+                continue
+            last[booking] = (version, share, now)
+            if old != share:
+                signed += [(sign, x) for sign, x in ((-1, old), (1, share)) if x is not None]
+        self.store(last)
+        yield from (Row(sign=sign, share=x) for sign, x in signed)
+
+
+def share_changes(changes: DataFrame, ttl_days: int = 400, buckets: int = BUCKETS) -> DataFrame:
     """(sign, date, driver_id, amounts) from booking changes with ``version`` and, if there are deletes, ``op``."""
     counts = (F.col("status") == "completed") & F.col("completed_at").isNotNull()
     if "op" in changes.columns:
         counts = counts & (F.col("op") != "delete")
     rate = ratio("platform_fee", "total_amount")
     columns = {"date": F.to_date("completed_at"), "rate": rate}
-    shares = [F.when(counts, columns.get(n, F.col(n))).alias(n) for n in SHARE]
-    rows = changes.select("id", F.col("version").cast("bigint").alias("version"), *shares)
-    return rows.groupBy("id").transformWithState(ShareProcessor(ttl_days), f"sign int, {_SHARE}", "append", "processingTime")
+    share = F.to_json(F.struct(*(columns.get(n, F.col(n)).cast(kind).alias(n) for n, kind in SHARE.items())))
+    rows = changes.select("id", F.col("version").cast("bigint").alias("version"), F.when(counts, share).alias("share"))
+    signed = by_bucket(rows, "id", buckets).transformWithState(
+        ShareProcessor(ttl_days), "sign int, share string", "append", "processingTime"
+    )
+    return signed.withColumn("share", F.from_json("share", _SHARE)).select("sign", "share.*")
 
 
 def _signed(column: str) -> list[Column]:
