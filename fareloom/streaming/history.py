@@ -7,8 +7,8 @@ none is taken back, a new predecessor replaces the old. A version that is there
 nothing, so replays put out nothing, and gaps need no waiting.
 
 State that has not been touched for ``ttl_days`` goes by the clock, so it does not grow for good; a
-booking's life is far shorter. One booking's versions of a micro-batch meet in one task, and its history is
-read once for each batch that touches it.
+booking's life is far shorter. One booking's versions of a micro-batch meet in one task. Histories are kept by
+buckets of bookings (``keyed``), read once for each batch that touches the bucket.
 """
 
 from __future__ import annotations
@@ -19,16 +19,14 @@ from collections.abc import Iterator
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fareloom.operators.joins import newest
 from fareloom.sources.sinks import read_batches
+from fareloom.streaming.keyed import BUCKETS, BucketProcessor, by_bucket
 
 # ship the classes themselves with the query: executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-DAY_MS = 24 * 3600 * 1000
-
 Version = tuple[str | None, object, str | None]
 
 
@@ -43,34 +41,36 @@ def edges_of(history: dict[int, Version]) -> dict[int, tuple[str | None, bool]]:
     return found
 
 
-class HistoryProcessor(StatefulProcessor):
-    """Keeps the versions; subclasses say what follows from them."""
+class HistoryProcessor(BucketProcessor):
+    """Keeps the versions of each booking, each with its time; subclasses say what follows from them."""
 
     def __init__(self, ttl_days: int = 30) -> None:
-        self.ttl_ms = ttl_days * DAY_MS
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.versions = handle.getMapState(
-            "versions", "version bigint", "status string, changed_at timestamp_ntz, row string", self.ttl_ms
-        )
+        super().__init__(ttl_days)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        known: dict[int, Version] = {k[0]: tuple(v) for k, v in self.versions.iterator()}
-        now = dict(known)
-        for r in rows:
-            if r.version is not None and r.version not in now:
-                now[r.version] = (r.status, r.changed_at, r.row if r.status == "completed" else None)
-        for version in now.keys() - known.keys():
-            self.versions.updateValue((version,), now[version])
-        if len(now) > len(known):
-            yield from self.differences(key[0], known, now)
+        at = timerValues.getCurrentProcessingTimeInMs()
+        kept = self.load()
+        for booking, versions in list(kept.items()):
+            kept[booking] = {v: x for v, x in versions.items() if self.lives(x, at)}
+            if not kept[booking]:
+                del kept[booking]
+        came: dict[str | None, dict[int, Version]] = {}
+        for _, booking, version, status, changed_at, row in rows:
+            if version is not None and version not in kept.get(booking, ()) and version not in (new := came.setdefault(booking, {})):
+                new[version] = (status, changed_at, row if status == "completed" else None)
+        found = []
+        for booking, new in came.items():
+            if new:
+                held = kept.setdefault(booking, {})
+                known = {v: x[:-1] for v, x in held.items()}
+                held.update({v: (*x, at) for v, x in new.items()})
+                found += self.differences(booking, known, known | new)
+        self.store(kept)
+        yield from found
 
     def differences(self, booking_id: str, known: dict[int, Version], now: dict[int, Version]) -> Iterator[Row]:
         raise NotImplementedError
 
-    def close(self) -> None:
-        pass
-
 
 EDGE_CHANGES = "booking_id string, version bigint, previous_status string, is_insert boolean, changed_at timestamp_ntz, is_edge boolean"
 
@@ -112,22 +112,24 @@ class AccrualChanges(HistoryProcessor):
                 yield Row(booking_id=booking_id, scheme=scheme, version=version, changed_at=at, row=row, corrects=scheme in old)
 
 
-def _histories(changes: DataFrame, processor: HistoryProcessor, output: str, columns: tuple[str, ...] = ()) -> DataFrame:
+def _histories(
+    changes: DataFrame, processor: HistoryProcessor, output: str, columns: tuple[str, ...] = (), buckets: int = BUCKETS
+) -> DataFrame:
     """The processor over a stream of (id, version, status, changed_at); ``columns`` go along as JSON."""
     row = F.to_json(F.struct(*columns)) if columns else F.lit(None).cast("string")
     rows = changes.select("id", F.col("version").cast("bigint").alias("version"), "status", "changed_at", row.alias("row"))
-    return rows.groupBy("id").transformWithState(processor, output, "append", "processingTime")
+    return by_bucket(rows, "id", buckets).transformWithState(processor, output, "append", "processingTime")
 
 
-def edge_changes(changes: DataFrame, ttl_days: int = 30) -> DataFrame:
+def edge_changes(changes: DataFrame, ttl_days: int = 30, buckets: int = BUCKETS) -> DataFrame:
     """``commission.completion_edges`` on a stream with gaps, replays and versions in any order, as
     changes: the last row of each (booking, version) counts, and holds an edge if ``is_edge``."""
-    return _histories(changes, EdgeChanges(ttl_days), EDGE_CHANGES)
+    return _histories(changes, EdgeChanges(ttl_days), EDGE_CHANGES, buckets=buckets)
 
 
-def accrual_changes(changes: DataFrame, columns: tuple[str, ...], ttl_days: int = 30) -> DataFrame:
+def accrual_changes(changes: DataFrame, columns: tuple[str, ...], ttl_days: int = 30, buckets: int = BUCKETS) -> DataFrame:
     """The change that each scheme pays for, with ``columns`` of the booking as JSON in ``row``."""
-    return _histories(changes, AccrualChanges(ttl_days), ACCRUAL_CHANGES, columns)
+    return _histories(changes, AccrualChanges(ttl_days), ACCRUAL_CHANGES, columns, buckets)
 
 
 def current_edges(spark: SparkSession, path: str) -> DataFrame:

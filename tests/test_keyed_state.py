@@ -1,6 +1,10 @@
 """State by buckets: one read and one write for many keys, and entries that leave by the clock."""
 
-from fareloom.streaming import rollup
+import datetime as dt
+
+from fareloom.streaming import history, rollup
+
+T0 = dt.datetime(2026, 1, 1)
 
 
 class Handle:
@@ -61,3 +65,26 @@ def test_a_share_leaves_after_its_lifetime_though_its_bucket_lives_on():
     list(p.handleInputRows((1,), iter([(1, "b", 6, "y")]), Clock(day - 1)))
     assert [(r.sign, r.share) for r in p.handleInputRows((1,), iter([(1, "a", 4, "z"), (1, "b", 4, "z")]), Clock(day + 1))] == [(1, "z")]
     assert set(p.load()) == {"a", "b"}
+
+
+def test_histories_of_a_bucket_take_one_read_and_one_write():
+    p = history.EdgeChanges()
+    handle = begun(p)
+    rows = [(3, f"B{n}", v, s, T0, None) for n in range(300) for v, s in ((2, "completed"), (1, "pending"))]
+    edges = list(p.handleInputRows((3,), iter(rows), Clock(0)))
+    assert handle.calls == ["get", "update"]
+    assert {(r.booking_id, r.version, r.previous_status) for r in edges} == {(f"B{n}", 2, "pending") for n in range(300)}
+    assert not list(p.handleInputRows((3,), iter(rows[:50]), Clock(1)))  # replays
+    late = [(3, "B0", 0, "completed", T0, None), (3, "B1", 3, "matched", T0, None)]
+    assert [(r.booking_id, r.version, r.is_insert) for r in p.handleInputRows((3,), iter(late), Clock(2))] == [("B0", 0, True)]
+
+
+def test_versions_leave_one_by_one():
+    p = history.EdgeChanges(ttl_days=1)
+    begun(p)
+    day = 24 * 3600 * 1000
+    list(p.handleInputRows((3,), iter([(3, "a", 1, "completed", T0, None), (3, "b", 1, "matched", T0, None)]), Clock(0)))
+    list(p.handleInputRows((3,), iter([(3, "a", 2, "matched", T0, None)]), Clock(day - 1)))
+    last = list(p.handleInputRows((3,), iter([(3, "a", 3, "completed", T0, None)]), Clock(day)))
+    assert [(r.version, r.previous_status) for r in last] == [(3, "matched")]
+    assert {k: set(v) for k, v in p.load().items()} == {"a": {2, 3}}
