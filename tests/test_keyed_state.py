@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from fareloom.streaming import history, rollup
+from fareloom.streaming import expiry, history, rollup
 
 T0 = dt.datetime(2026, 1, 1)
 
@@ -88,3 +88,20 @@ def test_versions_leave_one_by_one():
     last = list(p.handleInputRows((3,), iter([(3, "a", 3, "completed", T0, None)]), Clock(day)))
     assert [(r.version, r.previous_status) for r in last] == [(3, "matched")]
     assert {k: set(v) for k, v in p.load().items()} == {"a": {2, 3}}
+
+
+def test_payments_of_a_bucket_share_their_calls_and_their_timers():
+    p = expiry.ExpiryProcessor(30, ("pending", "processing"), 30)
+    handle = begun(p)
+    minute, start = 60_000, expiry._millis(T0)
+    rows = [(5, f"T{n}", f"B{n}", T0, "pending", T0) for n in range(300)]
+    assert not list(p.handleInputRows((5,), iter(rows), Clock(start)))
+    assert handle.calls == ["get", "update"] and handle.timers == [start + 30 * minute]
+    paid = [(5, "T1", "B1", T0, "completed", T0 + dt.timedelta(minutes=5))]
+    assert not list(p.handleInputRows((5,), iter(paid), Clock(start + minute)))
+    told = list(p.handleExpiredTimer((5,), Clock(start + 30 * minute), None))
+    assert {r.transaction_id for r in told if r.is_expired} == {f"T{n}" for n in range(300)} - {"T1"} and len(told) == 299
+    assert not list(p.handleExpiredTimer((5,), Clock(start + 31 * minute), None))
+    late = [(5, "T2", "B2", T0, "completed", T0 + dt.timedelta(minutes=6)), (5, "T3", "B3", T0, "pending", T0)]
+    back = list(p.handleInputRows((5,), iter(late), Clock(start + 40 * minute)))
+    assert [(r.transaction_id, r.is_expired) for r in back] == [("T2", False)]
