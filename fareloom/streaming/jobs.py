@@ -170,7 +170,7 @@ def projection_batch(changes: DataFrame, dimensions: Dimensions) -> DataFrame:
 
     Changes are reduced to the newest version per booking before they are enriched.
     """
-    return documents_of_changes(newest(changes, "id", ["version"]), dimensions)
+    return documents_of_changes(newest(changes, "id", ["version"]), dimensions, keys_from=changes)
 
 
 def write_projection(
