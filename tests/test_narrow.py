@@ -58,3 +58,17 @@ def test_a_room_needs_few_columns_of_its_booking(spark, no_broadcast):
     got = cdc.chat_rooms(m.chat_events, cdc.documents_of_changes(cdc.with_blanks(few, m.changes.schema), dims))
     assert sorted(got.collect(), key=repr) == sorted(whole.collect(), key=repr)
     assert "total_amount" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbers_in_the_long_form_lose_only_zeros_behind_the_point(spark):
+    values = ["0.00", "120.00", "120.50", "100.05", "-3.10", "0.07", None]
+    fields = [f for f, k in cdc.DOCUMENT_KINDS.items() if k == "number"]
+    null = {"string": "string", "geo": "struct<latitude:decimal(10,8),longitude:decimal(11,8)>", "timestamp": "timestamp_ntz", "boolean": "boolean"}
+    schema = "id string, n decimal(10,2)"
+    rows = spark.createDataFrame([(str(i), v and Decimal(v)) for i, v in enumerate(values)], schema)
+    rows = rows.withColumns({f: F.col("n") if f in fields else F.lit(None).cast(null[k]) for f, k in cdc.DOCUMENT_KINDS.items()})
+    long = cdc.document_fields_long(rows)
+    got = {(r.doc_id, r.type_tag, r.value) for r in long.filter(F.col("field") == "tipAmount").collect()}
+    texts = [("0", "integer"), ("120", "integer"), ("120.5", "double"), ("100.05", "double"), ("-3.1", "double"), ("0.07", "double")]
+    assert got == {(str(i), kind, text) for i, (text, kind) in enumerate(texts)} | {("6", "null", None)}
+    assert "regexp_replace" not in long._jdf.queryExecution().analyzed().toString()
