@@ -18,7 +18,7 @@ COLLECTIONS = ("orders_rt", "bookings")
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch={batch_id}")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

@@ -54,7 +54,8 @@ def write_events(batch: DataFrame, path: str, batch_id: int) -> None:
     inbox = f"{path}/inbox/batch={batch_id}"
     if not is_finished(spark, f"{path}/inbox", batch_id):
         kind = F.when(F.col("aggregate_type") == "booking", "booking").when(F.col("aggregate_type") == "chat_message", "chat")
-        batch.withColumn("kind", F.coalesce(kind, F.lit("other"))).write.mode("overwrite").partitionBy("kind").parquet(inbox)
+        kinds = batch.withColumn("kind", F.coalesce(kind, F.lit("other")))
+        kinds.write.mode("overwrite").option("compression", "zstd").partitionBy("kind").parquet(inbox)
         finish(spark, f"{path}/inbox", batch_id)
     events = spark.read.schema(f"{EVENT}, kind string").parquet(inbox)
     for name, (kind, make) in SINKS.items():

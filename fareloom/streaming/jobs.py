@@ -213,6 +213,6 @@ def arrivals(rows: DataFrame, path: str, batches: int = 3, by: Sequence[str] = (
     """
     spark = rows.sparkSession
     files = max(2 * batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.repartition(files, F.xxhash64(*(by or rows.columns))).write.parquet(path)
+    rows.repartition(files, F.xxhash64(*(by or rows.columns))).write.option("compression", "zstd").parquet(path)
     written = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-written // batches))).parquet(path)
