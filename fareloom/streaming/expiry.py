@@ -1,9 +1,9 @@
 """Expiry of payments by the clock, with corrections when a status arrives late.
 
-Keyed by payment, in buckets (``keyed``), the state holds its newest status. A timer on the processing-time clock goes off when
-the payment's time is over; if it is still open then, it is put out as expired. A status that arrives
-after that and shows that the payment had been settled takes the expiry back. So the result depends on
-the clock alone, not on the order in which rows arrive, and no row is too late.
+Keyed by payment, in buckets (``keyed``), the state holds its newest status. A timer on the processing-time
+clock goes off when the payment's time is over; if it is still open then, it is put out as expired. A status
+that arrives after that and shows that the payment had been settled takes the expiry back. So the result
+depends on the clock alone, not on the order in which rows arrive, and no row is too late.
 """
 
 from __future__ import annotations
