@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import os
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -27,12 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import released, steps, uniques, words
+from fareloom.llm.common import give_back, released, steps, uniques, words
 
 SCHEMA = "doc_id long, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long"
 
-#: Recurring words whose ids a worker remembers between batches, and bytes of text that it takes at a time.
-REMEMBERED, STEP = 150_000, 6 << 20
+#: Words whose ids a worker remembers, none of more than LONGEST characters, bytes of text that it takes at a
+#: time, and words that the tokenizer takes at a time.
+REMEMBERED, LONGEST, STEP, ASKED = 300_000, 64, 1 << 20, 2000
 
 
 @functools.cache
@@ -63,9 +65,10 @@ def joined() -> str:
 class WordEncoder:
     """Ids of whole texts by a tokenizer that parts words at white space and runs of signs.
 
-    Each distinct word of a step is encoded once. Texts with marks or apostrophes are parted at
-    white space alone, and those that could hold the text form of a special token go through the
-    tokenizer whole.
+    Each distinct word of a step is encoded once, unless it was met in the last steps: a worker holds
+    the words met lately, and those met before them until they are as many. Texts with marks or
+    apostrophes are parted at white space alone, and those that could hold the text form of a special
+    token go through the tokenizer whole.
     """
 
     def __init__(self, path: str, together: str) -> None:
@@ -74,38 +77,53 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         """Plain lower-case words need the tokenizer's merges only; all else takes its whole way."""
         plain = [x.isascii() and x.isalpha() and x.islower() for x in texts]
         rest = iter(self.tokenizer.encode_batch_fast([x for x, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
         merge = self.tokenizer.model.tokenize
-        return [np.array([t.id for t in merge(x)] if p else next(rest).ids, "<u4") for x, p in zip(texts, plain, strict=True)]
+        found = ([t.id for t in merge(x)] if p else next(rest).ids for x, p in zip(texts, plain, strict=True))
+        return [struct.pack(f"<{len(x)}I", *x) for x in found]
 
-    def _words(self, distinct: list[str], recurring: np.ndarray) -> list[np.ndarray]:
+    def _words(self, distinct: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian unsigned 32-bit numbers."""
         ids = [self.known.get(w) for w in distinct]
+        for i, x in enumerate(ids):
+            if x is None:
+                ids[i] = self.before.get(distinct[i])
+                if ids[i] is not None:
+                    self._keep(distinct[i], ids[i])
         missing = [i for i, x in enumerate(ids) if x is None]
-        for begin in range(0, len(missing), 20_000):
-            some = missing[begin : begin + 20_000]
+        for begin in range(0, len(missing), ASKED):
+            some = missing[begin : begin + ASKED]
             for i, x in zip(some, self._ids([distinct[i] for i in some]), strict=True):
                 ids[i] = x
-        kept = [i for i in missing if recurring[i]]
-        if len(self.known) + len(kept) > REMEMBERED:
-            self.known.clear()
-        self.known.update((distinct[i], ids[i]) for i in kept[:REMEMBERED])
+                self._keep(distinct[i], x)
         return ids
 
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(word) > LONGEST:
+            return
+        if len(self.known) >= REMEMBERED // 2:
+            self.known, self.before = {}, self.known
+        self.known[word] = ids
+
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         texts = pc.fill_null(texts, "")
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         parted = pc.replace_substring_regex(texts, r"([^\pL\pN\s]+)", r" \1 ")
         # lower case first, or marks first: what is composed differs, so texts with marks stay as they are
         flat, bounds = words(pc.if_else(pc.match_substring_regex(texts, self.together), texts, pc.ascii_lower(parted)), lower=False)
+        del parted
         distinct, place = uniques(flat)
-        ids = self._words(distinct.to_pylist(), np.bincount(place, minlength=len(distinct)) > 1)
-        lengths = np.array([len(x) for x in ids], np.int64)
-        pool = np.concatenate(ids) if ids else np.zeros(0, "<u4")
+        del flat
+        ids = self._words(distinct.to_pylist())
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        del distinct, ids
         first = np.cumsum(lengths) - lengths
         each = lengths[place]
         ends = np.concatenate([[0], np.cumsum(each)])
@@ -224,10 +242,12 @@ def harmonic_packing(
                     ids = np.concatenate([ids, end]).astype("<u4")
                     start = 0
                     for k, size in cut(len(ids), capacity, slack, tail, small):
-                        bins.add(k, (doc_id, start, ids[start : start + size], len(ids)))
+                        bins.add(k, (doc_id, start, ids[start : start + size].copy(), len(ids)))
                         start += size
                 if bins.rows:
                     yield bins.batch(out)
+            batch = part = ids = None
+            give_back()
         bins.finish()
         if bins.rows:
             yield bins.batch(out)

@@ -1,6 +1,9 @@
 """Token operators on texts that strain a tokenizer: long runs of white space, marks, new characters."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -34,6 +37,57 @@ def test_packing_ids_equal_the_tokenizers():
         assert [x.tolist() for x in encode(pa.array(texts))] == want
 
 
+def test_packing_remembers_a_bounded_part_of_the_words(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 100)
+    encode = packing.WordEncoder(WORDS, packing.joined())
+    long = "x" * (packing.LONGEST + 1)
+    for begin in range(0, 2000, 30):
+        texts = [f"common {long} {' '.join(f'w{i}' for i in range(begin, begin + 30))}", "", None]
+        want = [x.ids for x in encode.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+        assert [x.tolist() for x in encode(pa.array(texts))] == want
+        assert len(encode.known) + len(encode.before) <= 100 and long not in encode.known | encode.before and "common" in encode.known | encode.before
+
+
+#: Packs 24 MB of text as a task does and prints by how many MB that raised the process's memory at most.
+PACKING = """
+import sys
+from unittest.mock import MagicMock
+import numpy as np
+import pyarrow as pa
+from fareloom.llm import packing
+
+packing.F, packing.TaskContext, docs = MagicMock(), MagicMock(), MagicMock()
+packing.TaskContext.get.return_value.partitionId.return_value = 0
+docs.select.return_value.mapInArrow.side_effect = lambda run, schema: run
+run = packing.harmonic_packing(docs, sys.argv[1], 2)
+chance = np.random.default_rng(5)
+vocabulary = np.array([f"{i:x}" + "".join(map(chr, 97 + chance.integers(0, 26, 4))) for i in range(400_000)])
+
+def batches():
+    for i in range(4):
+        picked = vocabulary[(len(vocabulary) * chance.random((3000, 300)) ** 2).astype(int)].tolist()
+        yield pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "text": [" ".join(x) for x in picked]})
+    yield pa.RecordBatch.from_pydict({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string())})
+
+def memory(name):
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith(name)) >> 10
+
+made = list(batches())
+packing.give_back() if hasattr(packing, "give_back") else None
+open("/proc/self/clear_refs", "w").write("5")
+before = memory("VmRSS")
+rows = sum(b.num_rows for b in run(iter(made)))
+assert rows >= 12000
+print(memory("VmHWM") - before)
+"""
+
+
+def test_packing_takes_little_memory():
+    done = subprocess.run([sys.executable, "-c", PACKING, WORDS], capture_output=True, text=True, timeout=300, env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 170
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return tokens.load_encoder(RANKS, public_tokenizers.PATTERN)
