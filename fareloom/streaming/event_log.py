@@ -18,12 +18,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fareloom.operators.cdc import documents_of_events, messages_of_events, rooms_of_messages
 from fareloom.operators.joins import newest
-from fareloom.sources.sinks import COLLECTIONS, current, finish, is_finished, read_batches, write_batch
-from fareloom.streaming.run import start
+from fareloom.sources.sinks import COLLECTIONS, current, finish, is_finished, newest_in_files, read_batches, write_batch
+from fareloom.streaming.run import NO_LEFTOVERS, ROW_GROUP, few_folders, settings, start
 
 EVENT = "id string, aggregate_type string, aggregate_id string, event_type string, payload string, created_at timestamp_ntz"
 MESSAGES, ROOMS, PARKED = "messages", "rooms", "parked"
 ORDER = ["event_at", "event_id"]
+KINDS = ("booking", "chat", "other")
+
+
+def _documents(events: DataFrame) -> DataFrame:
+    """Of events read from the inbox; their payloads are not moved."""
+    return documents_of_events(events, lambda rows: newest_in_files(rows, "aggregate_id", ["created_at", "id"]))
 
 
 def _newest_messages(events: DataFrame) -> DataFrame:
@@ -40,8 +46,8 @@ def _parked(events: DataFrame) -> DataFrame:
 
 # sink -> the kind of event it takes and what it makes of them
 SINKS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
-    COLLECTIONS[0]: ("booking", documents_of_events),
-    COLLECTIONS[1]: ("booking", documents_of_events),
+    COLLECTIONS[0]: ("booking", _documents),
+    COLLECTIONS[1]: ("booking", _documents),
     MESSAGES: ("chat", _newest_messages),
     ROOMS: ("chat", _newest_rooms),
     PARKED: ("other", _parked),
@@ -55,7 +61,9 @@ def write_events(batch: DataFrame, path: str, batch_id: int) -> None:
     if not is_finished(spark, f"{path}/inbox", batch_id):
         kind = F.when(F.col("aggregate_type") == "booking", "booking").when(F.col("aggregate_type") == "chat_message", "chat")
         kinds = batch.withColumn("kind", F.coalesce(kind, F.lit("other")))
-        kinds.write.mode("overwrite").option("compression", "zstd").partitionBy("kind").parquet(inbox)
+        with settings(spark, **few_folders(len(KINDS))):
+            writer = kinds.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", ROW_GROUP)
+            writer.partitionBy("kind").parquet(inbox)
         finish(spark, f"{path}/inbox", batch_id)
     events = spark.read.schema(f"{EVENT}, kind string").parquet(inbox)
     for name, (kind, make) in SINKS.items():
@@ -64,7 +72,8 @@ def write_events(batch: DataFrame, path: str, batch_id: int) -> None:
                 rows = spark.read.parquet(f"{path}/{COLLECTIONS[0]}/rows/batch={batch_id}")
             else:
                 rows = make(events.filter(F.col("kind") == kind).drop("kind"))
-            write_batch(rows, f"{path}/{name}/rows", batch_id)
+            with settings(spark, **NO_LEFTOVERS):
+                write_batch(rows, f"{path}/{name}/rows", batch_id)
             finish(spark, f"{path}/{name}", batch_id)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +14,7 @@ from fareloom.operators.payments import split_valid
 from fareloom.schemas import CONFIRMABLE_STATUSES, PAYMENT_MINUTES, TOTAL
 from fareloom.sources.sinks import write_batch, write_dual
 from fareloom.streaming.history import edge_changes
-from fareloom.streaming.run import start
+from fareloom.streaming.run import ROW_GROUP, few_folders, settings, start
 
 
 def _event_time(column: str) -> Column:
@@ -205,14 +205,42 @@ def append_changes(changes: DataFrame, path: str, checkpoint: str, every: str |
     return start(changes, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint, every=every, by_clock=True)
 
 
-def arrivals(rows: DataFrame, path: str, batches: int = 3, by: Sequence[str] = ()) -> DataFrame:
+DEAL = "_deal"
+# between the times of the files of two micro-batches
+STEP_MS = 10_000
+
+
+def arrivals(rows: DataFrame, path: str, batches: int = 3, by: Sequence[str] = (), shuffled: bool = True) -> DataFrame:
     """``rows`` written to files and read back as a stream of about ``batches`` micro-batches.
 
     Rows are dealt to the files by a hash of ``by`` (all columns, if none are named), so what belongs
-    together arrives apart and out of order.
+    together arrives apart and out of order. Wide rows that many tasks make need not be ``shuffled`` for
+    that: each task then writes a file for each micro-batch, and the stream takes the files in that order.
     """
     spark = rows.sparkSession
-    files = max(2 * batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.repartition(files, F.xxhash64(*(by or rows.columns))).write.option("compression", "zstd").parquet(path)
-    written = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-written // batches))).parquet(path)
+    hashed = F.xxhash64(*(by or rows.columns))
+    if shuffled:
+        files = max(2 * batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows.repartition(files, hashed).write.option("compression", "zstd").parquet(path)
+        written, source = len(spark.read.schema(rows.schema).parquet(path).inputFiles()), path
+    else:
+        with settings(spark, **few_folders(batches)):
+            dealt = rows.withColumn(DEAL, F.pmod(hashed, F.lit(batches)))
+            dealt.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).partitionBy(DEAL).parquet(path)
+        written, source = _in_order(spark, path), f"{path}/{DEAL}=*"
+        if not written:  # one micro-batch, without rows
+            spark.createDataFrame([], rows.schema).write.parquet(f"{path}/{DEAL}=0")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-written // batches))).parquet(source)
+
+
+def _in_order(spark: SparkSession, path: str) -> int:
+    """Give the files under ``path`` times in the order of their micro-batches, by which streams take files; how
+    many there are. Where a storage keeps its own times, micro-batches are made up otherwise, of the same rows."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = list(fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{DEAL}=*/*.parquet")))
+    last = max((x.getModificationTime() for x in found), default=0)
+    for x in found:
+        deal = int(x.getPath().getParent().getName().split("=")[1])
+        fs.setTimes(x.getPath(), last - last % 1000 + STEP_MS * deal - STEP_MS * len(found), -1)
+    return len(found)

@@ -10,6 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# what a job has shuffled goes when the job ends, not when the driver happens to collect its garbage
+NO_LEFTOVERS = {"spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true"}
+
+# bytes of a row group where a task has several files open
+ROW_GROUP = 32 << 20
+
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -30,6 +36,11 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def few_folders(folders: int) -> dict[str, str]:
+    """Settings for writing to some folders at once: rows are not sorted, and possibly spilled, by folder."""
+    return {"spark__sql__maxConcurrentOutputFileWriters": str(folders), **NO_LEFTOVERS}
+
+
 def start(
     df: DataFrame, sink: Sink | str, checkpoint: str, mode: str = "append", every: str | None = None, by_clock: bool = False
 ) -> StreamingQuery:
