@@ -4,9 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from fareloom.operators import cdc
+from fareloom.operators import cdc, joins
 from fareloom.operators.joins import newest
 from fareloom.sources import sinks
+from fareloom.sources.marketplace import Marketplace
 from fareloom.streaming import event_log, jobs
 
 T0 = dt.datetime(2026, 1, 1)
@@ -67,3 +68,39 @@ def test_a_stream_of_no_rows_has_a_micro_batch(spark, folder):
     got = []
     jobs.start(stream, lambda batch, n: got.append(batch.collect()), f"{folder}/cp").awaitTermination()
     assert got == [[]]
+
+
+def test_rows_that_cannot_be_the_newest_are_left_out(spark, folder):
+    n = F.col("id")
+    rows = spark.range(20_000).select(
+        F.when(n % 499 > 0, F.concat(F.lit("k"), (n % 500).cast("string"))).alias("key"),
+        F.when(n % 7 > 0, n * 7919 % 1009).alias("at"), n.alias("no"), F.lit("wide").alias("w"),
+    )
+    rows.union(rows.filter("no % 3 = 0")).write.parquet(f"{folder}/rows")
+    log = spark.read.parquet(f"{folder}/rows")
+    few = joins.maybe_newest(log, "key", "at")
+    assert few.columns == log.columns and few.count() < log.count() / 5
+    assert rows_of(newest(few, "key", ["at", "no"])) == rows_of(newest(log, "key", ["at", "no"]))
+    last = log.groupBy("key").agg(F.max("at").alias("last")).withColumnRenamed("key", "k")
+    ties = log.join(last, F.expr("key <=> k and at <=> last"), "left_semi")
+    assert not ties.exceptAll(few).count()  # of those with the greatest time none is missing
+
+
+def test_tables_with_too_many_rows_to_mark_are_left_whole(spark, folder, monkeypatch):
+    spark.range(9).select(F.lit(1).alias("key"), F.col("id").alias("at")).write.parquet(f"{folder}/rows")
+    monkeypatch.setattr(joins, "SLOT_BYTES", 1)
+    log = spark.read.parquet(f"{folder}/rows")
+    monkeypatch.setattr(joins, "MOST_SLOT_BITS", 0)
+    assert joins.maybe_newest(log, "key", "at").count() == 9
+
+
+def test_superseded_changes_are_not_enriched(spark):
+    m = Marketplace(spark, "/root/testdata/sf0.001")
+    dims = cdc.Dimensions(m.users, m.profiles, m.drivers, m.vehicles)
+    every, few = cdc.booking_events(m.changes, dims), cdc.booking_events(m.changes, dims, superseded=False)
+    assert few.count() < every.count() * 0.6 and not few.exceptAll(every).count()
+    documents = cdc.project_bookings(every)
+    assert rows_of(cdc.project_bookings(few)) == rows_of(documents)
+    by_hand = cdc.booking_document(cdc.latest_event(every).filter("event_type <> 'deleted'"))
+    assert rows_of(documents) == rows_of(by_hand) and documents.columns == by_hand.columns
+    assert moved(documents) and not any("payload" in x for x in moved(documents))
