@@ -14,7 +14,7 @@ from fareloom.operators.payments import split_valid
 from fareloom.schemas import CONFIRMABLE_STATUSES, PAYMENT_MINUTES, TOTAL
 from fareloom.sources.sinks import write_batch, write_dual
 from fareloom.streaming.history import edge_changes
-from fareloom.streaming.run import ROW_GROUP, few_folders, settings, start
+from fareloom.streaming.run import NO_LEFTOVERS, ROW_GROUP, few_folders, settings, start
 
 
 def _event_time(column: str) -> Column:
@@ -186,7 +186,8 @@ def write_projection(
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_dual(projection_batch(batch, dimensions), path, batch_id)
+        with settings(batch.sparkSession, **NO_LEFTOVERS):
+            write_dual(projection_batch(batch, dimensions), path, batch_id)
 
     return start(changes, sink, checkpoint)
 

@@ -9,6 +9,7 @@ from fareloom.operators.joins import newest
 from fareloom.sources import sinks
 from fareloom.sources.marketplace import Marketplace
 from fareloom.streaming import event_log, jobs
+from fareloom.streaming.run import NO_LEFTOVERS, settings
 
 T0 = dt.datetime(2026, 1, 1)
 
@@ -104,3 +105,27 @@ def test_superseded_changes_are_not_enriched(spark):
     by_hand = cdc.booking_document(cdc.latest_event(every).filter("event_type <> 'deleted'"))
     assert rows_of(documents) == rows_of(by_hand) and documents.columns == by_hand.columns
     assert moved(documents) and not any("payload" in x for x in moved(documents))
+
+
+def test_collections_are_read_without_moving_documents(spark, folder):
+    for batch, status in enumerate(("matched", "completed", "cancelled")):
+        rows = [(f"B{n}", status, T0 + dt.timedelta(hours=(batch + n) % 3), batch, n % 10 == batch) for n in range(batch, 60, batch + 1)]
+        documents = spark.createDataFrame(rows, "id string, status string, event_at timestamp_ntz, version int, is_deleted boolean")
+        sinks.write_dual(documents, folder, batch)
+    for name in sinks.COLLECTIONS:
+        held = sinks.current(spark, f"{folder}/{name}", "id", ["event_at", "version"])
+        want = newest(sinks.read_batches(spark, f"{folder}/{name}").drop("batch"), "id", ["event_at", "version"]).filter("not is_deleted")
+        assert rows_of(held) == rows_of(want.drop("is_deleted"))
+        assert moved(held) and not any("status#" in x for x in moved(held))
+
+
+def test_a_write_leaves_no_shuffle_files(spark, folder):
+    def kept():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    rows = spark.range(1000).groupBy((F.col("id") % 97).alias("k")).count()
+    with settings(spark, **NO_LEFTOVERS):
+        before = kept()
+        rows.write.parquet(f"{folder}/tidy")
+        assert kept() <= before
+    assert spark.read.parquet(f"{folder}/tidy").count() == 97
