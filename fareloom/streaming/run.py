@@ -37,8 +37,9 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
 
 
 def few_folders(folders: int) -> dict[str, str]:
-    """Settings for writing to some folders at once: rows are not sorted, and possibly spilled, by folder."""
-    return {"spark__sql__maxConcurrentOutputFileWriters": str(folders), **NO_LEFTOVERS}
+    """Settings for writing to some folders at once: rows are not sorted, and possibly spilled, by folder. A task
+    begins to sort when it has as many files open as the setting names, so it names one more."""
+    return {"spark__sql__maxConcurrentOutputFileWriters": str(folders + 1), **NO_LEFTOVERS}
 
 
 def start(

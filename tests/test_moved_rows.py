@@ -9,7 +9,7 @@ from fareloom.operators.joins import newest
 from fareloom.sources import sinks
 from fareloom.sources.marketplace import Marketplace
 from fareloom.streaming import event_log, jobs
-from fareloom.streaming.run import NO_LEFTOVERS, settings
+from fareloom.streaming.run import NO_LEFTOVERS, few_folders, settings
 
 T0 = dt.datetime(2026, 1, 1)
 
@@ -129,3 +129,8 @@ def test_a_write_leaves_no_shuffle_files(spark, folder):
         rows.write.parquet(f"{folder}/tidy")
         assert kept() <= before
     assert spark.read.parquet(f"{folder}/tidy").count() == 97
+
+
+def test_a_task_may_have_a_file_open_in_each_folder():
+    # at the number it is given, Spark's writer begins to sort its rows
+    assert few_folders(3)["spark__sql__maxConcurrentOutputFileWriters"] == "4"
